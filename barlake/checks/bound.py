@@ -19,6 +19,23 @@ from barlake.streaming.bars import bars, with_changes
 
 # Market segments stand for the tracked indices.
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+# The given tables. Reading them with a schema saves a pass over file footers.
+RAW_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+            "p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+}
 URGENT, HIGH, MEDIUM, UNSPECIFIED, LOW = (
     "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"
 )
@@ -60,7 +77,8 @@ class BoundTables(Tables):
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
-            self._raw[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            reader = self.spark.read.schema(RAW_SCHEMAS[name])
+            self._raw[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self._raw[name]
 
     def scan(self, table, code=None, start=None, end=None, dates=None) -> DataFrame:
@@ -96,7 +114,8 @@ class BoundTables(Tables):
         customer = _number_code(self.raw("customer"), "c_custkey", code)
         region = F.col("n_regionkey")
         key = F.col("c_custkey").cast("string")
-        nation = self.raw("nation").select("n_nationkey", "n_name", "n_regionkey")
+        # A declared-unique key lets Spark leave the join out where no nation column is asked for.
+        nation = self.raw("nation").dropDuplicates(["n_nationkey"])
         return customer.join(
             nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
         ).select(
@@ -309,14 +328,18 @@ class BoundTables(Tables):
     # -- indices -------------------------------------------------------------------------------
 
     def _segments(self, code) -> DataFrame:
+        """Customers of the tracked segments: index tables hold no other index."""
         customer = self.raw("customer").select("c_custkey", "c_mktsegment")
+        customer = customer.where(F.col("c_mktsegment").isin(*self.indices))
         return customer.where(F.col("c_mktsegment") == code) if code else customer
 
     def _index_weight(self, code, start, end) -> DataFrame:
         """Share of each customer in its segment's order value of a month, in percent.
 
         The month totals come from an aggregate that is joined back, not from a window: a
-        segment's month has as many rows as it has customers.
+        segment's month has as many rows as it has customers. The totals are at most one row
+        per tracked segment and month, whatever the size of the tables, so they are broadcast;
+        a shuffle on (segment, month) would gather each segment's month in one task.
         """
         month_start = f"{start[:6]}01" if start else None
         orders = _within(self.raw("orders"), "o_orderdate", month_start, end)
@@ -331,7 +354,7 @@ class BoundTables(Tables):
         ).agg(F.sum("own").alias("total"))
         same = (F.col("c_mktsegment") == F.col("_segment")) & (F.col("month") == F.col("_month"))
         weight = F.lit(100.0) * F.col("own").cast("double") / F.col("total").cast("double")
-        return rows.join(totals, same).select(
+        return rows.join(F.broadcast(totals), same).select(
             F.col("c_mktsegment").alias("index_code"),
             F.col("o_custkey").cast("string").alias("con_code"),
             ymd(F.col("month")).alias("trade_date"), weight.alias("weight"),

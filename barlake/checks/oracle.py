@@ -216,10 +216,14 @@ VIEWS: dict[str, str] = {
              FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)""",
         ts_code="o_custkey", trade_date=_ymd("d"), **{name: name for name in _flows()},
     ),
+    "v_segments": """
+        SELECT c_custkey, c_mktsegment FROM customer
+        WHERE c_mktsegment IN
+            ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')""",
     "v_weights": f"""
         SELECT c_mktsegment AS seg, o_custkey AS cust, last_day(CAST(o_orderdate AS DATE)) AS m,
                sum({_cents('o_totalprice')}) AS own
-        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3""",
+        FROM orders JOIN v_segments ON o_custkey = c_custkey GROUP BY 1, 2, 3""",
     "v_index_weight": f"""
         SELECT seg AS index_code, CAST(cust AS VARCHAR) AS con_code, {_ymd('m')} AS trade_date,
                CAST(100 AS DOUBLE) * CAST(own AS DOUBLE)
@@ -228,7 +232,7 @@ VIEWS: dict[str, str] = {
     "v_index_daily": fill(
         "index_daily",
         "(" + _changes(_bars(
-            "orders JOIN customer ON o_custkey = c_custkey", "c_mktsegment", "o_orderdate",
+            "orders JOIN v_segments ON o_custkey = c_custkey", "c_mktsegment", "o_orderdate",
             "o_orderkey", "o_totalprice")) + ")",
         **_BAR_COLUMNS,
     ),

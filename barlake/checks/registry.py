@@ -818,9 +818,9 @@ def _(m):
     FROM (SELECT * FROM v_index_daily WHERE ts_code = (SELECT min(ts_code) FROM v_index_daily
           WHERE ts_code >= 'B') AND trade_date = '19980115') s,
          (SELECT * FROM v_index_daily WHERE ts_code = (SELECT min(ts_code) FROM v_index_daily
-          WHERE ts_code >= 'B') AND trade_date = '19980617') e""")
+          WHERE ts_code >= 'B') AND trade_date = '19980625') e""")
 def _(m):
-    return m.index_cumulative_return(INDEX, "19980115", "19980617")
+    return m.index_cumulative_return(INDEX, "19980115", "19980625")
 
 
 # -- calendar ------------------------------------------------------------------------------------

@@ -58,13 +58,14 @@ def merge_keep_last(
 def conform(df: DataFrame, table: str | TableSpec, allow_extra: bool = False) -> DataFrame:
     """Catalogue columns in catalogue order and type; missing ones are null."""
     spec = spec_of(table)
-    have = set(df.columns)
+    have = df.columns
     cols = [
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+        f"CAST({f'`{f.name}`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) "
+        f"AS `{f.name}`"
         for f in spec.schema.fields
     ]
-    extra = [F.col(c) for c in df.columns if c not in spec.columns] if allow_extra else []
-    return df.select(*cols, *extra)
+    extra = [f"`{c}`" for c in have if c not in spec.columns] if allow_extra else []
+    return df.selectExpr(*cols, *extra)
 
 
 def merge_table(

@@ -96,8 +96,10 @@ def profile(df: DataFrame, distinct: list[str] = ()) -> DataFrame:
     The non-null counts take one pass without a shuffle of rows; each exact distinct count
     aggregates its own column, so no row is expanded once per counted column.
     """
-    counted = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
-    long = counted.unpivot([], df.columns, "column", "non_null")
+    names = df.columns
+    counted = df.agg(*[F.expr(f"count(`{c}`) AS `{c}`") for c in names])
+    pairs = ", ".join(f"'{c}', `{c}`" for c in names)
+    long = counted.selectExpr(f"stack({len(names)}, {pairs}) AS (column, non_null)")
     if not distinct:
         return long.withColumn("distinct_count", F.lit(None).cast("long"))
     sizes = union_all([

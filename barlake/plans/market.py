@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
 from barlake.operators import export, profile
@@ -19,11 +21,10 @@ class Market(EquityQueries, StatementQueries, IndexQueries, CalendarQueries):
     def raw_sql(self, text: str, **args) -> DataFrame:
         """Spark SQL over the table views; values go in as named parameters (``:name``).
 
-        The views are registered at the first call; call ``tables.register_views()`` again
-        after a write.
+        Every view the text mentions is registered anew, so it shows the latest writes.
         """
-        if not getattr(self, "_views", None):
-            self._views = self.tables.register_views()
+        words = set(re.findall(r"\w+", text.lower()))
+        self.tables.register_views(v for v in self.tables.view_names() if v in words)
         return self.tables.spark.sql(text, args=args or None)
 
     def record_counts(self) -> DataFrame:

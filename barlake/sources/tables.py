@@ -121,15 +121,22 @@ class Tables:
         spec: TableSpec = spec_of(table)
         return self.scan(table).where(F.col(spec.code_col).isin(*self.indices))
 
-    def register_views(self) -> list[str]:
-        """Temp views for free SQL: one per table and one per tracked index."""
-        views = {f"{name}_view": self.scan(name) for name in CATALOG}
-        for table in INDEX_TABLES:
-            for short in self.indices.values():
-                views[f"{table}_{short}_view"] = self.index_view(table, short)
-        for name, df in views.items():
-            df.createOrReplaceTempView(name)
-        return sorted(views)
+    def view(self, name: str) -> DataFrame:
+        """The table behind a view name: ``<table>_view`` or ``<table>_<index>_view``."""
+        base = name.removesuffix("_view")
+        if base in CATALOG:
+            return self.scan(base)
+        table = next(t for t in INDEX_TABLES if base.startswith(f"{t}_"))
+        return self.index_view(table, base.removeprefix(f"{table}_"))
+
+    def view_names(self) -> list[str]:
+        shorts = [f"{t}_{s}_view" for t in INDEX_TABLES for s in self.indices.values()]
+        return sorted([f"{t}_view" for t in CATALOG] + shorts)
+
+    def register_views(self, names: Iterable[str] | None = None) -> None:
+        """Temp views for free SQL: one per table and one per tracked index, or the named."""
+        for name in self.view_names() if names is None else names:
+            self.view(name).createOrReplaceTempView(name)
 
 
 def empty_table(spark: SparkSession, table: str | TableSpec) -> DataFrame:
