@@ -1190,7 +1190,7 @@ class _Stored(Before):
 @check("update_summary", _summary(ORDERS_AS_OF, "99991231"))
 def _(m):
     stored = _Stored(m.tables, _FLOW_CUT)
-    return updates.update_summary(updates.incremental_rows(m.tables, stored, ORDERS_AS_OF, 3))
+    return updates.update_summary(updates.incremental_steps(m.tables, stored, ORDERS_AS_OF, 3))
 
 
 @check("month_end", f"SELECT date, strftime(last_day(CAST(d AS DATE)), '%Y%m%d') AS month_end FROM {_ORDER_DATES}")

@@ -6,10 +6,13 @@ them is :func:`barlake.operators.merge.merge_table`, or ``Store.upsert`` for sto
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.catalog import HISTORY_YEARS, INDEX_MARKETS, STATEMENTS
+from barlake.catalog import HISTORY_YEARS, INDEX_MARKETS, INDEX_TABLES, STATEMENTS, spec_of
 from barlake.functions import history_start, months_ago, previous_quarter_end, quarter_end, to_day
 from barlake.operators.coverage import (
     missing_dates, new_rows, uncovered_batches, wanted_by_days, wanted_by_months,
@@ -95,72 +98,101 @@ def index_weight_full_rows(
     return rows.where(F.col("trade_date") <= F.col("_end")).select(*landed.columns)
 
 
-def _dated(landed: Tables, stored: Tables, wanted: DataFrame) -> dict[str, DataFrame]:
-    out = {}
-    for table in ("daily", "adjfactor", "moneyflow"):
-        gaps = missing_dates(wanted, stored.scan(table))
-        out[table] = rows_of_missing_dates(landed.scan(table), gaps)
-    return out
+# An update step is a function that selects the incoming rows of one table. It is called right
+# before these are merged, so that it sees what the steps before it have written: the calendar
+# comes first because the gaps of the dated tables are read off it.
+Steps = dict[str, Callable[[], DataFrame]]
+
+
+def _dated_steps(landed: Tables, stored: Tables, wanted: Callable[[], DataFrame]) -> Steps:
+    def step(table: str):
+        gaps = missing_dates(wanted(), stored.scan(table))
+        return rows_of_missing_dates(landed.scan(table), gaps)
+
+    return {t: partial(step, t) for t in ("daily", "adjfactor", "moneyflow")}
+
 
+def _master_steps(landed: Tables) -> Steps:
+    def markets() -> DataFrame:
+        return landed.scan("index_basic").where(F.col("market").isin(*INDEX_MARKETS))
 
-def _masters(landed: Tables) -> dict[str, DataFrame]:
     return {
-        "stock_basic": master_refresh_rows(landed.scan("stock_basic")),
-        "st_stocks": landed.scan("st_stocks"),
-        "index_basic": landed.scan("index_basic").where(F.col("market").isin(*INDEX_MARKETS)),
+        "stock_basic": lambda: master_refresh_rows(landed.scan("stock_basic")),
+        "st_stocks": lambda: landed.scan("st_stocks"),
+        "index_basic": markets,
     }
 
 
-def incremental_rows(
+def incremental_steps(
     landed: Tables, stored: Tables, as_of: str, months: int = 3, days: int | None = None
-) -> dict[str, DataFrame]:
-    """Incoming rows of an incremental update, table by table.
-
-    The calendar comes first: the gaps of the dated tables are read off it. ``days`` replaces
-    the months for the dated tables.
-    """
-    calendar = stored.scan("trade_calendar")
-    wanted = (
-        wanted_by_days(calendar, as_of, days) if days else wanted_by_months(calendar, as_of, months)
-    )
-    out = {"trade_calendar": calendar_refresh_rows(landed.scan("trade_calendar"), as_of, months)}
-    out |= _masters(landed)
-    out |= _dated(landed, stored, wanted)
-    out |= {t: statement_refresh_rows(landed.scan(t), as_of) for t in STATEMENTS}
-    for table, code in (("index_weight", "index_code"), ("index_daily", "ts_code")):
-        out[table] = index_incremental_rows(
+) -> Steps:
+    """Incremental update of every table; ``days`` replaces the months for the dated tables."""
+    def calendar() -> DataFrame:
+        return calendar_refresh_rows(landed.scan("trade_calendar"), as_of, months)
+
+    def wanted() -> DataFrame:
+        known = stored.scan("trade_calendar")
+        if days:
+            return wanted_by_days(known, as_of, days)
+        return wanted_by_months(known, as_of, months)
+
+    def statement(table: str) -> DataFrame:
+        return statement_refresh_rows(landed.scan(table), as_of)
+
+    def index(table: str) -> DataFrame:
+        code = spec_of(table).code_col
+        return index_incremental_rows(
             landed.scan(table), stored.scan(table), code, as_of, months
         )
-    return out
 
+    return {
+        "trade_calendar": calendar,
+        **_master_steps(landed),
+        **_dated_steps(landed, stored, wanted),
+        **{t: partial(statement, t) for t in STATEMENTS},
+        **{t: partial(index, t) for t in INDEX_TABLES},
+    }
 
-def full_rows(
+
+def full_steps(
     landed: Tables, stored: Tables, as_of: str, constituents: DataFrame,
     years: int = HISTORY_YEARS,
-) -> dict[str, DataFrame]:
-    """Incoming rows of a full update: history that is not stored yet. ``constituents`` is
-    (index_code, constituents), which sizes the month batches of the weights."""
-    wanted = open_days(stored.scan("trade_calendar"))
-    out = {"trade_calendar": calendar_refresh_rows(landed.scan("trade_calendar"), as_of, None, years)}
-    out |= _masters(landed)
-    out |= _dated(landed, stored, wanted)
-    out |= {t: statement_full_rows(landed.scan(t), as_of, years) for t in STATEMENTS}
-    out["index_weight"] = index_weight_full_rows(
-        landed.scan("index_weight"), stored.scan("index_weight"),
-        month_batches(constituents, as_of, years),
-    )
-    out["index_daily"] = index_daily_full_rows(
-        landed.scan("index_daily"), stored.scan("index_daily"), as_of, years
-    )
-    return out
+) -> Steps:
+    """Full update: history that is not stored yet. ``constituents`` is (index_code,
+    constituents), which sizes the month batches of the weights."""
+    def calendar() -> DataFrame:
+        return calendar_refresh_rows(landed.scan("trade_calendar"), as_of, None, years)
+
+    def statement(table: str) -> DataFrame:
+        return statement_full_rows(landed.scan(table), as_of, years)
+
+    def weights() -> DataFrame:
+        return index_weight_full_rows(
+            landed.scan("index_weight"), stored.scan("index_weight"),
+            month_batches(constituents, as_of, years),
+        )
+
+    def index_bars() -> DataFrame:
+        return index_daily_full_rows(
+            landed.scan("index_daily"), stored.scan("index_daily"), as_of, years
+        )
+
+    return {
+        "trade_calendar": calendar,
+        **_master_steps(landed),
+        **_dated_steps(landed, stored, lambda: open_days(stored.scan("trade_calendar"))),
+        **{t: partial(statement, t) for t in STATEMENTS},
+        "index_weight": weights,
+        "index_daily": index_bars,
+    }
 
 
-def update_summary(incoming: dict[str, DataFrame]) -> DataFrame:
-    """(table, rows): what an update would bring in."""
-    counts = union_all([row_count(df, table) for table, df in incoming.items()])
+def update_summary(steps: Steps) -> DataFrame:
+    """(table, rows): what an update would bring in now."""
+    counts = union_all([row_count(rows(), table) for table, rows in steps.items()])
     return counts.withColumnRenamed("row_count", "rows")
 
 
-def apply_update(store: Store, incoming: dict[str, DataFrame]) -> dict[str, int]:
-    """Merge the incoming rows into the store and return the rows taken per table."""
-    return {table: store.upsert(df, table) for table, df in incoming.items()}
+def apply_update(store: Store, steps: Steps) -> dict[str, int]:
+    """Merge the steps into the store one by one and return the rows taken per table."""
+    return {table: store.upsert(rows(), table) for table, rows in steps.items()}
