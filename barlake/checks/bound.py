@@ -62,9 +62,25 @@ def _number_code(df: DataFrame, column: str, code: str | None) -> DataFrame:
     return df.where(F.col(column) == int(code)) if code.isdigit() else df.where(F.lit(False))
 
 
-def _part(condition: Column | None = None) -> Column:
-    value = cents(F.col("o_totalprice"))
-    return F.sum(value if condition is None else F.when(condition, value))
+_PRICE_CENTS = "CAST(round(o_totalprice * 100, 0) AS BIGINT)"
+_CURRENT = f"o_orderpriority IN ('{URGENT}', '{HIGH}')"
+
+
+def _part(condition: str = "true") -> str:
+    """Sum of the order values, in cents, for which the condition holds; null if none does."""
+    return f"sum(CASE WHEN {condition} THEN {_PRICE_CENTS} END)"
+
+
+def _money(cents_text: str) -> str:
+    return f"CAST({cents_text} AS DOUBLE) / 100D"
+
+
+def _status(*values: str) -> str:
+    return _money(_part(f"o_orderstatus IN ({', '.join(map(repr, values))})"))
+
+
+def _priority(value: str) -> str:
+    return _part(f"o_orderpriority = '{value}'")
 
 
 class BoundTables(Tables):
@@ -205,69 +221,64 @@ class BoundTables(Tables):
         orders = _within(orders, "o_orderdate", start, end)
         return orders.withColumn("day", F.to_date("o_orderdate"))
 
-    def _by_quarter(self, code, start, end, **columns: Column) -> DataFrame:
-        quarter = F.last_day(F.add_months(F.trunc("day", "QUARTER"), 2))
-        announced = ymd(F.max("day"))
-        totals = self._orders(code, start, end).groupBy("o_custkey", quarter.alias("q")).agg(
-            announced.alias("ann_date"), *[c.alias(name) for name, c in columns.items()]
+    def _by_quarter(self, code, start, end, **columns: str) -> DataFrame:
+        quarter = F.expr("last_day(add_months(trunc(day, 'QUARTER'), 2))").alias("q")
+        announced = F.expr("date_format(max(day), 'yyyyMMdd') AS ann_date")
+        totals = self._orders(code, start, end).groupBy("o_custkey", quarter).agg(
+            announced, *[F.expr(f"{text} AS {name}") for name, text in columns.items()]
         )
-        return totals.select(
-            F.col("o_custkey").cast("string").alias("ts_code"), ymd(F.col("q")).alias("end_date"),
-            F.col("ann_date").alias("f_ann_date"), F.lit("1").alias("report_type"),
-            F.lit("1").alias("comp_type"), F.quarter("q").cast("string").alias("end_type"),
-            F.lit("0").alias("update_flag"), "ann_date", *columns,
+        return totals.selectExpr(
+            "CAST(o_custkey AS STRING) AS ts_code", "date_format(q, 'yyyyMMdd') AS end_date",
+            "ann_date", "ann_date AS f_ann_date", "'1' AS report_type", "'1' AS comp_type",
+            "CAST(quarter(q) AS STRING) AS end_type", "'0' AS update_flag", *columns,
         )
 
     def _income(self, code, start, end) -> DataFrame:
-        status = F.col("o_orderstatus")
         return self._by_quarter(
             code, start, end,
-            basic_eps=from_cents(_part()) / F.count("*"),
-            total_revenue=from_cents(_part()),
-            revenue=from_cents(_part(status != "P")),
-            total_cogs=from_cents(_part(status == "P")),
-            operate_profit=from_cents(_part(status.isin("F", "O"))),
-            total_profit=from_cents(_part(status == "O")),
-            n_income_attr_p=from_cents(_part(status == "F")),
+            basic_eps=f"{_money(_part())} / count(*)",
+            total_revenue=_money(_part()),
+            revenue=_status("F", "O"),
+            total_cogs=_status("P"),
+            operate_profit=_status("F", "O"),
+            total_profit=_status("O"),
+            n_income_attr_p=_status("F"),
         )
 
     def _cashflow(self, code, start, end) -> DataFrame:
-        status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-
-        def or_zero(name: str) -> Column:
-            return F.coalesce(_part(priority == name), F.lit(0))
-
+        urgent, medium, low = (
+            f"coalesce({_priority(p)}, 0)" for p in (URGENT, MEDIUM, LOW)
+        )
         return self._by_quarter(
             code, start, end,
-            net_profit=from_cents(_part(status == "F")),
-            n_cashflow_act=from_cents(_part(priority == URGENT)),
-            n_cashflow_inv_act=from_cents(-_part(priority == MEDIUM)),
-            n_cash_flows_fnc_act=from_cents(_part(priority == LOW)),
-            free_cashflow=from_cents(or_zero(URGENT) - or_zero(MEDIUM)),
-            c_cash_equ_beg_period=from_cents(_part(status == "O")),
-            c_cash_equ_end_period=from_cents(_part(status.isin("F", "O"))),
-            n_incr_cash_cash_equ=from_cents(or_zero(URGENT) - or_zero(MEDIUM) + or_zero(LOW)),
+            net_profit=_status("F"),
+            n_cashflow_act=_money(_priority(URGENT)),
+            n_cashflow_inv_act=_money(f"-{_priority(MEDIUM)}"),
+            n_cash_flows_fnc_act=_money(_priority(LOW)),
+            free_cashflow=_money(f"({urgent} - {medium})"),
+            c_cash_equ_beg_period=_status("O"),
+            c_cash_equ_end_period=_status("F", "O"),
+            n_incr_cash_cash_equ=_money(f"({urgent} - {medium} + {low})"),
         )
 
     def _balancesheet(self, code, start, end) -> DataFrame:
-        status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-        current = priority.isin(URGENT, HIGH)
+        current_debt = _part("o_orderstatus = 'O'")
         return self._by_quarter(
             code, start, end,
-            total_assets=from_cents(_part()),
-            total_cur_assets=from_cents(_part(current)),
-            total_nca=from_cents(_part(~current)),
-            total_liab=from_cents(_part(status.isin("O", "P"))),
-            total_cur_liab=from_cents(F.coalesce(_part(status == "O"), F.lit(0))),
-            total_ncl=from_cents(_part(status == "P")),
-            total_hldr_eqy_inc_min_int=from_cents(_part(status == "F")),
-            money_cap=from_cents(_part(priority == URGENT)),
-            accounts_receiv=from_cents(_part(priority == HIGH)),
-            inventories=from_cents(_part(priority == MEDIUM)),
-            fix_assets=from_cents(_part(priority == UNSPECIFIED)),
-            intang_assets=from_cents(_part(priority == LOW)),
-            st_borrow=from_cents(_part((status == "O") & current)),
-            lt_borrow=from_cents(_part((status == "P") & ~current)),
+            total_assets=_money(_part()),
+            total_cur_assets=_money(_part(_CURRENT)),
+            total_nca=_money(_part(f"NOT {_CURRENT}")),
+            total_liab=_status("O", "P"),
+            total_cur_liab=_money(f"coalesce({current_debt}, 0)"),
+            total_ncl=_status("P"),
+            total_hldr_eqy_inc_min_int=_status("F"),
+            money_cap=_money(_priority(URGENT)),
+            accounts_receiv=_money(_priority(HIGH)),
+            inventories=_money(_priority(MEDIUM)),
+            fix_assets=_money(_priority(UNSPECIFIED)),
+            intang_assets=_money(_priority(LOW)),
+            st_borrow=_money(_part(f"o_orderstatus = 'O' AND {_CURRENT}")),
+            lt_borrow=_money(_part(f"o_orderstatus = 'P' AND NOT {_CURRENT}")),
         )
 
     def revisions(self, orders: DataFrame | None = None) -> DataFrame:
@@ -296,33 +307,33 @@ class BoundTables(Tables):
         lines = self.raw("lineitem").select(
             "l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag"
         )
-        price, sold = F.col("l_extendedprice"), F.col("l_returnflag") == "R"
+        price = "l_extendedprice"
         bands = {
-            "sm": price < 25000,
-            "md": (price >= 25000) & (price < 50000),
-            "lg": (price >= 50000) & (price < 75000),
-            "elg": price >= 75000,
+            "sm": f"{price} < 25000",
+            "md": f"{price} >= 25000 AND {price} < 50000",
+            "lg": f"{price} >= 50000 AND {price} < 75000",
+            "elg": f"{price} >= 75000",
         }
-        amount, volume = cents(price), F.col("l_quantity")
+        sides = {"buy": "l_returnflag <> 'R'", "sell": "l_returnflag = 'R'"}
+        amount = f"CAST(round({price} * 100, 0) AS BIGINT)"
         sums = []
         for band, hit in bands.items():
-            for side, own in (("buy", ~sold), ("sell", sold)):
+            for side, own in sides.items():
+                when = f"CASE WHEN {hit} AND {own} THEN"
                 sums += [
-                    F.sum(F.when(hit & own, volume).otherwise(0.0)).alias(f"{side}_{band}_vol"),
-                    F.sum(F.when(hit & own, amount).otherwise(0)).alias(f"{side}_{band}_amount"),
+                    f"sum({when} l_quantity ELSE 0D END) AS {side}_{band}_vol",
+                    _money(f"sum({when} {amount} ELSE 0 END)") + f" AS {side}_{band}_amount",
                 ]
-        net = F.when(sold, -1).otherwise(1)
+        net = "CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END"
         sums += [
-            F.sum(volume * net).alias("net_mf_vol"), F.sum(amount * net).alias("net_mf_amount")
+            f"sum(l_quantity * {net}) AS net_mf_vol",
+            _money(f"sum({amount} * {net})") + " AS net_mf_amount",
         ]
         joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        rows = joined.groupBy("o_custkey", "day").agg(*sums)
-        return rows.select(
-            F.col("o_custkey").cast("string").alias("ts_code"), ymd(F.col("day")).alias("trade_date"),
-            *[
-                from_cents(F.col(c)).alias(c) if c.endswith("_amount") else F.col(c)
-                for c in spec_of("moneyflow").columns[2:]
-            ],
+        rows = joined.groupBy("o_custkey", "day").agg(*map(F.expr, sums))
+        return rows.selectExpr(
+            "CAST(o_custkey AS STRING) AS ts_code", "date_format(day, 'yyyyMMdd') AS trade_date",
+            *spec_of("moneyflow").columns[2:],
         )
 
     # -- indices -------------------------------------------------------------------------------

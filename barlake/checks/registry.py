@@ -1033,7 +1033,7 @@ def _(m):
 def _(m):
     rows = m.tables.scan("index_weight")
     stored = Before(m.tables, MONTH).scan("index_weight")
-    return coverage.new_rows(rows, stored, ["index_code", "trade_date"])
+    return coverage.new_index_rows(rows, stored, "index_code")
 
 
 def _batch_months(source: str) -> str:

@@ -25,10 +25,20 @@ def missing_dates(wanted: DataFrame, stored: DataFrame, date_col: str = "trade_d
 
 def new_rows(incoming: DataFrame, stored: DataFrame, on: Sequence[str]) -> DataFrame:
     """Incoming rows whose combination of ``on`` is not stored yet. The stored side shrinks to
-    its distinct combinations before it is shuffled."""
+    its distinct combinations, on the map side first."""
     return incoming.join(stored.select(*on).distinct(), list(on), "left_anti")
 
 
+def new_index_rows(incoming: DataFrame, stored: DataFrame, code_col: str) -> DataFrame:
+    """Incoming index rows on dates their index does not have yet.
+
+    What is stored shrinks to one row per tracked index and day, which is broadcast: by shuffle,
+    all constituents of an index's day would meet in one task.
+    """
+    on = [code_col, "trade_date"]
+    return incoming.join(F.broadcast(stored.select(*on).distinct()), on, "left_anti")
+
+
 def codes_not_in(probe: DataFrame, reference: DataFrame, probe_col: str, ref_col: str) -> DataFrame:
     """Probe codes that the reference list lacks; repeated probe codes stay repeated."""
     known = reference.select(F.col(ref_col).alias("_code")).distinct()

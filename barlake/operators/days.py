@@ -1,7 +1,8 @@
 """Trading-calendar operators over whole sets of dates.
 
 A calendar has one row per exchange and day, so the windows below see at most one row per
-calendar day, however many rows the callers' tables have.
+calendar day, however many rows the callers' tables have, and the look-ups that are joined back
+(one row per day, too) are broadcast.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def trading_day_flags(
     days = of_exchange(calendar, exchange).select(
         F.col("cal_date").alias("_day"), F.col("is_open").alias("_open")
     )
-    return dates.join(days, F.col(date_col) == F.col("_day"), "left").select(
+    return dates.join(F.broadcast(days), F.col(date_col) == F.col("_day"), "left").select(
         *dates.columns, (F.coalesce(F.col("_open"), F.lit(0)) == 1).alias("is_trading_day")
     )
 
@@ -65,7 +66,7 @@ def next_open_days(
     found = line.groupBy("_day").agg(F.max("_open").alias("_open")).select(
         "_day", F.min("_open").over(ahead).alias("next_trading_day")
     )
-    return dates.join(found, F.col(date_col) == F.col("_day"), "left").drop("_day")
+    return dates.join(F.broadcast(found), F.col(date_col) == F.col("_day"), "left").drop("_day")
 
 
 def open_day_counts(
@@ -97,8 +98,8 @@ def open_day_counts(
     high = prefix.select(F.col("_day").alias("_high"), F.col("_upto").alias("_through"))
     span = F.when(F.col(end_col) >= F.col(start_col), F.col("_through") - F.col("_before"))
     return (
-        ranges.join(low, F.col(start_col) == F.col("_low"), "left")
-        .join(high, F.col(end_col) == F.col("_high"), "left")
+        ranges.join(F.broadcast(low), F.col(start_col) == F.col("_low"), "left")
+        .join(F.broadcast(high), F.col(end_col) == F.col("_high"), "left")
         .select(*ranges.columns, F.coalesce(span, F.lit(0)).alias("trading_days"))
     )
 

@@ -4,25 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.catalog import TableSpec, spec_of
 
 
-def newest_order(df: DataFrame, key: Sequence[str], newest_first: Sequence[str]) -> list[Column]:
+def newest_order(df: DataFrame, key: Sequence[str], newest_first: Sequence[str]) -> list[str]:
     """Total order of the rows of one key: the named columns first, then every other column,
     so that the surviving row never depends on how the input was partitioned."""
-    rest = [c for c in df.columns if c not in newest_first and c not in key]
-    named = [c for c in newest_first if c in df.columns]
-    return [F.col(c).desc_nulls_last() for c in [*named, *rest]]
-
-
-def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
-    """First ``n`` rows of each key. Spark trims each key to ``n`` rows before the shuffle
-    (WindowGroupLimit), so a hot key sends at most ``n`` rows per map task."""
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    columns = df.columns
+    named = [c for c in newest_first if c in columns]
+    rest = [c for c in columns if c not in named and c not in key]
+    return [f"`{c}` DESC NULLS LAST" for c in [*named, *rest]]
+
+
+def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int = 1) -> DataFrame:
+    """First ``n`` rows of each key by an ``ORDER BY`` list. Spark trims each key to ``n`` rows
+    before the shuffle (WindowGroupLimit), so a hot key sends at most ``n`` rows per map task."""
+    keys, by = ", ".join(f"`{c}`" for c in key), ", ".join(order) or "1"
+    rank = f"row_number() OVER (PARTITION BY {keys} ORDER BY {by}) AS _rank"
+    return df.selectExpr("*", rank).where(f"_rank <= {n:d}").drop("_rank")
 
 
 def keep_last(df: DataFrame, key: Sequence[str], newest_first: Sequence[str] = ()) -> DataFrame:

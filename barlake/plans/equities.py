@@ -32,7 +32,7 @@ class EquityQueries:
     def daily_latest_all(self) -> DataFrame:
         """Most recent bar of every security."""
         return first_per_key(
-            self.tables.scan("daily"), ["ts_code"], [F.col("trade_date").desc()]
+            self.tables.scan("daily"), ["ts_code"], ["trade_date DESC"]
         )
 
     def top_volume(self, trade_date: str, n: int = 20) -> DataFrame:

@@ -120,7 +120,7 @@ class IndexQueries:
 
     def index_daily_latest_all(self) -> DataFrame:
         return first_per_key(
-            self.tables.scan("index_daily"), ["ts_code"], [F.col("trade_date").desc()]
+            self.tables.scan("index_daily"), ["ts_code"], ["trade_date DESC"]
         )
 
     def index_performance_rank(self, trade_date: str, n: int = 10) -> DataFrame:

@@ -104,8 +104,8 @@ class StatementQueries:
     def balance_ratios(self, n_periods: int = 8) -> DataFrame:
         """The balance-sheet summary of every security at once."""
         rows = self.tables.scan("balancesheet").select(*BALANCE_COLUMNS)
-        order = [F.col("end_date").desc()]
-        return _with_ratios(first_per_key(rows, ["ts_code"], order, n_periods))
+        recent = first_per_key(rows, ["ts_code"], ["end_date DESC"], n_periods)
+        return _with_ratios(recent)
 
     # -- money flow --------------------------------------------------------------------------
 

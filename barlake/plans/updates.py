@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from barlake.catalog import HISTORY_YEARS, INDEX_MARKETS, INDEX_TABLES, STATEMENTS, spec_of
 from barlake.functions import history_start, months_ago, previous_quarter_end, quarter_end, to_day
 from barlake.operators.coverage import (
-    missing_dates, new_rows, uncovered_batches, wanted_by_days, wanted_by_months,
+    missing_dates, new_index_rows, uncovered_batches, wanted_by_days, wanted_by_months,
 )
 from barlake.operators.days import month_batches, months_in_range, open_days, quarter_series
 from barlake.operators.profile import row_count, union_all
@@ -36,7 +36,8 @@ def statement_full_rows(landed: DataFrame, as_of: str, years: int = HISTORY_YEAR
     window = landed.sparkSession.range(1).select(
         (this_year - years).alias("start_year"), this_year.alias("end_year")
     )
-    return landed.join(quarter_series(window, as_of), "end_date", "left_semi")
+    # At most four rows per year.
+    return landed.join(F.broadcast(quarter_series(window, as_of)), "end_date", "left_semi")
 
 
 def master_refresh_rows(landed: DataFrame) -> DataFrame:
@@ -53,8 +54,10 @@ def calendar_refresh_rows(
 
 
 def rows_of_missing_dates(landed: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Landed rows of the dates a gap list names."""
-    return landed.join(gaps.select("trade_date"), "trade_date", "left_semi")
+    """Landed rows of the dates a gap list names. The list has at most one row per calendar
+    day, so it is broadcast and the landed rows are not shuffled by date."""
+    dates = gaps.select("trade_date").distinct()
+    return landed.join(F.broadcast(dates), "trade_date", "left_semi")
 
 
 def _in_window(df: DataFrame, start, as_of: str) -> DataFrame:
@@ -66,9 +69,8 @@ def index_incremental_rows(
 ) -> DataFrame:
     """Landed rows of the last months on dates the index does not have yet."""
     start = months_ago(as_of, months)
-    return new_rows(
-        _in_window(landed, start, as_of), _in_window(stored, start, as_of),
-        [code_col, "trade_date"],
+    return new_index_rows(
+        _in_window(landed, start, as_of), _in_window(stored, start, as_of), code_col
     )
 
 
@@ -77,7 +79,7 @@ def index_daily_full_rows(
 ) -> DataFrame:
     """Landed bars since January of ``years`` years ago on dates the index does not have."""
     start = F.concat((F.year(to_day(as_of)) - years).cast("string"), F.lit("0101"))
-    return new_rows(_in_window(landed, start, as_of), stored, ["ts_code", "trade_date"])
+    return new_index_rows(_in_window(landed, start, as_of), stored, "ts_code")
 
 
 def index_weight_full_rows(
@@ -94,7 +96,8 @@ def index_weight_full_rows(
     months = months_in_range(open_batches, "batch_start", "batch_end").select(
         "index_code", F.col("ym").alias("_ym"), F.col("batch_end").alias("_end")
     )
-    rows = landed.withColumn("_ym", ym).join(months, ["index_code", "_ym"])
+    # One row per tracked index and month.
+    rows = landed.withColumn("_ym", ym).join(F.broadcast(months), ["index_code", "_ym"])
     return rows.where(F.col("trade_date") <= F.col("_end")).select(*landed.columns)
 
 

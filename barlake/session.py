@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -12,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording the Python line of every column expression doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Lets the CSV source decode GBK files.
     "spark.sql.legacy.javaCharsets": "true",
 }
@@ -38,5 +41,4 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         return tempfile.mkdtemp(prefix=f"barlake-{name}-")
-    token = spark.range(1).selectExpr("uuid() AS u").first()["u"]
-    return f"{root.rstrip('/')}/barlake-{name}-{token}"
+    return f"{root.rstrip('/')}/barlake-{name}-{uuid.uuid4().hex}"

@@ -21,12 +21,17 @@ from barlake.sources.tables import where_code, where_dates
 # -- reading ---------------------------------------------------------------------------------
 
 
-def read_csv(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8", multi_line: bool = False
+) -> DataFrame:
     """CSV with a header, every column as text. A byte-order mark is skipped; files whose
-    header differs from the first one's are an error, not a silent shift of columns."""
+    header differs from the first one's are an error, not a silent shift of columns.
+
+    ``multi_line`` allows line breaks inside quotes; such files cannot be split over tasks.
+    """
     return spark.read.csv(
         path, header=True, inferSchema=False, encoding=encoding, enforceSchema=False,
-        escape='"',
+        escape='"', multiLine=multi_line,
     )
 
 
@@ -84,15 +89,22 @@ def read_csv_any_encoding(spark: SparkSession, path: str) -> DataFrame:
     return concat_parts([read_csv(spark, paths, enc) for enc, paths in sorted(groups.items())])
 
 
-def read_landed(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None = None):
+def text_schema(table: str | TableSpec) -> T.StructType:
+    """Landing schema of a CSV or JSON dataset: every column as text."""
+    return T.StructType([T.StructField(c, T.StringType(), True) for c in spec_of(table).columns])
+
+
+def read_landed(spark: SparkSession, path: str, fmt: str, table: str | TableSpec) -> DataFrame:
+    """Landed files of a dataset. JSON and Parquet are read with a schema: JSON would need a
+    pass over the data to infer one, and Parquet files whose column is all null may carry
+    another type for it than their neighbours."""
     if fmt == "csv":
         return read_csv(spark, path)
     if fmt == "csv_any":
         return read_csv_any_encoding(spark, path)
-    reader = spark.read.schema(schema) if schema else spark.read
     if fmt == "json":
-        return reader.option("primitivesAsString", True).json(path)
-    return reader.parquet(path)
+        return spark.read.schema(text_schema(table)).json(path)
+    return spark.read.schema(spec_of(table).schema).parquet(path)
 
 
 # -- shaping ---------------------------------------------------------------------------------
@@ -102,11 +114,13 @@ def normalise(df: DataFrame, table: str | TableSpec, allow_extra: bool = False)
     """Raw cells to catalogue types: null texts become null, numbers that do not parse and NaN
     become null, missing columns are null."""
     spec = spec_of(table)
-    have = set(df.columns)
+    have = {f.name: f.dataType for f in df.schema.fields}
 
     def cell(field: T.StructField):
         if field.name not in have:
             value = F.lit(None).cast(field.dataType)
+        elif have[field.name] == field.dataType == T.DoubleType():
+            value = F.when(~F.isnan(field.name), F.col(field.name))
         elif isinstance(field.dataType, T.DoubleType):
             value = to_number(F.col(field.name))
         elif isinstance(field.dataType, T.IntegerType):
@@ -202,5 +216,5 @@ def ingest(
 ) -> DataFrame:
     """Typed rows of a landed dataset, restricted like :func:`landed_slice`."""
     source = "stock_basic" if table == "st_stocks" else table
-    rows = normalise(read_landed(spark, path, fmt), source)
+    rows = normalise(read_landed(spark, path, fmt, source), source)
     return landed_slice(rows, table, as_of, **filters)

@@ -140,4 +140,9 @@ class Tables:
 
 
 def empty_table(spark: SparkSession, table: str | TableSpec) -> DataFrame:
-    return spark.createDataFrame([], spec_of(table).schema)
+    """Zero rows that the optimiser knows to be empty, so that joins with them vanish."""
+    cols = [
+        f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+        for f in spec_of(table).schema.fields
+    ]
+    return spark.range(1).selectExpr(*cols).where("false")

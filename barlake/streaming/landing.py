@@ -8,16 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from barlake.catalog import spec_of
-from barlake.sources.landing import normalise
+from barlake.sources.landing import normalise, text_schema
 from barlake.sources.store import Store
 
 
-def text_schema(table: str) -> T.StructType:
-    """Landing schema of a CSV or JSON dataset: every column as text."""
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in spec_of(table).columns])
-
-
 def start_upsert_stream(
     store: Store,
     table: str,

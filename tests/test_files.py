@@ -2,6 +2,7 @@ import glob
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from barlake.operators.export import export, export_slice, export_table, save_result, write_csv
 from barlake.sources.landing import (
@@ -63,6 +64,8 @@ def test_ingest_of_landed_files(spark, tmp_path, fmt):
         [("A", "20240102", "1.5"), ("A", "20080102", "2"), ("B", "20240103", "nan")],
         "ts_code string, trade_date string, close string")
     path = str(tmp_path / "landed")
+    if fmt == "parquet":
+        rows = rows.withColumn("close", F.col("close").cast("double"))
     rows.write.format(fmt).option("header", True).save(path)
     got = ingest(spark, "daily", path, fmt, "20240201")
     assert sorted(rows_of(got.select("ts_code", "trade_date", "close")), key=str) == [
@@ -99,8 +102,8 @@ def test_export_round_trips(spark, tmp_path):
         assert sorted(rows_of(back), key=str) == expected
     text = "".join(open(f, encoding="utf-8").read() for f in glob.glob(f"{tmp_path}/csv/*.csv"))
     assert "2441641000.0" in text and "E9" not in text
-    line = open(glob.glob(f"{tmp_path}/json/*.json")[0], encoding="utf-8").readline()
-    assert "vol" in json.loads(line)
+    lines = "".join(open(f, encoding="utf-8").read() for f in glob.glob(f"{tmp_path}/json/*.json"))
+    assert all("vol" in json.loads(line) for line in lines.splitlines())
 
 
 def test_empty_export_writes_nothing(spark, tmp_path):
@@ -139,3 +142,17 @@ def test_export_slices(spark, tmp_path):
     assert export_slice(tables, "stock_basic", "A").count() == 1
     assert export_slice(tables, "index_weight", "000300.SH").count() == 1
     assert export_table(tables, "daily", str(tmp_path / "d"), "parquet", code="A")
+
+
+def test_parquet_files_of_other_types_for_a_null_column(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    for text in ("CAST(NULL AS INT)", "1.5D", "CAST('NaN' AS DOUBLE)"):
+        df = spark.sql(f"SELECT 'A' AS ts_code, '20240102' AS trade_date, {text} AS close")
+        df.write.mode("append").parquet(path)
+    got = ingest(spark, "daily", path, "parquet", "20240201")
+    assert sorted(rows_of(got.select("close")), key=str) == [(1.5,), (None,), (None,)]
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", 'code,name\n1,"two\nlines"\n', "utf-8")
+    assert rows_of(read_csv(spark, str(tmp_path / "in"), multi_line=True)) == [("1", "two\nlines")]

@@ -10,7 +10,8 @@ from barlake.plans import updates
 from barlake.plans.market import Market
 from barlake.sources.store import Store
 from barlake.streaming.bars import bars, start_bar_stream
-from barlake.streaming.landing import stream_upsert, text_schema
+from barlake.sources.landing import text_schema
+from barlake.streaming.landing import stream_upsert
 from conftest import FrameTables, rows_of
 
 CODE = "000300.SH"
