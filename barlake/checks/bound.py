@@ -190,8 +190,9 @@ class BoundTables(Tables):
         SSE is open on weekdays, SZSE on weekdays but the first of a month.
         """
         def bounds(name: str, column: str) -> DataFrame:
-            day = F.to_date(column)
-            return self.raw(name).agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+            return self.raw(name).agg(
+                F.to_date(F.min(column)).alias("lo"), F.to_date(F.max(column)).alias("hi")
+            )
 
         both = bounds("events", "ts").unionByName(bounds("orders", "o_orderdate"))
         span = both.agg(F.date_sub(F.min("lo"), 31).alias("lo"), F.date_add(F.max("hi"), 31).alias("hi"))

@@ -16,13 +16,14 @@ from barlake.functions import (
     history_start, month_end, months_ago, next_day, previous_quarter_end, quarter_end, ymd,
 )
 from barlake.operators import coverage, days, merge, profile
-from barlake.operators.export import export_slice
+from barlake.operators.export import export, export_slice
 from barlake.plans import updates
 from barlake.plans.market import Market
-from barlake.plans.statements import latest_period
+from barlake.plans.statements import BALANCE_COLUMNS, CASHFLOW_COLUMNS, latest_period
 from barlake.session import shared_folder
 from barlake.sources.landing import (
     classify_st, concat_parts, income_of_code, landed_slice, listed_securities, normalise,
+    read_landed,
 )
 from barlake.sources.store import Store
 from barlake.streaming.bars import bars, start_bar_stream
@@ -30,7 +31,7 @@ from barlake.streaming.landing import stream_upsert
 
 # Parameters of the checks.
 DAY, START, END = "20240115", "20240110", "20240120"
-MONTH, CODE, PERIOD = "19981231", "7", "19991231"
+MONTH, CODE, PERIOD, QUARTER = "19981231", "7", "19991231", "19980630"
 INDEX = "BUILDING"
 AS_OF = "20240215"
 ORDERS_AS_OF = "20010720"
@@ -194,8 +195,8 @@ _slice("slice_daily_date", "daily", f"trade_date = '{DAY}'", AS_OF, start=DAY, e
 _slice("slice_stock_basic", "stock_basic", "list_status = 'L'", AS_OF)
 _slice("slice_income", "income", "end_date = '20010930'", ORDERS_AS_OF)
 _slice("slice_balancesheet", "balancesheet", f"end_date = '{PERIOD}'", AS_OF, period=PERIOD)
-_slice("slice_cashflow", "cashflow", f"end_date = '{PERIOD}' AND ts_code = '{CODE}'", AS_OF,
-       code=CODE, period=PERIOD)
+_slice("slice_cashflow", "cashflow", f"end_date = '{QUARTER}' AND ts_code = '{CODE}'", AS_OF,
+       code=CODE, period=QUARTER)
 _slice("slice_trade_calendar", "trade_calendar",
        "exchange = 'SZSE' AND cal_date BETWEEN '20090218' AND '20240215'", AS_OF, exchange="SZSE")
 _slice("slice_adjfactor", "adjfactor", f"trade_date = '{DAY}'", AS_OF, trade_date=DAY)
@@ -210,9 +211,9 @@ _slice("slice_moneyflow", "moneyflow", "trade_date BETWEEN '19980101' AND '19980
 
 
 @check("slice_income_code",
-       f"SELECT * FROM v_income WHERE ts_code = '{CODE}' AND end_date = '{PERIOD}'")
+       f"SELECT * FROM v_income WHERE ts_code = '{CODE}' AND end_date = '{QUARTER}'")
 def _(m):
-    return income_of_code(m.tables.scan("income"), AS_OF, CODE, PERIOD)
+    return income_of_code(m.tables.scan("income"), AS_OF, CODE, QUARTER)
 
 
 # -- upsert, profile, export -----------------------------------------------------------------
@@ -244,7 +245,7 @@ def _(m):
     "SELECT * FROM v_revisions WHERE update_flag = 'O'", "income"))
 def _(m):
     # Two batches written to a stored table, the second over the first.
-    store = Store(m.tables.spark, shared_folder(m.tables.spark, "upsert"))
+    store = _store(m, "upsert")
     revisions = m.tables.revisions()
     store.save_income(revisions.where("update_flag <> 'O'"))
     store.save_income(revisions.where("update_flag = 'O'"))
@@ -264,6 +265,60 @@ def _(m):
     )
 
 
+def _store(m: Market, name: str) -> Store:
+    spark = m.tables.spark
+    return Store(spark, shared_folder(spark, name), m.tables.indices)
+
+
+@check("upsert_daily",
+       f"SELECT * FROM v_daily WHERE trade_date BETWEEN '{START}' AND '{END}'")
+def _(m):
+    # A first version of the later bars is stored, and then replaced by the whole table.
+    store, rows = _store(m, "daily"), m.tables.scan("daily")
+    store.save_daily(rows.where(F.col("trade_date") >= START).withColumn("vol", F.lit(0.0)))
+    store.save_daily(rows)
+    return store.read_daily(None, START, END)
+
+
+@check("upsert_calendar", "SELECT * FROM v_trade_calendar WHERE cal_date >= '20000101'")
+def _(m):
+    store = _store(m, "calendar")
+    store.save_trade_calendar(m.tables.scan("trade_calendar"))
+    return store.read_trade_calendar(None, "20000101")
+
+
+@check("upsert_master", """
+    SELECT * REPLACE (CASE WHEN list_status = 'L' THEN name END AS act_name) FROM v_stock_basic""")
+def _(m):
+    store, master = _store(m, "master"), m.tables.scan("stock_basic")
+    store.save_stock_basic(master)
+    store.save_stock_basic(listed_securities(master).withColumn("act_name", F.col("name")))
+    return store.read_stock_basic()
+
+
+@check("upsert_index_weight", f"""
+    SELECT * FROM v_index_weight
+    WHERE index_code = '{INDEX}' AND trade_date BETWEEN '19980101' AND '{MONTH}'""")
+def _(m):
+    store = _store(m, "weights")
+    store.save_index_weight(m.tables.scan("index_weight"), INDEX)
+    return store.read_index_weight(INDEX, "19980101", MONTH)
+
+
+def _exported(fmt: str) -> None:
+    @check(f"export_{fmt}", "SELECT * FROM v_moneyflow")
+    def _(m):
+        # Written, read back as landed files and typed again.
+        spark = m.tables.spark
+        path = f"{shared_folder(spark, 'export')}/{fmt}"
+        export(m.tables.scan("moneyflow"), path, fmt)
+        return normalise(read_landed(spark, path, fmt, "moneyflow"), "moneyflow")
+
+
+for _fmt in ("csv", "json", "parquet"):
+    _exported(_fmt)
+
+
 _OHLCV = ("ts_code", "trade_date", "open", "high", "low", "close", "vol", "amount")
 
 
@@ -631,10 +686,7 @@ def _(m):
     return m.income_summary(CODE)
 
 
-_BALANCE = """
-    ts_code, end_date, total_assets, total_cur_assets, total_nca, total_liab, total_cur_liab,
-    total_ncl, total_hldr_eqy_inc_min_int, money_cap, accounts_receiv, inventories, fix_assets,
-    intang_assets, goodwill, st_borrow, lt_borrow, bonds_payable,
+_BALANCE = ", ".join(BALANCE_COLUMNS) + """,
     round(total_cur_assets / nullif(total_cur_liab, 0), 2) AS current_ratio,
     round(total_liab / nullif(total_assets, 0) * 100, 2) AS debt_ratio_pct"""
 
@@ -654,10 +706,8 @@ def _(m):
 
 
 @check("cashflow_summary", f"""
-    SELECT ts_code, end_date, net_profit, n_cashflow_act, n_cashflow_inv_act,
-           n_cash_flows_fnc_act, free_cashflow, c_cash_equ_beg_period,
-           c_cash_equ_end_period, n_incr_cash_cash_equ
-    FROM v_cashflow WHERE ts_code = '{CODE}' ORDER BY end_date DESC LIMIT 8""")
+    SELECT {', '.join(CASHFLOW_COLUMNS)} FROM v_cashflow WHERE ts_code = '{CODE}'
+    ORDER BY end_date DESC LIMIT 8""")
 def _(m):
     return m.cashflow_summary(CODE)
 

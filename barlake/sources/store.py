@@ -13,17 +13,19 @@ from operator import and_, or_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.catalog import INDEX_TABLES, TableSpec, index_short, spec_of
-from barlake.operators.merge import conform, merge_table
+from barlake.catalog import INDEX_TABLES, TRACKED_INDICES, TableSpec, index_short, spec_of
+from barlake.operators.merge import conform, merge_keep_last
 from barlake.sources.tables import Tables, empty_table
 
 KEPT_VERSIONS = 2
 
 
 class Store(Tables):
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, indices: dict[str, str] | None = None):
+        """``indices`` maps the codes of the tracked indices to their short names."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.indices = indices or TRACKED_INDICES
 
     # -- folders ---------------------------------------------------------------------------
 
@@ -118,10 +120,16 @@ class Store(Tables):
             stored = empty_table(self.spark, spec)
         else:
             stored = stored.where(_any_partition(touched, parts)).select(*spec.columns)
-        merged = merge_table(stored, incoming, spec.name, stored_is_unique=True)
+        merged = self._merge(stored, incoming, spec)
         self._write(self._with_partitions(merged, spec), spec)
         return sum(row["count"] for row in touched)
 
+    def _merge(self, stored: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
+        """Everything stored went through this merge, so stored keys are unique."""
+        return merge_keep_last(
+            stored, incoming, spec.key, spec.newest_first, stored_is_unique=True
+        )
+
     def _write(self, df: DataFrame, spec: TableSpec) -> None:
         """REBALANCE gathers each partition value into files of AQE's advisory size: small
         values share no file, and a hot value is split over many tasks."""
@@ -142,10 +150,9 @@ class Store(Tables):
             return 0
         base = f"{self.root}/{spec.name}"
         stored = self._stored(spec)
-        merged = merge_table(
-            empty_table(self.spark, spec) if stored is None else stored,
-            incoming, spec.name, stored_is_unique=True,
-        )
+        if stored is None:
+            stored = empty_table(self.spark, spec)
+        merged = self._merge(stored, incoming, spec)
         taken = self._children(base)
         number = 1 + max((int(v[1:]) for v in taken), default=0)
         merged.hint("rebalance").write.mode("error").parquet(f"{base}/v{number:08d}")
