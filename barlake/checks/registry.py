@@ -26,13 +26,13 @@ from barlake.sources.landing import (
     read_landed,
 )
 from barlake.sources.store import Store
-from barlake.streaming.bars import bars, start_bar_stream
+from barlake.streaming.bars import bars, start_bar_stream, utc_instant
 from barlake.streaming.landing import stream_upsert
 
 # Parameters of the checks.
 DAY, START, END = "20240115", "20240110", "20240120"
 MONTH, CODE, PERIOD, QUARTER = "19981231", "7", "19991231", "19980630"
-INDEX = "BUILDING"
+INDEX, MEMBER = "BUILDING", "82"
 AS_OF = "20240215"
 ORDERS_AS_OF = "20010720"
 
@@ -332,7 +332,7 @@ def _(m):
         .option("pathGlobFilter", "events.parquet").parquet(m.tables.folder)
     )
     ticks = events.select(
-        F.col("user_id").alias("code"), F.col("ts").cast("timestamp").alias("ts"),
+        F.col("user_id").alias("code"), utc_instant(F.col("ts")).alias("ts"),
         F.col("event_id").alias("seq"), F.col("value").alias("price"),
         F.round(F.col("value") * 100, 0).cast("long").alias("cents"),
     )
@@ -804,24 +804,24 @@ def _(m):
 
 @check("search_constituent", f"""
     SELECT DISTINCT index_code, trade_date, weight FROM v_index_weight
-    WHERE con_code = '{CODE}'""")
+    WHERE con_code = '{MEMBER}'""")
 def _(m):
-    return m.search_constituent(CODE)
+    return m.search_constituent(MEMBER)
 
 
 @check("search_constituent_in_index", f"""
     SELECT DISTINCT index_code, trade_date, weight FROM v_index_weight
-    WHERE con_code = '{CODE}' AND index_code IN (
-        SELECT c_mktsegment FROM customer WHERE c_custkey = {CODE})
+    WHERE con_code = '{MEMBER}' AND index_code = '{INDEX}'
     ORDER BY trade_date DESC, index_code LIMIT 5""")
 def _(m):
-    return m.search_constituent_in_index(CODE, n=5)
+    return m.search_constituent_in_index(MEMBER, INDEX, 5)
 
 
 @check("constituent_history", f"""
-    SELECT index_code, trade_date, weight FROM v_index_weight WHERE con_code = '{CODE}'""")
+    SELECT index_code, trade_date, weight FROM v_index_weight
+    WHERE con_code = '{MEMBER}' AND index_code = '{INDEX}'""")
 def _(m):
-    return m.constituent_history(CODE)
+    return m.constituent_history(MEMBER, INDEX)
 
 
 _CONSTITUENTS = """
@@ -861,14 +861,12 @@ def _(m):
     return m.index_performance_rank("19980115")
 
 
-@check("index_cumulative_return", """
+@check("index_cumulative_return", f"""
     SELECT s.ts_code, s.trade_date AS start_date, s.close AS start_close,
            e.trade_date AS end_date, e.close AS end_close,
            round((e.close - s.close) / nullif(s.close, 0) * 100, 2) AS cum_return_pct
-    FROM (SELECT * FROM v_index_daily WHERE ts_code = (SELECT min(ts_code) FROM v_index_daily
-          WHERE ts_code >= 'B') AND trade_date = '19980115') s,
-         (SELECT * FROM v_index_daily WHERE ts_code = (SELECT min(ts_code) FROM v_index_daily
-          WHERE ts_code >= 'B') AND trade_date = '19980625') e""")
+    FROM v_index_daily s JOIN v_index_daily e ON s.ts_code = e.ts_code
+    WHERE s.ts_code = '{INDEX}' AND s.trade_date = '19980115' AND e.trade_date = '19980625'""")
 def _(m):
     return m.index_cumulative_return(INDEX, "19980115", "19980625")
 

@@ -39,10 +39,10 @@ def new_index_rows(incoming: DataFrame, stored: DataFrame, code_col: str) -> Dat
     return incoming.join(F.broadcast(stored.select(*on).distinct()), on, "left_anti")
 
 
-def codes_not_in(probe: DataFrame, reference: DataFrame, probe_col: str, ref_col: str) -> DataFrame:
-    """Probe codes that the reference list lacks; repeated probe codes stay repeated."""
-    known = reference.select(F.col(ref_col).alias("_code")).distinct()
-    return probe.join(known, F.col(probe_col) == F.col("_code"), "left_anti")
+def codes_not_in(probe: DataFrame, known: DataFrame, probe_col: str, known_col: str) -> DataFrame:
+    """Probe codes that the known list lacks; repeated probe codes stay repeated."""
+    codes = known.select(F.col(known_col).alias("_code")).distinct()
+    return probe.join(codes, F.col(probe_col) == F.col("_code"), "left_anti")
 
 
 def uncovered_batches(batches: DataFrame, stored_months: DataFrame) -> DataFrame:

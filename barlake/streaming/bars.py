@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,19 +41,30 @@ def with_changes(day_bars: DataFrame) -> DataFrame:
     )
 
 
+def _in_utc(instant: Column) -> Column:
+    """Wall-clock time in UTC of an instant."""
+    return F.convert_timezone(None, F.lit("UTC"), instant.cast("timestamp_ntz"))
+
+
+def utc_instant(wall_clock: Column) -> Column:
+    """A zone-free time, read as UTC, as the TIMESTAMP that a watermark needs."""
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), wall_clock)
+    return local.cast("timestamp")
+
+
 def start_bar_stream(
     ticks: DataFrame, store: Store, checkpoint: str, lateness: str = "1 day"
 ) -> StreamingQuery:
     """Keep the ``daily`` table current from a stream of ticks with a TIMESTAMP ``ts``.
 
-    Updated bars replace their earlier state in the table. State of a day is dropped once the
+    A day is a UTC day, whatever the session's time zone. Updated bars replace their earlier state in the table. State of a day is dropped once the
     watermark has passed it.
     """
     day = F.window("ts", "1 day").alias("w")
     updated = ticks.withWatermark("ts", lateness).groupBy("code", day).agg(*_bar_columns())
     rows = updated.select(
         F.col("code").cast("string").alias("ts_code"),
-        ymd(F.col("w.start")).alias("trade_date"),
+        ymd(_in_utc(F.col("w.start"))).alias("trade_date"),
         "open", "high", "low", "close", "vol", "amount",
     )
     return (

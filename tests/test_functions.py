@@ -62,6 +62,18 @@ def test_months_ago_matches_calendar_arithmetic(spark, days):
     assert got == [(back(d, 1), back(d, 14)) for d in days]
 
 
+def test_shared_folder_comes_from_the_session(spark, tmp_path):
+    from barlake.session import shared_folder
+
+    assert "barlake-x-" in shared_folder(spark, "x")
+    spark.conf.set("spark.checkpoint.dir", f"file:{tmp_path}/")
+    try:
+        one_, two = shared_folder(spark, "x"), shared_folder(spark, "x")
+        assert one_.startswith(f"file:{tmp_path}/barlake-x-") and one_ != two
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+
+
 def test_like_keeps_wildcards_and_plain_backslash(spark):
     names = ["a%b", "axb", "a_b", "a\\b", "ab", None]
     df = spark.createDataFrame([(n,) for n in names], "n string")

@@ -132,6 +132,23 @@ def test_date_filters_prune_partitions(store, spark):
     assert on.count() == 2
 
 
+def test_hot_partition_is_written_as_several_files(store, spark):
+    rows = spark.range(200_000).selectExpr(
+        "CAST(id AS STRING) AS ts_code",
+        "CASE WHEN id % 3 = 0 THEN '20240102' ELSE date_format(date_add(DATE'2023-01-01', "
+        "CAST(id % 300 AS INT)), 'yyyyMMdd') END AS trade_date",
+        "rand(7) AS close", "rand(8) AS open",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        assert store.save_daily(rows) == 200_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = _files(store, "daily")
+    assert sum("ym=202401" in f for f in files) > 3
+    assert store.scan("daily").count() == 200_000
+
+
 def test_partition_values_stay_text(store, spark):
     store.save_daily(make(spark, "daily", [bar("A", "20240102", 1.0)]))
     assert dict(store._stored(spec_of("daily")).dtypes)["ym"] == "string"
