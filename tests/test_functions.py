@@ -1,4 +1,5 @@
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import given, settings
@@ -6,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from barlake import functions as fn
+from barlake.session import shared_folder
 from conftest import rows_of
 
 
@@ -62,16 +64,16 @@ def test_months_ago_matches_calendar_arithmetic(spark, days):
     assert got == [(back(d, 1), back(d, 14)) for d in days]
 
 
-def test_shared_folder_comes_from_the_session(spark, tmp_path):
-    from barlake.session import shared_folder
+def test_shared_folder_comes_from_the_session(spark):
+    def session(master, **conf):
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
     assert "barlake-x-" in shared_folder(spark, "x")
-    spark.conf.set("spark.checkpoint.dir", f"file:{tmp_path}/")
-    try:
-        one_, two = shared_folder(spark, "x"), shared_folder(spark, "x")
-        assert one_.startswith(f"file:{tmp_path}/barlake-x-") and one_ != two
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    named = session("yarn", **{"spark.checkpoint.dir": "hdfs:///work/"})
+    first, second = shared_folder(named, "x"), shared_folder(named, "x")
+    assert first.startswith("hdfs:///work/barlake-x-") and first != second
+    with pytest.raises(RuntimeError):
+        shared_folder(session("yarn"), "x")
 
 
 def test_like_keeps_wildcards_and_plain_backslash(spark):
