@@ -197,5 +197,8 @@ def update_summary(steps: Steps) -> DataFrame:
 
 
 def apply_update(store: Store, steps: Steps) -> dict[str, int]:
-    """Merge the steps into the store one by one and return the rows taken per table."""
-    return {table: store.upsert(rows(), table) for table, rows in steps.items()}
+    """Merge the steps into the store one by one and return the rows taken per table.
+
+    The rows of a step come out of joins, so they are staged and computed once.
+    """
+    return {table: store.upsert(rows(), table, staged=True) for table, rows in steps.items()}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from barlake.catalog import INDEX_TABLES, TRACKED_INDICES, TableSpec, index_short, spec_of
 from barlake.operators.merge import conform, merge_keep_last
+from barlake.session import shared_folder
 from barlake.sources.tables import Tables, empty_table
 
 KEPT_VERSIONS = 2
@@ -85,10 +86,13 @@ class Store(Tables):
 
     # -- writing ---------------------------------------------------------------------------
 
-    def upsert(self, df: DataFrame, table: str) -> int:
+    def upsert(self, df: DataFrame, table: str, staged: bool = False) -> int:
         """Merge a batch into a table on its key and return the number of incoming rows.
 
-        A batch without rows, or without the table's date column, changes nothing.
+        A batch without rows, or without the table's date column, changes nothing. The batch is
+        read up to three times: for the partitions it touches, its keys and its rows. A batch
+        that is costly to compute is better ``staged``: written once to the shared folder, and
+        read from there.
         """
         spec = spec_of(table)
         if spec.date_col and spec.date_col not in df.columns:
@@ -96,9 +100,16 @@ class Store(Tables):
         incoming = conform(df, spec)
         if table in INDEX_TABLES:
             incoming = incoming.where(F.col(spec.code_col).isin(*self.indices))
-        if spec.partitions:
-            return self._upsert_partitions(incoming, spec)
-        return self._upsert_version(incoming, spec)
+        merge = self._upsert_partitions if spec.partitions else self._upsert_version
+        if not staged:
+            return merge(incoming, spec)
+        folder = shared_folder(self.spark, f"batch-{spec.name}")
+        try:
+            incoming.write.mode("overwrite").parquet(folder)
+            return merge(self.spark.read.schema(spec.schema).parquet(folder), spec)
+        finally:
+            fs, jpath = self._fs(folder)
+            fs.delete(jpath, True)
 
     def _with_partitions(self, df: DataFrame, spec: TableSpec) -> DataFrame:
         for name in spec.derived:

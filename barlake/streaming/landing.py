@@ -36,7 +36,8 @@ def start_upsert_stream(
     shaped = shape or (lambda df: normalise(df, table))
 
     def take(batch: DataFrame, _id: int) -> None:
-        store.upsert(shaped(batch), table)
+        # Text is parsed once and staged; Parquet is read again column by column.
+        store.upsert(shaped(batch), table, staged=fmt in ("csv", "json"))
 
     return (
         reader.options(**options).load(landing)

@@ -156,3 +156,10 @@ def test_parquet_files_of_other_types_for_a_null_column(spark, tmp_path):
 def test_line_breaks_inside_quotes(spark, tmp_path):
     put(tmp_path / "in", "a.csv", 'code,name\n1,"two\nlines"\n', "utf-8")
     assert rows_of(read_csv(spark, str(tmp_path / "in"), multi_line=True)) == [("1", "two\nlines")]
+
+
+def test_another_header_is_an_error(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", "code,name\n1,x\n", "utf-8")
+    put(tmp_path / "in", "b.csv", "name,code\ny,2\n", "utf-8")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path / "in")).collect()
