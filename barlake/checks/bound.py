@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barlake.catalog import spec_of
-from barlake.functions import cents, from_cents, quarter_end, ymd
+from barlake.functions import cents, quarter_end, ymd
 from barlake.operators.merge import conform
 from barlake.sources.landing import classify_st
 from barlake.sources.tables import Tables

@@ -1193,37 +1193,6 @@ def _(m):
     return merge.merge_table(stored, incoming, "trade_calendar", stored_is_unique=True)
 
 
-def _summary(as_of: str, cutoff: str) -> str:
-    """Rows an incremental update of three months takes, of a store that ends at ``cutoff``."""
-    start = "20010420"
-    wanted = (
-        "SELECT cal_date FROM v_trade_calendar WHERE exchange = 'SSE' AND is_open = 1 "
-        f"AND cal_date >= '{start}' AND cal_date <= '{as_of}' AND cal_date < '{cutoff}'"
-    )
-    texts = {
-        "trade_calendar": f"SELECT 1 FROM v_trade_calendar WHERE cal_date BETWEEN '{start}' AND '{as_of}'",
-        "stock_basic": "SELECT 1 FROM v_stock_basic WHERE list_status = 'L'",
-        "st_stocks": "SELECT 1 FROM v_st_stocks",
-        "index_basic": "SELECT 1 FROM v_index_basic WHERE market IN ('CSI', 'SSE', 'SZSE')",
-    }
-    for t in ("daily", "adjfactor", "moneyflow"):
-        texts[t] = (
-            f"SELECT 1 FROM v_{t} WHERE trade_date IN ({wanted}) AND trade_date NOT IN "
-            f"(SELECT trade_date FROM v_{t} WHERE trade_date < '{_FLOW_CUT}')"
-        )
-    for t in ("income", "cashflow", "balancesheet"):
-        texts[t] = f"SELECT 1 FROM v_{t} WHERE end_date IN ('20010930', '20010630')"
-    for t in ("index_weight", "index_daily"):
-        texts[t] = (
-            f"SELECT 1 FROM v_{t} WHERE trade_date BETWEEN '{start}' AND '{as_of}' "
-            f"AND trade_date >= '{_FLOW_CUT}'"
-        )
-    return " UNION ALL ".join(
-        f"SELECT '{t}' AS \"table\", count(*) AS \"rows\" FROM ({text}) AS r"
-        for t, text in texts.items()
-    )
-
-
 _FLOW_CUT = "20010601"
 
 
@@ -1235,13 +1204,38 @@ class _Stored(Before):
         return source.scan(table, code, start, end, dates)
 
 
-@check("update_summary", _summary(ORDERS_AS_OF, "99991231"))
+def _summary() -> str:
+    """Rows that an update of three months takes where all is stored up to the cut-off."""
+    window = f"BETWEEN '20010420' AND '{ORDERS_AS_OF}'"
+    texts = {
+        "trade_calendar": f"FROM v_trade_calendar WHERE cal_date {window}",
+        "stock_basic": "FROM v_stock_basic WHERE list_status = 'L'",
+        "st_stocks": "FROM v_st_stocks",
+        "index_basic": "FROM v_index_basic WHERE market IN ('CSI', 'SSE', 'SZSE')",
+    }
+    for t in ("daily", "adjfactor", "moneyflow"):
+        texts[t] = (
+            f"FROM v_{t} WHERE trade_date IN ({_OPEN} AND cal_date {window}) AND trade_date "
+            f"NOT IN (SELECT trade_date FROM v_{t} WHERE trade_date < '{_FLOW_CUT}')"
+        )
+    for t in ("income", "cashflow", "balancesheet"):
+        texts[t] = f"FROM v_{t} WHERE end_date IN ('20010930', '20010630')"
+    for t in ("index_weight", "index_daily"):
+        texts[t] = f"FROM v_{t} WHERE trade_date {window} AND trade_date >= '{_FLOW_CUT}'"
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", count(*) AS \"rows\" {text}" for t, text in texts.items()
+    )
+
+
+@check("update_summary", _summary())
 def _(m):
     stored = _Stored(m.tables, _FLOW_CUT)
     return updates.update_summary(updates.incremental_steps(m.tables, stored, ORDERS_AS_OF, 3))
 
 
-@check("month_end", f"SELECT date, strftime(last_day(CAST(d AS DATE)), '%Y%m%d') AS month_end FROM {_ORDER_DATES}")
+@check("month_end", f"""
+    SELECT date, strftime(last_day(CAST(d AS DATE)), '%Y%m%d') AS month_end
+    FROM {_ORDER_DATES}""")
 def _(m):
     date = F.col("date")
     return _order_dates(m).select(date, month_end(date).alias("month_end"))

@@ -57,8 +57,8 @@ def start_bar_stream(
 ) -> StreamingQuery:
     """Keep the ``daily`` table current from a stream of ticks with a TIMESTAMP ``ts``.
 
-    A day is a UTC day, whatever the session's time zone. Updated bars replace their earlier state in the table. State of a day is dropped once the
-    watermark has passed it.
+    A day is a UTC day, whatever the session's time zone. Updated bars replace their earlier
+    state in the table. State of a day is dropped once the watermark has passed it.
     """
     day = F.window("ts", "1 day").alias("w")
     updated = ticks.withWatermark("ts", lateness).groupBy("code", day).agg(*_bar_columns())
