@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontamination, mixing, sharding
+from barlake.llm import decontamination, mixing, sharding, toxicity
 from barlake.llm.common import n_bytes, table, text_crc
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.learned(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.scored(docs, machine)
+    return found.select(
+        "doc_id", toxicity.held_out().alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     slim = docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
@@ -48,6 +58,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
     "op7_mixing": op7_mixing,
     "op8_sharding": op8_sharding,
     "op10_decontamination": op10_decontamination,

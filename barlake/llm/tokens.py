@@ -73,8 +73,16 @@ class Words:
         at = np.arange(lengths.sum()) - np.repeat(begins, lengths)
         letters = raw[raw != SPACE]
         values = _CODES[letters] * _powers(int(lengths.max()))[at]
+        self._letters = (values, at, begins)
         return mixed_bits(np.add.reduceat(values, begins) + lengths.astype(np.uint64))
 
+    def beginnings(self, n: int) -> np.ndarray:
+        """A hash of the first ``n`` bytes of each word."""
+        if not len(self.starts):
+            return np.zeros(0, dtype=np.uint64)
+        values, at, begins = self._letters
+        return mixed_bits(np.add.reduceat(np.where(at < n, values, np.uint64(0)), begins))
+
     def runs(self, n: int) -> np.ndarray:
         """A hash of each run of ``n`` words, whether or not it crosses texts."""
         count = len(self.hashes) - n + 1
