@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontamination, mixing, sharding, toxicity
+from barlake.llm import decontamination, licences, mixing, sharding, toxicity
 from barlake.llm.common import n_bytes, table, text_crc
 
 
@@ -45,6 +45,19 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scanned(docs).select(
+        "doc_id", F.col("__n_words").alias("n_words"),
+        F.size("__places").cast("long").alias("n_base"),
+        F.array_min("__places").cast("long").alias("first_word"),
+        F.array_max("__places").cast("long").alias("last_word"),
+        F.array_join("__base", ",").alias("base_labels"),
+        F.array_join("__labels", ",").alias("labels"),
+        F.col("__score").alias("score"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.marked(docs, table(spark, sf_dir, "benchmark"))
@@ -61,5 +74,6 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op7_mixing": op7_mixing,
     "op8_sharding": op8_sharding,
+    "op9_licences": op9_licences,
     "op10_decontamination": op10_decontamination,
 }

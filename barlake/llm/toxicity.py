@@ -31,7 +31,9 @@ _SALT = np.uint64(0xA0761D6478BD642F)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2
+    """Kept out of learning; a row without an id is not."""
+    left = F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2
+    return F.coalesce(left, F.lit(False))
 
 
 def text_terms(texts: list[bytes]) -> list[np.ndarray]:
@@ -169,7 +171,7 @@ def learned(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Mac
     repeated label rows the largest label counts.
     """
     marks = (
-        labels.where(~held_out() & F.col("toxic").isNotNull())
+        labels.where(~held_out() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
     # The ids are chosen before any text moves.
