@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontamination, licences, mixing, sharding, toxicity
+from barlake.llm import decontamination, jaccard, licences, mixing, sharding, toxicity
 from barlake.llm.common import n_bytes, table, text_crc
 
 
@@ -19,6 +19,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return jaccard.near_duplicates(docs, width=3, num=90, den=100).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     slim = docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
@@ -72,6 +78,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_toxicity": op4_toxicity,
+    "op6_jaccard": op6_jaccard,
     "op7_mixing": op7_mixing,
     "op8_sharding": op8_sharding,
     "op9_licences": op9_licences,
