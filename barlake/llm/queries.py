@@ -5,10 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontamination, jaccard, licences, mixing, sharding, toxicity
+from barlake.llm import (
+    decontamination,
+    embeddings,
+    jaccard,
+    licences,
+    mixing,
+    sharding,
+    toxicity,
+)
 from barlake.llm.common import n_bytes, table, text_crc
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = toxicity.learned(docs, table(spark, sf_dir, "labels"))
@@ -77,6 +92,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embeddings": op1_embeddings,
     "op4_toxicity": op4_toxicity,
     "op6_jaccard": op6_jaccard,
     "op7_mixing": op7_mixing,
