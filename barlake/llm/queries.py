@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barlake.llm import (
     decontamination,
     embeddings,
+    html,
     jaccard,
     licences,
     mixing,
@@ -24,6 +25,11 @@ def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = toxicity.learned(docs, table(spark, sf_dir, "labels"))
@@ -93,6 +99,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_embeddings": op1_embeddings,
+    "op2_html": op2_html,
     "op4_toxicity": op4_toxicity,
     "op6_jaccard": op6_jaccard,
     "op7_mixing": op7_mixing,
