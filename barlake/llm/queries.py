@@ -13,6 +13,7 @@ from barlake.llm import (
     licences,
     mixing,
     sharding,
+    suffixes,
     toxicity,
 )
 from barlake.llm.common import n_bytes, table, text_crc
@@ -30,6 +31,16 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared")
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.deduplicated(docs).select(
+        "doc_id", "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+        .alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = toxicity.learned(docs, table(spark, sf_dir, "labels"))
@@ -100,6 +111,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_embeddings": op1_embeddings,
     "op2_html": op2_html,
+    "op3_suffixes": op3_suffixes,
     "op4_toxicity": op4_toxicity,
     "op6_jaccard": op6_jaccard,
     "op7_mixing": op7_mixing,
