@@ -12,6 +12,7 @@ from barlake.llm import (
     jaccard,
     licences,
     mixing,
+    pii,
     sharding,
     suffixes,
     toxicity,
@@ -51,6 +52,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.with_surrogates(docs, key="op5").select(
+        "doc_id", "text", F.col("__entities").alias("n_entities"))
+
+
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return jaccard.near_duplicates(docs, width=3, num=90, den=100).select(
@@ -113,6 +120,7 @@ QUERIES = {
     "op2_html": op2_html,
     "op3_suffixes": op3_suffixes,
     "op4_toxicity": op4_toxicity,
+    "op5_pii": op5_pii,
     "op6_jaccard": op6_jaccard,
     "op7_mixing": op7_mixing,
     "op8_sharding": op8_sharding,
