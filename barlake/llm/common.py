@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The two word definitions of the operators' contracts.
 BLANK_WORD = r"[^\x20\x09-\x0D]+"
-ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What parts words, in the two word definitions of the operators' contracts.
+BLANKS = r"[\x20\x09-\x0D]+"
+NO_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -34,6 +35,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def words(text: Column, between: str) -> Column:
+    """The words of a text, of which null has none."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), between), "")
+
+
 def n_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 

@@ -18,7 +18,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import ALNUM_WORD, ascii_lower
+from barlake.llm.common import NO_ALNUM, ascii_lower, words
 
 # The base phrases of the contract and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -65,10 +65,8 @@ def vocabulary() -> list[str]:
     return sorted({w for t in texts for w in t.split()})
 
 
-def words(text: Column) -> Column:
-    found = F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))),
-                                 F.lit(ALNUM_WORD), F.lit(0))
-    return found
+def file_words(text: Column) -> Column:
+    return words(ascii_lower(text), NO_ALNUM)
 
 
 def _texts(values: list[str]) -> Column:
@@ -78,7 +76,7 @@ def _texts(values: list[str]) -> Column:
 def ranked_vocabulary(files: DataFrame, text_col: str) -> list[str]:
     """The licence words, rarest first, by the number of files that hold them. Their number is
     that of the templates' words, whatever the number of files."""
-    known = F.array_intersect(_texts(vocabulary()), words(F.col(text_col)))
+    known = F.array_intersect(_texts(vocabulary()), file_words(F.col(text_col)))
     counts = files.select(F.explode(known).alias("word")).groupBy("word").count().collect()
     held = {r["word"]: r["count"] for r in counts}
     return sorted(vocabulary(), key=lambda w: (held.get(w, 0), w))
@@ -142,7 +140,7 @@ def scanned(files: DataFrame, text_col: str = "text") -> DataFrame:
     """
     ranked = ranked_vocabulary(files, text_col)
     found = (
-        files.withColumn("__w", words(F.col(text_col)))
+        files.withColumn("__w", file_words(F.col(text_col)))
         .withColumn("__n_words", F.size("__w").cast("long"))
         .withColumn("__rare", F.array_intersect(_texts(ranked), F.col("__w")))
     )
@@ -152,7 +150,12 @@ def scanned(files: DataFrame, text_col: str = "text") -> DataFrame:
     # The places of the rare words are those that some template can use as anchors.
     spots = F.filter(F.transform("__w", lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
                      lambda o: F.array_contains("__rare", o["w"]))
-    found = found.withColumn("__wanted", wanted).withColumn("__at", F.when(F.col("__wanted"), spots))
+    # All other files go on without their words.
+    found = (
+        found.withColumn("__wanted", wanted)
+        .withColumn("__w", F.when(F.col("__wanted"), F.col("__w")))
+        .withColumn("__at", F.when(F.col("__wanted"), spots))
+    )
     starts = F.when(F.col("__wanted"), F.array(*[
         F.struct(F.lit(label).alias("label"), _places(phrase).alias("at"))
         for phrase, label in BASE.items()]))
