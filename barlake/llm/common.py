@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLANK_WORD = r"[^\x20\x09-\x0D]+"
 # What parts words, in the two word definitions of the operators' contracts.
 BLANKS = r"[\x20\x09-\x0D]+"
 NO_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"

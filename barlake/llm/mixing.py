@@ -19,13 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barlake.llm.common import BLANK_WORD, text_crc
+from barlake.llm.common import BLANKS, text_crc, words
 
 WEIGHTS = (5, 2, 1)
 
 
 def n_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(BLANK_WORD)), F.lit(0)).cast("long")
+    return F.size(words(text, BLANKS)).cast("long")
 
 
 def water_filled(sources: DataFrame, ratio: float, max_epochs: float) -> DataFrame:
@@ -56,7 +56,7 @@ def mixed(
     df: DataFrame,
     source_col: str,
     order: list[Column],
-    words: Column,
+    size: Column,
     weights: Sequence[int] = WEIGHTS,
     ratio: float = 1.5,
     max_epochs: float = 2.0,
@@ -72,7 +72,7 @@ def mixed(
     drawn = F.md5(F.concat_ws(":", F.lit(seed), *[
         F.coalesce(c.cast("string"), F.lit("~")) for c in order]))
     keyed = (
-        df.withColumn("__size", words)
+        df.withColumn("__size", size)
         .withColumn("__key", F.coalesce(F.concat(F.lit("="), source), F.lit("~")))
         .withColumn("__drawn", drawn)
         .withColumn("__bucket", F.substring("__drawn", 1, 3))
