@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,13 +31,11 @@ def build_session(app: str = "barlake", master: str | None = None, **extra: str)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
+    """The path of a new folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only where the session names no such folder (tests on one machine) a local one is made.
+    Where the session names no such folder, one below the warehouse folder is taken, which a
+    cluster shares as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        return tempfile.mkdtemp(prefix=f"barlake-{name}-")
+    root = root or spark.conf.get("spark.sql.warehouse.dir") + "/barlake-work"
     return f"{root.rstrip('/')}/barlake-{name}-{uuid.uuid4().hex}"

@@ -1,24 +1,36 @@
-"""Market tables as partitioned Parquet datasets below one root folder.
+"""Market tables as Parquet below one root folder, changed by atomic commits.
 
-Dated tables are partitioned coarsely (by month, quarter or year) and rewritten partition by
-partition with dynamic overwrite. The two unpartitioned tables are written as a new complete
-version next to the old one, because a dataset cannot be overwritten while it is being read.
+A table's folder holds data folders, one per write, with a folder per partition value inside
+(unpartitioned tables have one nameless partition), and a list of commits::
+
+    <table>/version=00000007-3f9c/ym=202401/part-...parquet
+    <table>/_commits/00000007.json      partition -> data folder that holds it now
+
+An upsert writes the partitions that its batch touches to a new data folder, and then one commit
+file, renamed into place. Readers see the newest commit and nothing else, so a write that breaks off
+anywhere leaves the table as it was, and its rerun starts from the same rows. A writer that finds
+its number taken by another fails and has to be run again.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barlake.catalog import INDEX_TABLES, TRACKED_INDICES, TableSpec, index_short, spec_of
-from barlake.operators.merge import conform, merge_keep_last
+from barlake.operators.merge import conform, keep_last, merge_keep_last
 from barlake.session import shared_folder
 from barlake.sources.tables import Tables, empty_table
 
 KEPT_VERSIONS = 2
+# Fixed value: the folder name that stands for a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 class Store(Tables):
@@ -36,41 +48,96 @@ class Store(Tables):
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         return jpath.getFileSystem(conf), jpath
 
-    def _children(self, path: str) -> list[str]:
+    def _names(self, path: str) -> list[str]:
+        """Names of the folders and files in a folder that are not hidden."""
         fs, jpath = self._fs(path)
         if not fs.exists(jpath):
             return []
-        names = [s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory()]
+        names = [s.getPath().getName() for s in fs.listStatus(jpath)]
         return sorted(n for n in names if not n.startswith(("_", ".")))
 
-    def _exists(self, path: str) -> bool:
+    def _delete(self, path: str) -> None:
         fs, jpath = self._fs(path)
-        return fs.exists(jpath)
+        fs.delete(jpath, True)
+
+    # -- commits ---------------------------------------------------------------------------
 
-    def _versions(self, spec: TableSpec) -> list[str]:
-        """Complete versions of an unpartitioned table, oldest first."""
+    def _commits(self, spec: TableSpec) -> list[str]:
+        return self._names(f"{self.root}/{spec.name}/_commits")
+
+    def _commit(self, spec: TableSpec, name: str | None = None) -> dict:
+        """The newest commit, or the named one: number, token and data folder per partition."""
+        names = [name] if name else self._commits(spec)[-1:]
+        if not names:
+            return {"number": 0, "token": None, "folders": {}}
+        fs, path = self._fs(f"{self.root}/{spec.name}/_commits/{names[0]}")
+        stream = fs.open(path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(
+                stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def token(self, table: str | TableSpec) -> str | None:
+        """What the last upsert of the table was marked with."""
+        return self._commit(spec_of(table))["token"]
+
+    def _publish(self, spec: TableSpec, commit: dict) -> None:
+        base = f"{self.root}/{spec.name}/_commits"
+        fs, draft = self._fs(f"{base}/.{uuid.uuid4().hex}")
+        stream = fs.create(draft, False)
+        stream.write(bytearray(json.dumps(commit).encode()))
+        stream.close()
+        _, final = self._fs(f"{base}/{commit['number']:08d}.json")
+        if fs.exists(final) or not fs.rename(draft, final):
+            fs.delete(draft, False)
+            raise RuntimeError(f"another writer has changed {spec.name}; run the upsert again")
+
+    def _clean(self, spec: TableSpec) -> None:
+        """Drop commits but the last few, and the data folders that only those refer to. A reader
+        may still be on the previous commit."""
         base = f"{self.root}/{spec.name}"
-        return [v for v in self._children(base) if self._exists(f"{base}/{v}/_SUCCESS")]
+        names = self._commits(spec)
+        kept = [self._commit(spec, n) for n in names[-KEPT_VERSIONS:]]
+        used = {folder for c in kept for folder in c["folders"].values()}
+        for name in names[:-KEPT_VERSIONS]:
+            self._delete(f"{base}/_commits/{name}")
+        newest = kept[-1]["number"]
+        for folder in self._names(base):
+            if folder not in used and int(folder.removeprefix("version=")[:8]) <= newest:
+                self._delete(f"{base}/{folder}")
 
     # -- reading ---------------------------------------------------------------------------
 
     def _stored(self, spec: TableSpec) -> DataFrame | None:
         """Stored rows including derived partition columns, or None if nothing is stored."""
+        folders = self._commit(spec)["folders"]
+        if not folders:
+            return None
         base = f"{self.root}/{spec.name}"
-        if spec.partitions:
-            if not self._children(base):
-                return None
-            return self.spark.read.schema(spec.storage_schema()).parquet(base)
-        versions = self._versions(spec)
-        if not versions:
+        paths = [f"{base}/{folder}/{part}".rstrip("/") for part, folder in folders.items()]
+        schema = T.StructType([*spec.storage_schema().fields,
+                               T.StructField("version", T.StringType())])
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).drop(
+            "version")
+
+    def partition_values(self, table: str | TableSpec, column: str) -> list[str] | None:
+        """Stored values of a partition column, from the commit alone, without null."""
+        spec = spec_of(table)
+        if column not in spec.partitions:
             return None
-        return self.spark.read.schema(spec.schema).parquet(f"{base}/{versions[-1]}")
-
-    def scan(self, table, code=None, start=None, end=None, dates=None) -> DataFrame:
+        found = set()
+        for part in self._commit(spec)["folders"]:
+            value = part.split("/")[spec.partitions.index(column)].removeprefix(f"{column}=")
+            if value != NULL_PARTITION:
+                found.add(value)
+        return sorted(found)
+
+    def _scan_stored(self, table, code=None, start=None, end=None, dates=None):
         spec = spec_of(table)
         df = self._stored(spec)
         if df is None:
-            return empty_table(self.spark, spec)
+            return None
         for column, width in (("ym", 6), ("year", 4)):
             if column not in spec.derived:
                 continue
@@ -82,34 +149,55 @@ class Store(Tables):
                 df = df.where(F.col(column).isin(*sorted({d[:width] for d in dates})))
         if code and "index_short" in spec.derived:
             df = df.where(F.col("index_short") == F.lit(self.indices.get(code, "")))
-        return df.select(*spec.columns)
+        return df
+
+    def scan(self, table, code=None, start=None, end=None, dates=None) -> DataFrame:
+        spec = spec_of(table)
+        df = self._scan_stored(table, code, start, end, dates)
+        return empty_table(self.spark, spec) if df is None else df.select(*spec.columns)
+
+    def view(self, name: str) -> DataFrame:
+        """As everywhere, with the partition columns that are no data columns at the end: free
+        SQL that restricts ``ym``, ``year`` or ``index_short`` reads those partitions only."""
+        table, code = self._view_of(name)
+        spec = spec_of(table)
+        df = self._scan_stored(table, code)
+        if df is None:
+            return conform(empty_table(self.spark, spec), spec).withColumns(
+                {c: F.lit(None).cast("string") for c in spec.derived})
+        if code:
+            df = df.where(F.col(spec.code_col) == code)
+        return df.select(*spec.columns, *spec.derived)
 
     # -- writing ---------------------------------------------------------------------------
 
-    def upsert(self, df: DataFrame, table: str, staged: bool = False) -> int:
+    def upsert(
+        self, df: DataFrame, table: str | TableSpec, staged: bool = False,
+        token: str | None = None,
+    ) -> int:
         """Merge a batch into a table on its key and return the number of incoming rows.
 
-        A batch without rows, or without the table's date column, changes nothing. The batch is
-        read up to three times: for the partitions it touches, its keys and its rows. A batch
-        that is costly to compute is better ``staged``: written once to the shared folder, and
-        read from there.
+        A batch without rows, or without the table's date column, changes nothing. Empty text in
+        key and partition columns is null. Index tables take the rows of tracked indices only; the
+        returned number tells how many were taken. A batch over stored rows is read up to three
+        times: for the partitions it touches, its keys and its rows. A batch that is costly to
+        compute is better ``staged``: written once to the shared folder, and read from there.
+        ``token`` marks the commit.
         """
         spec = spec_of(table)
         if spec.date_col and spec.date_col not in df.columns:
             return 0
-        incoming = conform(df, spec)
-        if table in INDEX_TABLES:
+        incoming = _without_empty(conform(df, spec), spec)
+        if spec.name in INDEX_TABLES:
             incoming = incoming.where(F.col(spec.code_col).isin(*self.indices))
-        merge = self._upsert_partitions if spec.partitions else self._upsert_version
         if not staged:
-            return merge(incoming, spec)
+            return self._merge_in(incoming, spec, token)
         folder = shared_folder(self.spark, f"batch-{spec.name}")
         try:
             incoming.write.mode("overwrite").parquet(folder)
-            return merge(self.spark.read.schema(spec.schema).parquet(folder), spec)
+            return self._merge_in(self.spark.read.schema(spec.schema).parquet(folder), spec, token)
         finally:
-            fs, jpath = self._fs(folder)
-            fs.delete(jpath, True)
+            self._delete(folder)
 
     def _with_partitions(self, df: DataFrame, spec: TableSpec) -> DataFrame:
         for name in spec.derived:
@@ -117,61 +205,62 @@ class Store(Tables):
             if name == "index_short":
                 value = index_short(F.col(spec.code_col), self.indices)
             df = df.withColumn(name, value)
+        for name in spec.partitions:
+            reserved = F.raise_error(F.lit(f"{NULL_PARTITION} is no value of {name}"))
+            df = df.withColumn(name, F.when(F.col(name) == NULL_PARTITION, reserved)
+                               .otherwise(F.col(name)))
         return df
 
-    def _upsert_partitions(self, incoming: DataFrame, spec: TableSpec) -> int:
-        parts = list(spec.partitions)
+    def _merge_in(self, incoming: DataFrame, spec: TableSpec, token: str | None) -> int:
+        before = self._commit(spec)
+        stored = self._stored(spec)
+        if stored is None:
+            seen = Observation()
+            fresh = keep_last(incoming.observe(seen, F.count("*").alias("rows")), spec.key,
+                              spec.newest_first)
+            self._write(fresh, spec, before, token)
+            return seen.get["rows"]
         # One small row per touched partition value: the batch's size and the list of stored
         # partitions that have to be rewritten. All others are neither read nor written.
+        parts = list(spec.partitions)
         touched = self._with_partitions(incoming, spec).groupBy(*parts).count().collect()
-        if not touched:
-            return 0
-        stored = self._stored(spec)
-        if stored is None:
-            stored = empty_table(self.spark, spec)
-        else:
-            stored = stored.where(_any_partition(touched, parts)).select(*spec.columns)
-        merged = self._merge(stored, incoming, spec)
-        self._write(self._with_partitions(merged, spec), spec)
-        return sum(row["count"] for row in touched)
-
-    def _merge(self, stored: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
-        """Everything stored went through this merge, so stored keys are unique."""
-        return merge_keep_last(
-            stored, incoming, spec.key, spec.newest_first, stored_is_unique=True
-        )
-
-    def _write(self, df: DataFrame, spec: TableSpec) -> None:
+        rows = sum(row["count"] for row in touched)
+        if rows:
+            if parts:
+                stored = stored.where(_any_partition(touched, parts))
+            # Everything stored went through this merge, so stored keys are unique.
+            merged = merge_keep_last(stored.select(*spec.columns), incoming, spec.key,
+                                     spec.newest_first, stored_is_unique=True)
+            self._write(merged, spec, before, token)
+        return rows
+
+    def _write(self, df: DataFrame, spec: TableSpec, before: dict, token: str | None) -> None:
         """REBALANCE gathers each partition value into files of AQE's advisory size: small
         values share no file, and a hot value is split over many tasks."""
+        number = before["number"] + 1
+        folder = f"version={number:08d}-{uuid.uuid4().hex[:8]}"
+        path = f"{self.root}/{spec.name}/{folder}"
         parts = list(spec.partitions)
         order = parts + [c for c in spec.sort_cols if c not in parts]
-        (
-            df.hint("rebalance", *[F.col(c) for c in parts])
-            .sortWithinPartitions(*order)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*parts)
-            .parquet(f"{self.root}/{spec.name}")
-        )
-
-    def _upsert_version(self, incoming: DataFrame, spec: TableSpec) -> int:
-        rows = incoming.count()
-        if not rows:
-            return 0
-        base = f"{self.root}/{spec.name}"
-        stored = self._stored(spec)
-        if stored is None:
-            stored = empty_table(self.spark, spec)
-        merged = self._merge(stored, incoming, spec)
-        taken = self._children(base)
-        number = 1 + max((int(v[1:]) for v in taken), default=0)
-        merged.hint("rebalance").write.mode("error").parquet(f"{base}/v{number:08d}")
-        # A reader may still be on the previous version; older ones are dropped.
-        for old in self._versions(spec)[:-KEPT_VERSIONS]:
-            fs, jpath = self._fs(f"{base}/{old}")
-            fs.delete(jpath, True)
-        return rows
+        rows = self._with_partitions(df, spec).hint("rebalance", *[F.col(c) for c in parts])
+        rows.sortWithinPartitions(*order).write.partitionBy(*parts).parquet(path)
+        written = self._written(path, len(parts))
+        if not written:
+            self._delete(path)
+            return
+        folders = before["folders"] | {part: folder for part in written}
+        self._publish(spec, {"number": number, "token": token, "folders": folders})
+        self._clean(spec)
+
+    def _written(self, path: str, depth: int) -> list[str]:
+        """Partition folders below a data folder; one nameless one if there are files only."""
+        if not depth:
+            return [""] if self._names(path) else []
+        out = []
+        for name in self._names(path):
+            out += [f"{name}/{rest}".rstrip("/") for rest in
+                    self._written(f"{path}/{name}", depth - 1)]
+        return out
 
     def save_daily(self, df: DataFrame) -> int:
         return self.upsert(df, "daily")
@@ -202,15 +291,31 @@ class Store(Tables):
 
     def save_index_basic(self, df: DataFrame, market: str) -> int:
         """Rows landed for one market; the market fills in where a row names none."""
-        own = F.col("market") if "market" in df.columns else F.lit(None)
+        own = F.nullif(F.col("market"), F.lit("")) if "market" in df.columns else F.lit(None)
         return self.upsert(df.withColumn("market", F.coalesce(own, F.lit(market))), "index_basic")
 
+    def _save_index(self, df: DataFrame, table: str, index_code: str) -> int:
+        own = df.where(F.col(spec_of(table).code_col) == index_code)
+        return self.upsert(own, table) if index_code in self.indices else 0
+
     def save_index_weight(self, df: DataFrame, index_code: str) -> int:
-        """Rows landed for one tracked index; an unknown index saves nothing."""
-        return self.upsert(df, "index_weight") if index_code in self.indices else 0
+        """The rows of one tracked index; those of others are left out, and an unknown index
+        saves nothing. Returns how many were taken."""
+        return self._save_index(df, "index_weight", index_code)
 
     def save_index_daily(self, df: DataFrame, index_code: str) -> int:
-        return self.upsert(df, "index_daily") if index_code in self.indices else 0
+        """As :meth:`save_index_weight`."""
+        return self._save_index(df, "index_daily", index_code)
+
+
+def _without_empty(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Empty text in key and partition columns as null, which it would be read back as."""
+    names = {*spec.key, *(c for c in (spec.date_col,) if c), *(
+        c for c in spec.partitions if c not in spec.derived)}
+    kinds = dict(df.dtypes)
+    return df.withColumns({
+        c: F.nullif(F.col(c), F.lit("")) for c in spec.columns if c in names
+        and kinds[c] == "string"})
 
 
 def _any_partition(touched, parts: list[str]):

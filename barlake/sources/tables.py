@@ -121,13 +121,23 @@ class Tables:
         spec: TableSpec = spec_of(table)
         return self.scan(table).where(F.col(spec.code_col).isin(*self.indices))
 
-    def view(self, name: str) -> DataFrame:
-        """The table behind a view name: ``<table>_view`` or ``<table>_<index>_view``."""
+    def _view_of(self, name: str) -> tuple[str, str | None]:
+        """Table and index code behind a view name: ``<table>_view`` or
+        ``<table>_<index>_view``."""
         base = name.removesuffix("_view")
         if base in CATALOG:
-            return self.scan(base)
+            return base, None
         table = next(t for t in INDEX_TABLES if base.startswith(f"{t}_"))
-        return self.index_view(table, base.removeprefix(f"{table}_"))
+        short = base.removeprefix(f"{table}_")
+        return table, next(c for c, s in self.indices.items() if s == short)
+
+    def view(self, name: str) -> DataFrame:
+        table, code = self._view_of(name)
+        return self.slice(table, code)
+
+    def partition_values(self, table: str, column: str) -> list[str] | None:
+        """Values of a partition column if they are known without reading rows."""
+        return None
 
     def view_names(self) -> list[str]:
         shorts = [f"{t}_{s}_view" for t in INDEX_TABLES for s in self.indices.values()]

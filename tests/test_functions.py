@@ -65,15 +65,11 @@ def test_months_ago_matches_calendar_arithmetic(spark, days):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    def session(master, **conf):
-        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
-
-    assert "barlake-x-" in shared_folder(spark, "x")
-    named = session("yarn", **{"spark.checkpoint.dir": "hdfs:///work/"})
+    named = SimpleNamespace(conf={"spark.checkpoint.dir": "hdfs:///work/"})
     first, second = shared_folder(named, "x"), shared_folder(named, "x")
     assert first.startswith("hdfs:///work/barlake-x-") and first != second
-    with pytest.raises(RuntimeError):
-        shared_folder(session("yarn"), "x")
+    unnamed = SimpleNamespace(conf={"spark.sql.warehouse.dir": "hdfs:///tables"})
+    assert shared_folder(unnamed, "x").startswith("hdfs:///tables/barlake-work/barlake-x-")
 
 
 def test_like_keeps_wildcards_and_plain_backslash(spark):

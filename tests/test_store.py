@@ -64,7 +64,7 @@ def test_untouched_partitions_stay(store, spark):
 
 
 def _files(store, table):
-    return store.spark.read.parquet(f"{store.root}/{table}").inputFiles()
+    return store._stored(spec_of(table)).inputFiles()
 
 
 def test_null_key_parts_are_equal(store, spark):
@@ -104,7 +104,8 @@ def test_unpartitioned_table_is_versioned(store, spark):
                                                            {"ts_code": f"B{i}"}]))
     assert sorted(rows_of(store.scan("stock_basic").select("ts_code", "name"))) == [
         ("A", "n3"), ("B0", None), ("B1", None), ("B2", None), ("B3", None)]
-    assert store._versions(spec_of("stock_basic")) == ["v00000003", "v00000004"]
+    assert store._commits(spec_of("stock_basic")) == ["00000003.json", "00000004.json"]
+    assert len(store._names(f"{store.root}/stock_basic")) == 2
 
 
 def test_index_tables_hold_tracked_indices_only(store, spark):
@@ -189,3 +190,87 @@ def test_merge_against_brute_force(spark, stored, incoming):
     assert got == expected and once.count() == len(expected)
     twice = merge_keep_last(once, b, ["k", "n"], ["v"], stored_is_unique=True)
     assert sorted(map(str, rows_of(twice))) == sorted(map(str, rows_of(once)))
+
+
+def _partition_columns(spec):
+    return {*spec.key, *spec.partitions} - set(spec.derived)
+
+
+@pytest.mark.parametrize("table", [t for t, s in CATALOG.items() if s.partitions])
+@pytest.mark.parametrize("first", [None, ""])
+@pytest.mark.parametrize("second", [None, ""])
+def test_null_and_empty_values_meet_without_loss(spark, tmp_path, table, first, second):
+    spec = spec_of(table)
+    store = Store(spark, str(tmp_path / "s"), {"I": "i"})
+    column = spec.date_col or "market"
+    code = "ts_code" if table == "index_basic" else [k for k in spec.key if k != column][-1]
+    fixed = {"index_code": "I"} if table == "index_weight" else {}
+
+    def rows(*values):
+        out = []
+        for name, value in values:
+            row = {code: name, column: value, **fixed}
+            if table == "index_daily":
+                row = {"ts_code": "I", column: value}
+            out.append(row)
+        return make(spark, table, out)
+
+    store.upsert(rows(("A", first), ("B", "20240102")), table)
+    store.upsert(rows(("Z", second)), table)
+    got = {(r[code], r[column]) for r in store.scan(table).collect()}
+    expected = {("A", None), ("Z", None), ("B", "20240102")}
+    if table == "index_daily":
+        expected = {("I", None), ("I", "20240102")}
+    assert got == expected
+
+
+def test_reserved_partition_name_is_rejected(store, spark):
+    row = make(spark, "index_basic", [{"ts_code": "A", "market": "__HIVE_DEFAULT_PARTITION__"}])
+    with pytest.raises(Exception, match="is no value of market"):
+        store.upsert(row, "index_basic")
+    assert store.scan("index_basic").count() == 0
+
+
+def test_broken_write_changes_nothing_and_can_be_rerun(store, spark, monkeypatch):
+    store.save_daily(make(spark, "daily", [bar("A", "20240102", 1.0), bar("A", "20240202", 2.0)]))
+    batch = make(spark, "daily", [bar("A", "20240102", 9.0), bar("B", "20240303", 3.0)])
+
+    def fails(*_):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(Store, "_publish", fails)
+        with pytest.raises(OSError):
+            store.save_daily(batch)
+    assert closes(store) == [("A", "20240102", 1.0), ("A", "20240202", 2.0)]
+    assert store.save_daily(batch) == 2
+    assert closes(store) == [
+        ("A", "20240102", 9.0), ("A", "20240202", 2.0), ("B", "20240303", 3.0)]
+    # The folder of the broken write is dropped by a later one.
+    assert len(store._names(f"{store.root}/daily")) == 2
+
+
+def test_second_writer_of_a_commit_fails(store, spark):
+    spec = spec_of("daily")
+    store.save_daily(make(spark, "daily", [bar("A", "20240102", 1.0)]))
+    before = store._commit(spec)
+    rows = make(spark, "daily", [bar("B", "20240102", 1.0)])
+    store._write(rows, spec, before, None)
+    with pytest.raises(RuntimeError, match="another writer"):
+        store._write(rows, spec, before, None)
+    assert closes(store) == [("B", "20240102", 1.0)]
+
+
+def test_views_keep_the_partition_columns(store, spark):
+    store.save_daily(make(spark, "daily", [bar("A", "20240102", 1.0), bar("A", "20240202", 2.0)]))
+    assert store.view("daily_view").columns == [*spec_of("daily").columns, "ym"]
+    assert store.view("adjfactor_view").columns == [*spec_of("adjfactor").columns, "ym"]
+    assert store.partition_values("daily", "ym") == ["202401", "202402"]
+    assert store.partition_values("daily", "year") is None
+
+
+def test_rows_of_other_indices_are_left_out(store, spark):
+    rows = make(spark, "index_daily", [{"ts_code": c, "trade_date": "20240102"}
+                                       for c in ("000300.SH", "000905.SH")])
+    assert store.save_index_daily(rows, "000905.SH") == 1
+    assert rows_of(store.scan("index_daily").select("ts_code")) == [("000905.SH",)]
