@@ -81,12 +81,18 @@ def _nodes(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """Estimated number of sets per counter that exceed twice the mean counter."""
+    """Estimated number of sets that hold a shingle, by counter.
+
+    Only shingles that stand in several sets of the same batch are counted: the many that are
+    rare leave the counters to those that are costly.
+    """
     def run(batches):
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
-            for s in shingle_sets(text_bytes(batch.column("text")), width):
-                np.add.at(counts, s >> np.uint64(64 - SKETCH_BITS), 1)
+            sets = list(shingle_sets(text_bytes(batch.column("text")), width))
+            every = np.sort(np.concatenate(sets)) if sets else np.zeros(0, dtype=np.uint64)
+            again = every[1:][every[1:] == every[:-1]]
+            np.add.at(counts, again >> np.uint64(64 - SKETCH_BITS), 1)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at])],
                                          ["counter", "n"])
@@ -96,13 +102,13 @@ def _sketch(docs: DataFrame, width: int) -> np.ndarray:
     rows = counted.groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << SKETCH_BITS)
     out[rows["counter"].to_numpy()] = rows["n"].to_numpy()
-    return np.maximum(out - 2 * out.mean(), 0)
+    return out
 
 
-def prefix(shingles: np.ndarray, excess: np.ndarray, num: int, den: int):
+def prefix(shingles: np.ndarray, repeats: np.ndarray, num: int, den: int):
     """The set's prefix and the number L of matches that a partner must have in it."""
     n = len(shingles)
-    cost = 1.0 + excess[shingles >> np.uint64(64 - SKETCH_BITS)]
+    cost = 1.0 + repeats[shingles >> np.uint64(64 - SKETCH_BITS)]
     order = np.lexsort((shingles, np.floor(np.log2(cost))))
     short = n - (num * n + den - 1) // den
     longest = min(MOST_MATCHES, n - short)
@@ -112,7 +118,7 @@ def prefix(shingles: np.ndarray, excess: np.ndarray, num: int, den: int):
     return shingles[order[:short + best]], best
 
 
-def _postings(docs: DataFrame, width: int, excess, num: int, den: int) -> DataFrame:
+def _postings(docs: DataFrame, width: int, repeats, num: int, den: int) -> DataFrame:
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
@@ -127,7 +133,7 @@ def _postings(docs: DataFrame, width: int, excess, num: int, den: int) -> DataFr
                     continue
                 if len(seen) < 100_000:
                     seen.add(node)
-                first, best = prefix(s, excess.value, num, den)
+                first, best = prefix(s, repeats.value, num, den)
                 tokens.append(first)
                 nodes.append(np.full(len(first), node))
                 sizes.append(np.full(len(first), n, dtype=np.int32))
@@ -142,35 +148,47 @@ def _postings(docs: DataFrame, width: int, excess, num: int, den: int) -> DataFr
         token=T.LongType(), node=T.LongType(), n=T.IntegerType(), matches=T.ShortType()))
 
 
-def _candidates(key, rows: pa.Table, num: int, den: int) -> pa.Table:
+def _side(lists) -> tuple:
+    """Nodes of one side of a tile: ids, sizes, matches, and members of each shingle's list."""
+    flat = lists.flatten()
+    ids, first, at = np.unique(flat.field("node").to_numpy(), return_index=True,
+                               return_inverse=True)
+    sizes = flat.field("n").to_numpy()[first].astype(np.int64)
+    return ids, sizes, flat.field("matches").to_numpy()[first], np.split(
+        at, np.cumsum(lists.value_lengths().to_numpy())[:-1])
+
+
+def _pairs(lists, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """The pairs of a tile that share enough prefix shingles and may be similar by size."""
-    same = key[0].as_py() == key[1].as_py()
-    sides = []
-    for side in ("left", "right"):
-        lists = rows[f"{side}_nodes"].combine_chunks()
-        flat = lists.flatten()
-        node = flat.field("node").to_numpy(zero_copy_only=False)
-        ids, first, at = np.unique(node, return_index=True, return_inverse=True)
-        sides.append((ids, flat.field("n").to_numpy(zero_copy_only=False)[first],
-                      flat.field("matches").to_numpy(zero_copy_only=False)[first],
-                      np.split(at, np.cumsum(lists.value_lengths().to_numpy())[:-1])))
-    (a, na, la, ins_a), (b, nb, lb, ins_b) = sides
+    a, na, la, ins_a = _side(lists.field("left_nodes"))
+    b, nb, lb, ins_b = _side(lists.field("right_nodes"))
     shared = np.zeros((len(a), len(b)), dtype=np.int32)
     for x, y in zip(ins_a, ins_b, strict=True):
-        shared[np.ix_(x, y)] += 1
+        shared[x[:, None], y] += 1
     enough = shared >= np.minimum.outer(la, lb)
-    small = np.minimum.outer(na, nb).astype(np.int64)
-    enough &= den * small >= num * np.maximum.outer(na, nb).astype(np.int64)
-    if same:
-        enough &= a[:, None] < b[None, :]
+    enough &= den * np.minimum.outer(na, nb) >= num * np.maximum.outer(na, nb)
+    # Within a block both orders of a pair occur.
+    enough &= a[:, None] < b[None, :] if np.array_equal(a, b) else a[:, None] != b[None, :]
     x, y = np.nonzero(enough)
-    if not len(x):
-        return pa.table({"left": pa.array([], pa.int64()), "right": pa.array([], pa.int64()),
-                         "xs": pa.array([], pa.list_(pa.int64())),
-                         "ys": pa.array([], pa.list_(pa.int64()))})
-    return pa.table({"left": [key[0]], "right": [key[1]],
-                     "xs": pa.array([a[x]], pa.list_(pa.int64())),
-                     "ys": pa.array([b[y]], pa.list_(pa.int64()))})
+    return a[x], b[y]
+
+
+def _candidates(tiles: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (xs[i], ys[i]) of each tile, one row per tile that has any."""
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("lists")
+            found = [_pairs(lists[i].values, num, den) for i in range(len(batch))]
+            some = [i for i, (x, _) in enumerate(found) if len(x)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("left").take(pa.array(some, pa.int64())),
+                 batch.column("right").take(pa.array(some, pa.int64())),
+                 pa.array([found[i][0] for i in some], pa.list_(pa.int64())),
+                 pa.array([found[i][1] for i in some], pa.list_(pa.int64()))],
+                ["left", "right", "xs", "ys"])
+
+    return tiles.select("left", "right", "lists").mapInArrow(
+        run, "left long, right long, xs array<long>, ys array<long>")
 
 
 def _forest(pairs) -> list[tuple[int, int]]:
@@ -217,8 +235,8 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, width: int, num: int, den: i
     """Links (a, b) between nodes whose Jaccard similarity is num / den at least; per component
     enough of them to connect it."""
     sc = docs.sparkSession.sparkContext
-    excess = sc.broadcast(_sketch(docs, width))
-    postings = _postings(docs, width, excess, num, den)
+    repeats = sc.broadcast(_sketch(docs, width))
+    postings = _postings(docs, width, repeats, num, den)
     token = Window.partitionBy("token")
     # A shingle that stands in one prefix only finds nobody.
     shared = cut(
@@ -234,19 +252,23 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, width: int, num: int, den: i
         "node", F.xxhash64("label", part).alias("block"))
     lists = (
         shared.drop("pivot").distinct().join(blocks, "node").groupBy("token", "block")
-        .agg(F.collect_list(F.struct("node", "n", "matches")).alias("nodes"))
+        .agg(F.collect_list(F.struct("node", "n", "matches")).alias("nodes"),
+             F.min("matches").alias("least"))
     )
-    left = lists.select("token", F.col("block").alias("left"), F.col("nodes").alias("left_nodes"))
+    left = lists.select("token", F.col("block").alias("left"), F.col("nodes").alias("left_nodes"),
+                        F.col("least").alias("left_least"))
     right = lists.select("token", F.col("block").alias("right"),
-                         F.col("nodes").alias("right_nodes"))
+                         F.col("nodes").alias("right_nodes"), F.col("least").alias("right_least"))
     alone = (F.col("left") == F.col("right")) & (F.size("left_nodes") < 2)
-    tiles = cut(
+    tiles = (
         left.join(right, "token").where("left <= right").where(~alone)
         .groupBy("left", "right")
-        .applyInArrow(
-            lambda key, rows: _candidates(key, rows, num, den),
-            "left long, right long, xs array<long>, ys array<long>")
+        .agg(F.collect_list(F.struct("left_nodes", "right_nodes")).alias("lists"),
+             F.min(F.least("left_least", "right_least")).alias("least"))
+        # A tile with fewer common shingles than any of its nodes asks for has no pair.
+        .where(F.size("lists") >= F.col("least"))
     )
+    tiles = cut(_candidates(tiles, num, den))
     wanted = tiles.select("left", "right", F.explode(
         F.array_distinct(F.concat("xs", "ys"))).alias("node"))
     sets = _sets(docs, nodes.join(wanted.select("node").distinct(), "node", "left_semi"), width)
