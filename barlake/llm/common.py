@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.session import shared_folder
+
 # What parts words, in the two word definitions of the operators' contracts.
 BLANKS = r"[\x20\x09-\x0D]+"
 NO_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -29,6 +31,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written as Parquet to a new folder below the shared one and read from there."""
+    spark = df.sparkSession
+    folder = shared_folder(spark, name)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case; every other character stays."""
     return F.translate(text, UPPER, LOWER)

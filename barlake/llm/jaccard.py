@@ -325,3 +325,24 @@ def near_duplicates(docs: DataFrame, width: int, num: int, den: int) -> DataFram
         .join(found.withColumnRenamed("node", "first"), "first", "left")
         .select("doc_id", "n", F.coalesce("component", "first", "doc_id").alias("component"))
     )
+
+
+def without_duplicates(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """One document of each group, that with the smallest id, as it came.
+
+    Documents without an id come first, those with the same id in the order of a hash of their
+    texts; of rows equal in both one stays. Texts without words stay.
+    """
+    key = F.struct(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("id"),
+        F.xxhash64("text").alias("hash"))
+    found = near_duplicates(docs.select(key.alias("doc_id"), "text"), width, num, den)
+    kept = found.where(F.col("doc_id") == F.col("component")).select(
+        F.col("doc_id.id").alias("__id"), F.col("doc_id.hash").alias("__hash")).distinct()
+    same = Window.partitionBy("__id", "__hash").orderBy(F.lit(1))
+    return (
+        docs.withColumn("__id", key["id"]).withColumn("__hash", key["hash"])
+        .join(kept, ["__id", "__hash"], "left_semi")
+        .withColumn("__number", F.row_number().over(same)).where("__number = 1")
+        .select(*docs.columns)
+    )
