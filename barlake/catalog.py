@@ -96,14 +96,6 @@ TRACKED_INDICES = {
     "000300.SH": "hs300",
 }
 
-# Usual number of constituents per tracked index, used to size month batches.
-USUAL_CONSTITUENTS = {
-    "000300.SH": 300,
-    "000905.SH": 500,
-    "000852.SH": 1000,
-    "932000.CSI": 2000,
-}
-
 # Index master markets that a refresh covers.
 INDEX_MARKETS = ("CSI", "SSE", "SZSE")
 

@@ -20,7 +20,7 @@ from barlake.operators.export import export, export_slice
 from barlake.plans import updates
 from barlake.plans.market import Market
 from barlake.plans.statements import BALANCE_COLUMNS, CASHFLOW_COLUMNS, latest_period
-from barlake.session import shared_folder
+from barlake.session import scratch_folder
 from barlake.sources.landing import (
     classify_st, concat_parts, income_of_code, landed_slice, listed_securities, normalise,
     read_landed,
@@ -191,7 +191,7 @@ def _slice(name: str, table: str, where: str, as_of: str, **filters) -> None:
 
 _HISTORY = "trade_date BETWEEN '20090218' AND '20240215'"  # 15 * 365 days back
 _slice("slice_daily", "daily", f"ts_code = '{CODE}' AND {_HISTORY}", AS_OF, code=CODE)
-_slice("slice_daily_date", "daily", f"trade_date = '{DAY}'", AS_OF, start=DAY, end=DAY)
+_slice("slice_daily_date", "daily", f"trade_date = '{DAY}'", AS_OF, trade_date=DAY)
 _slice("slice_stock_basic", "stock_basic", "list_status = 'L'", AS_OF)
 _slice("slice_income", "income", "end_date = '20010930'", ORDERS_AS_OF)
 _slice("slice_balancesheet", "balancesheet", f"end_date = '{PERIOD}'", AS_OF, period=PERIOD)
@@ -257,17 +257,17 @@ def _(m):
     spec_of("income").newest_first))
 def _(m):
     spark = m.tables.spark
-    root = shared_folder(spark, "stream")
+    root = scratch_folder(spark, "stream")
     return stream_upsert(
         Store(spark, f"{root}/tables"), "income", m.tables.folder, f"{root}/checkpoint",
-        schema=m.tables.raw("orders").schema, shape=m.tables.revisions,
+        read=lambda paths: spark.read.parquet(*paths), shape=m.tables.revisions,
         pathGlobFilter="orders.parquet",
     )
 
 
 def _store(m: Market, name: str) -> Store:
     spark = m.tables.spark
-    return Store(spark, shared_folder(spark, name), m.tables.indices)
+    return Store(spark, scratch_folder(spark, name), m.tables.indices)
 
 
 @check("upsert_daily",
@@ -310,7 +310,7 @@ def _exported(fmt: str) -> None:
     def _(m):
         # Written, read back as landed files and typed again.
         spark = m.tables.spark
-        path = f"{shared_folder(spark, 'export')}/{fmt}"
+        path = f"{scratch_folder(spark, 'export')}/{fmt}"
         export(m.tables.scan("moneyflow"), path, fmt)
         return normalise(read_landed(spark, path, fmt, "moneyflow"), "moneyflow")
 
@@ -322,10 +322,10 @@ for _fmt in ("csv", "json", "parquet"):
 _OHLCV = ("ts_code", "trade_date", "open", "high", "low", "close", "vol", "amount")
 
 
-@check("stream_bars", f"SELECT {', '.join(_OHLCV)} FROM v_daily")
+@check("stream_bars", "SELECT * FROM v_daily")
 def _(m):
     spark = m.tables.spark
-    root = shared_folder(spark, "bars")
+    root = scratch_folder(spark, "bars")
     store = Store(spark, f"{root}/tables")
     events = (
         spark.readStream.schema(m.tables.raw("events").schema)
@@ -336,9 +336,8 @@ def _(m):
         F.col("event_id").alias("seq"), F.col("value").alias("price"),
         F.round(F.col("value") * 100, 0).cast("long").alias("cents"),
     )
-    # Files may come in any order: no tick of the month is late.
-    start_bar_stream(ticks, store, f"{root}/checkpoint", "400 days").awaitTermination()
-    return store.scan("daily").select(*_OHLCV)
+    start_bar_stream(ticks, store, f"{root}/checkpoint").awaitTermination()
+    return store.scan("daily")
 
 
 @check("bars_from_events", """
@@ -997,7 +996,7 @@ _BATCHES = f"""
 
 
 def _batches(m: Market) -> DataFrame:
-    return days.month_batches(m.max_constituents(), _BATCH_AS_OF, 5)
+    return days.month_batches(m.max_constituents(), _BATCH_AS_OF, 5, max_rows=6000)
 
 
 check("month_batches", _BATCHES)(_batches)

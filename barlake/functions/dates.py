@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +27,21 @@ def months_ago(text: Column | str, months: int) -> Column:
     return ymd(F.add_months(to_day(text), -months))
 
 
+def day_months_ago(text: str, months: int) -> str:
+    """:func:`months_ago` of a Python string, for bounds that prune partitions."""
+    day = datetime.strptime(text, "%Y%m%d").date()
+    year, month = divmod(day.year * 12 + day.month - 1 - months, 12)
+    after = date(year + (month + 1) // 12, (month + 1) % 12 + 1, 1)
+    return min(date(year, month + 1, min(day.day, 28)) + timedelta(max(day.day - 28, 0)),
+               after - timedelta(1)).strftime("%Y%m%d")
+
+
+def day_history_start(text: str, years: int) -> str:
+    """:func:`history_start` of a Python string."""
+    day = datetime.strptime(text, "%Y%m%d").date()
+    return (day - timedelta(365 * years)).strftime("%Y%m%d")
+
+
 def month_end(text: Column | str) -> Column:
     return ymd(F.last_day(to_day(text)))
 

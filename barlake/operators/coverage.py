@@ -32,11 +32,9 @@ def new_rows(incoming: DataFrame, stored: DataFrame, on: Sequence[str]) -> DataF
 def new_index_rows(incoming: DataFrame, stored: DataFrame, code_col: str) -> DataFrame:
     """Incoming index rows on dates their index does not have yet.
 
-    What is stored shrinks to one row per tracked index and day, which is broadcast: by shuffle,
-    all constituents of an index's day would meet in one task.
+    What is stored shrinks to one row per index and day, which Spark broadcasts if it is small.
     """
-    on = [code_col, "trade_date"]
-    return incoming.join(F.broadcast(stored.select(*on).distinct()), on, "left_anti")
+    return new_rows(incoming, stored, [code_col, "trade_date"])
 
 
 def codes_not_in(probe: DataFrame, known: DataFrame, probe_col: str, known_col: str) -> DataFrame:

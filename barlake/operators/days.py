@@ -1,13 +1,12 @@
 """Trading-calendar operators over whole sets of dates.
 
-A calendar has one row per exchange and day, so the windows below see at most one row per
-calendar day, however many rows the callers' tables have, and the look-ups that are joined back
-(one row per day, too) are broadcast.
+The windows below run over the days from a calendar's first to its last, however many rows or
+dates the callers' tables have. Look-ups are joined by equality, and Spark chooses how.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barlake.functions import to_day, ymd
@@ -41,32 +40,49 @@ def trading_day_flags(
     days = of_exchange(calendar, exchange).select(
         F.col("cal_date").alias("_day"), F.col("is_open").alias("_open")
     )
-    return dates.join(F.broadcast(days), F.col(date_col) == F.col("_day"), "left").select(
+    return dates.join(days, F.col(date_col) == F.col("_day"), "left").select(
         *dates.columns, (F.coalesce(F.col("_open"), F.lit(0)) == 1).alias("is_trading_day")
     )
 
 
+def _open_line(calendar: DataFrame, exchange: str) -> DataFrame:
+    """Every day from an exchange's first open day to its last, as (_day, _open: 1 or 0)."""
+    days = open_days(calendar, exchange).select(to_day(F.col("cal_date")).alias("_d"))
+    bounds = days.agg(F.min("_d").alias("low"), F.max("_d").alias("high")).where("low IS NOT NULL")
+    every = bounds.select(F.explode(F.sequence("low", "high")).alias("_d"))
+    marked = days.withColumn("_open", F.lit(1))
+    return every.join(marked, "_d", "left").select(
+        ymd(F.col("_d")).alias("_day"), F.coalesce("_open", F.lit(0)).alias("_open"))
+
+
+def _as_day(column: str) -> Column:
+    """``yyyyMMdd`` text if it names a day, else null."""
+    return ymd(F.try_to_date(F.col(column), "yyyyMMdd"))
+
+
 def next_open_days(
     dates: DataFrame, calendar: DataFrame, exchange: str = "SSE", date_col: str = "date"
 ) -> DataFrame:
     """Adds ``next_trading_day``: the first open day on or after the date, or null.
 
-    The distinct dates are merged into the open days before the window runs, so a date outside
-    the calendar gets its answer too.
+    Before the calendar's first open day that is the first one; after its last, and for text that
+    names no day, there is none.
     """
-    marks = dates.select(F.col(date_col).alias("_day")).distinct()
-    days = open_days(calendar, exchange).select(F.col("cal_date").alias("_day"))
-    line = marks.withColumn("_open", F.lit(None).cast("string")).unionByName(
-        days.withColumn("_open", F.col("_day"))
-    )
-    # Read backwards, the frame only grows, so each row adds one value to a running minimum.
+    line = _open_line(calendar, exchange)
+    # Read backwards, the frame only grows, so each day adds one value to a running minimum.
     ahead = Window.partitionBy(F.lit(1)).orderBy(F.col("_day").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    found = line.groupBy("_day").agg(F.max("_open").alias("_open")).select(
-        "_day", F.min("_open").over(ahead).alias("next_trading_day")
+    found = line.select(
+        "_day", F.min(F.when(F.col("_open") == 1, F.col("_day"))).over(ahead).alias("_next"))
+    first = line.agg(F.min("_day")).scalar()
+    asked = F.greatest(_as_day(date_col), first)
+    asked = F.when(_as_day(date_col).isNotNull(), asked)
+    return (
+        dates.withColumn("_asked", asked)
+        .join(found, F.col("_asked") == F.col("_day"), "left")
+        .select(*dates.columns, F.col("_next").alias("next_trading_day"))
     )
-    return dates.join(F.broadcast(found), F.col(date_col) == F.col("_day"), "left").drop("_day")
 
 
 def open_day_counts(
@@ -75,31 +91,29 @@ def open_day_counts(
 ) -> DataFrame:
     """Adds ``trading_days``: the open days within each inclusive range.
 
-    Prefix sums over the days give the count as a difference of two look-ups, instead of a
-    range join with the calendar.
+    Prefix sums over the calendar's days give the count as a difference of two look-ups, instead of
+    a range join. Bounds outside the calendar are moved to its first or last day; a bound that names
+    no day makes the count 0.
     """
-    marks = (
-        ranges.select(F.col(start_col).alias("_day"))
-        .union(ranges.select(F.col(end_col)))
-        .distinct()
-        .withColumn("_open", F.lit(0))
-    )
-    days = open_days(calendar, exchange).select(
-        F.col("cal_date").alias("_day"), F.lit(1).alias("_open")
-    )
-    by_day = marks.unionByName(days).groupBy("_day").agg(F.max("_open").alias("_open"))
+    line = _open_line(calendar, exchange)
     upto = Window.partitionBy(F.lit(1)).orderBy("_day").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    prefix = by_day.withColumn("_upto", F.sum("_open").over(upto))
+    prefix = line.withColumn("_upto", F.sum("_open").over(upto))
     low = prefix.select(
         F.col("_day").alias("_low"), (F.col("_upto") - F.col("_open")).alias("_before")
     )
     high = prefix.select(F.col("_day").alias("_high"), F.col("_upto").alias("_through"))
+    first, last = (line.agg(f("_day")).scalar() for f in (F.min, F.max))
+    start, end = _as_day(start_col), _as_day(end_col)
+    # A range that misses the calendar finds no day on one side.
+    asked_low = F.when(start.isNotNull() & (start <= last), F.greatest(start, first))
+    asked_high = F.when(end.isNotNull() & (end >= first), F.least(end, last))
     span = F.when(F.col(end_col) >= F.col(start_col), F.col("_through") - F.col("_before"))
     return (
-        ranges.join(F.broadcast(low), F.col(start_col) == F.col("_low"), "left")
-        .join(F.broadcast(high), F.col(end_col) == F.col("_high"), "left")
+        ranges.withColumn("_from", asked_low).withColumn("_to", asked_high)
+        .join(low, F.col("_from") == F.col("_low"), "left")
+        .join(high, F.col("_to") == F.col("_high"), "left")
         .select(*ranges.columns, F.coalesce(span, F.lit(0)).alias("trading_days"))
     )
 
@@ -144,16 +158,15 @@ def month_ends(years: DataFrame, as_of: str) -> DataFrame:
 
 
 def month_batches(
-    indices: DataFrame, as_of: str, years: int, max_rows: int = 6000
+    indices: DataFrame, as_of: str, years: int, max_rows: int
 ) -> DataFrame:
     """Date ranges that cover the history of each index in (index_code, constituents).
 
-    A batch spans as many whole months (1 to 12) as keep it below ``max_rows`` rows; the last
-    one ends at ``as_of``.
+    A batch spans as many whole months (1 to 12) as keep it below ``max_rows`` rows, 12 for an
+    index without constituents; the last one ends at ``as_of``.
     """
-    span = F.greatest(
-        F.lit(1), F.least(F.lit(12), F.floor(F.lit(max_rows) / F.col("constituents")))
-    ).cast("int")
+    fitting = F.floor(F.try_divide(F.lit(max_rows), F.col("constituents")))
+    span = F.greatest(F.lit(1), F.least(F.lit(12), fitting)).cast("int")
     first = F.make_date(F.year(to_day(as_of)) - years, F.lit(1), F.lit(1))
     starts = F.sequence(first, to_day(as_of), F.make_ym_interval(F.lit(0), F.col("months")))
     batches = indices.withColumn("months", span).select(
@@ -165,3 +178,9 @@ def month_batches(
         "index_code", "months", ymd(F.col("_start")).alias("batch_start"),
         F.least(ymd(end), F.lit(as_of)).alias("batch_end"),
     )
+
+
+def single_months(indices: DataFrame, as_of: str, years: int) -> DataFrame:
+    """The months of the history of each index in (index_code), as :func:`month_batches`."""
+    one = indices.select("index_code", F.lit(1).alias("constituents"))
+    return month_batches(one, as_of, years, max_rows=1)

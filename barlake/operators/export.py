@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,21 +15,32 @@ PERIOD_TABLES = (*STATEMENTS, "adjfactor", "moneyflow")
 MARKET_CODES = ("CSI", "SSE", "SZSE")
 
 
-def _plain_numbers(df: DataFrame) -> DataFrame:
-    """Doubles as decimal text: whole numbers get no exponent in a CSV file."""
-    def cell(field: T.StructField):
-        value = F.col(field.name)
-        if not isinstance(field.dataType, T.DoubleType):
-            return value
-        whole = (value == F.rint(value)) & (F.abs(value) < F.lit(1e15))
-        text = F.when(whole, value.cast("decimal(17,1)").cast("string"))
-        return text.otherwise(value.cast("string")).alias(field.name)
+def plain_number(value: Column) -> Column:
+    """A double as decimal text without an exponent, with the fewest digits that read back as
+    the same double; infinities and NaN as Spark writes them."""
+    text = F.abs(value).cast("string")
+    digits = F.replace(F.substring_index(text, "E", 1), F.lit("."), F.lit(""))
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    # One digit stands before the point; a trailing zero after it carries nothing.
+    large = F.concat(F.rpad(F.substr(digits, F.lit(1), power + 1), power + 1, "0"), F.lit("."),
+                     F.coalesce(F.nullif(F.substr(digits, power + 2), F.lit("")), F.lit("0")))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1),
+                     F.regexp_replace(digits, "(?<=.)0$", ""))
+    plain = F.when(~text.contains("E"), text).when(power > 0, large).otherwise(small)
+    negative = value.cast("string").startswith("-")
+    return F.concat(F.when(negative, "-").otherwise(""), plain)
+
 
-    return df.select(*[cell(f) for f in df.schema.fields])
+def _plain_numbers(df: DataFrame) -> DataFrame:
+    return df.select(*[
+        plain_number(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+        else F.col(f.name) for f in df.schema.fields])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    _plain_numbers(df).write.mode("overwrite").csv(path, header=True, escape='"')
+    _plain_numbers(df).write.mode("overwrite").csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False)
 
 
 def export(df: DataFrame, path: str, fmt: str = "csv") -> bool:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,9 @@ class EquityQueries:
         return self.tables.read_daily(ts_code, start_date, end_date)
 
     def get_daily_latest(self, ts_code: str) -> DataFrame:
-        df = self.tables.slice("daily", ts_code)
+        newest = self._newest("daily", lambda df: not df.where(
+            F.col("ts_code") == ts_code).isEmpty())
+        df = newest.where(F.col("ts_code") == ts_code)
         return df.orderBy(F.col("trade_date").desc()).limit(1)
 
     def daily_latest_all(self) -> DataFrame:
@@ -95,12 +99,36 @@ class EquityQueries:
 
     def trading_dates(self, n: int = 10) -> DataFrame:
         """Most recent dates that have bars."""
-        dates = self.tables.scan("daily").select("trade_date").distinct()
+        def enough(df: DataFrame) -> bool:
+            return df.where("trade_date IS NOT NULL").select(
+                "trade_date").distinct().limit(n).count() >= n
+
+        dates = self._newest("daily", enough).select("trade_date").distinct()
         return dates.orderBy(F.col("trade_date").desc()).limit(n)
 
+    def _newest(self, table: str, enough: Callable[[DataFrame], bool]) -> DataFrame:
+        """The newest months of a table that satisfy ``enough``, twice as many each time, or all
+        rows. Without known months all rows are returned at once."""
+        months = self.tables.partition_values(table, "ym") or []
+        n = 1
+        while n < len(months):
+            newest = self.tables.scan(table, start=months[-n])
+            if enough(newest):
+                return newest
+            n *= 2
+        return self.tables.scan(table)
+
     def stored_months(self, table: str = "daily") -> DataFrame:
-        months = F.substring(F.col("trade_date"), 1, 6).alias("ym")
-        return self.tables.scan(table).select(months).distinct()
+        """Months that have rows; null stands for rows without a date. Where the months are
+        known as partitions, no row is read for them."""
+        months = self.tables.partition_values(table, "ym")
+        ym = F.substring(F.col("trade_date"), 1, 6).alias("ym")
+        if months is None:
+            return self.tables.scan(table).select(ym).distinct()
+        known = self.tables.spark.createDataFrame([(m,) for m in months], "ym string")
+        # The partition without a date is the only one left to look into.
+        undated = self.tables.scan(table).where("trade_date IS NULL").select(ym).limit(1)
+        return known.union(undated)
 
     # -- security master ---------------------------------------------------------------------
 

@@ -9,6 +9,7 @@ from barlake.functions import ratio, round_half_up
 from barlake.operators.merge import first_per_key
 from barlake.plans.equities import top_with_name
 
+# The columns that the two summaries show.
 BALANCE_COLUMNS = (
     "ts_code", "end_date", "total_assets", "total_cur_assets", "total_nca", "total_liab",
     "total_cur_liab", "total_ncl", "total_hldr_eqy_inc_min_int", "money_cap",

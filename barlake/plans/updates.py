@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from barlake.catalog import HISTORY_YEARS, INDEX_MARKETS, INDEX_TABLES, STATEMENTS, spec_of
 from barlake.functions import history_start, months_ago, previous_quarter_end, quarter_end, to_day
+from barlake.functions.dates import day_history_start, day_months_ago
 from barlake.operators.coverage import (
     missing_dates, new_index_rows, uncovered_batches, wanted_by_days, wanted_by_months,
 )
-from barlake.operators.days import month_batches, months_in_range, open_days, quarter_series
+from barlake.operators.days import months_in_range, open_days, quarter_series, single_months
 from barlake.operators.profile import row_count, union_all
 from barlake.sources.landing import listed_securities
 from barlake.sources.store import Store
@@ -36,8 +37,7 @@ def statement_full_rows(landed: DataFrame, as_of: str, years: int = HISTORY_YEAR
     window = landed.sparkSession.range(1).select(
         (this_year - years).alias("start_year"), this_year.alias("end_year")
     )
-    # At most four rows per year.
-    return landed.join(F.broadcast(quarter_series(window, as_of)), "end_date", "left_semi")
+    return landed.join(quarter_series(window, as_of), "end_date", "left_semi")
 
 
 def master_refresh_rows(landed: DataFrame) -> DataFrame:
@@ -54,10 +54,9 @@ def calendar_refresh_rows(
 
 
 def rows_of_missing_dates(landed: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Landed rows of the dates a gap list names. The list has at most one row per calendar
-    day, so it is broadcast and the landed rows are not shuffled by date."""
-    dates = gaps.select("trade_date").distinct()
-    return landed.join(F.broadcast(dates), "trade_date", "left_semi")
+    """Landed rows of the dates a gap list names. With a list as short as a calendar, Spark
+    broadcasts it and does not shuffle the landed rows by date."""
+    return landed.join(gaps.select("trade_date").distinct(), "trade_date", "left_semi")
 
 
 def _in_window(df: DataFrame, start, as_of: str) -> DataFrame:
@@ -96,8 +95,7 @@ def index_weight_full_rows(
     months = months_in_range(open_batches, "batch_start", "batch_end").select(
         "index_code", F.col("ym").alias("_ym"), F.col("batch_end").alias("_end")
     )
-    # One row per tracked index and month.
-    rows = landed.withColumn("_ym", ym).join(F.broadcast(months), ["index_code", "_ym"])
+    rows = landed.withColumn("_ym", ym).join(months, ["index_code", "_ym"])
     return rows.where(F.col("trade_date") <= F.col("_end")).select(*landed.columns)
 
 
@@ -109,8 +107,13 @@ Steps = dict[str, Callable[[], DataFrame]]
 
 def _dated_steps(landed: Tables, stored: Tables, wanted: Callable[[], DataFrame]) -> Steps:
     def step(table: str):
-        gaps = missing_dates(wanted(), stored.scan(table))
-        return rows_of_missing_dates(landed.scan(table), gaps)
+        # The first and last wanted day bound both sides, so that only their partitions are read.
+        days = wanted()
+        day = F.col(days.columns[0])
+        low, high = days.agg(F.min(day), F.max(day)).first()
+        window = {"start": low, "end": high}
+        gaps = missing_dates(days, stored.slice(table, **window))
+        return rows_of_missing_dates(landed.slice(table, **window), gaps)
 
     return {t: partial(step, t) for t in ("daily", "adjfactor", "moneyflow")}
 
@@ -130,14 +133,15 @@ def incremental_steps(
     landed: Tables, stored: Tables, as_of: str, months: int = 3, days: int | None = None
 ) -> Steps:
     """Incremental update of every table; ``days`` replaces the months for the dated tables."""
+    window = {"start": day_months_ago(as_of, months), "end": as_of}
+
     def calendar() -> DataFrame:
-        return calendar_refresh_rows(landed.scan("trade_calendar"), as_of, months)
+        return calendar_refresh_rows(landed.slice("trade_calendar", **window), as_of, months)
 
     def wanted() -> DataFrame:
-        known = stored.scan("trade_calendar")
         if days:
-            return wanted_by_days(known, as_of, days)
-        return wanted_by_months(known, as_of, months)
+            return wanted_by_days(stored.scan("trade_calendar"), as_of, days)
+        return wanted_by_months(stored.slice("trade_calendar", **window), as_of, months)
 
     def statement(table: str) -> DataFrame:
         return statement_refresh_rows(landed.scan(table), as_of)
@@ -145,7 +149,7 @@ def incremental_steps(
     def index(table: str) -> DataFrame:
         code = spec_of(table).code_col
         return index_incremental_rows(
-            landed.scan(table), stored.scan(table), code, as_of, months
+            landed.slice(table, **window), stored.slice(table, **window), code, as_of, months
         )
 
     return {
@@ -158,26 +162,29 @@ def incremental_steps(
 
 
 def full_steps(
-    landed: Tables, stored: Tables, as_of: str, constituents: DataFrame,
-    years: int = HISTORY_YEARS,
+    landed: Tables, stored: Tables, as_of: str, indices: DataFrame, years: int = HISTORY_YEARS
 ) -> Steps:
-    """Full update: history that is not stored yet. ``constituents`` is (index_code,
-    constituents), which sizes the month batches of the weights."""
+    """Full update: history that is not stored yet. The weights of the ``indices`` (index_code)
+    are taken for every month of which nothing is stored."""
+    window = {"start": f"{int(as_of[:4]) - years}0101", "end": as_of}
+
     def calendar() -> DataFrame:
-        return calendar_refresh_rows(landed.scan("trade_calendar"), as_of, None, years)
+        days = landed.slice("trade_calendar", start=day_history_start(as_of, years), end=as_of)
+        return calendar_refresh_rows(days, as_of, None, years)
 
     def statement(table: str) -> DataFrame:
         return statement_full_rows(landed.scan(table), as_of, years)
 
     def weights() -> DataFrame:
         return index_weight_full_rows(
-            landed.scan("index_weight"), stored.scan("index_weight"),
-            month_batches(constituents, as_of, years),
+            landed.slice("index_weight", **window), stored.slice("index_weight", **window),
+            single_months(indices, as_of, years),
         )
 
     def index_bars() -> DataFrame:
         return index_daily_full_rows(
-            landed.scan("index_daily"), stored.scan("index_daily"), as_of, years
+            landed.slice("index_daily", **window), stored.slice("index_daily", **window), as_of,
+            years,
         )
 
     return {

@@ -30,6 +30,16 @@ def build_session(app: str = "barlake", master: str | None = None, **extra: str)
     return spark
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A :func:`shared_folder` that goes when the session's JVM ends."""
+    folder = shared_folder(spark, name)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return folder
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """The path of a new folder below ``spark.checkpoint.dir``, which every executor can reach.
 

@@ -5,11 +5,13 @@ The landing folder replaces the web API: each dataset keeps the filters its API
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import csv
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,72 +23,120 @@ from barlake.sources.tables import where_code, where_dates
 # -- reading ---------------------------------------------------------------------------------
 
 
-def read_csv(
-    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8", multi_line: bool = False
-) -> DataFrame:
-    """CSV with a header, every column as text. A byte-order mark is skipped; files whose
-    header differs from the first one's are an error, not a silent shift of columns.
+ENCODINGS = ("UTF-8", "GBK", "ISO-8859-1")
+
 
-    ``multi_line`` allows line breaks inside quotes; such files cannot be split over tasks.
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Raw lines with the file they stand in and their place there.
+
+    The text source hands over the bytes of each line, so large files are split over tasks.
     """
-    return spark.read.csv(
-        path, header=True, inferSchema=False, encoding=encoding, enforceSchema=False,
-        escape='"', multiLine=multi_line,
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("row")).alias("place"),
+        F.col("value").cast("binary").alias("line"),
     )
 
 
-def file_encodings(spark: SparkSession, path: str) -> DataFrame:
-    """Encoding of each file: (path, encoding), the first of UTF-8, GBK and Latin-1 that
-    decodes the whole file.
+def _decodes(line: Column, encoding: str) -> Column:
+    """Whether a line is valid in an encoding. Line feeds never occur inside a character of the
+    encodings here, so checking line by line is exact."""
+    if encoding == "UTF-8":
+        return F.is_valid_utf8(line.cast("string"))
+    if encoding == "ISO-8859-1":
+        return F.lit(True)
+
+    @F.pandas_udf(T.BooleanType())
+    def check(chunks: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for lines in chunks:
+            yield pd.Series([_is_valid(bytes(x), encoding) for x in lines], dtype=bool)
+
+    return check(line)
 
-    The text source hands over the raw bytes of each line, so large files are split over
-    tasks. UTF-8 is checked inside the JVM; only files that fail it reach Python. Line feeds
-    never occur inside a GBK character, so checking line by line is exact.
+
+def _is_valid(line: bytes, encoding: str) -> bool:
+    try:
+        line.decode(encoding)
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
+def file_encodings(
+    spark: SparkSession, path: str | list[str], encodings: Sequence[str] = ENCODINGS
+) -> DataFrame:
+    """(file, encoding, header): the first of the encodings that decodes the whole file, and the
+    bytes of the file's first line.
+
+    UTF-8 is checked inside the JVM; only lines of files that fail it reach Python. A file that
+    none of the encodings decodes has a null encoding.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value")
-    )
-    by_file = lines.groupBy("path").agg(
-        F.min(F.is_valid_utf8("value").cast("int")).alias("utf8")
-    )
-    others = by_file.where("utf8 = 0").select("path")
-    raw = lines.join(others, "path", "left_semi").select(
-        "path", F.col("value").cast("binary").alias("value")
-    )
-    checked = raw.select("path", _is_gbk("value").cast("int").alias("gbk"))
-    gbk = checked.groupBy("path").agg(F.min("gbk").alias("gbk"))
-    return by_file.join(gbk, "path", "left").select(
-        "path",
-        F.when(F.col("utf8") == 1, "UTF-8")
-        .when(F.col("gbk") == 1, "GBK")
-        .otherwise("ISO-8859-1")
-        .alias("encoding"),
+    lines = _lines(spark, path)
+    files = lines.groupBy("file").agg(
+        F.min_by("line", "place").alias("header"),
+        F.min(_decodes(F.col("line"), "UTF-8").cast("int")).alias("utf8"),
     )
+    found = F.when(F.col("utf8") == 1, "UTF-8") if "UTF-8" in encodings else None
+    for n, encoding in enumerate(e for e in encodings if e != "UTF-8"):
+        left = files.where("utf8 = 0") if "UTF-8" in encodings else files
+        raw = lines.join(left.select("file"), "file", "left_semi")
+        valid = raw.select("file", _decodes(F.col("line"), encoding).cast("int").alias("ok"))
+        files = files.join(
+            valid.groupBy("file").agg(F.min("ok").alias(f"ok{n}")), "file", "left")
+        hit = F.col(f"ok{n}") == 1
+        found = F.when(hit, encoding) if found is None else found.when(hit, encoding)
+    return files.select("file", found.alias("encoding"), "header")
+
 
+def _path_of(spark: SparkSession, file: str) -> str:
+    """A file's URI, as the metadata column has it, as a path that the readers take literally."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI.create(file)).toString()
+    return re.sub(r"([\\{}\[\]*?^])", r"\\\1", path)
 
-@F.pandas_udf(T.BooleanType())
-def _is_gbk(chunks: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    def decodes(line: bytes) -> bool:
-        try:
-            bytes(line).decode("gbk")
-        except UnicodeDecodeError:
-            return False
-        return True
 
-    for lines in chunks:
-        yield lines.map(decodes).astype(bool)
+def _header(line: bytes, encoding: str) -> tuple[str, ...]:
+    text = line.decode("gbk" if encoding.upper() == "GBK" else encoding).lstrip("\ufeff")
+    return tuple(next(csv.reader([text]), []))
 
 
-def read_csv_any_encoding(spark: SparkSession, path: str) -> DataFrame:
-    """CSV files of mixed encodings as one DataFrame of text columns."""
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    groups: dict[str, list[str]] = {}
-    # One row per file, the size of the listing the driver holds anyway.
-    for row in file_encodings(spark, path).collect():
-        groups.setdefault(row["encoding"], []).append(row["path"])
-    if not groups:
-        return read_csv(spark, path)
-    return concat_parts([read_csv(spark, paths, enc) for enc, paths in sorted(groups.items())])
+def read_csv(
+    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8", multi_line: bool = True
+) -> DataFrame:
+    """CSV files with headers, every column as text, matched by header name: files may order their
+    columns differently or lack some. A byte-order mark is skipped.
+
+    ``multi_line`` allows line breaks inside quotes; such files are not split over tasks. Without
+    it they are, and a line break ends a row.
+    """
+    return _by_header(spark, file_encodings(spark, path, (encoding,)), path, multi_line)
+
+
+def read_csv_any_encoding(
+    spark: SparkSession, path: str | list[str], encodings: Sequence[str] = ENCODINGS,
+    multi_line: bool = True,
+) -> DataFrame:
+    """As :func:`read_csv`, for files of mixed encodings. GBK needs a session with
+    ``spark.sql.legacy.javaCharsets``, as :func:`barlake.session.build_session` makes."""
+    return _by_header(spark, file_encodings(spark, path, encodings), path, multi_line)
+
+
+def _by_header(spark: SparkSession, files: DataFrame, path, multi_line: bool) -> DataFrame:
+    """One reader per (encoding, header). The driver gets these and the file names, the size of
+    the listing that it holds anyway."""
+    groups = files.groupBy("encoding", "header").agg(F.collect_list("file").alias("files"))
+    parts = []
+    for row in sorted(groups.collect(), key=str):
+        if row["encoding"] is None:
+            raise ValueError(f"no known encoding decodes {sorted(row['files'])[:3]}")
+        names = _header(bytes(row["header"]), row["encoding"])
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        parts.append(spark.read.schema(schema).csv(
+            [_path_of(spark, f) for f in row["files"]], header=True, encoding=row["encoding"],
+            escape='"', multiLine=multi_line))
+    if not parts:
+        return spark.read.csv(path, header=True)
+    return concat_parts(parts)
 
 
 def text_schema(table: str | TableSpec) -> T.StructType:
@@ -94,17 +144,21 @@ def text_schema(table: str | TableSpec) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in spec_of(table).columns])
 
 
-def read_landed(spark: SparkSession, path: str, fmt: str, table: str | TableSpec) -> DataFrame:
+def read_landed(
+    spark: SparkSession, path: str | list[str], fmt: str, table: str | TableSpec,
+    multi_line: bool = True,
+) -> DataFrame:
     """Landed files of a dataset. JSON and Parquet are read with a schema: JSON would need a
     pass over the data to infer one, and Parquet files whose column is all null may carry
     another type for it than their neighbours."""
     if fmt == "csv":
-        return read_csv(spark, path)
+        return read_csv(spark, path, multi_line=multi_line)
     if fmt == "csv_any":
-        return read_csv_any_encoding(spark, path)
+        return read_csv_any_encoding(spark, path, multi_line=multi_line)
     if fmt == "json":
         return spark.read.schema(text_schema(table)).json(path)
-    return spark.read.schema(spec_of(table).schema).parquet(path)
+    paths = [path] if isinstance(path, str) else path
+    return spark.read.schema(spec_of(table).schema).parquet(*paths)
 
 
 # -- shaping ---------------------------------------------------------------------------------
@@ -212,9 +266,10 @@ def income_of_code(df: DataFrame, as_of: str, code: str, period: str | None = No
 
 
 def ingest(
-    spark: SparkSession, table: str, path: str, fmt: str, as_of: str, **filters
+    spark: SparkSession, table: str, path: str, fmt: str, as_of: str, multi_line: bool = True,
+    **filters,
 ) -> DataFrame:
     """Typed rows of a landed dataset, restricted like :func:`landed_slice`."""
     source = "stock_basic" if table == "st_stocks" else table
-    rows = normalise(read_landed(spark, path, fmt, source), source)
+    rows = normalise(read_landed(spark, path, fmt, source, multi_line), source)
     return landed_slice(rows, table, as_of, **filters)

@@ -215,6 +215,8 @@ class Store(Tables):
         before = self._commit(spec)
         stored = self._stored(spec)
         if stored is None:
+            if incoming.isEmpty():
+                return 0
             seen = Observation()
             fresh = keep_last(incoming.observe(seen, F.count("*").alias("rows")), spec.key,
                               spec.newest_first)

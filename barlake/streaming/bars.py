@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from barlake.catalog import TableSpec
 from barlake.functions import from_cents, ratio, ymd
 from barlake.sources.store import Store
 
@@ -52,24 +54,73 @@ def utc_instant(wall_clock: Column) -> Column:
     return local.cast("timestamp")
 
 
-def start_bar_stream(
-    ticks: DataFrame, store: Store, checkpoint: str, lateness: str = "1 day"
-) -> StreamingQuery:
+# What is known of a day's ticks so far; two of these rows of the same day add up to one.
+STATE = TableSpec(
+    "bar_state",
+    T.StructType([
+        T.StructField("ts_code", T.StringType()), T.StructField("trade_date", T.StringType()),
+        T.StructField("first_seq", T.LongType()), T.StructField("open", T.DoubleType()),
+        T.StructField("high", T.DoubleType()), T.StructField("low", T.DoubleType()),
+        T.StructField("last_seq", T.LongType()), T.StructField("close", T.DoubleType()),
+        T.StructField("ticks", T.LongType()), T.StructField("cents", T.LongType()),
+    ]),
+    ("ts_code", "trade_date"), "ts_code", "trade_date", ("ym",), ("ym",), (),
+    ("ts_code", "trade_date"),
+)
+
+
+def _partial(ticks: DataFrame) -> DataFrame:
+    day = ymd(_in_utc(F.col("ts")))
+    return ticks.groupBy(F.col("code").cast("string").alias("ts_code"), day.alias("trade_date")).agg(
+        F.min("seq").alias("first_seq"), F.min_by("price", "seq").alias("open"),
+        F.max("price").alias("high"), F.min("price").alias("low"),
+        F.max("seq").alias("last_seq"), F.max_by("price", "seq").alias("close"),
+        F.count("*").alias("ticks"), F.sum("cents").alias("cents"))
+
+
+def _added(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("ts_code", "trade_date").agg(
+        F.min("first_seq").alias("first_seq"), F.min_by("open", "first_seq").alias("open"),
+        F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max("last_seq").alias("last_seq"), F.max_by("close", "last_seq").alias("close"),
+        F.sum("ticks").alias("ticks"), F.sum("cents").alias("cents"))
+
+
+def _changed_bars(state: DataFrame, touched: DataFrame) -> DataFrame:
+    """Whole bars of the touched days, and of the day after each, whose change depends on it."""
+    days = touched.select("ts_code", "trade_date", F.lit(True).alias("touched"))
+    rows = state.join(touched.select("ts_code").distinct(), "ts_code", "left_semi")
+    rows = rows.join(days, ["ts_code", "trade_date"], "left")
+    by_day = Window.partitionBy("ts_code").orderBy("trade_date")
+    rows = rows.withColumn("before", F.lag("touched").over(by_day)).withColumn(
+        "pre_close", F.lag("close").over(by_day))
+    change = F.col("close") - F.col("pre_close")
+    return rows.where("touched OR before").select(
+        "ts_code", "trade_date", "open", "high", "low", "close", "pre_close",
+        change.alias("change"), (ratio(change, F.col("pre_close")) * 100).alias("pct_chg"),
+        F.col("ticks").cast("double").alias("vol"), from_cents(F.col("cents")).alias("amount"))
+
+
+def start_bar_stream(ticks: DataFrame, store: Store, checkpoint: str) -> StreamingQuery:
     """Keep the ``daily`` table current from a stream of ticks with a TIMESTAMP ``ts``.
 
-    A day is a UTC day, whatever the session's time zone. Updated bars replace their earlier
-    state in the table. State of a day is dropped once the watermark has passed it.
+    A day is a UTC day, whatever the session's time zone. Ticks may come in any order and however
+    late: what is known of each day is kept in a table of its own (``bar_state``) beside the
+    others, to which every micro-batch adds. That commit carries the stream's name and batch number,
+    so a batch that is run again after a failure adds nothing twice. The bars of the touched days,
+    and of the days after them, are written with all their columns.
     """
-    day = F.window("ts", "1 day").alias("w")
-    updated = ticks.withWatermark("ts", lateness).groupBy("code", day).agg(*_bar_columns())
-    rows = updated.select(
-        F.col("code").cast("string").alias("ts_code"),
-        ymd(_in_utc(F.col("w.start"))).alias("trade_date"),
-        "open", "high", "low", "close", "vol", "amount",
-    )
+    def take(batch: DataFrame, number: int) -> None:
+        mark = f"{checkpoint}#{number}"
+        new = _partial(batch)
+        if store.token(STATE) != mark:
+            known = store.scan(STATE).join(
+                new.select("ts_code", "trade_date"), ["ts_code", "trade_date"], "left_semi")
+            store.upsert(_added(known.unionByName(new)), STATE, staged=True, token=mark)
+        store.upsert(_changed_bars(store.scan(STATE), new), "daily", staged=True)
+
     return (
-        rows.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, _id: store.upsert(batch, "daily"))
+        ticks.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from barlake.sources.landing import normalise, text_schema
+from barlake.sources.landing import normalise, read_landed
 from barlake.sources.store import Store
 
 
@@ -18,29 +17,35 @@ def start_upsert_stream(
     landing: str,
     checkpoint: str,
     fmt: str = "parquet",
-    schema: T.StructType | None = None,
+    read: Callable[[list[str]], DataFrame] | None = None,
     shape: Callable[[DataFrame], DataFrame] | None = None,
     files_per_batch: int | None = None,
     **options: str,
 ) -> StreamingQuery:
     """Upsert every file that is in ``landing`` and not yet taken, then stop.
 
-    The upsert is idempotent, so a micro-batch that is repeated after a failure leaves the
-    same table, and any lateness is accepted: a revision simply replaces its row.
+    The stream is one of files; each micro-batch reads its files as the batch reader does: CSV by
+    header name, JSON as text cells, Parquet by the table's types, unless ``read`` replaces that. The
+    upsert is idempotent, so a micro-batch that is repeated after a failure leaves the same table,
+    and any lateness is accepted: a revision simply replaces its row.
     """
-    reader = store.spark.readStream.format(fmt).schema(schema or text_schema(table))
-    if fmt == "csv":
-        reader = reader.option("header", True).option("escape", '"')
+    spark = store.spark
+    listing = "path string, modificationTime timestamp, length long, content binary"
+    files = spark.readStream.format("binaryFile").schema(listing).options(**options)
     if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        files = files.option("maxFilesPerTrigger", files_per_batch)
     shaped = shape or (lambda df: normalise(df, table))
+    reader = read or (lambda paths: read_landed(spark, paths, fmt, table))
 
     def take(batch: DataFrame, _id: int) -> None:
-        # Text is parsed once and staged; Parquet is read again column by column.
-        store.upsert(shaped(batch), table, staged=fmt in ("csv", "json"))
+        # The names of the batch's files; their content is not read here.
+        paths = sorted(r["path"] for r in batch.select("path").collect())
+        if paths:
+            # Text is parsed once and staged; Parquet is read again column by column.
+            store.upsert(shaped(reader(paths)), table, staged=fmt != "parquet")
 
     return (
-        reader.options(**options).load(landing)
+        files.load(landing).select("path")
         .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

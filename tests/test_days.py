@@ -80,11 +80,11 @@ def _batches(as_of, years, k):
 
 @pytest.mark.parametrize("as_of", [dt.date(2024, 2, 29), dt.date(2024, 3, 15), dt.date(2023, 12, 31)])
 def test_month_batches(spark, as_of):
-    sizes = {"a": 300, "b": 1000, "c": 2000, "d": 90000, "e": 5999}
-    months = {"a": 12, "b": 6, "c": 3, "d": 1, "e": 1}
+    sizes = {"a": 300, "b": 1000, "c": 2000, "d": 90000, "e": 5999, "f": 0}
+    months = {"a": 12, "b": 6, "c": 3, "d": 1, "e": 1, "f": 12}
     df = spark.createDataFrame(list(sizes.items()), "index_code string, constituents long")
     got = {}
-    for r in days.month_batches(df, as_of.strftime("%Y%m%d"), 3).collect():
+    for r in days.month_batches(df, as_of.strftime("%Y%m%d"), 3, max_rows=6000).collect():
         assert r["months"] == months[r["index_code"]]
         got.setdefault(r["index_code"], []).append((r["batch_start"], r["batch_end"]))
     for code, k in months.items():

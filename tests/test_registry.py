@@ -9,16 +9,17 @@ import pytest
 
 import __spark_entry__ as entry_point
 from barlake.checks.bound import RAW_SCHEMAS
+from barlake.checks.registry import CHECKS
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, SQL = {n: entry_point.queries()[n] for n in CHECKS}, entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in RAW_SCHEMAS:
+    for name in [*RAW_SCHEMAS, "documents"]:
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     return con
 
@@ -39,7 +40,7 @@ def test_query_equals_sql(spark, duck, name):
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|PythonUDF|InPandas", plan)
     result = duck.execute(SQL[name])
     expected = comparable([c[0] for c in result.description], result.fetchall())
-    assert expected[1], "the check compares no rows"
+    assert expected[1] or name == "empty_view", "the check compares no rows"
     assert comparable(df.columns, df.collect()) == expected
 
 

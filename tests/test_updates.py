@@ -2,17 +2,15 @@
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barlake.operators.coverage import missing_dates
 from barlake.operators.days import open_days
 from barlake.plans import updates
 from barlake.plans.market import Market
 from barlake.sources.store import Store
-from barlake.streaming.bars import bars, start_bar_stream
-from barlake.sources.landing import text_schema
+from barlake.streaming.bars import STATE, bars, start_bar_stream, with_changes
 from barlake.streaming.landing import stream_upsert
-from conftest import FrameTables, rows_of
+from conftest import FrameTables, make, rows_of
 
 CODE = "000300.SH"
 
@@ -76,46 +74,113 @@ def test_days_replace_the_months(spark, store, landed):
 def test_full_update(spark, store, landed):
     store.save_trade_calendar(landed.scan("trade_calendar"))
     store.save_index_weight(landed.on_dates("index_weight", "20231130"), CODE)
-    sizes = spark.createDataFrame([(CODE, 2000)], "index_code string, constituents long")
-    rows = updates.full_steps(landed, store, "20240220", sizes, years=1)
+    indices = spark.createDataFrame([(CODE,)], "index_code string")
+    rows = updates.full_steps(landed, store, "20240220", indices, years=1)
     summary = updates.apply_update(store, rows)
     assert summary["income"] == 2 and summary["balancesheet"] == 1 and summary["daily"] == 32
-    # The batch of the last quarter of 2023 is not covered, so its rows are taken again.
-    assert summary["index_weight"] == 6 and store.scan("index_weight").count() == 6
+    # November 2023 is stored, the other months are not.
+    assert summary["index_weight"] == 4 and store.scan("index_weight").count() == 6
+
+
+def test_incremental_steps_prune_both_sides(spark, tmp_path, landed):
+    stores = [Store(spark, str(tmp_path / name), landed.indices) for name in ("landed", "stored")]
+    for store in stores:
+        for table in ("trade_calendar", "daily", "adjfactor", "moneyflow", "index_weight",
+                      "index_daily", *updates.STATEMENTS):
+            store.upsert(landed.scan(table), table)
+    steps = updates.incremental_steps(*stores, "20240220", 1)
+    for table in ("trade_calendar", "daily", "moneyflow", "index_weight", "index_daily"):
+        plan = steps[table]()._jdf.queryExecution().executedPlan().toString()
+        scans = plan.count("PartitionFilters: [")
+        assert scans and plan.count("PartitionFilters: []") == 0, (table, plan)
+
+
+def test_date_questions_read_the_newest_partitions(spark, store):
+    days = [f"2023{m:02d}15" for m in range(1, 13)]
+    rows = [{"ts_code": "A" if d < "20230601" else "B", "trade_date": d} for d in days]
+    store.save_daily(make(spark, "daily", rows + [{"ts_code": "C"}]))
+    m = Market(store)
+    assert rows_of(m.trading_dates(2)) == [("20231215",), ("20231115",)]
+    assert "PartitionFilters: []" not in m.trading_dates(2)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert m.trading_dates(100).where("trade_date IS NOT NULL").count() == 12
+    assert m.get_daily_latest("A").first()["trade_date"] == "20230515"
+    assert m.get_daily_latest("B").first()["trade_date"] == "20231215"
+    assert m.get_daily_latest("C").count() == 1 and m.get_daily_latest("D").count() == 0
+    assert {r["ym"] for r in m.stored_months().collect()} == {d[:6] for d in days} | {None}
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_landed_batches_stream_into_the_table(spark, store, tmp_path, fmt):
+    landing = str(tmp_path / "landing")
+
+    def land(columns, *rows):
+        schema = ", ".join(f"{c} {'double' if c == 'close' else 'string'}" for c in columns.split())
+        writer = spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append")
+        writer.option("header", True).format(fmt).save(landing)
 
+    def run():
+        return sorted(rows_of(stream_upsert(store, "daily", landing, str(tmp_path / "checkpoint"),
+                                            fmt=fmt).select("ts_code", "trade_date", "close")))
+
+    land("ts_code trade_date close", ("A", "20240102", 1.0), ("B", "20240102", None))
+    assert run() == [("A", "20240102", 1.0), ("B", "20240102", None)]
+    # Another column order, and a column less.
+    land("trade_date ts_code close", ("20240102", "B", 5.0), ("20231201", "A", 7.5))
+    land("trade_date ts_code", ("20240103", "C"))
+    late = run()
+    assert late == [("A", "20231201", 7.5), ("A", "20240102", 1.0), ("B", "20240102", 5.0),
+                    ("C", "20240103", None)]
+    assert run() == late
+
+
+def _ticks(spark, days, hours):
+    rows = [(c, f"2024-01-0{d} 1{h}:00:00", d * 10 + h, float(d * 7 % 5 + h), 100 * h)
+            for c in "AB" for d in days for h in hours]
+    schema = "code string, ts string, seq long, price double, cents long"
+    return spark.createDataFrame(rows, schema).withColumn("ts", F.to_timestamp("ts"))
 
-def test_landed_batches_stream_into_the_table(spark, store, tmp_path):
-    landing = tmp_path / "landing"
-    landing.mkdir()
 
-    def land(name, text):
-        (landing / name).write_text("ts_code,trade_date,close\n" + text)
+def test_bar_stream_equals_batch(spark, store, tmp_path):
+    landing = str(tmp_path / "ticks")
+    frame = _ticks(spark, range(1, 8), range(5))
+    # The newest files come first, days are split over files, and a day in the middle comes last.
+    late = "day(ts) = 3"
+    parts = [f"seq % 2 = 0 AND day(ts) > 4 AND NOT {late}", f"day(ts) <= 4 AND NOT {late}",
+             f"seq % 2 = 1 AND day(ts) > 4 AND NOT {late}", late]
 
     def run():
-        return stream_upsert(store, "daily", str(landing), str(tmp_path / "checkpoint"), fmt="csv",
-                             schema=T.StructType(text_schema("daily").fields[:2] +
-                                                 [T.StructField("close", T.StringType())]))
+        stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1)
+        start_bar_stream(stream.parquet(landing), store,
+                         str(tmp_path / "checkpoint")).awaitTermination()
 
-    land("1.csv", "A,20240102,1\nB,20240102,nan\n")
-    assert sorted(rows_of(run().select("ts_code", "close"))) == [("A", 1.0), ("B", None)]
-    land("2.csv", "B,20240102,5\nA,20231201,7\n")
-    late = sorted(rows_of(run().select("ts_code", "trade_date", "close")))
-    assert late == [("A", "20231201", 7.0), ("A", "20240102", 1.0), ("B", "20240102", 5.0)]
-    assert sorted(rows_of(run().select("ts_code", "trade_date", "close"))) == late
+    for part in parts:
+        frame.where(part).coalesce(1).write.mode("append").parquet(landing)
+        run()
+    expected = with_changes(bars(frame)).orderBy("ts_code", "trade_date")
+    assert rows_of(store.scan("daily").orderBy("ts_code", "trade_date")) == rows_of(expected)
 
 
-def test_bar_stream_equals_batch(spark, store, tmp_path):
-    ticks = [("A", f"2024-01-0{d} 1{h}:00:00", d * 10 + h, float(h), 100 * h)
-             for d in (1, 2) for h in range(5)]
-    schema = "code string, ts string, seq long, price double, cents long"
-    landing = str(tmp_path / "ticks")
-    frame = spark.createDataFrame(ticks, schema).withColumn("ts", F.to_timestamp("ts"))
-    # A day that is split over files is updated by each.
-    for part in (frame.where("seq % 2 = 0"), frame.where("seq % 2 = 1")):
-        part.coalesce(1).write.mode("append").parquet(landing)
-    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(landing)
-    start_bar_stream(stream, store, str(tmp_path / "checkpoint"), "10 days").awaitTermination()
-    columns = ["open", "high", "low", "close", "vol", "amount"]
-    got = rows_of(store.read_daily().select(*columns))
-    assert got == rows_of(bars(frame).orderBy("day").select(*columns))
-    assert got[0] == (0.0, 4.0, 0.0, 4.0, 5.0, 10.0)
+def test_bar_stream_repeats_a_batch_without_adding_twice(spark, store, tmp_path, monkeypatch):
+    landing, checkpoint = str(tmp_path / "ticks"), str(tmp_path / "checkpoint")
+    frame = _ticks(spark, (1, 2), range(3))
+    frame.coalesce(1).write.parquet(landing)
+    upsert = Store.upsert
+
+    def breaks(self, df, table, **kw):
+        if table == "daily":
+            raise OSError("driver lost")
+        return upsert(self, df, table, **kw)
+
+    def run():
+        stream = spark.readStream.schema(frame.schema).parquet(landing)
+        start_bar_stream(stream, store, checkpoint).awaitTermination()
+
+    with monkeypatch.context() as m:
+        m.setattr(Store, "upsert", breaks)
+        with pytest.raises(Exception, match="driver lost"):
+            run()
+    assert store.scan("daily").count() == 0 and store.token(STATE)
+    run()
+    expected = with_changes(bars(frame)).orderBy("ts_code", "trade_date")
+    assert rows_of(store.scan("daily").orderBy("ts_code", "trade_date")) == rows_of(expected)
