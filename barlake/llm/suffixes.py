@@ -35,9 +35,11 @@ from barlake.llm.tokens import _CODES, mixed_bits
 
 SPAN = 100
 LEAD = 16
-PER_BUCKET = 1_000_000
+PER_BUCKET = 400_000
 # Bytes of text per group of documents.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
+# Texts whose anchors are held at a time.
+SLICE = 2_000
 SAMPLED_TEXTS = 2_000
 SAMPLED_PER_TEXT = 200
 HOT = 20_000
@@ -183,7 +185,7 @@ def _dealt(docs: DataFrame, splitters, groups: int) -> DataFrame:
     """Anchors packed by bucket; runs that equal an earlier one of the batch go by group of
     documents, with a negative number."""
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, len(b), SLICE)):
             doc = batch.column("doc").to_numpy()
             crc = batch.column("crc").to_numpy()
             found = [(i, anchors(t)) for i, t in enumerate(_texts(batch)) if len(t) >= SPAN]
@@ -207,7 +209,7 @@ def _dealt(docs: DataFrame, splitters, groups: int) -> DataFrame:
     return docs.mapInArrow(run, _PACKED)
 
 
-def _sorted_bucket(key, rows: pa.Table, groups: int, meets: int) -> pa.Table:
+def _sorted_bucket(key, rows: pa.Table, groups: int, meets: int, hot: int) -> pa.Table:
     """Runs to remove, and contexts to compare, packed by group of documents."""
     blobs = rows["data"].to_pylist()
     if key[0].as_py() < 0:
@@ -225,8 +227,8 @@ def _sorted_bucket(key, rows: pa.Table, groups: int, meets: int) -> pa.Table:
     # The leading bytes at both ends may go on in the next bucket.
     end = (number == 0) | (number == number[-1])
     meet = (mixed_bits(mixed_bits(first) + second) % np.uint64(meets)).astype(np.int64)
-    for kind, chosen in ((ASK, head & ~end & (classes > 1) & (classes <= HOT)),
-                         (HOT_ASK, head & (end | (classes > HOT)))):
+    for kind, chosen in ((ASK, head & ~end & (classes > 1) & (classes <= hot)),
+                         (HOT_ASK, head & (end | (classes > hot)))):
         rows += [(g, kind, pack(*part)) for g, part in _split(
             _group_of(d[chosen], c[chosen], groups),
             [x[chosen] for x in (d, c, start, count, meet)])]
@@ -390,7 +392,7 @@ def _splitters(docs: DataFrame, buckets: int, texts: int) -> list[np.ndarray]:
     return [k[at] for k in keys]
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, per_bucket: int = PER_BUCKET, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of each row of ``docs`` (doc_id, text).
 
     A byte is removed if a string of SPAN bytes over it also starts earlier: in a document with a
@@ -407,12 +409,12 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     texts, size = docs.agg(F.count("*"), F.sum(n_bytes(F.col("text")))).first()
     size = size or 0
     groups = 1 + size // GROUP_BYTES
-    buckets = 1 + size // 40 // PER_BUCKET
-    meets = 1 + size // 40 // 100_000
+    buckets = 1 + size // 40 // per_bucket
+    meets = 1 + size // 40 // 50_000
     splitters = spark.sparkContext.broadcast(_splitters(docs, buckets, texts))
     sorted_out = cut(
         _dealt(docs, splitters, groups).groupBy("g")
-        .applyInArrow(lambda key, rows: _sorted_bucket(key, rows, groups, meets), _PACKED)
+        .applyInArrow(lambda key, rows: _sorted_bucket(key, rows, groups, meets, hot), _PACKED)
     )
     grouped = _grouped_texts(docs, groups)
     asked = sorted_out.where(F.col("kind") != DUP).select(F.col("g").alias("h"), "kind", "data")
