@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.session import shared_folder
+from barlake.session import scratch_folder
 
 # What parts words, in the two word definitions of the operators' contracts.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -17,6 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wrapped(docs: DataFrame, *used: str) -> DataFrame:
+    """The used columns, and all others in one, so that no name of theirs can clash."""
+    rest = [F.col(f"`{c}`").alias(c) for c in docs.columns if c not in used]
+    return docs.select(*used, F.struct(F.lit(0).alias("__"), *rest).alias("__rest"))
+
+
+def unwrapped(df: DataFrame, columns: list[str], *more: str) -> DataFrame:
+    """The columns of a :func:`wrapped` table, and some new ones."""
+    rest = df.schema["__rest"].dataType.names
+    return df.select(*[
+        F.col("__rest").getField(c).alias(c) if c in rest else F.col(c) for c in columns], *more)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows, written to the shared checkpoint folder and read from there.
 
@@ -34,7 +47,7 @@ def cut(df: DataFrame) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, written as Parquet to a new folder below the shared one and read from there."""
     spark = df.sparkSession
-    folder = shared_folder(spark, name)
+    folder = f"{scratch_folder(spark, name)}/rows"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 

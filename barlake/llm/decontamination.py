@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.llm.common import cut
+from barlake.llm.common import cut, unwrapped, wrapped
 from barlake.llm.tokens import Words, alnum_bytes, chunks, text_bytes
 
 WINDOW = 13
@@ -115,7 +115,7 @@ def _marked(df: DataFrame, text_col: str, windows) -> DataFrame:
 
 def marked(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-    window: int = WINDOW, block_windows: int = BLOCK_WINDOWS,
+    bench_text: str = "text", window: int = WINDOW, block_windows: int = BLOCK_WINDOWS,
 ) -> DataFrame:
     """``docs`` with __words (number of words), __spans (hit words as [first, end), merged and
     sorted) and __items (distinct ids, as text, of items with an occurring window).
@@ -124,7 +124,7 @@ def marked(
     once; an item without an id marks words but is not listed. Other columns pass through.
     """
     spark = docs.sparkSession
-    bench = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
+    bench = benchmark.select(F.col(item_col).alias("item"), F.col(bench_text).alias("text"))
     # Windows are at most one more than the bytes, halved: a word and a separator.
     size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) / 2 + 1)
     blocks = 1 + int((bench.select(size).first()[0] or 0) // block_windows)
@@ -148,12 +148,13 @@ def contaminated():
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, as they came."""
-    return marked(docs, benchmark).where(~contaminated()).select(*docs.columns)
+    found = marked(wrapped(docs, "doc_id", "text"), benchmark)
+    return unwrapped(found.where(~contaminated()), docs.columns)
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """All documents, with the hit words (and what stands between them) cut from the text."""
-    found = marked(docs, benchmark, text_col)
+    found = marked(wrapped(docs, text_col), benchmark, text_col)
 
     def cut_words(batches):
         for batch in batches:
@@ -165,8 +166,10 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text")
                     for first, end in reversed(spans):
                         begin, stop = words.starts[first] - 1, words.ends[end - 1] - 1
                         texts[i] = texts[i][:begin] + texts[i][stop:]
-            columns = [pa.array(texts, pa.binary()).cast(pa.string()) if c == text_col
-                       else batch.column(batch.schema.get_field_index(c)) for c in docs.columns]
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.binary()).cast(pa.string()), batch.column("__rest")],
+                [text_col, "__rest"])
 
-    return found.mapInArrow(cut_words, docs.schema)
+    kept = found.select(text_col, "__rest")
+    cleaned = found.select(text_col, "__rest", "__spans").mapInArrow(cut_words, kept.schema)
+    return unwrapped(cleaned, docs.columns)

@@ -171,6 +171,10 @@ def listed(x: np.ndarray, codes, bound: np.ndarray):
 def _verified(left: pa.Table, right: pa.Table, threshold: float) -> pa.Table:
     """Of each vector with a link in the tile: the number of rows linked by it (for those on the
     right, the probing ones) and the least node that it is connected with here."""
+    if not len(left) or not len(right):
+        # A block number that no vector of one side has drawn.
+        none = pa.array([], pa.int64())
+        return pa.table({"node": none, "links": none, "least": none})
     x, y = _units(_rows(left["vec"])), _units(_rows(right["vec"]))
     one, two = left["node"].to_numpy(), right["node"].to_numpy()
     hit = (y @ x.T >= threshold) & (two[:, None] != one[None, :])

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from barlake.llm.common import cut
+from barlake.llm.common import cut, unwrapped, wrapped
 from barlake.llm.components import components
 from barlake.llm.tokens import Words, blank_bytes, chunks, mixed_bits, text_bytes
 
@@ -340,9 +340,10 @@ def without_duplicates(docs: DataFrame, width: int, num: int, den: int) -> DataF
     kept = found.where(F.col("doc_id") == F.col("component")).select(
         F.col("doc_id.id").alias("__id"), F.col("doc_id.hash").alias("__hash")).distinct()
     same = Window.partitionBy("__id", "__hash").orderBy(F.lit(1))
-    return (
-        docs.withColumn("__id", key["id"]).withColumn("__hash", key["hash"])
+    rows = (
+        wrapped(docs, "doc_id", "text")
+        .withColumn("__id", key["id"]).withColumn("__hash", key["hash"])
         .join(kept, ["__id", "__hash"], "left_semi")
         .withColumn("__number", F.row_number().over(same)).where("__number = 1")
-        .select(*docs.columns)
     )
+    return unwrapped(rows, docs.columns)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barlake.llm.common import BLANKS, text_crc, words
+from barlake.llm.common import BLANKS, text_crc, unwrapped, words, wrapped
 
 WEIGHTS = (5, 2, 1)
 
@@ -113,9 +113,7 @@ def mixed(
 def mix_documents(df: DataFrame, seed: str = "mix") -> DataFrame:
     """Documents as often as the mix takes them, with the columns they came with."""
     order = [F.col("doc_id"), text_crc(F.col("text"))]
-    out = mixed(df, "source", order, n_words(F.col("text")), seed=seed)
-    return (
-        out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .where(F.col("__copies") > 0)
-        .select(*df.columns)
-    )
+    rows = wrapped(df, "doc_id", "text", "source")
+    out = mixed(rows, "source", order, n_words(F.col("text")), seed=seed)
+    copies = F.explode(F.sequence(F.lit(1), F.col("__copies")))
+    return unwrapped(out.where("__copies > 0").withColumn("__copy", copies), df.columns)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barlake.llm.common import cut
+from barlake.llm.common import cut, unwrapped, wrapped
 
 # Titles by gender.
 MALE = "Mr Mister Herr Herrn Monsieur Señor Sr Don господин Господин".split()
@@ -207,6 +207,7 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFr
     Every other character stays. A null text stays null. Repeated rows are replaced alike. Columns
     keep their order.
     """
+    columns, docs = docs.columns, wrapped(docs, text_col)
     text = F.col(text_col)
     any_part = reduce(or_, [text.rlike(part) for part in PARTS])
     entities = F.when(any_part, F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
@@ -230,6 +231,7 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFr
     joined = F.array_join(F.transform(pieces, lambda p, i: F.concat(
         p, F.coalesce(F.element_at("__new", F.get("__found", i)), F.lit("")))), "")
     replaced = some.join(given, "__row").withColumn("__text", joined)
-    columns = [F.col("__text").alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return none.select(*docs.columns, F.lit(0).cast("long").alias("__entities")).union(
-        replaced.select(*columns, F.size("__found").cast("long").alias("__entities")))
+    out = none.select(text_col, "__rest", F.lit(0).cast("long").alias("__entities")).union(
+        replaced.select(F.col("__text").alias(text_col), "__rest",
+                        F.size("__found").cast("long").alias("__entities")))
+    return unwrapped(out, columns, "__entities")

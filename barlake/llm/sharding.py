@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barlake.llm.common import n_bytes, text_crc
+from barlake.llm.common import n_bytes, text_crc, unwrapped, wrapped
 
 BUCKETS = 4096
 KEYS = (11, 23, 37, 53, 71, 97)
@@ -101,4 +101,6 @@ def shard_documents(docs: DataFrame, shards: int = 16, seed: int = 0) -> DataFra
     """
     text = F.col("text")
     order = [F.col("doc_id"), n_bytes(text), text_crc(text), F.xxhash64(text)]
-    return placed(docs.drop("shard", "slot"), order, shards, seed)
+    columns = [c for c in docs.columns if c not in ("shard", "slot")]
+    rows = placed(wrapped(docs.select(*columns), "doc_id", "text"), order, shards, seed)
+    return unwrapped(rows, columns, "shard", "slot")

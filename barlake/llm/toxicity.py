@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlake.llm.common import unwrapped, wrapped
 from barlake.llm.tokens import Words, alnum_bytes, chunks, mixed_bits, text_bytes
 
 BITS = 18
@@ -211,5 +212,5 @@ def scored(docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFra
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents scored below the threshold, as they came."""
-    found = scored(docs, learned(docs, labels))
-    return found.where(F.col("__score") < threshold).select(*docs.columns)
+    found = scored(wrapped(docs, "doc_id", "text"), learned(docs, labels))
+    return unwrapped(found.where(F.col("__score") < threshold), docs.columns)
