@@ -71,7 +71,52 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_COMPONENTS = """
+linked AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (
+  SELECT x, y FROM linked
+  UNION
+  SELECT reach.x, linked.y FROM reach JOIN linked ON reach.y = linked.x),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)"""
+
+JACCARD = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {words(pattern=_BLANK)} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= 3
+    THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g)
+  WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN n AS nx ON nx.doc_id = x JOIN n AS ny ON ny.doc_id = y
+  WHERE 100 * c >= 90 * (nx.n + ny.n - c)),{_COMPONENTS}
+SELECT doc_id, coalesce(n, 0) AS n_shingles,
+  least(doc_id, coalesce(least.y, doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.x = doc_id
+"""
+
+EMBEDDINGS = f"""
+WITH RECURSIVE u AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.label = b.label
+  WHERE a.vec_id < b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.98),{_COMPONENTS},
+counts AS (SELECT x, count(*) AS n FROM linked GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links,
+  least(vec_id, coalesce(least.y, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(least.y, vec_id)) AS kept
+FROM embeddings LEFT JOIN counts ON counts.x = vec_id LEFT JOIN least ON least.x = vec_id
+"""
+
 SQL = {
+    "op1_embeddings": EMBEDDINGS,
+    "op6_jaccard": JACCARD,
     "op7_mixing": MIXING,
     "op10_decontamination": DECONTAMINATION,
 }

@@ -1,11 +1,13 @@
 """The corpus pipeline, stage by stage, and the registration."""
 
 import corpus_pipeline
+import duckdb
 import __spark_entry__ as entry_point
+import pytest
 from llm_cases import ALNUM, BLANK, counted, near_groups, no_documents, odd_documents, rows_of, words
 from test_texts import plain_hits
 
-from barlake.llm import toxicity
+from barlake.llm import oracle, toxicity
 from barlake.llm.common import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -18,6 +20,16 @@ def test_every_operator_is_registered():
     assert set(entry_point.oracle_sql()) <= set(names)
 
 
+@pytest.mark.parametrize("name", sorted(oracle.SQL))
+def test_queries_equal_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
+    df = entry_point.queries()[name](spark, FOLDER)
+    expected = con.execute(f"SELECT {', '.join(df.columns)} FROM ({oracle.SQL[name]})").fetchall()
+    assert sorted(map(str, rows_of(df))) == sorted(map(str, expected)) and expected
+
+
 def test_stages_equal_plain_versions(spark):
     docs = table(spark, FOLDER, "documents")
     columns, stages = docs.columns, dict(corpus_pipeline.STAGES)
