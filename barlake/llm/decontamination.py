@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.llm.common import cut, unwrapped, wrapped
-from barlake.llm.tokens import Words, alnum_bytes, chunks, text_bytes
+from barlake.llm.tokens import Words, alnum_bytes, chunks, slices, text_bytes
 
 WINDOW = 13
 # A window of 13 words takes about 100 bytes as text and 300 in the table, so a block stays
@@ -92,7 +92,7 @@ def _marked(df: DataFrame, text_col: str, windows) -> DataFrame:
     again = "__words" in df.columns
 
     def scan(batches):
-        for batch in batches:
+        for batch in slices(batches):
             words, spans, items = [], [], []
             texts = text_bytes(batch.column(batch.schema.get_field_index(text_col)))
             none = [()] * len(texts)
@@ -157,7 +157,7 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text")
     found = marked(wrapped(docs, text_col), benchmark, text_col)
 
     def cut_words(batches):
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.schema.get_field_index(text_col)
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             for i, spans in enumerate(batch.column("__spans").to_pylist()):

@@ -27,12 +27,14 @@ from pyspark.sql.window import Window
 
 from barlake.llm.common import cut, unwrapped, wrapped
 from barlake.llm.components import components
-from barlake.llm.tokens import Words, blank_bytes, chunks, mixed_bits, text_bytes
+from barlake.llm.tokens import Words, blank_bytes, chunks, mixed_bits, slices, text_bytes
 
 SKETCH_BITS = 18
 MOST_MATCHES = 8
 VERIFY_COST = 8.0
 BLOCK = 256
+# Bounds of sixteen ranges of hashes; the last is above all but one hash.
+_RANGES = np.append(np.arange(16, dtype=np.uint64) << np.uint64(60), np.uint64(2**64 - 1))
 
 
 def shingle_sets(texts: list[bytes], width: int):
@@ -69,7 +71,7 @@ def _fields(**kinds: T.DataType) -> T.StructType:
 def _nodes(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n, node) of each row; node is null for an empty set."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = list(shingle_sets(text_bytes(batch.column("text")), width))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -89,10 +91,15 @@ def _sketch(docs: DataFrame, width: int) -> np.ndarray:
     def run(batches):
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
-            sets = list(shingle_sets(text_bytes(batch.column("text")), width))
-            every = np.sort(np.concatenate(sets)) if sets else np.zeros(0, dtype=np.uint64)
-            again = every[1:][every[1:] == every[:-1]]
-            np.add.at(counts, again >> np.uint64(64 - SKETCH_BITS), 1)
+            sets = [s for part in slices([batch])
+                    for s in shingle_sets(text_bytes(part.column("text")), width)]
+            # The sets are sorted, so that a range of hashes is a slice of each.
+            cuts = [np.searchsorted(s, _RANGES).tolist() for s in sets]
+            for k in range(len(_RANGES) - 1 if sets else 0):
+                every = np.concatenate([s[c[k]:c[k + 1]] for s, c in zip(sets, cuts, strict=True)])
+                every.sort()
+                again = every[1:][every[1:] == every[:-1]]
+                np.add.at(counts, again >> np.uint64(64 - SKETCH_BITS), 1)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at])],
                                          ["counter", "n"])
@@ -121,7 +128,7 @@ def prefix(shingles: np.ndarray, repeats: np.ndarray, num: int, den: int):
 def _postings(docs: DataFrame, width: int, repeats, num: int, den: int) -> DataFrame:
     def run(batches):
         seen: set[int] = set()
-        for batch in batches:
+        for batch in slices(batches):
             tokens, nodes, sizes, least = [], [], [], []
             for s in shingle_sets(text_bytes(batch.column("text")), width):
                 n = len(s)
@@ -281,7 +288,7 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, width: int, num: int, den: i
 def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """(node, shingles) of the wanted nodes, from the text of one document of each."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = list(shingle_sets(text_bytes(batch.column("text")), width))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_node(s) for s in sets], pa.int64()),

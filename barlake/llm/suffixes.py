@@ -6,8 +6,8 @@ start at anchors, about one in 40, are sorted. Neighbouring strings with the sam
 context.
 
 1. Sampled splitters range-partition the anchors' suffixes by their leading bytes, ties by the hash
-   of the context. Each bucket is sorted by a multikey quicksort: by the first key, then only what is
-   tied by the next. Of equal contexts all but the earliest are removed as a whole. A context whose
+   of the context. Each bucket is sorted by a multikey quicksort: by the first key, then only what
+   is tied by the next. Of equal contexts all but the earliest are removed as a whole. A context whose
    leading bytes stand in other contexts as well has to be compared string by string, and so has
    one at the end of a bucket, whose neighbour may be in the next bucket.
 2. Those contexts are fetched from the texts and meet by their leading bytes; of equal strings all
@@ -31,15 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.llm.common import cut, n_bytes
-from barlake.llm.tokens import _CODES, mixed_bits
+from barlake.llm.tokens import _CODES, mixed_bits, slices
 
 SPAN = 100
 LEAD = 16
 PER_BUCKET = 400_000
 # Bytes of text per group of documents.
 GROUP_BYTES = 4 << 20
-# Texts whose anchors are held at a time.
-SLICE = 2_000
 SAMPLED_TEXTS = 2_000
 SAMPLED_PER_TEXT = 200
 HOT = 20_000
@@ -185,7 +183,7 @@ def _dealt(docs: DataFrame, splitters, groups: int) -> DataFrame:
     """Anchors packed by bucket; runs that equal an earlier one of the batch go by group of
     documents, with a negative number."""
     def run(batches):
-        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, len(b), SLICE)):
+        for batch in slices(batches):
             doc = batch.column("doc").to_numpy()
             crc = batch.column("crc").to_numpy()
             found = [(i, anchors(t)) for i, t in enumerate(_texts(batch)) if len(t) >= SPAN]
@@ -238,7 +236,7 @@ def _sorted_bucket(key, rows: pa.Table, groups: int, meets: int, hot: int) -> pa
 def _grouped_texts(docs: DataFrame, groups: int) -> DataFrame:
     def run(batches):
         press = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in slices(batches):
             doc, crc = batch.column("doc").to_numpy(), batch.column("crc").to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(_group_of(doc, crc, groups)), batch.column("doc_id"),

@@ -111,6 +111,13 @@ def chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
+def slices(batches, rows: int = 2000) -> Iterator:
+    """Arrow batches cut to so many rows, which bounds what a task holds beside its batch."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def text_bytes(column) -> list[bytes]:
     """The UTF-8 bytes of an Arrow text column; null is empty."""
     import pyarrow as pa

@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.llm.common import unwrapped, wrapped
-from barlake.llm.tokens import Words, alnum_bytes, chunks, mixed_bits, text_bytes
+from barlake.llm.tokens import Words, alnum_bytes, chunks, mixed_bits, slices, text_bytes
 
 BITS = 18
 FACTORS = 4
 PREFIXES = (4, 5, 6, 7)
-MAX_ROWS = 20_000
+MAX_ROWS = 8_000
 MIN_DF, MIN_Z = 6, 3.0
 THRESHOLD = 0.3
 _SALT = np.uint64(0xA0761D6478BD642F)
@@ -179,7 +179,7 @@ def learned(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Mac
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 
     def terms(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = text_terms(text_bytes(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"),
@@ -199,7 +199,7 @@ def scored(docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFra
     sent = docs.sparkSession.sparkContext.broadcast(machine)
 
     def scores(batches):
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.schema.get_field_index(text_col)
             found = [sent.value.score(t) for t in text_terms(text_bytes(batch.column(at)))]
             yield pa.RecordBatch.from_arrays(
