@@ -39,8 +39,7 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         root = spark.conf.get("spark.checkpoint.dir", None)
-        root = root or spark.conf.get("spark.sql.warehouse.dir") + "/barlake-checkpoints"
-        spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(root or scratch_folder(spark, "checkpoints"))
     return df.checkpoint()
 
 
