@@ -1,12 +1,12 @@
 """PII surrogates, in DataFrame functions only.
 
 Entities are found by one pattern: e-mail and IPv4 addresses, international phone numbers, card
-numbers, secrets, and names after a title. An entity's canonical form (lower case for addresses,
+numbers, secrets (by their form, or assigned to a word like password), and names after a title. An entity's canonical form (lower case for addresses,
 digits for numbers) is what it is known by, so that differently written mentions stay the same
 entity. Each distinct entity draws a surrogate from a keyed hash of (type, canonical form, attempt):
 digits for digits, letters for letters, octets for octets, names by the gender of the title and the
-script of the name. A surrogate that another entity drew, or that is an entity itself, is drawn again
-until all are distinct. Mentions are then replaced in their own format.
+script of the name. A surrogate that another entity drew, or that is an entity itself, is drawn
+again until all are distinct. Mentions are then replaced in their own format.
 
 Only texts with entities are joined with surrogates; all others pass through.
 """
@@ -26,6 +26,9 @@ from barlake.llm.common import cut, unwrapped, wrapped
 MALE = "Mr Mister Herr Herrn Monsieur Señor Sr Don господин Господин".split()
 FEMALE = "Mrs Ms Miss Frau Madame Mme Señora Sra Doña госпожа Госпожа".split()
 
+# What a secret of any form is assigned to.
+SECRET_WORDS = "password|passwd|pwd|secret|token|api_?key"
+
 # The patterns of the entity types, tried in this order.
 TYPES = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -36,17 +39,21 @@ TYPES = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "secret": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|"
               r"sk-[A-Za-z0-9]{20,}|[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![A-Za-z0-9])",
+    "password": r'(?<=[=:" ])(?<=(?i:' + SECRET_WORDS + r') ?[=:] ?"?)[A-Za-z0-9+/_-]{8,}',
     "name": r"(?<![\p{L}])(?:" + "|".join(MALE + FEMALE) +
             r")\.? \p{Lu}\p{Ll}+(?:[ -]\p{Lu}\p{Ll}+)?(?![\p{L}])",
 }
 ENTITY = "|".join(f"(?:{p})" for p in TYPES.values())
 # What any entity has at least one of; texts with none are not searched.
-PARTS = ("[0-9@]", "AKIA|gh[pousr]_|sk-", "[a-f]{32}|[A-F]{32}", TYPES["name"])
+PARTS = ("[0-9@]", "AKIA|gh[pousr]_|sk-", "[a-f]{32}|[A-F]{32}",
+         f"(?i:{SECRET_WORDS}) ?[=:]", TYPES["name"])
 MOST_DRAWS = 32
 
 # Syllables of invented names, by script.
-LATIN = "al an ar be ca da el en fa ga ha il jo ka la le lo ma mi na no or pe ra ri sa so ta ti vi".split()
-CYRILLIC = "ал ан ар бе ва да ел ен за га ил ка ла ле ло ма ми на но ор пе ра ри са со та ти ви".split()
+LATIN = ("al an ar be ca da el en fa ga ha il jo ka la le lo ma mi na no or pe ra ri sa so ta "
+         "ti vi").split()
+CYRILLIC = ("ал ан ар бе ва да ел ен за га ил ка ла ле ло ма ми на но ор пе ра ри са со та "
+            "ти ви").split()
 
 
 def _keyed(key: str, *parts: Column) -> Column:
@@ -68,6 +75,7 @@ def _kind(value: Column) -> Column:
 
 def _bare(pattern: str) -> str:
     """The pattern without what has to stand around it."""
+    pattern = pattern.removeprefix(TYPES["password"].removesuffix("[A-Za-z0-9+/_-]{8,}"))
     for begin in ("(?<![0-9.])", "(?<![0-9])", "(?<![0-9-])", "(?<![A-Za-z0-9])"):
         pattern = pattern.removeprefix(begin)
     for end in (r"(?![0-9]|\.[0-9])", "(?![0-9])", "(?![0-9-])", "(?![A-Za-z0-9])"):
@@ -131,8 +139,13 @@ def _surrogate(kind: Column, canonical: Column, drawn: Column) -> Column:
         _name(drawn, LATIN, F.lit("m"), 3))
     joint = F.regexp_extract(name, "[ -]", 0)
     both = F.when(joint == "", family).otherwise(F.concat(given, joint, family))
-    hexa = F.when(canonical.rlike("[a-z]"), _mapped(canonical, drawn, "0123456789abcdef", "^$"))
-    hexa = hexa.otherwise(_mapped(canonical, drawn, "0123456789ABCDEF", "^$"))
+    lower, upper = "0123456789abcdef", "0123456789ABCDEF"
+    hexa = (
+        F.when(canonical.rlike("^[0-9a-f]+$"), _mapped(canonical, drawn, lower, "^$"))
+        .when(canonical.rlike("^[0-9A-F]+$"), _mapped(canonical, drawn, upper, "^$"))
+        .otherwise(_mapped(canonical, drawn, digits + "abcdefghijklmnopqrstuvwxyz",
+                           "[^A-Za-z0-9]"))
+    )
     prefix = F.regexp_extract(canonical, "^(?:AKIA|gh[pousr]_|sk-)", 0)
     marked = F.concat(prefix, _mapped(F.expr("substr(canonical, length(regexp_extract("
                                              "canonical, '^(?:AKIA|gh[pousr]_|sk-)', 0)) + 1)"),
@@ -143,7 +156,7 @@ def _surrogate(kind: Column, canonical: Column, drawn: Column) -> Column:
         .when(kind == "phone", F.concat(F.substring(canonical, 1, 1), _mapped(
             F.expr("substr(canonical, 2)"), drawn, digits, "^$")))
         .when(kind.isin("card", "ssn"), _mapped(canonical, drawn, digits, "^$"))
-        .when(kind == "secret", F.when(prefix == "", hexa).otherwise(marked))
+        .when(kind.isin("secret", "password"), F.when(prefix == "", hexa).otherwise(marked))
         .otherwise(F.concat(gender, F.lit(":"), both))
     )
 
