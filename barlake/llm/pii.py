@@ -1,12 +1,13 @@
 """PII surrogates, in DataFrame functions only.
 
 Entities are found by one pattern: e-mail and IPv4 addresses, international phone numbers, card
-numbers, secrets (by their form, or assigned to a word like password), and names after a title. An entity's canonical form (lower case for addresses,
-digits for numbers) is what it is known by, so that differently written mentions stay the same
-entity. Each distinct entity draws a surrogate from a keyed hash of (type, canonical form, attempt):
-digits for digits, letters for letters, octets for octets, names by the gender of the title and the
-script of the name. A surrogate that another entity drew, or that is an entity itself, is drawn
-again until all are distinct. Mentions are then replaced in their own format.
+numbers, secrets (by their form, or assigned to a word like password), and names after a title. An
+entity's canonical form (lower case for addresses, digits for numbers) is what it is known by, so
+that differently written mentions stay the same entity. Each distinct entity draws a surrogate from
+a keyed hash of (type, canonical form, attempt): digits for digits, letters for letters, octets for
+octets, names by the gender of the title and the script of the name. A surrogate that another entity
+drew, or that is an entity itself, is drawn again until all are distinct. Mentions are then replaced
+in their own format.
 
 Only texts with entities are joined with surrogates; all others pass through.
 """
@@ -62,8 +63,8 @@ def _keyed(key: str, *parts: Column) -> Column:
 
 
 def _number(drawn: Column, place: int, below: int) -> Column:
-    """A number below ``below`` from eight hex digits."""
-    return F.pmod(F.conv(F.substring(drawn, 1 + 8 * place, 8), 16, 10).cast("long"), F.lit(below))
+    """A number below ``below`` from four hex digits."""
+    return F.pmod(F.conv(F.substring(drawn, 1 + 4 * place, 4), 16, 10).cast("int"), F.lit(below))
 
 
 def _kind(value: Column) -> Column:
@@ -113,30 +114,30 @@ def _mapped(text: Column, drawn: Column, alphabet: str, keep: str) -> Column:
     return F.array_join(F.transform(F.split(text, ""), char), "")
 
 
-def _name(drawn: Column, script: list[str], gender: Column, first: int) -> Column:
+def _name(drawn: Column, script: list[str], gender: Column, first: int, n: int) -> Column:
     parts = [F.element_at(F.array(*map(F.lit, script)),
                           (_number(drawn, first + i, len(script)) + 1).cast("int"))
-             for i in range(3)]
+             for i in range(n)]
     ends = ("о", "а") if script is CYRILLIC else ("o", "a")
     return F.initcap(F.concat(*parts, F.when(gender == "m", ends[0]).otherwise(ends[1])))
 
 
-def _surrogate(kind: Column, canonical: Column, drawn: Column) -> Column:
-    """In canonical form."""
+def _surrogate(kind: Column, canonical: Column, drawn: Column, attempt: int) -> Column:
+    """In canonical form. Names grow with the attempts, so that there are enough of them."""
+    n = min(3 + attempt // 2, 8)
     digits = "0123456789"
     local = F.concat(
         F.element_at(F.array(*map(F.lit, LATIN)), (_number(drawn, 0, len(LATIN)) + 1).cast("int")),
         F.element_at(F.array(*map(F.lit, LATIN)), (_number(drawn, 1, len(LATIN)) + 1).cast("int")),
         F.lit("."), F.substring(drawn, 30, 6))
     octets = F.concat_ws(".", *[
-        F.when(_number(drawn, i, 1 << 16) >= 0, (_number(drawn, i, 254) + 1).cast("string"))
-        for i in range(4)])
+        (_number(drawn, i, 254) + 1).cast("string") for i in range(4)])
     gender, name = F.substring(canonical, 1, 1), F.substring_index(canonical, ":", -1)
     cyrillic = name.rlike(r"\p{IsCyrillic}")
-    given = F.when(cyrillic, _name(drawn, CYRILLIC, gender, 0)).otherwise(
-        _name(drawn, LATIN, gender, 0))
-    family = F.when(cyrillic, _name(drawn, CYRILLIC, F.lit("m"), 3)).otherwise(
-        _name(drawn, LATIN, F.lit("m"), 3))
+    given = F.when(cyrillic, _name(drawn, CYRILLIC, gender, 0, n)).otherwise(
+        _name(drawn, LATIN, gender, 0, n))
+    family = F.when(cyrillic, _name(drawn, CYRILLIC, F.lit("m"), 8, n)).otherwise(
+        _name(drawn, LATIN, F.lit("m"), 8, n))
     joint = F.regexp_extract(name, "[ -]", 0)
     both = F.when(joint == "", family).otherwise(F.concat(given, joint, family))
     lower, upper = "0123456789abcdef", "0123456789ABCDEF"
@@ -188,14 +189,14 @@ def _rendered(kind: Column, value: Column, surrogate: Column) -> Column:
 def drawn_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canonical, surrogate): distinct entities with distinct surrogates, none of which is
     an entity itself. Of entities that draw the same, the least keeps it."""
-    todo = entities.select("kind", "canonical").distinct()
-    real, done = cut(todo), None
+    real, done = cut(entities.select("kind", "canonical").distinct()), None
     todo = real
     for attempt in range(MOST_DRAWS):
         hashed = _keyed(key, F.col("kind"), F.col("canonical"), F.lit(str(attempt)))
         tried = todo.withColumn("drawn", hashed).select(
             "kind", "canonical",
-            _surrogate(F.col("kind"), F.col("canonical"), F.col("drawn")).alias("surrogate"))
+            _surrogate(F.col("kind"), F.col("canonical"), F.col("drawn"), attempt)
+            .alias("surrogate"))
         taken = real.select("kind", F.col("canonical").alias("surrogate"))
         if done is not None:
             taken = taken.union(done.select("kind", "surrogate"))

@@ -7,8 +7,8 @@ context.
 
 1. Sampled splitters range-partition the anchors' suffixes by their leading bytes, ties by the hash
    of the context. Each bucket is sorted by a multikey quicksort: by the first key, then only what
-   is tied by the next. Of equal contexts all but the earliest are removed as a whole. A context whose
-   leading bytes stand in other contexts as well has to be compared string by string, and so has
+   is tied by the next. Of equal contexts all but the earliest are removed as a whole. A context
+   whose leading bytes stand in other contexts as well has to be compared string by string, and so has
    one at the end of a bucket, whose neighbour may be in the next bucket.
 2. Those contexts are fetched from the texts and meet by their leading bytes; of equal strings all
    but the earliest are removed. Contexts of very frequent leading bytes, or from the ends of

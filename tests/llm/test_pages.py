@@ -71,7 +71,19 @@ def test_lines_shared_with_the_nearest_page_go(spark):
     got = {r["page_id"]: (r["text"], r["n_shared"]) for r in html.extracted(df).collect()}
     assert got[2] == ("body 2\nn2", 2)
     assert got[9] == ("Welcome to the site\nlonely\nPage served fast\nn9", 0)
-    assert got[10] == ("Welcome to the site\nb", 0)  # alone in its folder, and in the host's rest
+    assert got[10] == ("b", 1)  # alone in its folder, not in its host
+
+
+def test_neighbours_are_the_same_however_partitioned(spark):
+    rows = [(i, f"http://h{i % 3 if i % 2 else 0}/{i % 7}/{i * 37 % 101}",
+             f"<p>line {i % 5}<p>line {i % 3}<p>own {i}") for i in range(120)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    old, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for n in (1, 13):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got.append(sorted(rows_of(html.extracted(df.repartition(n + 1)))))
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got[0] == got[1] and sum(r[3] for r in got[0]) > 20
 
 
 def test_articles_that_are_copies_stay(spark):
@@ -144,6 +156,11 @@ def test_surrogates_keep_type_and_format(spark):
     assert news["Mrs Anna Schmidt"].startswith("Mrs ") and news["Mrs Anna Schmidt"].split()[1][-1] == "a"
     assert re.fullmatch(r"господин [А-Яа-я]+", news["господин Иванов"])
     assert news["Herr Müller"].split()[1] != news["Frau Müller"].split()[1]
+    secrets = ["password=b7db7aa4a5fcc78305 x", 'Token: "Zz-long_secret+value/9"', "pwd = short"]
+    changed = replaced(spark, secrets)
+    for old, new in ((s, changed[i]) for i, s in enumerate(secrets)):
+        assert (new == old) == ("short" in old) and len(new) == len(old)
+        assert new.split("=")[0].split(":")[0] == old.split("=")[0].split(":")[0]
     assert replaced(spark, ["x 8.8.8.8"], "k") != replaced(spark, ["x 8.8.8.8"], "other")
 
 
@@ -163,7 +180,7 @@ def test_surrogates_are_distinct_and_no_entity(spark):
 def test_equal_draws_are_drawn_again(spark, monkeypatch):
     rounds = []
 
-    def poor(kind, canonical, drawn):
+    def poor(kind, canonical, drawn, attempt):
         rounds.append(1)
         from pyspark.sql import functions as F
         return F.concat(F.lit("s"), F.substring(drawn, 1, 1))
@@ -196,7 +213,7 @@ def test_everything_else_stays(spark):
 def test_no_entity_of_the_table_is_left(spark):
     docs = rows_of(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(
         "doc_id", "text"))
-    pattern = re.compile("|".join(f"(?:{p})" for k, p in pii.TYPES.items() if k != "name"))
+    pattern = regex.compile("|".join(f"(?:{p})" for k, p in pii.TYPES.items() if k != "name"))
     real = {m[0] for _, t in docs for m in pattern.finditer(t)}
     got = queries.op5_pii(spark, "/root/testdata/sf0.01").collect()
     assert len(real) > 50 and len(got) == len(docs)
