@@ -181,7 +181,8 @@ class Store(Tables):
         key and partition columns is null. Index tables take the rows of tracked indices only; the
         returned number tells how many were taken. A batch over stored rows is read up to three
         times: for the partitions it touches, its keys and its rows. A batch that is costly to
-        compute is better ``staged``: written once to the shared folder, and read from there.
+        compute is better ``staged``: written once to the shared folder, and read from there. A
+        first write reads its batch once anyway.
         ``token`` marks the commit.
         """
         spec = spec_of(table)
@@ -190,7 +191,7 @@ class Store(Tables):
         incoming = _without_empty(conform(df, spec), spec)
         if spec.name in INDEX_TABLES:
             incoming = incoming.where(F.col(spec.code_col).isin(*self.indices))
-        if not staged:
+        if not staged or not self._commit(spec)["folders"]:
             return self._merge_in(incoming, spec, token)
         folder = shared_folder(self.spark, f"batch-{spec.name}")
         try:
@@ -215,13 +216,10 @@ class Store(Tables):
         before = self._commit(spec)
         stored = self._stored(spec)
         if stored is None:
-            if incoming.isEmpty():
-                return 0
             seen = Observation()
             fresh = keep_last(incoming.observe(seen, F.count("*").alias("rows")), spec.key,
                               spec.newest_first)
-            self._write(fresh, spec, before, token)
-            return seen.get["rows"]
+            return seen.get["rows"] if self._write(fresh, spec, before, token) else 0
         # One small row per touched partition value: the batch's size and the list of stored
         # partitions that have to be rewritten. All others are neither read nor written.
         parts = list(spec.partitions)
@@ -236,9 +234,10 @@ class Store(Tables):
             self._write(merged, spec, before, token)
         return rows
 
-    def _write(self, df: DataFrame, spec: TableSpec, before: dict, token: str | None) -> None:
-        """REBALANCE gathers each partition value into files of AQE's advisory size: small
-        values share no file, and a hot value is split over many tasks."""
+    def _write(self, df: DataFrame, spec: TableSpec, before: dict, token: str | None) -> bool:
+        """Whether there were rows to write. REBALANCE gathers each partition value into files of
+        AQE's advisory size: small values share no file, and a hot value is split over many
+        tasks."""
         number = before["number"] + 1
         folder = f"version={number:08d}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/{spec.name}/{folder}"
@@ -247,12 +246,15 @@ class Store(Tables):
         rows = self._with_partitions(df, spec).hint("rebalance", *[F.col(c) for c in parts])
         rows.sortWithinPartitions(*order).write.partitionBy(*parts).parquet(path)
         written = self._written(path, len(parts))
+        if not parts and written and self.spark.read.schema(spec.schema).parquet(path).isEmpty():
+            written = []
         if not written:
             self._delete(path)
-            return
+            return False
         folders = before["folders"] | {part: folder for part in written}
         self._publish(spec, {"number": number, "token": token, "folders": folders})
         self._clean(spec)
+        return True
 
     def _written(self, path: str, depth: int) -> list[str]:
         """Partition folders below a data folder; one nameless one if there are files only."""
