@@ -179,6 +179,13 @@ def _buckets(splitters: list[np.ndarray], rows: list[np.ndarray]) -> np.ndarray:
     return out[n:]
 
 
+def _later(head: np.ndarray, *place: np.ndarray) -> np.ndarray:
+    """Which sorted records lie elsewhere than the first of their context (of which ``head`` is
+    true). Those at its very place come from a repeated row, which is the same document."""
+    first = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
+    return np.any([x != x[first] for x in place], axis=0)
+
+
 def _dealt(docs: DataFrame, splitters, groups: int) -> DataFrame:
     """Anchors packed by bucket; runs that equal an earlier one of the batch go by group of
     documents, with a negative number."""
@@ -194,11 +201,11 @@ def _dealt(docs: DataFrame, splitters, groups: int) -> DataFrame:
                 np.concatenate([a[k] for _, a in found]) for k in range(5))
             d, c = doc[index], crc[index]
             order = np.lexsort((start, c, d, context))
-            again = np.concatenate(([False], context[order][1:] == context[order][:-1]))
+            head = np.concatenate(([True], context[order][1:] != context[order][:-1]))
+            again = order[_later(head, d[order], c[order], start[order])]
             rows = [(-1 - g, DUP, pack(*part)) for g, part in _split(
-                _group_of(d[order[again]], c[order[again]], groups),
-                [x[order[again]] for x in (d, c, start, count)])]
-            kept = order[~again]
+                _group_of(d[again], c[again], groups), [x[again] for x in (d, c, start, count)])]
+            kept = order[head]
             columns = [x[kept] for x in (first, second, context, d, c, start, count)]
             rows += [(g, ASK, pack(*part)) for g, part in _split(
                 _buckets(splitters.value, columns[:3]), columns)]
@@ -218,8 +225,9 @@ def _sorted_bucket(key, rows: pa.Table, groups: int, meets: int, hot: int) -> pa
         x[order] for x in (first, second, context, d, c, start, count))
     lead = np.concatenate(([True], (np.diff(first) != 0) | (np.diff(second) != 0)))
     head = lead | np.concatenate(([True], np.diff(context) != 0))
+    again = _later(head, d, c, start)
     rows = [(g, DUP, pack(*part)) for g, part in _split(
-        _group_of(d[~head], c[~head], groups), [x[~head] for x in (d, c, start, count)])]
+        _group_of(d[again], c[again], groups), [x[again] for x in (d, c, start, count)])]
     number = np.cumsum(lead) - 1
     classes = np.bincount(number, head)[number]
     # The leading bytes at both ends may go on in the next bucket.

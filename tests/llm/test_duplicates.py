@@ -167,6 +167,20 @@ def test_substrings_of_odd_documents(spark):
     assert suffixes.deduplicated(no_documents(spark)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 2])
+def test_a_repeated_row_keeps_its_text(spark, parts):
+    rng = random.Random(8)
+    once, bare, own = ("".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(3))
+    rows = [(1, once), (None, bare), (2, own + once[:150])]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows * 2, parts),
+                                 "doc_id long, text string")
+    got = suffixes.deduplicated(docs).collect()
+    assert len(got) == 6
+    for i, kept, spans in ((1, once, []), (None, bare, []), (2, own, [[300, 450]])):
+        assert [(bytes(r["kept"]).decode(), r["spans"]) for r in got if r["doc_id"] == i] == [
+            (kept, spans)] * 2
+
+
 def test_multikey_order_sorts_by_all_keys():
     rng = np.random.default_rng(0)
     keys = [rng.integers(0, 4, 500) for _ in range(4)]
