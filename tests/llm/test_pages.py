@@ -41,6 +41,24 @@ def test_broken_and_small_pages(spark, page, text):
     assert html.extracted(df).first()["text"] == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<article class="post has-sidebar"><p>in</article>', "in"),
+    ('<article class="hentry category-promotion tag-search" id="post-7"><p>in</article>', "in"),
+    ('<body class="single comments-open"><nav>m</nav><article><p>in</article>', "in"),
+    ('<body class="search related" hidden><main id="content" class="widget"><p>in</main>', "in"),
+    ('<html class="no-cookies"><div class="has-sidebar menu-closed"><p>in</div>', "in"),
+    ('<article><div class="entry-header"><h1>T</h1></div><p>in</article>', "T\nin"),
+    ('<article><p>in<div class="share-buttons">s</div><div id="ad-box-2">a</div></article>', "in"),
+    ('<div class="site-footer">f</div><div class="Cookie_Notice">c</div><p>in', "in"),
+    ('<main><p>in<ol class="comment-list"><li id="comment-5"><article class="comment-body">'
+     '<p>First!</article></ol></main>', "in"),
+    ('<article hidden><p>h</article><p>in', "in"),
+])
+def test_class_names_count_as_a_whole(spark, page, text):
+    df = spark.createDataFrame([(1, "http://h/x", page)], "page_id long, url string, html string")
+    assert html.extracted(df).first()["text"] == text
+
+
 def plain_lcs(a, b):
     table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
