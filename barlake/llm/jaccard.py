@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -69,17 +69,21 @@ def _fields(**kinds: T.DataType) -> T.StructType:
 
 
 def _nodes(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, node) of each row; node is null for an empty set."""
+    """(doc_id, text_hash, n, node) of each row; node is null for an empty set. Only texts without
+    an id are hashed."""
     def run(batches):
         for batch in slices(batches):
             sets = list(shingle_sets(text_bytes(batch.column("text")), width))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                [batch.column("doc_id"), batch.column("text_hash"),
+                 pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([_node(s) if len(s) else None for s in sets], pa.int64())],
-                ["doc_id", "n", "node"])
+                ["doc_id", "text_hash", "n", "node"])
 
-    return docs.mapInArrow(
-        run, T.StructType([docs.schema["doc_id"], *_fields(n=T.LongType(), node=T.LongType())]))
+    own = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    return docs.withColumn("text_hash", own).mapInArrow(
+        run, T.StructType([docs.schema["doc_id"], *_fields(
+            text_hash=T.LongType(), n=T.LongType(), node=T.LongType())]))
 
 
 def _sketch(docs: DataFrame, width: int) -> np.ndarray:
@@ -294,43 +298,59 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 [pa.array([_node(s) for s in sets], pa.int64()),
                  pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
 
-    one = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    texts = docs.join(one, "doc_id").select("text", F.col("node").alias("wanted"))
-    found = texts.select("text").mapInArrow(
+    one = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"),
+                                    F.min("text_hash").alias("text_hash"))
+    # Sets that only texts without an id have are found by the hash of one of those.
+    bare = docs.where("doc_id is null").select("text", F.xxhash64("text").alias("text_hash"))
+    texts = docs.join(one.where("doc_id is not null"), "doc_id").select("text").union(
+        bare.dropDuplicates(["text_hash"])
+        .join(one.where("doc_id is null").select("text_hash"), "text_hash", "left_semi")
+        .select("text"))
+    found = texts.mapInArrow(
         run, _fields(node=T.LongType(), shingles=T.BinaryType()))
     return found.dropDuplicates(["node"])
 
 
+def _place(doc_id: Column, node: Column) -> Column:
+    """What a document is called among components: its id, or else its set."""
+    none = doc_id.isNull()
+    return F.struct(none.alias("none"), doc_id.alias("id"),
+                    F.when(none, node).otherwise(0).alias("node"))
+
+
 def near_duplicates(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """(doc_id, n, component) of each row of ``docs`` (doc_id, text).
 
     Two documents link when den * common shingles >= num * all of theirs. The component is the
     smallest doc_id reachable by links, the document's own included. A text without words has n
-    0 and links with nothing. Rows with the same id are one document. A row without an id counts
-    as a copy of its set but is nobody's component; if no copy has an id, it has none either.
+    0 and links with nothing. Rows with the same id are one document. A row without an id links
+    like any other but is nobody's component; if no document it reaches has an id, it has none.
     """
     docs = docs.select("doc_id", "text")
     nodes = cut(_nodes(docs, width))
     links = linked_nodes(docs, nodes.where("node is not null"), width, num, den)
     # Sets are chained to each other by links, and to ids by their rows.
     owners = nodes.where("node is not null and doc_id is not null")
-    firsts = owners.groupBy("node").agg(F.min("doc_id").alias("first"))
-    ids = cut(firsts)
+    firsts = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("id"))
+    # A set without an id stands for itself, after all ids.
+    ids = cut(firsts.select("node", _place(F.col("id"), F.col("node")).alias("first")))
     pairs = (
         links.join(ids.select(F.col("node").alias("a"), F.col("first").alias("p")), "a")
         .join(ids.select(F.col("node").alias("b"), F.col("first").alias("q")), "b")
         .select(F.col("p").alias("a"), F.col("q").alias("b"))
     )
     # An id with several texts stands in several classes and chains them.
-    chained = owners.join(ids, "node").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    chained = owners.join(ids, "node").select(
+        "doc_id", _place(F.col("doc_id"), F.col("node")).alias("a"), F.col("first").alias("b"))
     repeated = owners.groupBy("doc_id").agg(
         F.min("node").alias("p"), F.max("node").alias("q")).where("p <> q").select("doc_id")
-    chained = chained.join(repeated.withColumnRenamed("doc_id", "a"), "a", "left_semi")
+    chained = chained.join(repeated, "doc_id", "left_semi").select("a", "b")
     found = components(pairs.union(chained))
     return (
         nodes.join(ids, "node", "left")
         .join(found.withColumnRenamed("node", "first"), "first", "left")
-        .select("doc_id", "n", F.coalesce("component", "first", "doc_id").alias("component"))
+        .select("doc_id", "n", F.coalesce(
+            F.coalesce("component", "first")["id"], "doc_id").alias("component"))
     )
 
 

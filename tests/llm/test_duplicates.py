@@ -107,6 +107,23 @@ def test_jaccard_of_odd_documents(spark):
     assert jaccard.without_duplicates(no_documents(spark), 3, 90, 100).count() == 0
 
 
+def test_jaccard_of_near_copies_without_an_id(spark):
+    base, other = ([f"{c}{i}" for i in range(100)] for c in "ab")
+
+    def text(words, *ends):
+        return " ".join([*words[len(ends):], *ends])
+
+    # 7 and 3 are near to the text between them only.
+    rows = [(7, text(base)), (None, text(base, "x", "y", "z")),
+            (3, text(base[3:] + ["x", "y", "z", "t", "u", "v", "w"])),
+            (None, text(other)), (None, text(other, "x")), (None, text(other, "x")),
+            (9, "one two three four")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(rows_of(jaccard.near_duplicates(docs, 3, 90, 100)), key=str)
+    assert got == sorted([(7, 98, 3), (None, 98, 3), (3, 102, 3), (None, 98, None),
+                          (None, 98, None), (None, 98, None), (9, 2, 9)], key=str)
+
+
 def plain_substrings(rows):
     """doc_id -> (bytes, runs, hash of what is left), for rows in order."""
     seen, out = set(), {}
