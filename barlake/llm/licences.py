@@ -1,11 +1,11 @@
 """Licence scan by a positional index of rare words, in DataFrame functions only.
 
-The words of the licence templates are ranked by document frequency over all files. For each
-file that holds all words of a template's mandatory phrase, its rarest licence words are looked
-up: every place of such a word in the file, less its place in the template, is an offset at
-which the template may stand. Offsets on which two of the rare words agree (or that one has, for
-a template that shares one only) are verified: the mandatory phrase stands at its place, and
-enough template words stand at theirs. The share of those is the template's score.
+The words of the licence templates are ranked by document frequency over all files. Of each
+mandatory and base phrase the rarest word is its anchor. For each file that holds all words of
+some phrase, the places of the anchors are listed: a phrase can only stand where its anchor does,
+and there it is verified word by word. A template stands at an offset only if its mandatory phrase
+does, so those places give all its offsets; the best share of template words that stand at theirs
+is its score, and MIN_SHARE is enough.
 
 Base phrases are counted wherever their words stand consecutively.
 """
@@ -56,7 +56,6 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain",
      "unencumbered software"),
 )
-RARE_WORDS = 6
 MIN_SHARE = 0.6
 
 
@@ -88,47 +87,34 @@ def _stands(at: Column, phrase: list[str], skip: int = 0) -> Column:
                          for i, w in enumerate(phrase)])
 
 
-def _places(phrase: str) -> Column:
-    """Starts of a phrase; files without one of its words are not walked through."""
-    own = phrase.split()
-    held = reduce(and_, [F.array_contains("__rare", w) for w in own])
-    every = F.sequence(F.lit(0), F.size("__w") - 1)
-    return F.when(held, F.filter(every, lambda i: _stands(i, own))).otherwise(
+def _anchor(phrase: str, ranked: list[str]) -> str:
+    return min(phrase.split(), key=ranked.index)
+
+
+def _places(phrase: str, ranked: list[str]) -> Column:
+    """Starts of a phrase, which are among the places of its anchor."""
+    own, anchor = phrase.split(), _anchor(phrase, ranked)
+    skip = own.index(anchor)
+    held = reduce(and_, [F.array_contains("__rare", w) for w in dict.fromkeys(own)])
+    spots = F.filter("__at", lambda o: o["w"] == anchor)
+    starts = F.transform(spots, lambda o: o["i"] - skip)
+    return F.when(held, F.filter(starts, lambda i: _stands(i, own))).otherwise(
         F.array().cast("array<int>"))
 
 
-def _template_score(template: str, phrase: str) -> Column:
-    """Best share of template words at their places, over the verified offsets; else null."""
+def _template_score(template: str, phrase: str, ranked: list[str]) -> Column:
+    """Best share of template words at their places, over the offsets at which the mandatory
+    phrase stands at its own; else null."""
     own, key = template.split(), phrase.split()
     key_at = next(i for i in range(len(own)) if own[i:i + len(key)] == key)
-    at = {w: [i for i, x in enumerate(own) if x == w] for w in own}
-    postings = F.create_map(*[x for w, p in at.items()
-                              for x in (F.lit(w), F.array(*map(F.lit, p)))])
-    anchors = F.slice(F.array_intersect("__rare", _texts(sorted(at))), 1, 3)
-
-    def offsets(word: Column) -> Column:
-        places = F.filter("__at", lambda o: o["w"] == word)
-        shifted = F.transform(places, lambda o: F.transform(
-            F.element_at(postings, o["w"]), lambda p: o["i"] - p))
-        return F.array_distinct(F.flatten(shifted))
-
-    sets = F.transform(anchors, offsets)
-    first, second, third = (F.get(sets, F.lit(i)) for i in range(3))
-    none = F.array().cast("array<int>")
-    agreed = F.when(F.size(sets) == 1, first).otherwise(F.array_union(
-        F.array_union(F.array_intersect(first, second),
-                      F.coalesce(F.array_intersect(first, third), none)),
-        F.coalesce(F.array_intersect(second, third), none)))
-    verified = F.filter(agreed, lambda s: _stands(s, key, key_at))
 
     def share(s: Column) -> Column:
         equal = [F.when(F.get("__w", (s + i).cast("int")).eqNullSafe(F.lit(w)), 1).otherwise(0)
                  for i, w in enumerate(own)]
         return reduce(lambda a, b: a + b, equal) / F.lit(float(len(own)))
 
-    held = reduce(and_, [F.array_contains("__rare", w) for w in dict.fromkeys(key)])
-    best = F.array_max(F.transform(verified, share))
-    return F.when(held, F.when(best >= MIN_SHARE, best))
+    best = F.array_max(F.transform(_places(phrase, ranked), lambda s: share(s - key_at)))
+    return F.when(best >= MIN_SHARE, best)
 
 
 def scanned(files: DataFrame, text_col: str = "text") -> DataFrame:
@@ -147,9 +133,9 @@ def scanned(files: DataFrame, text_col: str = "text") -> DataFrame:
     keys = [dict.fromkeys(p.split()) for p in [*BASE, *(k for _, _, k in TEMPLATES)]]
     wanted = reduce(lambda a, b: a | b, [
         reduce(and_, [F.array_contains("__rare", w) for w in key]) for key in keys])
-    # The places of the rare words are those that some template can use as anchors.
+    anchors = sorted({_anchor(p, ranked) for p in [*BASE, *(k for _, _, k in TEMPLATES)]})
     spots = F.filter(F.transform("__w", lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
-                     lambda o: F.array_contains("__rare", o["w"]))
+                     lambda o: o["w"].isin(anchors))
     # All other files go on without their words.
     found = (
         found.withColumn("__wanted", wanted)
@@ -157,10 +143,10 @@ def scanned(files: DataFrame, text_col: str = "text") -> DataFrame:
         .withColumn("__at", F.when(F.col("__wanted"), spots))
     )
     starts = F.when(F.col("__wanted"), F.array(*[
-        F.struct(F.lit(label).alias("label"), _places(phrase).alias("at"))
+        F.struct(F.lit(label).alias("label"), _places(phrase, ranked).alias("at"))
         for phrase, label in BASE.items()]))
     matched = F.when(F.col("__wanted"), F.array(*[
-        F.struct(F.lit(label).alias("label"), _template_score(template, phrase).alias("score"))
+        F.struct(F.lit(label).alias("label"), _template_score(template, phrase, ranked).alias("score"))
         for label, template, phrase in TEMPLATES]))
     found = found.withColumn("__starts", starts).withColumn("__matched", matched)
     nothing = F.array().cast("array<string>")

@@ -160,6 +160,17 @@ def test_base_phrases_equal_brute_force(spark):
         assert 0 <= r["score"] <= 1
 
 
+def test_a_word_before_the_rarest_ones_hides_no_template(spark):
+    begin = "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+    texts = [f"{begin}FONT software and associated documentation files",
+             *[f"{begin}software and"] * 3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["__labels"], r["__score"]) for r in licences.scanned(docs).collect()}
+    own = next(t.split() for _, t, k in licences.TEMPLATES if k.startswith("permission is"))
+    assert got[0] == (["mit"], own.index("software") / len(own))
+    assert got[1] == got[2] == got[3] == (["mit"], (own.index("software") + 2) / len(own))
+
+
 def test_templates_are_found_by_their_rare_words(spark):
     texts = [
         ("Some code.\nReleased under the MIT License. All rights reserved", "mit,reserved", 1.0),
