@@ -86,19 +86,64 @@ def _added(parts: DataFrame) -> DataFrame:
         F.sum("ticks").alias("ticks"), F.sum("cents").alias("cents"))
 
 
-def _changed_bars(state: DataFrame, touched: DataFrame) -> DataFrame:
-    """Whole bars of the touched days, and of the day after each, whose change depends on it."""
-    days = touched.select("ts_code", "trade_date", F.lit(True).alias("touched"))
-    rows = state.join(touched.select("ts_code").distinct(), "ts_code", "left_semi")
-    rows = rows.join(days, ["ts_code", "trade_date"], "left")
+def _neighbourhood(store: Store, touched: DataFrame) -> tuple[str, str] | None:
+    """First and last month to read so that every touched code has its bars before and after the
+    touched days: stored months are added on either side, twice as many each time, until none is
+    missing or all are read. None if no touched row has a day."""
+    spans = touched.where("ts_code IS NOT NULL").groupBy("ts_code").agg(
+        F.min("trade_date").alias("first"), F.max("trade_date").alias("last"))
+    first, last = spans.agg(F.min("first"), F.max("last")).first()
+    if first is None:
+        return None
+    months = sorted({m for t in ("daily", STATE) for m in store.partition_values(t, "ym")})
+    before = [m for m in months if m < first[:6]]
+    after = [m for m in months if m > last[:6]]
+    back, ahead = min(1, len(before)), min(1, len(after))
+    while True:
+        start = before[-back] if back else first[:6]
+        end = after[ahead - 1] if ahead else last[:6]
+        if back == len(before) and ahead == len(after):
+            return start, end
+        days = store.scan("daily", start=start, end=end).select("ts_code", "trade_date").union(
+            store.scan(STATE, start=start, end=end).select("ts_code", "trade_date"))
+        found = days.join(spans, "ts_code").groupBy("ts_code").agg(
+            F.max(F.col("trade_date") < F.col("first")).alias("earlier"),
+            F.max(F.col("trade_date") > F.col("last")).alias("later"))
+        least = found.agg(F.min("earlier"), F.min("later")).first()
+        more = (least[0] is False and back < len(before), least[1] is False and ahead < len(after))
+        if not any(more):
+            return start, end
+        back = min(2 * back, len(before)) if more[0] else back
+        ahead = min(2 * ahead, len(after)) if more[1] else ahead
+
+
+def _changed_bars(state: DataFrame, stored: DataFrame, touched: DataFrame) -> DataFrame:
+    """Whole bars of the touched days, and of the day after each, whose change depends on it.
+
+    The days around are those of the ``stored`` daily table and of the state; of an untouched
+    day the stored bar counts. Where there is no earlier close, a stored previous close stays.
+    """
+    key, codes = ["ts_code", "trade_date"], touched.select("ts_code").distinct()
+    values = ["open", "high", "low", "close", "vol", "amount"]
+    streamed = state.select(
+        *key, F.struct("open", "high", "low", "close", F.col("ticks").cast("double").alias("vol"),
+                       from_cents(F.col("cents")).alias("amount")).alias("streamed"))
+    known = stored.select(*key, "pre_close", F.struct(*values).alias("known"))
+    rows = streamed.join(codes, "ts_code", "left_semi").join(
+        known.join(codes, "ts_code", "left_semi"), key, "full")
+    rows = rows.join(touched.select(*key, F.lit(True).alias("touched")), key, "left")
+    bar = F.when(F.col("touched") | F.col("known").isNull(), F.col("streamed")).otherwise(
+        F.col("known"))
     by_day = Window.partitionBy("ts_code").orderBy("trade_date")
-    rows = rows.withColumn("before", F.lag("touched").over(by_day)).withColumn(
-        "pre_close", F.lag("close").over(by_day))
+    rows = rows.withColumn("bar", bar).withColumn("before", F.lag("touched").over(by_day))
+    rows = rows.withColumn("pre_close", F.coalesce(
+        F.lag("bar.close").over(by_day), F.col("pre_close"))).select(
+        *key, "bar.*", "pre_close", "touched", "before")
     change = F.col("close") - F.col("pre_close")
     return rows.where("touched OR before").select(
         "ts_code", "trade_date", "open", "high", "low", "close", "pre_close",
         change.alias("change"), (ratio(change, F.col("pre_close")) * 100).alias("pct_chg"),
-        F.col("ticks").cast("double").alias("vol"), from_cents(F.col("cents")).alias("amount"))
+        "vol", "amount")
 
 
 def start_bar_stream(ticks: DataFrame, store: Store, checkpoint: str) -> StreamingQuery:
@@ -108,7 +153,8 @@ def start_bar_stream(ticks: DataFrame, store: Store, checkpoint: str) -> Streami
     late: what is known of each day is kept in a table of its own (``bar_state``) beside the
     others, to which every micro-batch adds. That commit carries the stream's name and batch number,
     so a batch that is run again after a failure adds nothing twice. The bars of the touched days,
-    and of the days after them, are written with all their columns.
+    and of the days after them, are written with all their columns. The previous bar may also be one
+    that was saved in ``daily``, and so may the next, which then gets its new change.
     """
     def take(batch: DataFrame, number: int) -> None:
         mark = f"{checkpoint}#{number}"
@@ -117,7 +163,11 @@ def start_bar_stream(ticks: DataFrame, store: Store, checkpoint: str) -> Streami
             known = store.scan(STATE).join(
                 new.select("ts_code", "trade_date"), ["ts_code", "trade_date"], "left_semi")
             store.upsert(_added(known.unionByName(new)), STATE, staged=True, token=mark)
-        store.upsert(_changed_bars(store.scan(STATE), new), "daily", staged=True)
+        months = _neighbourhood(store, new)
+        if months:
+            state, stored = (store.scan(t, start=months[0], end=months[1])
+                             for t in (STATE, "daily"))
+            store.upsert(_changed_bars(state, stored, new), "daily", staged=True)
 
     return (
         ticks.writeStream.foreachBatch(take)

@@ -184,3 +184,28 @@ def test_bar_stream_repeats_a_batch_without_adding_twice(spark, store, tmp_path,
     run()
     expected = with_changes(bars(frame)).orderBy("ts_code", "trade_date")
     assert rows_of(store.scan("daily").orderBy("ts_code", "trade_date")) == rows_of(expected)
+
+
+def test_bar_stream_goes_on_from_saved_bars(spark, store, tmp_path):
+    def bar(code, day, close, pre=None):
+        return {"ts_code": code, "trade_date": day, "open": 1.0, "close": close, "pre_close": pre,
+                "vol": 3.0}
+
+    # A has bars before, on and after the streamed day, far apart; B has one of the same day only.
+    saved = [bar("A", "20210301", 1.0), bar("A", "20230901", 4.0, 1.0), bar("A", "20240102", 7.0),
+             bar("A", "20240301", 5.0, 7.0), bar("A", "20240302", 6.0, 5.0),
+             bar("B", "20240102", 9.0, 20.0), bar("C", "20231229", 2.0)]
+    store.save_daily(make(spark, "daily", saved))
+    for month in range(1, 7):
+        store.save_daily(make(spark, "daily", [bar("D", f"20230{month}01", 1.0)]))
+    landing = str(tmp_path / "ticks")
+    _ticks(spark, (2,), range(3)).coalesce(1).write.parquet(landing)
+    stream = spark.readStream.schema(_ticks(spark, (2,), (0,)).schema).parquet(landing)
+    start_bar_stream(stream, store, str(tmp_path / "checkpoint")).awaitTermination()
+    got = {(r["ts_code"], r["trade_date"]): (r["close"], r["pre_close"], r["change"], r["vol"])
+           for r in store.scan("daily").where("ts_code <> 'D'").collect()}
+    assert got == {
+        ("A", "20210301"): (1.0, None, None, 3.0), ("A", "20230901"): (4.0, 1.0, None, 3.0),
+        ("A", "20240102"): (6.0, 4.0, 2.0, 3.0), ("A", "20240301"): (5.0, 6.0, -1.0, 3.0),
+        ("A", "20240302"): (6.0, 5.0, None, 3.0), ("B", "20240102"): (6.0, 20.0, -14.0, 3.0),
+        ("C", "20231229"): (2.0, None, None, 3.0)}
