@@ -12,6 +12,7 @@ from barlake.llm import (
     jaccard,
     licences,
     mixing,
+    periods,
     pii,
     sharding,
     suffixes,
@@ -115,6 +116,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    best = F.col("__best")
+    return periods.with_runs(periods.planted(docs)).withColumn("__best", periods.longest()).select(
+        "doc_id", F.size("__runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * __best.length div __best.period").alias("exponent_milli"),
+        F.sha2(periods.runs_text(), 256).alias("runs_sha256"),
+        F.sha2("__collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_embeddings": op1_embeddings,
     "op2_html": op2_html,
@@ -126,4 +140,5 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_licences": op9_licences,
     "op10_decontamination": op10_decontamination,
+    "op13_periods": op13_periods,
 }
