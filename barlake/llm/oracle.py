@@ -114,9 +114,33 @@ SELECT vec_id, coalesce(n, 0) AS n_links,
 FROM embeddings LEFT JOIN counts ON counts.x = vec_id LEFT JOIN least ON least.x = vec_id
 """
 
+NEGATIVES = """
+WITH u AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
+    list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM u a JOIN u b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor, r AS p, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor, p ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM s JOIN p USING (anchor) WHERE NOT same
+    AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT * FROM n WHERE rank <= 10
+"""
+
 SQL = {
     "op1_embeddings": EMBEDDINGS,
     "op6_jaccard": JACCARD,
     "op7_mixing": MIXING,
     "op10_decontamination": DECONTAMINATION,
+    "op12_negatives": NEGATIVES,
 }

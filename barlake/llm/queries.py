@@ -12,6 +12,7 @@ from barlake.llm import (
     jaccard,
     licences,
     mixing,
+    negatives,
     periods,
     pii,
     sharding,
@@ -116,6 +117,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mined(negatives.shifted_labels(table(spark, sf_dir, "embeddings")))
+
+
 def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     best = F.col("__best")
@@ -140,5 +145,6 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_licences": op9_licences,
     "op10_decontamination": op10_decontamination,
+    "op12_negatives": op12_negatives,
     "op13_periods": op13_periods,
 }
