@@ -33,7 +33,7 @@ _RUNS = T.ArrayType(T.StructType([T.StructField(n, T.LongType())
                                   for n in ("start", "length", "period")]))
 
 
-def _pieces(text: bytes) -> Iterator[bytes]:
+def pieces(text: bytes) -> Iterator[bytes]:
     """The text in pieces of whole words, which bounds what is held beside it."""
     begin = 0
     while begin < len(text):
@@ -48,7 +48,7 @@ def word_numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes
     known: dict[bytes, int] = {}
     parts, firsts, n = [np.zeros(0, np.int64)], [0], 0
     for text in texts:
-        for piece in _pieces(text):
+        for piece in pieces(text):
             found = piece.split()  # at tab to carriage return and space, as bytes are
             parts.append(np.fromiter((known.setdefault(w, len(known)) for w in found),
                                      np.int64, len(found)))

@@ -15,6 +15,7 @@ from barlake.llm import (
     negatives,
     periods,
     pii,
+    pitmanyor,
     sharding,
     suffixes,
     toxicity,
@@ -117,6 +118,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pitmanyor.scored(docs).select(
+        "doc_id", pitmanyor.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mined(negatives.shifted_labels(table(spark, sf_dir, "embeddings")))
 
@@ -145,6 +153,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_licences": op9_licences,
     "op10_decontamination": op10_decontamination,
+    "op11_language_model": op11_language_model,
     "op12_negatives": op12_negatives,
     "op13_periods": op13_periods,
 }
