@@ -28,8 +28,14 @@ def row_count(df: DataFrame, name: str) -> DataFrame:
 
 
 def record_counts(tables: Tables) -> DataFrame:
-    """(table, row_count), one row per catalogue table, 0 where nothing is stored."""
-    return union_all([row_count(tables.scan(t), t) for t in CATALOG])
+    """(table, row_count), one row per catalogue table, 0 where nothing is stored. No row is read
+    where the files tell."""
+    files = {t: tables.known_files(t) for t in CATALOG}
+    known = [(t, sum(e["rows"] for _, e in own)) for t, own in files.items() if own is not None]
+    parts = [row_count(tables.scan(t), t) for t, own in files.items() if own is None]
+    if known:
+        parts.append(tables.spark.createDataFrame(known, "table string, row_count long"))
+    return union_all(parts)
 
 
 def table_schemas(spark: SparkSession) -> DataFrame:
@@ -86,8 +92,33 @@ def table_manifest(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def known_manifest(files: list[tuple[tuple, dict]], table: str) -> tuple:
+    """The row of :func:`table_manifest` from what is known of a table's files."""
+    kind, found = PARTITION_KINDS[table], set()
+    for values, entry in files:
+        index = values[0] if table in INDEX_TABLES else None
+        if kind == "single":
+            found.add((index, table))
+        elif kind == "by_market":
+            found.add((index, values[0]))
+        else:
+            width = 4 if kind == "by_year" else None
+            found |= {(index, d[:width]) for d in entry["days"]}
+            found |= {(index, None)} if entry["undated"] else set()
+    named = sorted({v for _, v in found if v is not None}) if kind != "single" else []
+    first, last = (named[0], named[-1]) if named else (None, None)
+    return table, sum(e["rows"] for _, e in files), len(found), kind, first, last
+
+
 def manifest(tables: Tables) -> DataFrame:
-    return union_all([table_manifest(tables.scan(t), t) for t in CATALOG])
+    files = {t: tables.known_files(t) for t in CATALOG}
+    known = [known_manifest(own, t) for t, own in files.items() if own is not None]
+    parts = [table_manifest(tables.scan(t), t) for t, own in files.items() if own is None]
+    if known:
+        parts.append(tables.spark.createDataFrame(
+            known, "table string, rows long, partitions long, kind string, first string, "
+                   "last string"))
+    return union_all(parts)
 
 
 def profile(df: DataFrame, distinct: list[str] = ()) -> DataFrame:

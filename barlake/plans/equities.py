@@ -99,6 +99,12 @@ class EquityQueries:
 
     def trading_dates(self, n: int = 10) -> DataFrame:
         """Most recent dates that have bars."""
+        known = self.tables.known_days("daily")
+        if known is not None:
+            newest = [(d,) for d in known[::-1][:n]]
+            return self.tables.spark.createDataFrame(newest, "trade_date string").orderBy(
+                F.col("trade_date").desc())
+
         def enough(df: DataFrame) -> bool:
             return df.where("trade_date IS NOT NULL").select(
                 "trade_date").distinct().limit(n).count() >= n

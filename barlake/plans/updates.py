@@ -112,7 +112,7 @@ def _dated_steps(landed: Tables, stored: Tables, wanted: Callable[[], DataFrame]
         day = F.col(days.columns[0])
         low, high = days.agg(F.min(day), F.max(day)).first()
         window = {"start": low, "end": high}
-        gaps = missing_dates(days, stored.slice(table, **window))
+        gaps = missing_dates(days, stored.days(table, **window))
         return rows_of_missing_dates(landed.slice(table, **window), gaps)
 
     return {t: partial(step, t) for t in ("daily", "adjfactor", "moneyflow")}
@@ -149,7 +149,7 @@ def incremental_steps(
     def index(table: str) -> DataFrame:
         code = spec_of(table).code_col
         return index_incremental_rows(
-            landed.slice(table, **window), stored.slice(table, **window), code, as_of, months
+            landed.slice(table, **window), stored.index_days(table, **window), code, as_of, months
         )
 
     return {
@@ -177,14 +177,14 @@ def full_steps(
 
     def weights() -> DataFrame:
         return index_weight_full_rows(
-            landed.slice("index_weight", **window), stored.slice("index_weight", **window),
+            landed.slice("index_weight", **window), stored.index_days("index_weight", **window),
             single_months(indices, as_of, years),
         )
 
     def index_bars() -> DataFrame:
         return index_daily_full_rows(
-            landed.slice("index_daily", **window), stored.slice("index_daily", **window), as_of,
-            years,
+            landed.slice("index_daily", **window), stored.index_days("index_daily", **window),
+            as_of, years,
         )
 
     return {

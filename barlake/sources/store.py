@@ -1,23 +1,19 @@
 """Market tables as Parquet below one root folder, changed by atomic commits.
 
-A table's folder holds data folders, one per write, with a folder per partition value inside
-(unpartitioned tables have one nameless partition), and a list of commits::
+An upsert finds the files that hold a key of its batch, writes their other rows and the batch to
+a new data folder, and commits (:mod:`barlake.sources.commits`). All other files stay as they are.
+Readers see the newest commit and nothing else, so a write that breaks off anywhere leaves the
+table as it was, and its rerun starts from the same rows. Of two writers of one table, the later one
+keeps its result if the other touched other partitions, and merges anew if not.
 
-    <table>/version=00000007-3f9c/ym=202401/part-...parquet
-    <table>/_commits/00000007.json      partition -> data folder that holds it now
-
-An upsert writes the partitions that its batch touches to a new data folder, and then one commit
-file, renamed into place. Readers see the newest commit and nothing else, so a write that breaks off
-anywhere leaves the table as it was, and its rerun starts from the same rows. A writer that finds
-its number taken by another fails and has to be run again.
+What a commit knows of its files answers questions about counts and days without reading them.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from functools import reduce
-from operator import and_, or_
+from operator import and_
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,11 +22,12 @@ from pyspark.sql import types as T
 from barlake.catalog import INDEX_TABLES, TRACKED_INDICES, TableSpec, index_short, spec_of
 from barlake.operators.merge import conform, keep_last, merge_keep_last
 from barlake.session import shared_folder
+from barlake.sources.commits import NULL_PARTITION, CommitLog, Conflict, literal_path, part_values
 from barlake.sources.tables import Tables, empty_table
 
-KEPT_VERSIONS = 2
-# Fixed value: the folder name that stands for a null partition value.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# A partition with more small files than this has them rewritten with the next batch.
+SMALL_BYTES, SMALL_FILES = 8 << 20, 64
+MERGE_ATTEMPTS = 5
 
 
 class Store(Tables):
@@ -39,103 +36,108 @@ class Store(Tables):
         self.spark = spark
         self.root = root.rstrip("/")
         self.indices = indices or TRACKED_INDICES
+        self._logs: dict[str, CommitLog] = {}
+        # The last listing of a table's files, by what was asked for.
+        self._frames: dict[str, tuple] = {}
 
-    # -- folders ---------------------------------------------------------------------------
+    # -- commits ---------------------------------------------------------------------------
 
-    def _fs(self, path: str):
-        jvm = self.spark._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return jpath.getFileSystem(conf), jpath
+    def _log(self, spec: TableSpec) -> CommitLog:
+        if spec.name not in self._logs:
+            self._logs[spec.name] = CommitLog(self.spark, f"{self.root}/{spec.name}")
+        return self._logs[spec.name]
 
     def _names(self, path: str) -> list[str]:
-        """Names of the folders and files in a folder that are not hidden."""
-        fs, jpath = self._fs(path)
-        if not fs.exists(jpath):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(jpath)]
-        return sorted(n for n in names if not n.startswith(("_", ".")))
+        return CommitLog(self.spark, path).names()
 
-    def _delete(self, path: str) -> None:
-        fs, jpath = self._fs(path)
-        fs.delete(jpath, True)
+    def _commits(self, spec: TableSpec) -> list[str]:
+        return self._log(spec).commits()
 
-    # -- commits ---------------------------------------------------------------------------
+    def _commit(self, spec: TableSpec) -> dict:
+        return self._log(spec).commit()
 
-    def _commits(self, spec: TableSpec) -> list[str]:
-        return self._names(f"{self.root}/{spec.name}/_commits")
-
-    def _commit(self, spec: TableSpec, name: str | None = None) -> dict:
-        """The newest commit, or the named one: number, token and data folder per partition."""
-        names = [name] if name else self._commits(spec)[-1:]
-        if not names:
-            return {"number": 0, "token": None, "folders": {}}
-        fs, path = self._fs(f"{self.root}/{spec.name}/_commits/{names[0]}")
-        stream = fs.open(path)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(
-                stream, "UTF-8"))
-        finally:
-            stream.close()
+    def _publish(self, spec: TableSpec, *what) -> None:
+        self._log(spec).publish(*what)
 
     def token(self, table: str | TableSpec) -> str | None:
         """What the last upsert of the table was marked with."""
         return self._commit(spec_of(table))["token"]
 
-    def _publish(self, spec: TableSpec, commit: dict) -> None:
-        base = f"{self.root}/{spec.name}/_commits"
-        fs, draft = self._fs(f"{base}/.{uuid.uuid4().hex}")
-        stream = fs.create(draft, False)
-        stream.write(bytearray(json.dumps(commit).encode()))
-        stream.close()
-        _, final = self._fs(f"{base}/{commit['number']:08d}.json")
-        if fs.exists(final) or not fs.rename(draft, final):
-            fs.delete(draft, False)
-            raise RuntimeError(f"another writer has changed {spec.name}; run the upsert again")
-
-    def _clean(self, spec: TableSpec) -> None:
-        """Drop commits but the last few, and the data folders that only those refer to. A reader
-        may still be on the previous commit."""
-        base = f"{self.root}/{spec.name}"
-        names = self._commits(spec)
-        kept = [self._commit(spec, n) for n in names[-KEPT_VERSIONS:]]
-        used = {folder for c in kept for folder in c["folders"].values()}
-        for name in names[:-KEPT_VERSIONS]:
-            self._delete(f"{base}/_commits/{name}")
-        newest = kept[-1]["number"]
-        for folder in self._names(base):
-            if folder not in used and int(folder.removeprefix("version=")[:8]) <= newest:
-                self._delete(f"{base}/{folder}")
+    def extra_columns(self, table: str | TableSpec) -> T.StructType:
+        """The columns that batches brought beyond the catalogue's, in order of appearance."""
+        return _columns(self._commit(spec_of(table)))
 
     # -- reading ---------------------------------------------------------------------------
 
-    def _stored(self, spec: TableSpec) -> DataFrame | None:
-        """Stored rows including derived partition columns, or None if nothing is stored."""
-        folders = self._commit(spec)["folders"]
-        if not folders:
+    def _schema(self, spec: TableSpec, commit: dict) -> T.StructType:
+        derived = spec.storage_schema().fields[len(spec.columns):]
+        return T.StructType([*spec.schema.fields, *_columns(commit).fields, *derived,
+                             T.StructField("version", T.StringType())])
+
+    def _read(self, spec: TableSpec, commit: dict, files: dict[str, list[dict]]) -> DataFrame:
+        log = self._log(spec)
+        return self.spark.read.schema(self._schema(spec, commit)).option(
+            "basePath", log.base).parquet(*log.paths(commit, files))
+
+    def _stored(self, spec: TableSpec, code: str | None = None) -> DataFrame | None:
+        """Stored rows including derived partition columns, or None if nothing is stored. Files
+        whose codes lie all before or all after ``code`` are left out."""
+        log, commit = self._log(spec), self._commit(spec)
+        if not commit["parts"]:
             return None
-        base = f"{self.root}/{spec.name}"
-        paths = [f"{base}/{folder}/{part}".rstrip("/") for part, folder in folders.items()]
-        schema = T.StructType([*spec.storage_schema().fields,
-                               T.StructField("version", T.StringType())])
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).drop(
-            "version")
+        files = log.files(commit)
+        if code is not None:
+            chosen = {p: [e for e in own if _may_hold(e, code)] for p, own in files.items()}
+            chosen = {p: own for p, own in chosen.items() if own}
+            if sum(map(len, chosen.values())) < sum(map(len, files.values())):
+                return self._read(spec, commit, chosen or files).where(
+                    F.lit(bool(chosen))).drop("version")
+        number, df = self._frames.get(spec.name, (None, None))
+        if number != commit["number"]:
+            # Listing files takes longer than planning a query, so one listing serves a commit.
+            df = self._read(spec, commit, files).drop("version")
+            self._frames[spec.name] = (commit["number"], df)
+        # New names for the columns, so that a table can be joined with itself.
+        return df.select(*[F.col(f"`{c}`").alias(c) for c in df.columns])
 
     def partition_values(self, table: str | TableSpec, column: str) -> list[str] | None:
         """Stored values of a partition column, from the commit alone, without null."""
         spec = spec_of(table)
         if column not in spec.partitions:
             return None
-        found = set()
-        for part in self._commit(spec)["folders"]:
-            value = part.split("/")[spec.partitions.index(column)].removeprefix(f"{column}=")
-            if value != NULL_PARTITION:
-                found.add(value)
-        return sorted(found)
+        at = spec.partitions.index(column)
+        found = {part_values(p)[at] for p in self._commit(spec)["parts"]}
+        return sorted(found - {None})
+
+    def known_files(self, table: str | TableSpec) -> list[tuple[tuple, dict]]:
+        """(partition values, file) of every stored file: rows, bytes, days, first and last
+        code."""
+        spec = spec_of(table)
+        files = self._log(spec).files(self._commit(spec))
+        return [(part_values(p), e) for p, own in files.items() for e in own]
+
+    def known_days(self, table: str | TableSpec) -> list[str]:
+        return sorted({d for _, e in self.known_files(table) for d in e["days"]})
+
+    def _day_rows(self, rows: list[tuple], schema: str, start, end) -> DataFrame:
+        within = [r for r in rows if (not start or r[-1] >= start) and (not end or r[-1] <= end)]
+        return self.spark.createDataFrame(within, schema)
+
+    def days(self, table, start=None, end=None) -> DataFrame:
+        column = spec_of(table).date_col
+        return self._day_rows([(d,) for d in self.known_days(table)], f"{column} string",
+                              start, end)
+
+    def index_days(self, table, start=None, end=None) -> DataFrame:
+        spec, codes = spec_of(table), {short: code for code, short in self.indices.items()}
+        found = {(codes[values[0]], d) for values, e in self.known_files(table)
+                 for d in e["days"] if values[0] in codes}
+        return self._day_rows(sorted(found), f"{spec.code_col} string, {spec.date_col} string",
+                              start, end)
 
     def _scan_stored(self, table, code=None, start=None, end=None, dates=None):
         spec = spec_of(table)
-        df = self._stored(spec)
+        df = self._stored(spec, code)
         if df is None:
             return None
         for column, width in (("ym", 6), ("year", 4)):
@@ -156,9 +158,18 @@ class Store(Tables):
         df = self._scan_stored(table, code, start, end, dates)
         return empty_table(self.spark, spec) if df is None else df.select(*spec.columns)
 
+    def full(self, table: str | TableSpec) -> DataFrame:
+        """All rows with all columns: the catalogue's, then those that batches brought beyond."""
+        spec = spec_of(table)
+        df = self._stored(spec)
+        if df is None:
+            return empty_table(self.spark, spec)
+        return df.select(*spec.columns, *[f"`{n}`" for n in self.extra_columns(spec).names])
+
     def view(self, name: str) -> DataFrame:
-        """As everywhere, with the partition columns that are no data columns at the end: free
-        SQL that restricts ``ym``, ``year`` or ``index_short`` reads those partitions only."""
+        """As everywhere, with all stored columns, and at the end the partition columns that are
+        no data columns: free SQL that restricts ``ym``, ``year`` or ``index_short`` reads those
+        partitions only."""
         table, code = self._view_of(name)
         spec = spec_of(table)
         df = self._scan_stored(table, code)
@@ -167,7 +178,8 @@ class Store(Tables):
                 {c: F.lit(None).cast("string") for c in spec.derived})
         if code:
             df = df.where(F.col(spec.code_col) == code)
-        return df.select(*spec.columns, *spec.derived)
+        extra = [f"`{n}`" for n in self.extra_columns(spec).names]
+        return df.select(*spec.columns, *extra, *spec.derived)
 
     # -- writing ---------------------------------------------------------------------------
 
@@ -179,26 +191,42 @@ class Store(Tables):
 
         A batch without rows, or without the table's date column, changes nothing. Empty text in
         key and partition columns is null. Index tables take the rows of tracked indices only; the
-        returned number tells how many were taken. A batch over stored rows is read up to three
-        times: for the partitions it touches, its keys and its rows. A batch that is costly to
-        compute is better ``staged``: written once to the shared folder, and read from there. A
-        first write reads its batch once anyway.
+        returned number tells how many were taken. Columns beyond the catalogue's are kept; rows
+        of other batches are null there, and a column keeps the type that it came with first; one
+        that is called like a partition column, or ``version``, is not kept. A batch over stored rows is read up to four times: for the partitions it touches, the files
+        that hold its keys, its keys and its rows. A batch that is costly to compute is better
+        ``staged``: written once to the shared folder, and read from there. A first write reads its
+        batch once anyway.
         ``token`` marks the commit.
         """
         spec = spec_of(table)
         if spec.date_col and spec.date_col not in df.columns:
             return 0
-        incoming = _without_empty(conform(df, spec), spec)
+        incoming = _without_empty(self._with_extra(df, spec), spec)
         if spec.name in INDEX_TABLES:
             incoming = incoming.where(F.col(spec.code_col).isin(*self.indices))
-        if not staged or not self._commit(spec)["folders"]:
+        if not staged or not self._commit(spec)["parts"]:
             return self._merge_in(incoming, spec, token)
         folder = shared_folder(self.spark, f"batch-{spec.name}")
         try:
             incoming.write.mode("overwrite").parquet(folder)
-            return self._merge_in(self.spark.read.schema(spec.schema).parquet(folder), spec, token)
+            rows = self.spark.read.schema(incoming.schema).parquet(folder)
+            return self._merge_in(rows, spec, token)
         finally:
-            self._delete(folder)
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(
+                path, True)
+
+    def _with_extra(self, df: DataFrame, spec: TableSpec) -> DataFrame:
+        """Catalogue columns, then all others, in the type that they are stored in."""
+        known = {n.lower(): (n, t) for n, t in self._commit(spec)["columns"]}
+        own = {n.lower() for n in (*spec.columns, *spec.partitions, "version")}
+        extra = []
+        for f in df.schema.fields:
+            if f.name.lower() not in own:
+                name, kind = known.get(f.name.lower(), (f.name, f.dataType))
+                extra.append(F.col(f"`{f.name}`").cast(kind).alias(name))
+        return conform(df, spec, allow_extra=True).select(*spec.columns, *extra)
 
     def _with_partitions(self, df: DataFrame, spec: TableSpec) -> DataFrame:
         for name in spec.derived:
@@ -213,57 +241,119 @@ class Store(Tables):
         return df
 
     def _merge_in(self, incoming: DataFrame, spec: TableSpec, token: str | None) -> int:
-        before = self._commit(spec)
-        stored = self._stored(spec)
-        if stored is None:
+        for attempt in range(MERGE_ATTEMPTS):
+            try:
+                return self._merge_once(incoming, spec, token)
+            except Conflict:
+                if attempt == MERGE_ATTEMPTS - 1:
+                    raise
+
+    def _merge_once(self, incoming: DataFrame, spec: TableSpec, token: str | None) -> int:
+        log, before = self._log(spec), self._commit(spec)
+        if not before["parts"]:
             seen = Observation()
             fresh = keep_last(incoming.observe(seen, F.count("*").alias("rows")), spec.key,
                               spec.newest_first)
             return seen.get["rows"] if self._write(fresh, spec, before, token) else 0
         # One small row per touched partition value: the batch's size and the list of stored
-        # partitions that have to be rewritten. All others are neither read nor written.
+        # partitions that it may change. All others are neither read nor written.
         parts = list(spec.partitions)
         touched = self._with_partitions(incoming, spec).groupBy(*parts).count().collect()
         rows = sum(row["count"] for row in touched)
-        if rows:
-            if parts:
-                stored = stored.where(_any_partition(touched, parts))
+        if not rows:
+            return 0
+        values = {tuple(row[p] for p in parts) for row in touched}
+        files = log.files(before, [p for p in before["parts"] if part_values(p) in values])
+        old, kept = self._split(incoming, spec, before, files)
+        fresh = keep_last(incoming, spec.key, spec.newest_first)
+        if any(old.values()):
             # Everything stored went through this merge, so stored keys are unique.
-            merged = merge_keep_last(stored.select(*spec.columns), incoming, spec.key,
-                                     spec.newest_first, stored_is_unique=True)
-            self._write(merged, spec, before, token)
+            stored = self._read(spec, before, old).select(
+                *spec.columns, *[f"`{n}`" for n, _ in before["columns"]])
+            fresh = merge_keep_last(stored, incoming, spec.key, spec.newest_first,
+                                    stored_is_unique=True)
+        self._write(fresh, spec, before, token, kept)
         return rows
 
-    def _write(self, df: DataFrame, spec: TableSpec, before: dict, token: str | None) -> bool:
-        """Whether there were rows to write. REBALANCE gathers each partition value into files of
+    def _split(self, incoming: DataFrame, spec: TableSpec, commit: dict, files: dict):
+        """The files of the touched partitions that are rewritten, and those that stay.
+
+        Rewritten are files that hold a key of the batch, the only file of a partition, and the
+        small files of a partition that has many. Only the key columns are read for it, which are
+        the part of the rows that packs best, and tell for certain.
+        """
+        old = {p: own for p, own in files.items() if len(own) == 1}
+        asked = {p: own for p, own in files.items() if len(own) > 1}
+        if not asked:
+            return old, {}
+        keys = incoming.select(*spec.key).distinct()
+        named = self._read(spec, commit, asked).select(
+            *[F.col(k).alias(f"_own_{k}") for k in spec.key],
+            F.col("_metadata.file_path").alias("file"))
+        same = [F.col(k).eqNullSafe(F.col(f"_own_{k}")) for k in spec.key]
+        found = named.join(keys, reduce(and_, same), "left_semi").select("file").distinct()
+        hit = {_below(r["file"]) for r in found.collect()}
+        kept = {}
+        for part, own in asked.items():
+            small = [e["file"] for e in own if e["bytes"] < SMALL_BYTES]
+            gone = hit | set(small if len(small) > SMALL_FILES else [])
+            old[part] = [e for e in own if e["file"] in gone]
+            kept[part] = [e for e in own if e["file"] not in gone]
+        return {p: own for p, own in old.items() if own}, kept
+
+    def _write(self, df: DataFrame, spec: TableSpec, before: dict, token: str | None,
+               kept: dict[str, list[dict]] | None = None) -> bool:
+        """Write rows as the new content of their partitions, beside the files in ``kept``.
+        Whether there were rows to write. REBALANCE gathers each partition value into files of
         AQE's advisory size: small values share no file, and a hot value is split over many
         tasks."""
-        number = before["number"] + 1
-        folder = f"version={number:08d}-{uuid.uuid4().hex[:8]}"
-        path = f"{self.root}/{spec.name}/{folder}"
+        log = self._log(spec)
+        folder = log.new_folder(before["number"] + 1)
+        path = f"{log.base}/{folder}"
         parts = list(spec.partitions)
         order = parts + [c for c in spec.sort_cols if c not in parts]
         rows = self._with_partitions(df, spec).hint("rebalance", *[F.col(c) for c in parts])
-        rows.sortWithinPartitions(*order).write.partitionBy(*parts).parquet(path)
-        written = self._written(path, len(parts))
-        if not parts and written and self.spark.read.schema(spec.schema).parquet(path).isEmpty():
-            written = []
-        if not written:
-            self._delete(path)
-            return False
-        folders = before["folders"] | {part: folder for part in written}
-        self._publish(spec, {"number": number, "token": token, "folders": folders})
-        self._clean(spec)
+        try:
+            rows.sortWithinPartitions(*order).write.partitionBy(*parts).parquet(path)
+            files = self._described(spec, rows.schema, folder)
+            if not files:
+                log.delete(folder)
+                return False
+            written = {p: len(own) for p, own in files.items()}
+            for part, own in (kept or {}).items():
+                files[part] = own + files.get(part, [])
+            extra = [[f.name, f.dataType.simpleString()] for f in df.schema.fields
+                     if f.name not in spec.columns]
+            self._publish(spec, before, folder, files, written, token, extra)
+        except Exception:
+            log.delete(folder)
+            log.delete(f"_files/{folder}.json")
+            raise
+        log.clean()
         return True
 
-    def _written(self, path: str, depth: int) -> list[str]:
-        """Partition folders below a data folder; one nameless one if there are files only."""
-        if not depth:
-            return [""] if self._names(path) else []
-        out = []
-        for name in self._names(path):
-            out += [f"{name}/{rest}".rstrip("/") for rest in
-                    self._written(f"{path}/{name}", depth - 1)]
+    def _described(self, spec: TableSpec, schema: T.StructType, folder: str):
+        """What a commit keeps of each file of a new data folder, by partition. Reads the code and
+        date columns."""
+        log = self._log(spec)
+        code = F.col(spec.code_col) if spec.code_col else F.lit(None).cast("string")
+        day = F.col(spec.date_col) if spec.date_col else F.lit(None).cast("string")
+        schema = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
+        rows = self.spark.read.schema(schema).option("basePath", log.base).parquet(
+            literal_path(f"{log.base}/{folder}"))
+        found = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+            F.max("_metadata.file_size").alias("bytes"), F.count("*").alias("rows"),
+            F.min(code).alias("low"), F.max(code).alias("high"),
+            F.count(code).alias("coded"), F.sort_array(F.collect_set(day)).alias("days"),
+            F.count(day).alias("dated"))
+        out: dict[str, list[dict]] = {}
+        for r in sorted(found.collect(), key=lambda r: r["file"]):
+            file = _below(r["file"])
+            part = file.split("/", 1)[1].rpartition("/")[0]
+            out.setdefault(part, []).append({
+                "file": file, "bytes": r["bytes"], "rows": r["rows"],
+                "codes": [r["low"], r["high"]], "uncoded": r["rows"] - r["coded"],
+                "days": r["days"], "undated": r["rows"] - r["dated"]})
         return out
 
     def save_daily(self, df: DataFrame) -> int:
@@ -322,15 +412,18 @@ def _without_empty(df: DataFrame, spec: TableSpec) -> DataFrame:
         and kinds[c] == "string"})
 
 
-def _any_partition(touched, parts: list[str]):
-    """Predicate over partition columns that is true for the touched ones only."""
-    if len(parts) == 1:
-        name = parts[0]
-        values = sorted(row[name] for row in touched if row[name] is not None)
-        hit = F.col(name).isin(*values)
-        return hit if len(values) == len(touched) else hit | F.col(name).isNull()
-    rows = [
-        reduce(and_, [F.col(name).eqNullSafe(F.lit(row[name])) for name in parts])
-        for row in touched
-    ]
-    return reduce(or_, rows)
+def _below(uri: str) -> str:
+    """The path below the table's folder of a file's URI, which has special characters as %XX."""
+    path = unquote(uri)
+    return path[path.rindex("/version=") + 1:]
+
+
+def _columns(commit: dict) -> T.StructType:
+    fields = (f for n, t in commit["columns"]
+              for f in T.StructType.fromDDL(f"`{n}` {t}").fields)
+    return T.StructType(list(fields))
+
+
+def _may_hold(entry: dict, code: str) -> bool:
+    low, high = entry["codes"]
+    return low is not None and low <= code <= high

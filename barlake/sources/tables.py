@@ -139,6 +139,28 @@ class Tables:
         """Values of a partition column if they are known without reading rows."""
         return None
 
+    def known_files(self, table: str | TableSpec) -> list[tuple[tuple, dict]] | None:
+        """(partition values, what is known of a file) of all files, where rows are in files of
+        which something is known."""
+        return None
+
+    def known_days(self, table: str | TableSpec) -> list[str] | None:
+        """The days that have rows, in order, if they are known without reading rows."""
+        return None
+
+    def days(self, table: str, start: str | None = None, end: str | None = None) -> DataFrame:
+        """The days that have rows, as one column under its own name."""
+        return self.slice(table, start=start, end=end).select(
+            spec_of(table).date_col).distinct()
+
+    def index_days(
+        self, table: str, start: str | None = None, end: str | None = None
+    ) -> DataFrame:
+        """The index codes and the days that each has rows of, under their own names."""
+        spec = spec_of(table)
+        return self.slice(table, start=start, end=end).select(
+            spec.code_col, spec.date_col).distinct()
+
     def view_names(self) -> list[str]:
         shorts = [f"{t}_{s}_view" for t in INDEX_TABLES for s in self.indices.values()]
         return sorted([f"{t}_view" for t in CATALOG] + shorts)
