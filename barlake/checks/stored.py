@@ -115,11 +115,35 @@ def _stored_daily(m) -> Market:
 def _(m):
     return _stored_daily(m).raw_sql("""
         SELECT ts_code, trade_date, close, amount FROM daily_view
-        WHERE ym = (SELECT max(ym) FROM daily_view)
-          AND trade_date = (SELECT max(trade_date) FROM daily_view)
+        WHERE trade_date = (SELECT max(trade_date) FROM daily_view)
         ORDER BY amount DESC, ts_code LIMIT 10""")
 
 
+_LATEST_JOIN = """
+    SELECT d.ts_code, s.name, s.industry, d.trade_date, d.close, d.pct_chg, d.amount
+    FROM {daily} d LEFT JOIN {master} s ON d.ts_code = s.ts_code
+    WHERE d.trade_date = (SELECT MAX(trade_date) FROM {daily}) AND s.industry IS NOT NULL
+    ORDER BY d.amount DESC, d.ts_code LIMIT 20"""
+
+
+@check("stored_raw_latest_join", _LATEST_JOIN.format(daily="v_daily", master="v_stock_basic"))
+def _(m):
+    stored = _stored_daily(m)
+    stored.tables.save_stock_basic(m.tables.scan("stock_basic"))
+    return stored.raw_sql(_LATEST_JOIN.format(daily="daily_view", master="stock_basic_view"))
+
+
+@check("stored_raw_index_days", """
+    SELECT index_code, trade_date, count(*) AS n, sum(weight) AS weight FROM v_index_weight
+    WHERE trade_date BETWEEN '19960101' AND '19961231' GROUP BY index_code, trade_date""")
+def _(m):
+    store = _store(m, "weights")
+    store.upsert(m.tables.scan("index_weight"), "index_weight")
+    return Market(store).raw_sql("""
+        SELECT index_code, trade_date, count(*) AS n, sum(weight) AS weight FROM index_weight_view
+        WHERE trade_date BETWEEN '19960101' AND '19961231' GROUP BY index_code, trade_date""")
+
+
 @check("stored_trading_dates",
        "SELECT DISTINCT trade_date FROM v_daily ORDER BY trade_date DESC LIMIT 10")
 def _(m):

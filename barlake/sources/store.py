@@ -28,6 +28,8 @@ from barlake.sources.tables import Tables, empty_table
 # A partition with more small files than this has them rewritten with the next batch.
 SMALL_BYTES, SMALL_FILES = 8 << 20, 64
 MERGE_ATTEMPTS = 5
+# Stored days that a view lists: those of a hundred years, or of some indices.
+DAYS_LISTED = 50_000
 
 
 class Store(Tables):
@@ -168,8 +170,13 @@ class Store(Tables):
 
     def view(self, name: str) -> DataFrame:
         """As everywhere, with all stored columns, and at the end the partition columns that are
-        no data columns: free SQL that restricts ``ym``, ``year`` or ``index_short`` reads those
-        partitions only."""
+        no data columns.
+
+        Free SQL that restricts the date, or the code of an index, in whatever way, by subqueries
+        too, reads the partitions of the remaining days only: date and code come from the short
+        list of stored days in the commit, which is joined to the rows, and Spark prunes partitions
+        by what its filters leave of the list.
+        """
         table, code = self._view_of(name)
         spec = spec_of(table)
         df = self._scan_stored(table, code)
@@ -179,7 +186,32 @@ class Store(Tables):
         if code:
             df = df.where(F.col(spec.code_col) == code)
         extra = [f"`{n}`" for n in self.extra_columns(spec).names]
-        return df.select(*spec.columns, *extra, *spec.derived)
+        rows = df.select(*spec.columns, *extra, *spec.derived)
+        return rows if not spec.date_col or not spec.derived else self._by_days(rows, spec)
+
+    def _by_days(self, rows: DataFrame, spec: TableSpec) -> DataFrame:
+        """The rows, joined with the stored days of each partition; those without a date apart."""
+        files, by = self.known_files(spec), list(spec.derived)
+        known = sorted({(*values, d) for values, e in files for d in e["days"]}, key=str)
+        if len(known) > DAYS_LISTED or not known:
+            return rows
+        names = [f"_{c}" for c in (*by, spec.date_col)]
+        days = self.spark.createDataFrame(known, ", ".join(f"{n} string" for n in names))
+        instead = {spec.date_col: names[-1]}
+        if "index_short" in by:
+            code = F.lit(None).cast("string")
+            for index_code, short in self.indices.items():
+                code = F.when(F.col("_index_short") == short, index_code).otherwise(code)
+            days = days.withColumn("_code", code)
+            instead[spec.code_col] = "_code"
+        same = [F.col(c) == F.col(f"_{c}") for c in by]
+        same += [F.col(c) == F.col(n) for c, n in instead.items()]
+        # At most DAYS_LISTED short rows.
+        dated = rows.join(F.broadcast(days), same).select(
+            *[F.col(instead.get(c, f"`{c}`")).alias(c) for c in rows.columns])
+        if not any(e["undated"] for _, e in files):
+            return dated
+        return dated.union(rows.where(F.col(by[-1]).isNull() & F.col(spec.date_col).isNull()))
 
     # -- writing ---------------------------------------------------------------------------
 
