@@ -24,6 +24,7 @@ import math
 from dataclasses import dataclass, field, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -35,7 +36,7 @@ from barlake.llm.suffixes import pack, unpack
 from barlake.llm.tokens import Words, blank_bytes, chunks, mixed_bits, text_bytes
 from barlake.session import scratch_folder
 
-SLICE_BYTES, WORD_BUCKET_BYTES, PAIR_BUCKET_BYTES = 32 << 20, 32 << 20, 16 << 20
+SLICE_BYTES, WORD_BUCKET_BYTES, PAIR_BUCKET_BYTES = 16 << 20, 32 << 20, 16 << 20
 # A context with more training tokens is split.
 CONTEXT_TOKENS = 1 << 21
 PASSES, ROUNDS, SAMPLES = 2, 4, 3
@@ -124,6 +125,15 @@ def _slices(batches):
         yield number, ids, texts, np.array(marks, bool)
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values, and each value's place among them."""
+    found, distinct = pd.factorize(values)
+    order = np.argsort(distinct)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return distinct[order], rank[found]
+
+
 class Tokens:
     """The words of some texts: ``words``, sorted, with both marks; per token its word, the word
     before and its text."""
@@ -144,7 +154,7 @@ class Tokens:
         inner = np.ones(len(dish), bool)
         inner[ends] = False
         dish[inner] = np.concatenate(hashes)
-        self.words, found = np.unique(np.concatenate(([BEGIN, END], dish)), return_inverse=True)
+        self.words, found = _numbered(np.concatenate(([BEGIN, END], dish)))
         self.begin, self.word = found[0], found[2:]
         self.before = np.empty_like(self.word)
         self.before[1:] = self.word[:-1]
@@ -152,12 +162,23 @@ class Tokens:
         self.text = np.repeat(np.arange(len(texts)), counts + 1)
         self.lengths = counts + 1
 
+    def _keys(self) -> np.ndarray:
+        return self.before * len(self.words) + self.word
+
     def pairs(self):
         """(context, word) of the distinct pairs, sorted, and the pair of each token."""
-        found, of_token = np.unique(self.before * len(self.words) + self.word,
-                                    return_inverse=True)
+        found, of_token = np.unique(self._keys(), return_inverse=True)
         return *np.divmod(found, len(self.words)), of_token
 
+    def counted_pairs(self, learned: np.ndarray):
+        """(context, word, count) of the distinct pairs, sorted; tokens of the texts marked as
+        learned count."""
+        keys = np.sort(2 * self._keys() + learned[self.text])
+        found, one = keys >> 1, keys & 1
+        first = np.flatnonzero(np.diff(found, prepend=-1))
+        count = np.add.reduceat(one, first) if len(first) else one
+        return *np.divmod(found[first], len(self.words)), count
+
 
 def _word_bucket(code: np.ndarray, n: int) -> np.ndarray:
     return (code % np.uint64(n)).astype(np.int64)
@@ -221,8 +242,7 @@ def _pairs_of_slices(docs: DataFrame, n_pairs: int, split) -> DataFrame:
     def run(batches):
         for number, _, texts, learned in _slices(batches):
             tokens = Tokens(texts)
-            context, word, of = tokens.pairs()
-            count = np.bincount(of, learned[tokens.text], len(context)).astype(np.int64)
+            context, word, count = tokens.counted_pairs(learned)
             code = tokens.words >> _LOW
             context, word = code[context], code[word]
             rows = []
@@ -244,14 +264,16 @@ def _counted_pairs(g: int, kinds: dict, n_words: int, split) -> list[tuple]:
     asked = [(sub, *unpack(data)) for sub, data in kinds[ASKED]]
     context = np.concatenate([np.repeat(_sorted_numbers(c), n) for _, c, n, _, _ in asked])
     word = np.concatenate([_numbers(w) for _, _, _, w, _ in asked])
+    # Equal pairs by one hash of both, and only the distinct ones in order.
+    of, found = pd.factorize(mixed_bits(mixed_bits(context) + word))
+    first = np.empty(len(found), np.int64)
+    first[of[::-1]] = np.arange(len(of))[::-1]
+    context, word = context[first], word[first]
     order = np.lexsort((word, context))
-    c, w = context[order], word[order]
-    head = np.ones(len(c), bool)
-    head[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1])
-    of = np.empty(len(c), np.int64)
-    of[order] = np.cumsum(head) - 1
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    context, word, of = context[order], word[order], rank[of]
     count = np.bincount(of, np.concatenate([x for *_, x in asked])).astype(np.int64)
-    context, word = c[head], w[head]
     many = count > 1
     place = np.where(many, np.cumsum(many), np.where(count == 1, 0, -1))[of]
     ends = np.cumsum([len(w) // 8 for _, _, _, w, _ in asked])[:-1]
