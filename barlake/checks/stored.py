@@ -134,13 +134,13 @@ def _(m):
 
 
 @check("stored_raw_index_days", """
-    SELECT index_code, trade_date, count(*) AS n, sum(weight) AS weight FROM v_index_weight
+    SELECT index_code, trade_date, count(*) AS n, round(sum(weight), 4) AS weight FROM v_index_weight
     WHERE trade_date BETWEEN '19960101' AND '19961231' GROUP BY index_code, trade_date""")
 def _(m):
     store = _store(m, "weights")
     store.upsert(m.tables.scan("index_weight"), "index_weight")
     return Market(store).raw_sql("""
-        SELECT index_code, trade_date, count(*) AS n, sum(weight) AS weight FROM index_weight_view
+        SELECT index_code, trade_date, count(*) AS n, round(sum(weight), 4) AS weight FROM index_weight_view
         WHERE trade_date BETWEEN '19960101' AND '19961231' GROUP BY index_code, trade_date""")
 
 
