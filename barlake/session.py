@@ -40,6 +40,11 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return folder
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """The path of a new folder below ``spark.checkpoint.dir``, which every executor can reach.
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from barlake.catalog import INDEX_TABLES, TRACKED_INDICES, TableSpec, index_short, spec_of
 from barlake.operators.merge import conform, keep_last, merge_keep_last
-from barlake.session import shared_folder
+from barlake.session import remove_folder, shared_folder
 from barlake.sources.commits import NULL_PARTITION, CommitLog, Conflict, literal_path, part_values
 from barlake.sources.tables import Tables, empty_table
 
@@ -111,6 +111,13 @@ class Store(Tables):
         found = {part_values(p)[at] for p in self._commit(spec)["parts"]}
         return sorted(found - {None})
 
+    def changes(self, table: str | TableSpec, since: int = 0) -> tuple[int, list[tuple]]:
+        """The number of the newest commit, and the values of the partitions that changed after
+        commit ``since``."""
+        commit = self._commit(spec_of(table))
+        return commit["number"], [part_values(p) for p, n in commit["changed"].items()
+                                  if n > since]
+
     def known_files(self, table: str | TableSpec) -> list[tuple[tuple, dict]]:
         """(partition values, file) of every stored file: rows, bytes, days, first and last
         code."""
@@ -245,9 +252,7 @@ class Store(Tables):
             rows = self.spark.read.schema(incoming.schema).parquet(folder)
             return self._merge_in(rows, spec, token)
         finally:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(
-                path, True)
+            remove_folder(self.spark, folder)
 
     def _with_extra(self, df: DataFrame, spec: TableSpec) -> DataFrame:
         """Catalogue columns, then all others, in the type that they are stored in."""

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barlake.catalog import TableSpec
 from barlake.functions import from_cents, ratio, ymd
+from barlake.session import remove_folder, shared_folder
 from barlake.sources.store import Store
 
 
@@ -86,42 +87,108 @@ def _added(parts: DataFrame) -> DataFrame:
         F.sum("ticks").alias("ticks"), F.sum("cents").alias("cents"))
 
 
-def _neighbourhood(store: Store, touched: DataFrame) -> tuple[str, str] | None:
-    """First and last month to read so that every touched code has its bars before and after the
-    touched days: stored months are added on either side, twice as many each time, until none is
-    missing or all are read. None if no touched row has a day."""
-    spans = touched.where("ts_code IS NOT NULL").groupBy("ts_code").agg(
-        F.min("trade_date").alias("first"), F.max("trade_date").alias("last"))
-    first, last = spans.agg(F.min("first"), F.max("last")).first()
-    if first is None:
-        return None
-    months = sorted({m for t in ("daily", STATE) for m in store.partition_values(t, "ym")})
-    before = [m for m in months if m < first[:6]]
-    after = [m for m in months if m > last[:6]]
-    back, ahead = min(1, len(before)), min(1, len(after))
-    while True:
-        start = before[-back] if back else first[:6]
-        end = after[ahead - 1] if ahead else last[:6]
-        if back == len(before) and ahead == len(after):
-            return start, end
-        days = store.scan("daily", start=start, end=end).select("ts_code", "trade_date").union(
-            store.scan(STATE, start=start, end=end).select("ts_code", "trade_date"))
-        found = days.join(spans, "ts_code").groupBy("ts_code").agg(
-            F.max(F.col("trade_date") < F.col("first")).alias("earlier"),
-            F.max(F.col("trade_date") > F.col("last")).alias("later"))
-        least = found.agg(F.min("earlier"), F.min("later")).first()
-        more = (least[0] is False and back < len(before), least[1] is False and ahead < len(after))
-        if not any(more):
-            return start, end
-        back = min(2 * back, len(before)) if more[0] else back
-        ahead = min(2 * ahead, len(after)) if more[1] else ahead
-
-
-def _changed_bars(state: DataFrame, stored: DataFrame, touched: DataFrame) -> DataFrame:
+# What is known of each code's bars in ``daily``, whoever wrote them: the first and the last day,
+# and the last close. Its token is the number of the commit of ``daily`` that it is drawn from.
+CODES = TableSpec(
+    "bar_codes",
+    T.StructType([
+        T.StructField("ts_code", T.StringType()), T.StructField("first_day", T.StringType()),
+        T.StructField("last_day", T.StringType()), T.StructField("last_close", T.DoubleType()),
+    ]),
+    ("ts_code",), "ts_code", None, (), (), (), ("ts_code",),
+)
+
+
+def _in_months(store: Store, table, months) -> DataFrame:
+    return store.scan(table, dates=tuple(f"{m}01" for m in sorted(months)))
+
+
+def _learn_codes(store: Store, rows: DataFrame, number: int) -> None:
+    """Add rows of ``daily``, as of a commit, to what is known of their codes."""
+    found = rows.where("ts_code IS NOT NULL AND trade_date IS NOT NULL").groupBy("ts_code").agg(
+        F.min("trade_date").alias("first_day"), F.max("trade_date").alias("last_day"),
+        F.max_by("close", "trade_date").alias("last_close")).withColumn("fresh", F.lit(1))
+    known = store.scan(CODES).join(found.select("ts_code"), "ts_code", "left_semi")
+    both = found.unionByName(known.withColumn("fresh", F.lit(0)))
+    store.upsert(both.groupBy("ts_code").agg(
+        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"),
+        F.max_by("last_close", F.struct("last_day", "fresh")).alias("last_close")),
+        CODES, staged=True, token=str(number))
+
+
+def known_codes(store: Store) -> DataFrame:
+    """What is known of each code, brought up to date: only the months of ``daily`` that changed
+    since it was are read. Rows never leave ``daily``, so adding to it is exact."""
+    number, changed = store.changes("daily", int(store.token(CODES) or 0))
+    months = [values[0] for values in changed if values[0] is not None]
+    if months:
+        _learn_codes(store, _in_months(store, "daily", months), number)
+    return store.scan(CODES)
+
+
+def _neighbourhood(store: Store, touched: DataFrame, codes: DataFrame) -> list[str]:
+    """The months to read so that every touched row has the bars before and after it: those of
+    the touched rows, and those on either side up to the bar in question.
+
+    Nothing is looked for before the first or after the last day of a code, nor before a row that
+    comes after the last day, whose close is known. So only late rows lead to other months, and
+    from each touched month on, twice as many each time, until none of its bars is missing.
+    """
+    groups = touched.where("ts_code IS NOT NULL AND trade_date IS NOT NULL").groupBy(
+        "ts_code", F.substring("trade_date", 1, 6).alias("ym")).agg(
+        F.min("trade_date").alias("low"), F.max("trade_date").alias("high"))
+    groups = groups.join(codes, "ts_code", "left").select(
+        "ts_code", "ym", "low", "high",
+        F.coalesce((F.col("first_day") < F.col("low")) & (F.col("last_day") >= F.col("low")),
+                   F.lit(False)).alias("back"),
+        F.coalesce(F.col("last_day") > F.col("high"), F.lit(False)).alias("ahead"))
+    # One row per touched month.
+    asked = groups.groupBy("ym").agg(F.max("back").alias("back"), F.max("ahead").alias("ahead"))
+    wanted = {r["ym"]: (int(r["back"]), int(r["ahead"])) for r in asked.collect()}
+    stored = {m for t in ("daily", STATE) for m in store.partition_values(t, "ym")}
+    months = sorted(stored | set(wanted))
+    at = {m: k for k, m in enumerate(months)}
+
+    def around(ym: str) -> tuple[int, int]:
+        """First and last place of the months to read for a touched month."""
+        back, ahead = wanted[ym]
+        return max(0, at[ym] - back), min(len(months) - 1, at[ym] + ahead)
+
+    late = {m for m, (back, ahead) in wanted.items() if back or ahead}
+    while late:
+        spans = store.spark.createDataFrame(
+            [(m, months[around(m)[0]], months[around(m)[1]]) for m in sorted(late)],
+            "ym string, start string, end string")
+        read = {m for ym in late for m in months[around(ym)[0]:around(ym)[1] + 1]}
+        days = _in_months(store, "daily", read).select("ts_code", "trade_date").union(
+            _in_months(store, STATE, read).select("ts_code", "trade_date"))
+        open_rows = groups.where("back OR ahead").join(F.broadcast(spans), "ym")
+        found = open_rows.join(days, "ts_code", "left").groupBy(
+            "ts_code", "ym", "back", "ahead").agg(
+            F.max((F.col("trade_date") < F.col("low"))
+                  & (F.substring("trade_date", 1, 6) >= F.col("start"))).alias("earlier"),
+            F.max((F.col("trade_date") > F.col("high"))
+                  & (F.substring("trade_date", 1, 6) <= F.col("end"))).alias("later"))
+        missing = found.groupBy("ym").agg(
+            F.max(F.col("back") & ~F.coalesce("earlier", F.lit(False))).alias("back"),
+            F.max(F.col("ahead") & ~F.coalesce("later", F.lit(False))).alias("ahead"))
+        late = set()
+        for r in missing.collect():
+            (back, ahead), (low, high) = wanted[r["ym"]], around(r["ym"])
+            more = r["back"] and low > 0, r["ahead"] and high < len(months) - 1
+            wanted[r["ym"]] = (2 * back if more[0] else back, 2 * ahead if more[1] else ahead)
+            late |= {r["ym"]} if any(more) else set()
+    return sorted({m for ym in wanted for m in months[around(ym)[0]:around(ym)[1] + 1]})
+
+
+def _changed_bars(
+    state: DataFrame, stored: DataFrame, touched: DataFrame, known_codes: DataFrame
+) -> DataFrame:
     """Whole bars of the touched days, and of the day after each, whose change depends on it.
 
-    The days around are those of the ``stored`` daily table and of the state; of an untouched
-    day the stored bar counts. Where there is no earlier close, a stored previous close stays.
+    The days around are those of the ``stored`` daily table and of the state, and the last day of
+    each code; of an untouched day the stored bar counts. Where there is no earlier close, a stored
+    previous close stays.
     """
     key, codes = ["ts_code", "trade_date"], touched.select("ts_code").distinct()
     values = ["open", "high", "low", "close", "vol", "amount"]
@@ -131,6 +198,12 @@ def _changed_bars(state: DataFrame, stored: DataFrame, touched: DataFrame) -> Da
     known = stored.select(*key, "pre_close", F.struct(*values).alias("known"))
     rows = streamed.join(codes, "ts_code", "left_semi").join(
         known.join(codes, "ts_code", "left_semi"), key, "full")
+    # The last bar of a code is known even where its month is not read.
+    last = known_codes.join(codes, "ts_code", "left_semi").select(
+        "ts_code", F.col("last_day").alias("trade_date"), F.struct(
+            *[(F.col("last_close") if v == "close" else F.lit(None).cast("double")).alias(v)
+              for v in values]).alias("last"))
+    rows = rows.join(last, key, "full").withColumn("known", F.coalesce("known", "last"))
     rows = rows.join(touched.select(*key, F.lit(True).alias("touched")), key, "left")
     bar = F.when(F.col("touched") | F.col("known").isNull(), F.col("streamed")).otherwise(
         F.col("known"))
@@ -155,19 +228,39 @@ def start_bar_stream(ticks: DataFrame, store: Store, checkpoint: str) -> Streami
     so a batch that is run again after a failure adds nothing twice. The bars of the touched days,
     and of the days after them, are written with all their columns. The previous bar may also be one
     that was saved in ``daily``, and so may the next, which then gets its new change.
+
+    A second table (``bar_codes``) has the first and last day and the last close of every code,
+    drawn from the commits of ``daily``. With it, ticks of a new day read no other month, and neither
+    do those of a new code. Only one row per code and day of a micro-batch is kept beside it.
     """
     def take(batch: DataFrame, number: int) -> None:
         mark = f"{checkpoint}#{number}"
-        new = _partial(batch)
+        folder = shared_folder(store.spark, "ticks")
+        part = _partial(batch)
+        part.write.parquet(folder)
+        new = store.spark.read.schema(part.schema).parquet(folder)
+        months = [r[0] for r in new.where("trade_date IS NOT NULL").select(
+            F.substring("trade_date", 1, 6)).distinct().collect()]
         if store.token(STATE) != mark:
-            known = store.scan(STATE).join(
+            known = _in_months(store, STATE, months).join(
                 new.select("ts_code", "trade_date"), ["ts_code", "trade_date"], "left_semi")
-            store.upsert(_added(known.unionByName(new)), STATE, staged=True, token=mark)
-        months = _neighbourhood(store, new)
+            store.upsert(_added(known.unionByName(new)), STATE, token=mark)
         if months:
-            state, stored = (store.scan(t, start=months[0], end=months[1])
-                             for t in (STATE, "daily"))
-            store.upsert(_changed_bars(state, stored, new), "daily", staged=True)
+            codes = known_codes(store)
+            months = _neighbourhood(store, new, codes)
+            before, _ = store.changes("daily")
+            changed = _changed_bars(_in_months(store, STATE, months),
+                                    _in_months(store, "daily", months), new, codes)
+            rows = f"{folder}-bars"
+            changed.write.parquet(rows)
+            changed = store.spark.read.schema(changed.schema).parquet(rows)
+            store.upsert(changed, "daily")
+            now, _ = store.changes("daily")
+            # Bars of other writers are looked up with the next micro-batch.
+            if now == before + 1 and store.token(CODES) == str(before):
+                _learn_codes(store, changed, now)
+            remove_folder(store.spark, rows)
+        remove_folder(store.spark, folder)
 
     return (
         ticks.writeStream.foreachBatch(take)

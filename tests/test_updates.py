@@ -209,3 +209,84 @@ def test_bar_stream_goes_on_from_saved_bars(spark, store, tmp_path):
         ("A", "20240102"): (6.0, 4.0, 2.0, 3.0), ("A", "20240301"): (5.0, 6.0, -1.0, 3.0),
         ("A", "20240302"): (6.0, 5.0, None, 3.0), ("B", "20240102"): (6.0, 20.0, -14.0, 3.0),
         ("C", "20231229"): (2.0, None, None, 3.0)}
+
+
+def _late_ticks(spark, rows):
+    schema = "code string, ts string, seq long, price double, cents long"
+    return spark.createDataFrame(rows, schema).withColumn("ts", F.to_timestamp("ts"))
+
+
+@pytest.fixture
+def scanned(monkeypatch):
+    """The months that scans of ``daily`` ask for; None for all."""
+    asked, scan = [], Store.scan
+
+    def noting(self, table, code=None, start=None, end=None, dates=None):
+        if table == "daily":
+            asked.append(None if dates is None else {d[:6] for d in dates})
+        return scan(self, table, code, start, end, dates)
+
+    monkeypatch.setattr(Store, "scan", noting)
+    return asked
+
+
+def test_bar_stream_reads_other_months_for_late_ticks_only(spark, store, tmp_path, scanned):
+    months = [f"{y}{m:02d}" for y in range(2020, 2024) for m in range(1, 13)]
+    store.save_daily(make(spark, "daily", [
+        {"ts_code": "A", "trade_date": f"{m}15", "close": float(k)} for k, m in enumerate(months)]
+        + [{"ts_code": "OLD", "trade_date": "20200203", "close": 5.0}]))
+    landing, checkpoint = str(tmp_path / "ticks"), str(tmp_path / "checkpoint")
+
+    def take(*rows):
+        scanned.clear()
+        frame = _late_ticks(spark, [(*r, 100) for r in rows])
+        frame.coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(frame.schema).parquet(landing)
+        start_bar_stream(stream, store, checkpoint).awaitTermination()
+        return set().union(*[s or set(months) for s in scanned])
+
+    def closes(code):
+        return [(r["trade_date"], r["close"], r["pre_close"]) for r in store.scan("daily").where(
+            f"ts_code = '{code}'").orderBy("trade_date").collect()]
+
+    # The first micro-batch learns the codes from all that is stored.
+    assert take(("A", "2024-01-02 10:00:00", 1, 50.0)) == {*months, "202401"}
+    # A new code, and days after the last: their own month only.
+    assert take(("NEW", "2024-01-03 10:00:00", 2, 7.0), ("A", "2024-01-03 10:00:00", 3, 51.0)) \
+        == {"202401"}
+    assert closes("NEW") == [("20240103", 7.0, None)]
+    assert closes("A")[-2:] == [("20240102", 50.0, 47.0), ("20240103", 51.0, 50.0)]
+    # Years after its last bar, which is known.
+    assert take(("OLD", "2024-02-01 10:00:00", 4, 6.0)) == {"202402"}
+    assert closes("OLD") == [("20200203", 5.0, None), ("20240201", 6.0, 5.0)]
+    # A late day: back and ahead to its neighbours.
+    read = take(("OLD", "2021-07-01 10:00:00", 5, 8.0), ("A", "2024-02-05 10:00:00", 6, 52.0))
+    assert "202107" in read and "202002" in read and "202402" in read
+    assert closes("OLD") == [("20200203", 5.0, None), ("20210701", 8.0, 5.0),
+                             ("20240201", 6.0, 8.0)]
+    # Before the first day of a code there is nothing to look for.
+    read = take(("NEW", "2023-11-01 10:00:00", 7, 4.0))
+    assert read <= {"202311", "202312", "202401"}
+    assert closes("NEW") == [("20231101", 4.0, None), ("20240103", 7.0, 4.0)]
+    # Bars saved by others between micro-batches count.
+    store.save_daily(make(spark, "daily", [{"ts_code": "NEW", "trade_date": "20240110",
+                                            "close": 9.0}]))
+    assert take(("NEW", "2024-03-01 10:00:00", 8, 10.0)) == {"202401", "202403"}
+    assert closes("NEW")[-1] == ("20240301", 10.0, 9.0)
+
+
+def test_bar_stream_in_any_order_equals_batch(spark, store, tmp_path):
+    import random
+
+    rng = random.Random(11)
+    days = [f"20{20 + k // 12}-{1 + k % 12:02d}-{1 + k % 27:02d}" for k in range(40)]
+    rows = [(c, f"{rng.choice(days)} 1{rng.randrange(9)}:00:00", k, float(rng.randrange(1, 90)), k)
+            for k, c in enumerate("ABC" * 60)]
+    frame = _late_ticks(spark, rows)
+    landing = str(tmp_path / "ticks")
+    for part in range(5):
+        frame.where(f"seq % 5 = {part}").coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(frame.schema).parquet(landing)
+        start_bar_stream(stream, store, str(tmp_path / "checkpoint")).awaitTermination()
+    expected = with_changes(bars(frame)).orderBy("ts_code", "trade_date")
+    assert rows_of(store.scan("daily").orderBy("ts_code", "trade_date")) == rows_of(expected)
