@@ -192,14 +192,14 @@ def _dealt(docs: DataFrame, splitters, groups: int) -> DataFrame:
     def run(batches):
         for batch in slices(batches):
             doc = batch.column("doc").to_numpy()
-            crc = batch.column("crc").to_numpy()
+            mark = batch.column("mark").to_numpy()
             found = [(i, anchors(t)) for i, t in enumerate(_texts(batch)) if len(t) >= SPAN]
             if not found:
                 continue
             index = np.concatenate([np.full(len(a[0]), i) for i, a in found])
             first, second, context, start, count = (
                 np.concatenate([a[k] for _, a in found]) for k in range(5))
-            d, c = doc[index], crc[index]
+            d, c = doc[index], mark[index]
             order = np.lexsort((start, c, d, context))
             head = np.concatenate(([True], context[order][1:] != context[order][:-1]))
             again = order[_later(head, d[order], c[order], start[order])]
@@ -245,15 +245,15 @@ def _grouped_texts(docs: DataFrame, groups: int) -> DataFrame:
     def run(batches):
         press = zstandard.ZstdCompressor(level=1)
         for batch in slices(batches):
-            doc, crc = batch.column("doc").to_numpy(), batch.column("crc").to_numpy()
+            doc, mark = batch.column("doc").to_numpy(), batch.column("mark").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_group_of(doc, crc, groups)), batch.column("doc_id"),
-                 batch.column("doc"), batch.column("crc"),
+                [pa.array(_group_of(doc, mark, groups)), batch.column("doc_id"),
+                 batch.column("doc"), batch.column("mark"),
                  pa.array([press.compress(t) for t in _texts(batch)], pa.binary())],
-                ["g", "doc_id", "doc", "crc", "packed"])
+                ["g", "doc_id", "doc", "mark", "packed"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"g long, doc_id {kind}, doc long, crc long, packed binary")
+    return docs.mapInArrow(run, f"g long, doc_id {kind}, doc long, mark long, packed binary")
 
 
 def _contexts(texts: pa.Table, asked: pa.Table, groups: int, meets: int) -> pa.Table:
@@ -269,7 +269,7 @@ def _contexts(texts: pa.Table, asked: pa.Table, groups: int, meets: int) -> pa.T
     out: dict[int, list] = defaultdict(list)
     single: list[tuple] = []
     press = zstandard.ZstdDecompressor()
-    docs = zip(texts["doc"].to_pylist(), texts["crc"].to_pylist(), range(len(texts)), strict=True)
+    docs = zip(texts["doc"].to_pylist(), texts["mark"].to_pylist(), range(len(texts)), strict=True)
     for d, c, k in sorted(docs):
         # Repeated rows are the same document.
         asks = wanted.pop((d, c), [])
@@ -339,11 +339,11 @@ def _removed(texts: pa.Table, runs: pa.Table) -> pa.Table:
     for kind, blob in zip(runs["kind"].to_pylist(), runs["data"].to_pylist(), strict=True):
         if kind == DUP:
             d, c, start, count = unpack(blob)
-            for (doc, crc), (s, n) in _by_document(d, c, start, count):
-                own[doc, crc].append((s, n))
+            for (doc, mark), (s, n) in _by_document(d, c, start, count):
+                own[doc, mark].append((s, n))
     press = zstandard.ZstdDecompressor()
     spans, kept, sizes = [], [], []
-    for d, c, packed in zip(texts["doc"].to_pylist(), texts["crc"].to_pylist(),
+    for d, c, packed in zip(texts["doc"].to_pylist(), texts["mark"].to_pylist(),
                             texts["packed"].to_pylist(), strict=True):
         raw = press.decompress(packed)
         found = own.get((d, c))
@@ -404,14 +404,16 @@ def deduplicated(docs: DataFrame, per_bucket: int = PER_BUCKET, hot: int = HOT)
     A byte is removed if a string of SPAN bytes over it also starts earlier: in a document with a
     smaller id, or before in the same one. ``spans`` are the maximal removed runs as [start, end),
     ``kept`` the other bytes (which need not be whole characters). A null text is empty. Documents
-    without an id come before all others; those with the same id are ordered by the checksum of
+    without an id come before all others; those with the same id are ordered by a digest of
     their texts; equal rows are one document, with the same result for each.
     """
     spark = docs.sparkSession
-    crc = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long")
+    # 64 bits that nobody can make equal for two texts of one id.
+    digest = F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 16)
+    mark = F.conv(digest, 16, -10).cast("long")
     least = F.lit(-(1 << 63)).cast("long")
     docs = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), least).alias("doc"),
-                       crc.alias("crc"), "text")
+                       mark.alias("mark"), "text")
     texts, size = docs.agg(F.count("*"), F.sum(n_bytes(F.col("text")))).first()
     size = size or 0
     groups = 1 + size // GROUP_BYTES

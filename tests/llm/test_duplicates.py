@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -259,14 +260,67 @@ def test_odd_vectors(spark):
 
 
 def test_vector_query_on_the_table(spark):
-    rows = rows_of(spark.read.parquet("/root/testdata/check_s/embeddings.parquet").where(
-        "label < 2").select("vec_id", "embedding", "label"))
+    rows = rows_of(spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select(
+        "vec_id", "embedding", "label"))
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     x = {r[0]: np.array(r[1], float) for r in rows}
     got = {r["id"]: r["n_links"] for r in embeddings.near_vectors(df).collect()}
     expected = {}
-    for label in (0, 1):
+    for label in sorted({r[2] for r in rows}):
         ids = [r[0] for r in rows if r[2] == label]
         units = np.array([x[i] / np.linalg.norm(x[i]) for i in ids])
         expected |= dict(zip(ids, ((units @ units.T) >= 0.98).sum(axis=1) - 1, strict=True))
     assert got == expected
+
+
+def test_vectors_of_extreme_length(spark):
+    rows = [(k, v, 1) for k, v in enumerate((
+        [1e-200, 0.0], [2e-200, 0.0], [1e200, 0.0], [2e200, 0.0], [0.0, 5e-324], [0.0, 1e308],
+        [1e-160, 1e-160], [1e300, 1e300], [1.0, 0.1], [-1e250, 0.0]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted(rows_of(embeddings.near_vectors(df)))
+    # 8 is 5.7 degrees off the first four.
+    assert got == [(0, 4, 0), (1, 4, 0), (2, 4, 0), (3, 4, 0), (4, 1, 4), (5, 1, 4), (6, 1, 6),
+                   (7, 1, 6), (8, 4, 0), (9, 0, 9)]
+
+
+def _forged(text: bytes, like: int) -> bytes:
+    """The text with four bytes at its end that give it the checksum ``like``."""
+    table = [0] * 256
+    for n in range(256):
+        c = n
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table[n] = c
+    back = {table[n] >> 24: n for n in range(256)}
+    want, state = like ^ 0xFFFFFFFF, zlib.crc32(text) ^ 0xFFFFFFFF
+    places, value = [], want
+    for _ in range(4):
+        n = back[value >> 24]
+        places.append(n)
+        value = (value ^ table[n]) << 8 & 0xFFFFFFFF
+    out = b""
+    for n in reversed(places):
+        byte = (state ^ n) & 0xFF
+        out += bytes([byte])
+        state = state >> 8 ^ table[n]
+    return text + out
+
+
+@pytest.mark.parametrize("id_", [None, 7])
+def test_texts_of_equal_checksum_are_told_apart(spark, id_):
+    rng = random.Random(8)
+    half = "".join(rng.choice("abcdefgh ") for _ in range(150))
+    twice, k = half + half, 0
+    while True:
+        # Four bytes that are text.
+        plain = "".join(rng.choice("ijklmnop ") for _ in range(304))
+        forged = _forged(plain.encode(), zlib.crc32(twice.encode()))
+        k += 1
+        if max(forged[-4:]) < 128 and min(forged[-4:]) > 0:
+            break
+    other = forged.decode()
+    assert zlib.crc32(other.encode()) == zlib.crc32(twice.encode()) and k < 10_000
+    df = spark.createDataFrame([(id_, twice), (id_, other)], "doc_id long, text string")
+    got = {r["n_bytes"]: bytes(r["kept"]).decode() for r in suffixes.deduplicated(df).collect()}
+    assert got == {300: half, 308: other}
