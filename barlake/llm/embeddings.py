@@ -59,6 +59,9 @@ def _rows(column) -> np.ndarray:
 
 
 def _units(x: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; divided by their largest component first, so that no square is too
+    large or too small for a double."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
