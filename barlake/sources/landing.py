@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from barlake.catalog import CATALOG, HISTORY_YEARS, STATEMENTS, TableSpec, spec_of
 from barlake.functions import clean_text, history_start, quarter_end, to_integer, to_number
+from barlake.sources.quoted import clean, read_quoted
 from barlake.sources.tables import where_code, where_dates
 
 
@@ -36,6 +37,8 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.struct(F.col("_metadata.file_block_start").alias("block"),
                  F.monotonically_increasing_id().alias("row")).alias("place"),
         F.col("value").cast("binary").alias("line"),
+        clean(F.col("value")).alias("clean"),
+        F.col("_metadata.file_size").alias("size"),
     )
 
 
@@ -66,8 +69,8 @@ def _is_valid(line: bytes, encoding: str) -> bool:
 def file_encodings(
     spark: SparkSession, path: str | list[str], encodings: Sequence[str] = ENCODINGS
 ) -> DataFrame:
-    """(file, encoding, header): the first of the encodings that decodes the whole file, and the
-    bytes of the file's first line.
+    """(file, encoding, header, size, clean): the first of the encodings that decodes the whole
+    file, the bytes of the file's first line, and whether each line surely is a record or more.
 
     UTF-8 is checked inside the JVM; only lines of files that fail it reach Python. A file that
     none of the encodings decodes has a null encoding.
@@ -76,6 +79,7 @@ def file_encodings(
     files = lines.groupBy("file").agg(
         F.min_by("line", "place").alias("header"),
         F.min(_decodes(F.col("line"), "UTF-8").cast("int")).alias("utf8"),
+        F.max("size").alias("size"), F.min("clean").alias("clean"),
     )
     found = F.when(F.col("utf8") == 1, "UTF-8") if "UTF-8" in encodings else None
     for n, encoding in enumerate(e for e in encodings if e != "UTF-8"):
@@ -86,7 +90,7 @@ def file_encodings(
             valid.groupBy("file").agg(F.min("ok").alias(f"ok{n}")), "file", "left")
         hit = F.col(f"ok{n}") == 1
         found = F.when(hit, encoding) if found is None else found.when(hit, encoding)
-    return files.select("file", found.alias("encoding"), "header")
+    return files.select("file", found.alias("encoding"), "header", "size", "clean")
 
 
 def _path_of(spark: SparkSession, file: str) -> str:
@@ -106,8 +110,9 @@ def read_csv(
     """CSV files with headers, every column as text, matched by header name: files may order their
     columns differently or lack some. A byte-order mark is skipped.
 
-    ``multi_line`` allows line breaks inside quotes; such files are not split over tasks. Without
-    it they are, and a line break ends a row.
+    ``multi_line`` allows line breaks inside quotes. Large files are split over tasks all the
+    same: those in which no field goes beyond its line by Spark's reader, and the others by
+    :mod:`barlake.sources.quoted`. Without it, a line break ends a row.
     """
     return _by_header(spark, file_encodings(spark, path, (encoding,)), path, multi_line)
 
@@ -122,18 +127,29 @@ def read_csv_any_encoding(
 
 
 def _by_header(spark: SparkSession, files: DataFrame, path, multi_line: bool) -> DataFrame:
-    """One reader per (encoding, header). The driver gets these and the file names, the size of
-    the listing that it holds anyway."""
-    groups = files.groupBy("encoding", "header").agg(F.collect_list("file").alias("files"))
+    """One reader per (encoding, header, way of reading). The driver gets these and the file
+    names, the size of the listing that it holds anyway."""
+    # A file of one block is one task's work anyway.
+    block = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    way = F.when(F.lit(not multi_line) | F.col("clean"), "lines").when(
+        (F.col("size") <= block) | ~clean(F.col("header").cast("string"))
+        | F.contains("header", F.lit(b"\r")), "file").otherwise("records")
+    groups = files.groupBy("encoding", "header", way.alias("way")).agg(
+        F.collect_list("file").alias("files"))
     parts = []
     for row in sorted(groups.collect(), key=str):
         if row["encoding"] is None:
             raise ValueError(f"no known encoding decodes {sorted(row['files'])[:3]}")
         names = _header(bytes(row["header"]), row["encoding"])
+        paths = [_path_of(spark, f) for f in row["files"]]
+        if row["way"] == "records":
+            parts.append(read_quoted(spark, paths, names, row["encoding"]))
+            continue
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         parts.append(spark.read.schema(schema).csv(
-            [_path_of(spark, f) for f in row["files"]], header=True, encoding=row["encoding"],
-            escape='"', multiLine=multi_line))
+            paths, header=True, encoding=row["encoding"], escape='"',
+            multiLine=row["way"] == "file"))
     if not parts:
         return spark.read.csv(path, header=True)
     return concat_parts(parts)

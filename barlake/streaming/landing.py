@@ -19,7 +19,7 @@ def start_upsert_stream(
     fmt: str = "parquet",
     read: Callable[[list[str]], DataFrame] | None = None,
     shape: Callable[[DataFrame], DataFrame] | None = None,
-    files_per_batch: int | None = None,
+    files_per_batch: int = 1000,
     **options: str,
 ) -> StreamingQuery:
     """Upsert every file that is in ``landing`` and not yet taken, then stop.
@@ -32,13 +32,13 @@ def start_upsert_stream(
     spark = store.spark
     listing = "path string, modificationTime timestamp, length long, content binary"
     files = spark.readStream.format("binaryFile").schema(listing).options(**options)
-    if files_per_batch:
-        files = files.option("maxFilesPerTrigger", files_per_batch)
+    files = files.option("maxFilesPerTrigger", files_per_batch)
     shaped = shape or (lambda df: normalise(df, table))
     reader = read or (lambda paths: read_landed(spark, paths, fmt, table))
 
     def take(batch: DataFrame, _id: int) -> None:
-        # The names of the batch's files; their content is not read here.
+        # The names of the batch's files, of which there are files_per_batch at most; their content
+        # is not read here.
         paths = sorted(r["path"] for r in batch.select("path").collect())
         if paths:
             # Text is parsed once and staged; Parquet is read again column by column.
