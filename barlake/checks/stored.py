@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barlake.catalog import CATALOG, spec_of
 from barlake.checks.registry import (
     _FLOW_CUT, _OPEN, DAY, INDEX, ORDERS_AS_OF, _keep_last, _merged_table, _store, _Stored, check,
 )
@@ -247,43 +248,112 @@ def _(m):
         rest.select(*[F.col(c).cast(kinds[c]).alias(c) for c in rows.columns]))
 
 
+@check("upsert_new_column", f"""
+    SELECT *, CASE WHEN trade_date < '{DAY}' THEN 'n' || ts_code END AS note,
+           CASE WHEN trade_date >= '{DAY}' AND trade_date < '20240120' THEN 7 END AS n
+    FROM v_adjfactor""")
+def _(m):
+    # Two batches bring a column each, the last one none.
+    store, rows = _store(m, "columns"), m.tables.scan("adjfactor")
+    day = F.col("trade_date")
+    store.save_adjfactor(rows.where(day < DAY).withColumn(
+        "note", F.concat(F.lit("n"), "ts_code")))
+    store.save_adjfactor(rows.where((day >= DAY) & (day < "20240120")).withColumn("n", F.lit(7)))
+    store.save_adjfactor(rows.where(day >= "20240120"))
+    return store.full("adjfactor")
+
+
 # -- updates -----------------------------------------------------------------------------------
 
-_UPDATED = ("trade_calendar", "moneyflow", "index_daily")
+# The column that is missing in what is stored before an update: a row that has it was taken anew.
+_TAKEN = {
+    "daily": "amount", "stock_basic": "is_hs", "st_stocks": "industry",
+    "income": "n_income_attr_p", "cashflow": "n_cashflow_act", "balancesheet": "total_assets",
+    "trade_calendar": "pretrade_date", "adjfactor": "adj_factor", "moneyflow": "net_mf_amount",
+    "index_basic": "base_point", "index_weight": "weight", "index_daily": "amount",
+}
+
+
+def _parts_of(spec):
+    numbers = [f.name for f in spec.schema.fields if f.dataType.typeName() != "string"]
+    return numbers, [c for c in spec.columns if c not in numbers and c not in spec.key]
+
+
+def _cells(rows, table: str):
+    """(table, key, column, number, text) of every cell that is not null."""
+    numbers, texts = _parts_of(spec_of(table))
+    pairs = [f"'{c}', CAST(`{c}` AS DOUBLE), CAST(NULL AS STRING)" for c in numbers]
+    pairs += [f"'{c}', CAST(NULL AS DOUBLE), `{c}`" for c in texts]
+    key = ", ".join(spec_of(table).key)
+    return rows.selectExpr(
+        f"'{table}' AS table", f"concat_ws('|', {key}) AS key",
+        f"stack({len(pairs)}, {', '.join(pairs)}) AS (column, number, text)",
+    ).where("number IS NOT NULL OR text IS NOT NULL")
+
+
+def _cells_sql(table: str, before: str, fresh: str) -> str:
+    """Cells of the rows ``before`` the update, without the column that tells, and of ``fresh``."""
+    spec, taken = spec_of(table), _TAKEN[table]
+    numbers, texts = _parts_of(spec)
+    cells = [f"{{'c': '{c}', 'n': CAST(\"{c}\" AS DOUBLE), 't': CAST(NULL AS VARCHAR)}}"
+             for c in numbers]
+    cells += [f"{{'c': '{c}', 'n': CAST(NULL AS DOUBLE), 't': \"{c}\"}}" for c in texts]
+    key = ", ".join(spec.key)
+    return f"""
+        SELECT '{table}' AS "table", key, u.c AS "column", u.n AS number, u.t AS text
+        FROM (SELECT concat_ws('|', {key}) AS key, unnest([{', '.join(cells)}]) AS u
+              FROM (SELECT * REPLACE (CASE WHEN {fresh} THEN "{taken}" END AS "{taken}")
+                    FROM v_{table} WHERE ({before}) OR ({fresh})))
+        WHERE u.n IS NOT NULL OR u.t IS NOT NULL"""
+
+
+def _updated(window: str, **fresh: str) -> str:
+    """What all tables hold after an update; ``fresh`` says which rows it takes anew where that
+    differs between the two kinds of update."""
+    fresh |= {"stock_basic": "list_status = 'L'", "st_stocks": "true",
+              "index_basic": "market IN ('CSI', 'SSE', 'SZSE')"}
+    dated = f"trade_date >= '{_FLOW_CUT}'"
+    for t in ("daily", "adjfactor", "moneyflow"):
+        fresh[t] = f"{dated} AND trade_date IN ({_OPEN} AND {window})"
+    for t in ("index_weight", "index_daily"):
+        fresh[t] = f"{dated} AND trade_date <= '{ORDERS_AS_OF}'"
+    for t in ("income", "cashflow", "balancesheet"):
+        fresh[t] = fresh["statements"]
+    before = {t: f"{spec.date_col} < '{_FLOW_CUT}'" if spec.date_col else "true"
+              for t, spec in CATALOG.items()} | {"trade_calendar": "true"}
+    return " UNION ALL ".join(_cells_sql(t, before[t], fresh[t]) for t in CATALOG)
 
 
 def _update(m, steps_of):
-    """Rows of the updated tables after an update of what was stored up to the cut-off."""
+    """Cells of all tables after an update of what was stored up to the cut-off. Readers of the
+    snapshot see nothing of an update that breaks off."""
     store, before = _store(m, "update"), _Stored(m.tables, _FLOW_CUT)
-    for table in _UPDATED:
-        store.upsert(before.scan(table), table)
+    for table, taken in _TAKEN.items():
+        rows = before.scan(table)
+        store.upsert(rows.withColumn(taken, F.lit(None).cast(rows.schema[taken].dataType)), table)
+    store.publish_snapshot()
     steps = steps_of(store)
-    updates.apply_update(store, {t: steps[t] for t in _UPDATED})
-    return union_all([
-        store.scan(t).select(F.lit(t).alias("table"), "ts_code", "trade_date", value)
-        for t, value in (("moneyflow", F.col("net_mf_amount").alias("value")),
-                         ("index_daily", F.col("close").alias("value")))])
-
-
-def _updated(flows: str, bars: str) -> str:
-    return (
-        f"SELECT 'moneyflow' AS \"table\", ts_code, trade_date, net_mf_amount AS value "
-        f"FROM v_moneyflow WHERE trade_date < '{_FLOW_CUT}' OR {flows} UNION ALL "
-        f"SELECT 'index_daily', ts_code, trade_date, close FROM v_index_daily "
-        f"WHERE trade_date < '{_FLOW_CUT}' OR {bars}")
+    some = dict(list(steps.items())[:5])
+    for table, rows in some.items():
+        store.upsert(rows(), table, staged=True)
+    updates.apply_update(store, steps)
+    whole = store.snapshot()
+    return union_all([_cells(whole.scan(t), t) for t in CATALOG])
 
 
 _WINDOW = f"BETWEEN '20010420' AND '{ORDERS_AS_OF}'"
 
 
 @check("apply_update_incremental", _updated(
-    f"trade_date IN ({_OPEN} AND cal_date {_WINDOW})", f"trade_date {_WINDOW}"))
+    f"cal_date {_WINDOW}", trade_calendar=f"cal_date {_WINDOW}",
+    statements="end_date IN ('20010930', '20010630')"))
 def _(m):
     return _update(m, lambda store: updates.incremental_steps(m.tables, store, ORDERS_AS_OF, 3))
 
 
 @check("apply_update_full", _updated(
-    f"trade_date IN ({_OPEN})", f"trade_date BETWEEN '19860101' AND '{ORDERS_AS_OF}'"))
+    "true", trade_calendar=f"cal_date <= '{ORDERS_AS_OF}'",
+    statements=f"end_date BETWEEN '19860331' AND '{ORDERS_AS_OF}'"))
 def _(m):
     codes = m.tables.spark.createDataFrame([(c,) for c in m.tables.indices], "index_code string")
     return _update(m, lambda store: updates.full_steps(m.tables, store, ORDERS_AS_OF, codes))

@@ -206,6 +206,10 @@ def update_summary(steps: Steps) -> DataFrame:
 def apply_update(store: Store, steps: Steps) -> dict[str, int]:
     """Merge the steps into the store one by one and return the rows taken per table.
 
-    The rows of a step come out of joins, so they are staged and computed once.
+    The rows of a step come out of joins, so they are staged and computed once. Readers of
+    ``store.snapshot()`` see the whole update at its end, and nothing of one that breaks off, which
+    may simply be run again.
     """
-    return {table: store.upsert(rows(), table, staged=True) for table, rows in steps.items()}
+    taken = {table: store.upsert(rows(), table, staged=True) for table, rows in steps.items()}
+    store.publish_snapshot()
+    return taken

@@ -19,15 +19,20 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.catalog import INDEX_TABLES, TRACKED_INDICES, TableSpec, index_short, spec_of
+from barlake.catalog import (
+    CATALOG, INDEX_TABLES, TRACKED_INDICES, TableSpec, index_short, spec_of,
+)
 from barlake.operators.merge import conform, keep_last, merge_keep_last
 from barlake.session import remove_folder, shared_folder
-from barlake.sources.commits import NULL_PARTITION, CommitLog, Conflict, literal_path, part_values
+from barlake.sources.commits import (
+    EMPTY, NULL_PARTITION, CommitLog, Conflict, commit_name, literal_path, part_values,
+)
 from barlake.sources.tables import Tables, empty_table
 
 # A partition with more small files than this has them rewritten with the next batch.
 SMALL_BYTES, SMALL_FILES = 8 << 20, 64
 MERGE_ATTEMPTS = 5
+KEPT_SNAPSHOTS = 2
 # Stored days that a view lists: those of a hundred years, or of some indices.
 DAYS_LISTED = 50_000
 
@@ -58,6 +63,34 @@ class Store(Tables):
     def _commit(self, spec: TableSpec) -> dict:
         return self._log(spec).commit()
 
+    # -- updates of several tables ---------------------------------------------------------
+
+    def _snapshots(self) -> CommitLog:
+        return CommitLog(self.spark, self.root)
+
+    def publish_snapshot(self) -> int:
+        """Make the newest commits of all tables what :meth:`snapshot` shows; its number."""
+        log = self._snapshots()
+        while True:
+            number = int((log.names("_snapshots") or ["0"])[-1].removesuffix(".json")) + 1
+            commits = {t: self._commit(spec_of(t))["number"] for t in CATALOG}
+            if log.put(f"_snapshots/{commit_name(number)}", commits):
+                for old in log.names("_snapshots")[:-KEPT_SNAPSHOTS]:
+                    log.delete(f"_snapshots/{old}")
+                return number
+
+    def snapshot(self) -> Store:
+        """A reader of the tables as the last whole update left them, or, without any, of the
+        newest commits. It stays as it is while others write; the snapshot before the newest can be
+        read until the next update ends."""
+        log = self._snapshots()
+        names = log.names("_snapshots")
+        return Snapshot(self, log.json(f"_snapshots/{names[-1]}")) if names else self
+
+    def _pinned(self, spec: TableSpec) -> set[int]:
+        log = self._snapshots()
+        return {log.json(f"_snapshots/{n}").get(spec.name, 0) for n in log.names("_snapshots")}
+
     def _publish(self, spec: TableSpec, *what) -> None:
         self._log(spec).publish(*what)
 
@@ -366,7 +399,7 @@ class Store(Tables):
             log.delete(folder)
             log.delete(f"_files/{folder}.json")
             raise
-        log.clean()
+        log.clean(self._pinned(spec))
         return True
 
     def _described(self, spec: TableSpec, schema: T.StructType, folder: str):
@@ -439,6 +472,21 @@ class Store(Tables):
         return self._save_index(df, "index_daily", index_code)
 
 
+class Snapshot(Store):
+    """The tables as of one commit each; nothing can be written."""
+
+    def __init__(self, store: Store, commits: dict[str, int]):
+        super().__init__(store.spark, store.root, store.indices)
+        self._numbers = commits
+
+    def _commit(self, spec: TableSpec) -> dict:
+        number = self._numbers.get(spec.name, 0)
+        return self._log(spec).commit(commit_name(number)) if number else EMPTY
+
+    def upsert(self, *_, **__) -> int:
+        raise TypeError("a snapshot is for reading; write to its store")
+
+
 def _without_empty(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Empty text in key and partition columns as null, which it would be read back as."""
     names = {*spec.key, *(c for c in (spec.date_col,) if c), *(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barlake.catalog import spec_of
 from barlake.operators.profile import manifest, record_counts, table_manifest
 from barlake.plans.market import Market
+from barlake.plans.updates import apply_update
 from barlake.sources import commits
 from barlake.sources.commits import CommitLog
 from barlake.sources.store import Store
@@ -125,7 +126,7 @@ def test_a_code_outside_a_files_bounds_leaves_it_unread(store, spark):
 
 def _between(store, monkeypatch, other, times=1):
     """Let ``other`` run right before the next commits are put in place."""
-    put, left = CommitLog._put, [times]
+    put, left = CommitLog.put, [times]
 
     def slow(self, path, content):
         if path.startswith("_commits") and left[0]:
@@ -133,7 +134,7 @@ def _between(store, monkeypatch, other, times=1):
             other()
         return put(self, path, content)
 
-    monkeypatch.setattr(CommitLog, "_put", slow)
+    monkeypatch.setattr(CommitLog, "put", slow)
 
 
 def test_writers_of_two_months_both_succeed(store, spark, monkeypatch):
@@ -166,7 +167,7 @@ def test_first_writers_of_a_table_lose_no_row(store, spark, monkeypatch):
 def test_a_commit_file_is_put_once(spark, tmp_path):
     log = CommitLog(spark, str(tmp_path / "log"))
     done = []
-    threads = [threading.Thread(target=lambda k=k: done.append((log._put("_commits/1.json", {"n": k}),
+    threads = [threading.Thread(target=lambda k=k: done.append((log.put("_commits/1.json", {"n": k}),
                                                                 k))) for k in range(4)]
     for t in threads:
         t.start()
@@ -336,3 +337,48 @@ def test_counts_and_gaps_open_no_data_file(store, spark, monkeypatch):
     assert record_counts(store).count() == 12 and manifest(store).count() == 12
     assert Market(store).trading_dates(3).count() == 3
     assert store.days("daily").count() == 3 and store.index_days("index_daily").count() == 4
+
+
+# -- updates of several tables -------------------------------------------------------------------
+
+
+def _steps(spark, value, broken=False):
+    def fails():
+        raise OSError("driver lost")
+
+    return {
+        "daily": lambda: make(spark, "daily", [bar("A", "20240102", value)]),
+        "stock_basic": lambda: make(spark, "stock_basic", [{"ts_code": "A", "name": str(value)}]),
+        "adjfactor": fails if broken else lambda: make(spark, "adjfactor", [
+            {"ts_code": "A", "trade_date": "20240102", "adj_factor": value}]),
+    }
+
+
+def _seen(store):
+    return (rows_of(store.scan("daily").select("close")),
+            rows_of(store.scan("stock_basic").select("name")),
+            rows_of(store.scan("adjfactor").select("adj_factor")))
+
+
+def test_an_update_that_breaks_off_is_not_seen(store, spark):
+    assert store.snapshot() is store
+    apply_update(store, _steps(spark, 1.0))
+    old = store.snapshot()
+    first = ([(1.0,)], [("1.0",)], [(1.0,)])
+    assert _seen(old) == first
+    for _ in range(3):  # more commits than are kept otherwise
+        with pytest.raises(OSError):
+            apply_update(store, _steps(spark, 2.0, broken=True))
+    assert _seen(old) == _seen(store.snapshot()) == first
+    assert _seen(store) == ([(2.0,)], [("2.0",)], [(1.0,)])
+    apply_update(store, _steps(spark, 3.0))
+    assert _seen(store.snapshot()) == ([(3.0,)], [("3.0",)], [(3.0,)])
+    # A reader that began before the update goes on with what it saw.
+    assert _seen(old) == first
+    with pytest.raises(TypeError):
+        old.save_daily(make(spark, "daily", []))
+    for value in (4.0, 5.0):
+        apply_update(store, _steps(spark, value))
+    # Those of two updates, and the last but one.
+    assert len(store._commits(spec_of("daily"))) == 3
+    assert dict(rows_of(record_counts(store.snapshot())))["daily"] == 1
