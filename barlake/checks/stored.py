@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from barlake.catalog import CATALOG, spec_of
 from barlake.checks.registry import (
-    _FLOW_CUT, _OPEN, DAY, INDEX, ORDERS_AS_OF, _keep_last, _merged_table, _store, _Stored, check,
+    _FLOW_CUT, _OPEN, CODE, DAY, INDEX, ORDERS_AS_OF, _keep_last, _merged_table, _store, _Stored,
+    check,
 )
+from barlake.operators import sketches
 from barlake.operators.export import save_result, write_csv
-from barlake.operators.profile import union_all
+from barlake.operators.profile import profile, union_all
 from barlake.plans import updates
 from barlake.plans.market import Market
 from barlake.session import scratch_folder
@@ -158,6 +160,33 @@ def _(m):
     return Market(store).stored_months("moneyflow")
 
 
+_FLOW_COLUMNS = spec_of("moneyflow").columns
+
+
+@check("profile_sketched", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(\"{c}\") AS non_null, count(DISTINCT \"{c}\") AS "
+    f"distinct_count, true AS within FROM v_moneyflow" for c in _FLOW_COLUMNS))
+def _(m):
+    # In two writes, so that sketches of both are added up.
+    store, rows = _store(m, "sketches"), m.tables.scan("moneyflow")
+    store.save_moneyflow(rows.where(F.col("trade_date") < _FLOW_CUT))
+    sketches.refresh(store, "moneyflow")
+    store.save_moneyflow(rows.where(F.col("trade_date") >= _FLOW_CUT))
+    about = sketches.profile_sketched(store, "moneyflow").drop("non_null")
+    exact = profile(store.scan("moneyflow"), _FLOW_COLUMNS)
+    n = F.col("distinct_count")
+    return exact.join(about, "column").select(
+        "column", "non_null", "distinct_count", n.between(F.col("low"), F.col("high")).alias("within"))
+
+
+@check("clustered_moneyflow_of_code", f"SELECT * FROM v_moneyflow WHERE ts_code = '{CODE}'")
+def _(m):
+    store = _store(m, "clustered")
+    store.save_moneyflow(m.tables.scan("moneyflow"))
+    store.cluster("moneyflow")
+    return Market(store).get_moneyflow(CODE)
+
+
 # -- streams -----------------------------------------------------------------------------------
 
 

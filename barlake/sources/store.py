@@ -33,6 +33,7 @@ from barlake.sources.tables import Tables, empty_table
 SMALL_BYTES, SMALL_FILES = 8 << 20, 64
 MERGE_ATTEMPTS = 5
 KEPT_SNAPSHOTS = 2
+FILE_BYTES = 128 << 20
 # Stored days that a view lists: those of a hundred years, or of some indices.
 DAYS_LISTED = 50_000
 
@@ -151,6 +152,16 @@ class Store(Tables):
         return commit["number"], [part_values(p) for p, n in commit["changed"].items()
                                   if n > since]
 
+    def partitions(self, table: str | TableSpec, values: list[tuple]) -> DataFrame:
+        """The rows of some partitions, named by their values."""
+        spec, wanted = spec_of(table), set(values)
+        commit = self._commit(spec)
+        files = self._log(spec).files(
+            commit, [p for p in commit["parts"] if part_values(p) in wanted])
+        if not files:
+            return empty_table(self.spark, spec)
+        return self._read(spec, commit, files).drop("version")
+
     def known_files(self, table: str | TableSpec) -> list[tuple[tuple, dict]]:
         """(partition values, file) of every stored file: rows, bytes, days, first and last
         code."""
@@ -371,18 +382,49 @@ class Store(Tables):
             kept[part] = [e for e in own if e["file"] not in gone]
         return {p: own for p, own in old.items() if own}, kept
 
+    def cluster(self, table: str | TableSpec, file_bytes: int = FILE_BYTES) -> int:
+        """Rewrite the partitions whose files overlap in their codes, so that each file has a
+        range of codes of its own, and return how many were rewritten.
+
+        A write gathers a partition in few files, but each with all codes, and later batches add
+        more. Once clustered, the rows of one code over all history stand in one file or two of
+        each partition, and a batch for some codes rewrites the files of these only.
+        """
+        spec = spec_of(table)
+        if not spec.code_col:
+            return 0
+        for attempt in range(MERGE_ATTEMPTS):
+            before, log = self._commit(spec), self._log(spec)
+            files = {p: own for p, own in log.files(before).items() if _overlap(own)}
+            if not files:
+                return 0
+            size = sum(e["bytes"] for own in files.values() for e in own)
+            rows = self._read(spec, before, files).select(
+                *spec.columns, *[f"`{n}`" for n, _ in before["columns"]])
+            try:
+                self._write(rows, spec, before, before["token"], ranges=1 + size // file_bytes)
+                return len(files)
+            except Conflict:
+                if attempt == MERGE_ATTEMPTS - 1:
+                    raise
+
     def _write(self, df: DataFrame, spec: TableSpec, before: dict, token: str | None,
-               kept: dict[str, list[dict]] | None = None) -> bool:
+               kept: dict[str, list[dict]] | None = None, ranges: int = 0) -> bool:
         """Write rows as the new content of their partitions, beside the files in ``kept``.
         Whether there were rows to write. REBALANCE gathers each partition value into files of
         AQE's advisory size: small values share no file, and a hot value is split over many
-        tasks."""
+        tasks. With ``ranges``, tasks have so many ranges of partition, code and date instead."""
         log = self._log(spec)
         folder = log.new_folder(before["number"] + 1)
         path = f"{log.base}/{folder}"
         parts = list(spec.partitions)
         order = parts + [c for c in spec.sort_cols if c not in parts]
-        rows = self._with_partitions(df, spec).hint("rebalance", *[F.col(c) for c in parts])
+        rows = self._with_partitions(df, spec)
+        if ranges:
+            rows = rows.repartitionByRange(ranges, *dict.fromkeys(
+                [*parts, spec.code_col, *spec.sort_cols]))
+        else:
+            rows = rows.hint("rebalance", *[F.col(c) for c in parts])
         try:
             rows.sortWithinPartitions(*order).write.partitionBy(*parts).parquet(path)
             files = self._described(spec, rows.schema, folder)
@@ -497,6 +539,13 @@ def _without_empty(df: DataFrame, spec: TableSpec) -> DataFrame:
         and kinds[c] == "string"})
 
 
+def _overlap(files: list[dict]) -> bool:
+    """Whether some code may stand in two files without being at the end of one and the beginning
+    of the next."""
+    held = sorted((e["codes"] for e in files if e["codes"][0] is not None))
+    return any(b[0] < a[1] for a, b in zip(held, held[1:], strict=False))
+
+
 def _below(uri: str) -> str:
     """The path below the table's folder of a file's URI, which has special characters as %XX."""
     path = unquote(uri)

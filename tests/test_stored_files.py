@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlake.catalog import spec_of
-from barlake.operators.profile import manifest, record_counts, table_manifest
+from barlake.operators import sketches
+from barlake.operators.profile import manifest, profile, record_counts, table_manifest
 from barlake.plans.market import Market
 from barlake.plans.updates import apply_update
 from barlake.sources import commits
@@ -382,3 +383,66 @@ def test_an_update_that_breaks_off_is_not_seen(store, spark):
     # Those of two updates, and the last but one.
     assert len(store._commits(spec_of("daily"))) == 3
     assert dict(rows_of(record_counts(store.snapshot())))["daily"] == 1
+
+
+# -- clustering and sketches ---------------------------------------------------------------------
+
+
+def test_one_code_opens_few_files_of_a_clustered_table(store, spark):
+    _month_of_files(store, spark, 50)
+    rows = closes(store)
+    assert len(store.slice("daily", "C0123").inputFiles()) == 50
+    size = sum(e["bytes"] for _, e in store.known_files("daily"))
+    assert store.cluster("daily", file_bytes=size // 20) == 1
+    assert closes(store) == rows
+    files = files_of(store)
+    assert 15 <= len(files) <= 25
+    one = store.slice("daily", "C0123")
+    assert len(one.inputFiles()) <= 2
+    assert one.count() == sum(r[0] == "C0123" for r in rows)
+    assert store.cluster("daily", file_bytes=size // 20) == 0
+    # A batch for one code leaves the other files as they are.
+    store.save_daily(make(spark, "daily", [bar("C0123", r[1], -1.0) for r in rows
+                                           if r[0] == "C0123"]))
+    assert len(files - files_of(store)) <= 2
+    assert store.cluster("stock_basic") == 0
+
+
+def test_clustering_beside_a_writer_loses_no_row(store, spark, monkeypatch):
+    _month_of_files(store, spark, 6)
+    rows = closes(store)
+    other = Store(spark, store.root)
+    _between(store, monkeypatch, lambda: other.save_daily(
+        make(spark, "daily", [bar("NEW", "20240105", 5.0)])))
+    assert store.cluster("daily") == 1
+    assert closes(store) == sorted([*rows, ("NEW", "20240105", 5.0)], key=str)
+
+
+def test_sketches_are_within_their_bound(store, spark, monkeypatch):
+    rows = spark.range(60_000).selectExpr(
+        "concat('C', CAST(id % 20000 AS STRING)) AS ts_code",
+        "concat('2024', lpad(CAST(1 + id % 9 AS STRING), 2, '0'), '15') AS trade_date",
+        "IF(id % 3 = 0, NULL, CAST(id AS DOUBLE)) AS close",
+        "IF(id % 2 = 0, 0.0D, -0.0D) AS open")
+    store.save_daily(rows)
+    got = {r["column"]: r for r in sketches.profile_sketched(store, "daily").collect()}
+    exact = {r["column"]: (r["non_null"], r["distinct_count"]) for r in profile(
+        store.scan("daily"), ["ts_code", "trade_date", "close", "open", "high"]).collect()}
+    for column in ("ts_code", "trade_date", "close", "high"):
+        assert got[column]["non_null"] == exact[column][0]
+        assert got[column]["low"] <= exact[column][1] <= got[column]["high"]
+    assert got["trade_date"]["distinct_estimate"] == 9 and got["high"]["distinct_estimate"] == 0
+    assert got["open"]["distinct_estimate"] == 1
+    # Only the month that a later write changes is read again.
+    read, partitions = [], Store.partitions
+
+    def noting(self, table, values):
+        read.append(sorted(values, key=str))
+        return partitions(self, table, values)
+
+    monkeypatch.setattr(Store, "partitions", noting)
+    store.save_daily(make(spark, "daily", [bar("X", "20240315", 1.0), bar("Y", None, 1.0)]))
+    again = {r["column"]: r for r in sketches.profile_sketched(store, "daily").collect()}
+    assert read == [[("202403",), (None,)]]
+    assert again["ts_code"]["non_null"] == 60_002
+    assert sketches.profile_sketched(store, "daily").count() == 11 and len(read) == 1
