@@ -1,17 +1,20 @@
 """Licence scan by a positional index of rare words, in DataFrame functions only.
 
-The words of the licence templates are ranked by document frequency over all files. Of each
-mandatory and base phrase the rarest word is its anchor. For each file that holds all words of
-some phrase, the places of the anchors are listed: a phrase can only stand where its anchor does,
-and there it is verified word by word. A template stands at an offset only if its mandatory phrase
-does, so those places give all its offsets; the best share of template words that stand at theirs
-is its score, and MIN_SHARE is enough.
+The words of the licence templates and base phrases are ranked by document frequency over all
+files. A text of n words that needs k of them at their places is looked up by its n - k + 2 rarest
+words: wherever it stands, at least two of these do. The index lists for each such word the texts
+and the places in them. A file's places of these words, less the places in the texts, give offsets;
+those on which two words or more agree are the candidates. There the mandatory phrase is verified
+word by word, and the share of template words that stand at theirs is the score, of which
+MIN_SHARE is enough. Nothing that counts is missed, whatever the frequencies.
 
 Base phrases are counted wherever their words stand consecutively.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -59,9 +62,37 @@ TEMPLATES = (
 MIN_SHARE = 0.6
 
 
+@dataclass(frozen=True)
+class Known:
+    """A template or base phrase: its words, those that must stand, where these begin in it, and
+    how many words have to stand at their places."""
+
+    label: str
+    words: tuple[str, ...]
+    key: tuple[str, ...]
+    key_at: int
+    need: int
+
+    def rarest(self, ranked: list[str]) -> list[int]:
+        """Places of the words that it is looked up by."""
+        order = sorted(range(len(self.words)), key=lambda i: (ranked.index(self.words[i]), i))
+        return order[:len(self.words) - self.need + 2]
+
+
+def _template(label: str, text: str, phrase: str) -> Known:
+    own, key = tuple(text.split()), tuple(phrase.split())
+    at = next(i for i in range(len(own)) if own[i:i + len(key)] == key)
+    need = next(k for k in range(2, len(own) + 1) if k / len(own) >= MIN_SHARE)
+    return Known(label, own, key, at, need)
+
+
+KNOWN = [_template(*t) for t in TEMPLATES]
+PHRASES = [Known(label, tuple(p.split()), tuple(p.split()), 0, len(p.split()))
+           for p, label in BASE.items()]
+
+
 def vocabulary() -> list[str]:
-    texts = [t for _, t, _ in TEMPLATES] + list(BASE)
-    return sorted({w for t in texts for w in t.split()})
+    return sorted({w for k in [*KNOWN, *PHRASES] for w in k.words})
 
 
 def file_words(text: Column) -> Column:
@@ -81,39 +112,52 @@ def ranked_vocabulary(files: DataFrame, text_col: str) -> list[str]:
     return sorted(vocabulary(), key=lambda w: (held.get(w, 0), w))
 
 
-def _stands(at: Column, phrase: list[str], skip: int = 0) -> Column:
+def _stands(at: Column, phrase: tuple[str, ...], skip: int = 0) -> Column:
     """The words of the phrase stand from place ``at`` + skip on."""
     return reduce(and_, [F.get("__w", (at + skip + i).cast("int")).eqNullSafe(F.lit(w))
                          for i, w in enumerate(phrase)])
 
 
-def _anchor(phrase: str, ranked: list[str]) -> str:
-    return min(phrase.split(), key=ranked.index)
+def _candidates() -> Column:
+    """(text, offset) of the texts in [*KNOWN, *PHRASES] on which two looked-up words of a file
+    agree at least; ``__hits`` are the sorted offsets that each of them gives."""
+    return F.array_distinct(F.filter(
+        "__hits", lambda hit, i: hit == F.get("__hits", (i + 1).cast("int"))))
+
+
+def _postings(ranked: list[str]) -> dict[str, list[tuple[int, int]]]:
+    """Per looked-up word the texts and the places in them."""
+    out = defaultdict(list)
+    for e, known in enumerate([*KNOWN, *PHRASES]):
+        for place in known.rarest(ranked):
+            out[known.words[place]].append((e, place))
+    return dict(out)
+
 
+def _hits(postings: dict[str, list[tuple[int, int]]]) -> Column:
+    index = F.create_map(*[x for word, own in sorted(postings.items()) for x in (
+        F.lit(word), F.array(*[F.struct(F.lit(e).alias("e"), F.lit(p).alias("p"))
+                               for e, p in own]))])
+    each = F.transform("__at", lambda spot: F.transform(
+        F.element_at(index, spot["w"]),
+        lambda own: F.struct(own["e"].alias("e"), (spot["i"] - own["p"]).alias("o"))))
+    return F.array_sort(F.flatten(each))
 
-def _places(phrase: str, ranked: list[str]) -> Column:
-    """Starts of a phrase, which are among the places of its anchor."""
-    own, anchor = phrase.split(), _anchor(phrase, ranked)
-    skip = own.index(anchor)
-    held = reduce(and_, [F.array_contains("__rare", w) for w in dict.fromkeys(own)])
-    spots = F.filter("__at", lambda o: o["w"] == anchor)
-    starts = F.transform(spots, lambda o: o["i"] - skip)
-    return F.when(held, F.filter(starts, lambda i: _stands(i, own))).otherwise(
-        F.array().cast("array<int>"))
 
+def _offsets(e: int, known: Known) -> Column:
+    """Offsets at which a text is a candidate and its mandatory words stand."""
+    own = F.transform(F.filter("__found", lambda c: c["e"] == e), lambda c: c["o"])
+    return F.filter(own, lambda o: _stands(o, known.key, known.key_at))
 
-def _template_score(template: str, phrase: str, ranked: list[str]) -> Column:
-    """Best share of template words at their places, over the offsets at which the mandatory
-    phrase stands at its own; else null."""
-    own, key = template.split(), phrase.split()
-    key_at = next(i for i in range(len(own)) if own[i:i + len(key)] == key)
 
-    def share(s: Column) -> Column:
-        equal = [F.when(F.get("__w", (s + i).cast("int")).eqNullSafe(F.lit(w)), 1).otherwise(0)
-                 for i, w in enumerate(own)]
-        return reduce(lambda a, b: a + b, equal) / F.lit(float(len(own)))
+def _template_score(e: int, known: Known) -> Column:
+    """Best share of template words at their places; null if it is too small."""
+    def share(o: Column) -> Column:
+        equal = [F.when(F.get("__w", (o + i).cast("int")).eqNullSafe(F.lit(w)), 1).otherwise(0)
+                 for i, w in enumerate(known.words)]
+        return reduce(lambda a, b: a + b, equal) / F.lit(float(len(known.words)))
 
-    best = F.array_max(F.transform(_places(phrase, ranked), lambda s: share(s - key_at)))
+    best = F.array_max(F.transform(_offsets(e, known), share))
     return F.when(best >= MIN_SHARE, best)
 
 
@@ -130,24 +174,26 @@ def scanned(files: DataFrame, text_col: str = "text") -> DataFrame:
         .withColumn("__n_words", F.size("__w").cast("long"))
         .withColumn("__rare", F.array_intersect(_texts(ranked), F.col("__w")))
     )
-    keys = [dict.fromkeys(p.split()) for p in [*BASE, *(k for _, _, k in TEMPLATES)]]
+    texts, postings = [*KNOWN, *PHRASES], _postings(ranked)
     wanted = reduce(lambda a, b: a | b, [
-        reduce(and_, [F.array_contains("__rare", w) for w in key]) for key in keys])
-    anchors = sorted({_anchor(p, ranked) for p in [*BASE, *(k for _, _, k in TEMPLATES)]})
+        reduce(and_, [F.array_contains("__rare", w) for w in key])
+        for key in dict.fromkeys(tuple(dict.fromkeys(t.key)) for t in texts)])
     spots = F.filter(F.transform("__w", lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
-                     lambda o: o["w"].isin(anchors))
+                     lambda o: o["w"].isin(sorted(postings)))
     # All other files go on without their words.
     found = (
         found.withColumn("__wanted", wanted)
         .withColumn("__w", F.when(F.col("__wanted"), F.col("__w")))
         .withColumn("__at", F.when(F.col("__wanted"), spots))
+        .withColumn("__hits", F.when(F.col("__wanted"), _hits(postings)))
+        .withColumn("__found", F.when(F.col("__wanted"), _candidates()))
     )
     starts = F.when(F.col("__wanted"), F.array(*[
-        F.struct(F.lit(label).alias("label"), _places(phrase, ranked).alias("at"))
-        for phrase, label in BASE.items()]))
+        F.struct(F.lit(known.label).alias("label"), _offsets(e, known).alias("at"))
+        for e, known in enumerate(texts) if e >= len(KNOWN)]))
     matched = F.when(F.col("__wanted"), F.array(*[
-        F.struct(F.lit(label).alias("label"), _template_score(template, phrase, ranked).alias("score"))
-        for label, template, phrase in TEMPLATES]))
+        F.struct(F.lit(known.label).alias("label"), _template_score(e, known).alias("score"))
+        for e, known in enumerate(KNOWN)]))
     found = found.withColumn("__starts", starts).withColumn("__matched", matched)
     nothing = F.array().cast("array<string>")
     places = F.coalesce(F.flatten(F.transform("__starts", lambda s: s["at"])),
@@ -163,5 +209,5 @@ def scanned(files: DataFrame, text_col: str = "text") -> DataFrame:
         .withColumn("__labels", F.array_sort(F.array_distinct(F.concat(base, more))))
         .withColumn("__score", F.when(F.size("__places") > 0, F.lit(1.0))
                     .otherwise(F.coalesce(best, F.lit(0.0))))
-        .drop("__w", "__rare", "__wanted", "__at", "__starts", "__matched")
+        .drop("__w", "__rare", "__wanted", "__at", "__hits", "__found", "__starts", "__matched")
     )
