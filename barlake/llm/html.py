@@ -1,12 +1,14 @@
-"""Main text of web pages: markup rules and differencing against the nearest page of the host.
-
-A page is read as lines, one per block element. Pages are paired within a host with the page
-whose URL path stands next to theirs in order and shares the longer beginning. The lines of both
-outside an article are aligned by a longest common subsequence, and shared ones are deleted: a
-line is its text, or in a menu, footer, advert or the like its place in the markup, whose text
-may change from page to page. A check follows, since a host may have one page only: lines in such
-elements go in any case, and so do lines outside the article where there is one. Lines of an article
-are never deleted for being shared: a page may be a copy of its neighbour.
+"""Main text of web pages: markup rules and differencing against the nearest pages of the host.
+
+A page is read as lines, one per block element. Pages are paired within a host with the pages
+whose URL paths stand next to theirs in order, those that share the longer beginning first. The
+lines outside of article elements are aligned with theirs by a longest common subsequence, and
+shared ones are deleted: a line is its text, or in a menu, footer, advert or the like its place in
+the markup, whose text may change from page to page. Such a place needs one page that shares it; a
+line of text needs two that differ, of which neither is nearly a copy of the page, so that copies
+and quotations lose nothing. A line of a main element may go, too, if two pages share it. A check
+follows, since a host may have few pages: lines in boilerplate elements go in any case, and so do
+lines outside the article or main element where there is one. Lines of an article element stay.
 """
 
 from __future__ import annotations
@@ -14,8 +16,9 @@ from __future__ import annotations
 import html
 import re
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -61,6 +64,11 @@ MAIN = frozenset("html body main article".split())
 CLOSED_TO_ARTICLES = frozenset(
     "aside comment comments respond replies disqus related recommended widget".split())
 
+# Pages with so large a part of their lines in common are near copies.
+NEAR_COPY = 0.9
+# Pages looked at on either side, and bits of the table that aligns two pages.
+AROUND, MOST_BITS = 2, 1 << 28
+
 
 def _named(own: str) -> set[str]:
     """The marks in a class name, if it has no part that says something else."""
@@ -91,9 +99,10 @@ def _marks(name: str, attributes: str) -> set[str]:
     return found
 
 
-def page_lines(page: str) -> list[tuple[str, str, bool]]:
-    """(text, place, in an article) per line; the place is empty outside of boilerplate."""
-    lines: list[tuple[str, str, bool]] = []
+def page_lines(page: str) -> list[tuple[str, str, int]]:
+    """(text, place, inside) per line; the place is empty outside of boilerplate, ``inside`` is
+    2 in an article element, 1 in a main element only, else 0."""
+    lines: list[tuple[str, str, int]] = []
     # Open elements: name, reasons to be boilerplate, whether it is an article.
     stack: list[tuple[str, set[str], bool]] = []
     parts: list[str] = []
@@ -104,8 +113,8 @@ def page_lines(page: str) -> list[tuple[str, str, bool]]:
         if text:
             marked = [n for n, why, _ in stack if why]
             place = "/".join(n for n, _, _ in stack) if marked else ""
-            inside = not marked and any(article for _, _, article in stack)
-            lines.append((text, place, inside))
+            within = {n for n, _, article in stack if article and not marked}
+            lines.append((text, place, 2 if "article" in within else int(bool(within))))
 
     at, end = 0, len(page)
     while at < end:
@@ -154,17 +163,42 @@ def page_lines(page: str) -> list[tuple[str, str, bool]]:
     return lines
 
 
-def common(a: list[int], b: list[int]) -> set[int]:
-    """Places in ``a`` of a longest common subsequence with ``b``, by rows of bits."""
+def _last_row(a: list[int], b: list[int], rows: list[int] | None = None) -> int:
+    """The last row of the table of longest common subsequences: bit i is 0 where a[:i + 1] has
+    one more in common with b than a[:i]. ``rows`` gets all rows."""
     masks: dict[int, int] = {}
     for i, x in enumerate(a):
         masks[x] = masks.get(x, 0) | 1 << i
     every = (1 << len(a)) - 1
-    rows = [every]
+    row = every
     for y in b:
-        row = rows[-1]
         hit = row & masks.get(y, 0)
-        rows.append(((row + hit) | (row - hit)) & every)
+        row = ((row + hit) | (row - hit)) & every
+        if rows is not None:
+            rows.append(row)
+    return row
+
+
+def _lengths(row: int, n: int) -> np.ndarray:
+    """Lengths of the common subsequences of b with a[:0], a[:1], ..., a[:n]."""
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(n // 8 + 1, "little"), np.uint8),
+                         bitorder="little")[:n]
+    return np.concatenate(([0], np.cumsum(1 - bits.astype(np.int64))))
+
+
+def common(a: list[int], b: list[int], most_bits: int = MOST_BITS) -> set[int]:
+    """Places in ``a`` of a longest common subsequence with ``b``, by rows of bits. Where these
+    would take more than ``most_bits``, ``b`` is halved, and ``a`` where both halves have most in
+    common with theirs."""
+    if len(a) * len(b) > most_bits and len(b) > 1:
+        half = len(b) // 2
+        ahead = _lengths(_last_row(a, b[:half]), len(a))
+        back = _lengths(_last_row(a[::-1], b[half:][::-1]), len(a))[::-1]
+        cut_at = int((ahead + back).argmax())
+        return common(a[:cut_at], b[:half], most_bits) | {
+            cut_at + i for i in common(a[cut_at:], b[half:], most_bits)}
+    rows = [(1 << len(a)) - 1]
+    _last_row(a, b, rows)
     i, j, out = len(a), len(b), set()
     while i and j:
         if a[i - 1] == b[j - 1]:
@@ -177,6 +211,29 @@ def common(a: list[int], b: list[int]) -> set[int]:
     return out
 
 
+def deleted(
+    units: list[int], prose: list[bool], others: list[list[int]], copied: bool
+) -> list[bool]:
+    """Whether each unit is deleted. ``others`` are those of the nearest pages, nearest first; a
+    place in the markup goes if the first shares it, or another page is a copy (``copied``). Prose
+    goes if two pages share it that are no near copies, and not if no prose would be left."""
+    gone = {i for i, text in enumerate(prose) if not text} if copied else set()
+    votes, witnesses = [0] * len(units), 0
+    for k, other in enumerate(others):
+        found = common(units, other)
+        if k == 0:
+            gone |= {i for i in found if not prose[i]}
+        if len(found) < NEAR_COPY * max(len(units), len(other)):
+            witnesses += 1
+            for i in found:
+                votes[i] += 1
+        if witnesses == 2:
+            break
+    text = {i for i, n in enumerate(votes) if n == 2 and prose[i]}
+    gone |= text if len(text) < sum(prose) else set()
+    return [i in gone for i in range(len(units))]
+
+
 def _host(url: str) -> str:
     return (re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*://", "", url).split("/")[0]
             .split("?")[0].split("#")[0].lower())
@@ -191,10 +248,20 @@ _LINES = T.StructType([
     T.StructField("host", T.StringType()), T.StructField("path", T.StringType()),
     T.StructField("lines", T.ArrayType(T.StringType())),
     T.StructField("places", T.ArrayType(T.StringType())),
-    T.StructField("inside", T.ArrayType(T.BooleanType())),
+    T.StructField("inside", T.ArrayType(T.IntegerType())),
+    T.StructField("number", T.ArrayType(T.IntegerType())),
 ])
 
 
+def _candidate_numbers(lines: list[tuple[str, str, int]]) -> list[int]:
+    """The number of each line among those outside of article elements; -1 for the others."""
+    numbers, n = [], 0
+    for _, _, inside in lines:
+        numbers.append(n if inside < 2 else -1)
+        n += inside < 2
+    return numbers
+
+
 def _read(pages: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -206,7 +273,8 @@ def _read(pages: DataFrame) -> DataFrame:
                 pa.array([_path(u) for u in urls], pa.string()),
                 pa.array([[x[0] for x in f] for f in found], pa.list_(pa.string())),
                 pa.array([[x[1] for x in f] for f in found], pa.list_(pa.string())),
-                pa.array([[x[2] for x in f] for f in found], pa.list_(pa.bool_())),
+                pa.array([[x[2] for x in f] for f in found], pa.list_(pa.int32())),
+                pa.array([_candidate_numbers(f) for f in found], pa.list_(pa.int32())),
             ], [*kept, *_LINES.names])
 
     kept = [c for c in pages.columns if c != "html"]
@@ -215,61 +283,64 @@ def _read(pages: DataFrame) -> DataFrame:
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """(key, shared): places among the candidate lines that are shared with the neighbour."""
+    """(host, units_hash, gone): whether each candidate line is deleted."""
     def run(batches):
         for batch in batches:
-            own = batch.column("units").to_pylist()
-            other = batch.column("neighbour").to_pylist()
-            found = [sorted(common(a, b or [])) for a, b in zip(own, other, strict=True)]
+            found = [deleted(*own) for own in zip(*(
+                batch.column(c).to_pylist() for c in ("units", "prose", "others", "copied")),
+                strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(found, pa.list_(pa.int32()))], ["key", "shared"])
+                [batch.column("host"), batch.column("units_hash"),
+                 pa.array(found, pa.list_(pa.bool_()))], ["host", "units_hash", "gone"])
 
-    return rows.select("key", "units", "neighbour").mapInArrow(
-        run, "key long, shared array<int>")
+    return rows.select("host", "units_hash", "units", "prose", "others", "copied").mapInArrow(
+        run, "host string, units_hash long, gone array<boolean>")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_shared) of each row of ``pages`` (page_id, url, html).
 
-    The lines of the article joined by one line feed; where a page has none, all lines that
-    are neither shared nor in boilerplate elements. n_shared is the number of lines deleted by
-    differencing. A null or empty page has the empty text. Rows equal in url and html share their
-    pairing; a null url is a host of its own. A page that is cut off ends there.
+    The lines of the article or main element joined by one line feed; where a page has none, all
+    lines outside of boilerplate elements; in both cases without the lines of text, outside of
+    article elements, that two other pages share. n_shared is the number of lines deleted by
+    differencing, those in boilerplate elements included. A null or empty page has the empty text.
+    Rows equal in url and html share their pairing; a null url is a host of its own. A page that
+    is cut off ends there.
     """
     pages = pages.select("page_id", "url", "html")
-    keyed = pages.withColumn("key", F.xxhash64("url", "html"))
-    lines = _read(keyed)
-    candidate = F.filter(
-        F.arrays_zip("lines", "places", "inside"), lambda x: ~x["inside"])
-    units = F.transform(candidate, lambda x: F.xxhash64(
-        F.when(x["places"] != "", x["places"]).otherwise(x["lines"]), x["places"] != ""))
-    slim = lines.select("key", "host", "path", units.alias("units")).dropDuplicates(["key"])
-    rows = lines.join(_shared(_neighbours(slim)), "key", "left")
-    has_article = F.exists("inside", lambda x: x)
     zipped = F.arrays_zip("lines", "places", "inside")
-    # The n-th candidate line is shared if n is in ``shared``.
-    others = F.filter(zipped, lambda x: ~x["inside"])
-    left = F.filter(
-        F.transform(others, lambda x, i: F.struct(
-            x["lines"].alias("line"), x["places"].alias("place"),
-            F.array_contains("shared", i).alias("gone"))),
-        lambda x: ~F.coalesce(x["gone"], F.lit(False)) & (x["place"] == ""))
-    article = F.transform(F.filter(zipped, lambda x: x["inside"]), lambda x: x["lines"])
-    text = F.when(has_article, F.array_join(article, "\n")).otherwise(
-        F.array_join(F.transform(left, lambda x: x["line"]), "\n"))
-    return rows.select("page_id", "url", text.alias("text"),
-                       F.size(F.coalesce("shared", F.array().cast("array<int>")))
-                       .cast("long").alias("n_shared"))
+    candidates = F.filter(zipped, lambda x: x["inside"] < 2)
+    units = F.transform(candidates, lambda x: F.xxhash64(
+        F.when(x["places"] != "", x["places"]).otherwise(x["lines"]), x["places"] != ""))
+    lines = _read(pages).withColumn("units", units).withColumn(
+        "units_hash", F.xxhash64("units", F.transform(candidates, lambda x: x["places"] != "")))
+    slim = lines.select("host", "path", "units", "units_hash", F.xxhash64("url").alias("from"),
+                        F.transform(candidates, lambda x: x["places"] == "").alias("prose"))
+    # Pages with the same lines are one page, by its first path.
+    slim = slim.groupBy("host", "units_hash").agg(
+        F.min("path").alias("path"), F.first("units").alias("units"),
+        F.first("prose").alias("prose"), (F.min("from") != F.max("from")).alias("copied"))
+    rows = lines.drop("units").join(_shared(_neighbours(slim)), ["host", "units_hash"], "left")
+    # Lines of boilerplate elements go in any case, and the others if their candidate is gone.
+    def stays(x):
+        return (x["places"] == "") & ~F.coalesce(F.get("gone", x["number"]), F.lit(False))
+
+    each = F.arrays_zip("lines", "places", "inside", "number")
+    inside = F.exists("inside", lambda n: n > 0)
+    chosen = F.filter(each, lambda x: stays(x) & (~inside | (x["inside"] > 0)))
+    text = F.array_join(F.transform(chosen, lambda x: x["lines"]), "\n")
+    n_gone = F.size(F.filter(F.coalesce("gone", F.array().cast("array<boolean>")), lambda x: x))
+    return rows.select("page_id", "url", text.alias("text"), n_gone.cast("long").alias("n_shared"))
 
 
 def _neighbours(slim: DataFrame) -> DataFrame:
-    """``slim`` with the units of the nearest page of the host.
+    """``slim`` with ``others``: the units of the nearest pages of the host, nearest first.
 
     Pages are sorted by host and path over all tasks and numbered, so that a host with very many
-    pages is spread like all others; a page meets the ones before and after it by number. Within
-    the host, the one whose path shares the longer beginning is the nearer.
+    pages is spread like all others; a page meets the AROUND ones before and after it by number.
+    Within the host, those whose paths share the longer beginning are the nearer.
     """
-    order = ["host", "path", "key"]
+    order = ["host", "path", "units_hash"]
     ranged = cut(slim.repartitionByRange(*order).sortWithinPartitions(*order))
     place = ranged.withColumn("id", F.monotonically_increasing_id()).withColumn(
         "part", F.shiftright("id", 33))
@@ -280,23 +351,21 @@ def _neighbours(slim: DataFrame) -> DataFrame:
     numbered = cut(
         place.join(F.broadcast(starts), "part")
         .withColumn("number", F.col("start") + F.col("id") - F.shiftleft("part", 33))
-        .select("number", "key", "host", "path", "units"))
-
-    def other(name: str, step: int) -> DataFrame:
-        return numbered.select(
-            (F.col("number") + step).alias("number"), F.col("host").alias("host"),
-            F.struct("path", "units").alias(name))
-
-    def alike(name: str):
+        .select("number", "host", "path", "units", "units_hash", "prose", "copied"))
+    steps = [k for n in range(1, AROUND + 1) for k in (n, -n)]
+    both = numbered
+    for k in steps:
+        both = both.join(numbered.select(
+            (F.col("number") + k).alias("number"), "host",
+            F.struct("path", "units").alias(f"other{k}")), ["number", "host"], "left")
+
+    def alike(other: Column) -> Column:
         """Characters that both paths begin with."""
-        one, two = F.col("path"), F.col(f"{name}.path")
-        most = F.least(F.length(one), F.length(two))
+        most = F.least(F.length("path"), F.length(other["path"]))
         return F.size(F.filter(F.sequence(F.lit(0), most), lambda n: F.substr(
-            one, F.lit(1), n) == F.substr(two, F.lit(1), n)))
-
-    both = numbered.join(other("before", 1), ["number", "host"], "left").join(
-        other("after", -1), ["number", "host"], "left")
-    nearer = F.when(F.col("after").isNull() | (alike("before") >= alike("after")),
-                    F.col("before.units")).otherwise(F.col("after.units"))
-    nearer = F.when(F.col("before").isNull(), F.col("after.units")).otherwise(nearer)
-    return both.withColumn("neighbour", nearer)
+            "path", F.lit(1), n) == F.substr(other["path"], F.lit(1), n)))
+
+    found = [F.struct((-alike(F.col(f"other{k}"))).alias("far"), F.lit(rank).alias("rank"),
+                      F.col(f"other{k}.units").alias("units")) for rank, k in enumerate(steps)]
+    near = F.array_sort(F.filter(F.array(*found), lambda x: x["units"].isNotNull()))
+    return both.withColumn("others", F.transform(near, lambda x: x["units"]))

@@ -104,6 +104,69 @@ def test_neighbours_are_the_same_however_partitioned(spark):
     assert got[0] == got[1] and sum(r[3] for r in got[0]) > 20
 
 
+def test_common_lines_are_the_same_in_little_memory():
+    rng = random.Random(4)
+    for n in (0, 1, 5, 40, 90):
+        a, b = ([rng.randrange(9) for _ in range(rng.randrange(n + 1))] for _ in range(2))
+        for bits in (1, 30, 500):
+            places = sorted(html.common(a, b, bits))
+            assert len(places) == plain_lcs(a, b)
+            rest = iter(b)
+            assert all(a[i] in rest for i in places)
+    # Two pages of 30 000 lines within 4 MB of bits.
+    a = [rng.randrange(10 ** 6) for _ in range(30_000)]
+    b = a[:9000] + [-1] * 500 + a[9000:20_000] + [-2] * 1000
+    assert len(html.common(a, b, 1 << 25)) == 20_000
+
+
+def _texts(spark, pages):
+    rows = [(i, u, h) for i, (u, h) in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return [r["text"] for r in html.extracted(df).orderBy("page_id").collect()]
+
+
+def test_copies_without_an_article_keep_their_text(spark):
+    page = "<div>Head line</div><p>First paragraph.</p><p>Second paragraph.</p>"
+    text = "Head line\nFirst paragraph.\nSecond paragraph."
+    copies = [(f"http://h/a/{k}", page) for k in range(5)]
+    assert _texts(spark, copies) == [text] * 5
+    # A print version has a line more.
+    both = [("http://h/a/1", page), ("http://h/a/1/print", page + "<p>Printed today</p>")]
+    assert _texts(spark, both) == [text, text + "\nPrinted today"]
+
+
+def test_a_sentence_that_two_pages_share_stays(spark):
+    pages = [(f"http://h/a/{k}", f"<p>own {k}</p><p>{'quoted' if k < 2 else f'other {k}'}</p>"
+                                 f"<p>more {k}</p>") for k in range(6)]
+    got = _texts(spark, pages)
+    assert got[0] == "own 0\nquoted\nmore 0" and got[1] == "own 1\nquoted\nmore 1"
+
+
+def test_a_line_that_three_pages_share_goes(spark):
+    def page(k, tag):
+        return (f"<{tag}><p>Subscribe to our letter</p><p>own {k}</p><p>text {k}</p></{tag}>"
+                f"<div>beside {k}</div>")
+
+    pages = [(f"http://h/a/{k}", page(k, "div")) for k in range(3)]
+    assert _texts(spark, pages) == [f"own {k}\ntext {k}\nbeside {k}" for k in range(3)]
+    # In a main element as well, in an article not.
+    main = [(f"http://h/a/{k}", page(k, "main")) for k in range(3)]
+    assert _texts(spark, main) == [f"own {k}\ntext {k}" for k in range(3)]
+    article = [(f"http://h/a/{k}", page(k, "article")) for k in range(3)]
+    assert _texts(spark, article)[0] == "Subscribe to our letter\nown 0\ntext 0"
+    mixed = [(u, f"<main><p>Menu of all</p>{page(k, 'article')}<p>last {k}</p></main>")
+             for k, (u, _) in enumerate(main)]
+    assert _texts(spark, mixed)[1] == (
+        "Subscribe to our letter\nown 1\ntext 1\nbeside 1\nlast 1")
+
+
+def test_a_page_of_shared_lines_only_keeps_them(spark):
+    pages = [("http://h/a/0", "<p>one</p><p>two</p>")] + [
+        (f"http://h/a/{k}", f"<p>one</p><p>two</p><p>own {k}</p><p>text {k}</p>") for k in (1, 2, 3)]
+    got = _texts(spark, pages)
+    assert got[0] == "one\ntwo" and got[2] == "own 2\ntext 2"
+
+
 def test_articles_that_are_copies_stay(spark):
     page = "<nav>m</nav><article><h1>Same</h1><p>Text</p></article>"
     rows = [(1, "http://h/a/1", page), (2, "http://h/a/2", page), (2, "http://h/a/2", page)]
