@@ -203,3 +203,41 @@ def test_licences_of_odd_documents(spark):
 def test_native_queries_run_no_python(spark, name):
     plan = queries.QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not any(k in plan for k in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def _texts_of_two_marks(rng, n, toxic):
+    """Texts of common words, half of them with one marked word, half with the other."""
+    rows = []
+    for k in range(n):
+        marks = [rng.random() < 0.5 for _ in range(2)]
+        w = [f"word{rng.randrange(300)}" for _ in range(rng.randrange(8, 30))]
+        w += [m for m, there in zip(("insult", "people"), marks, strict=True) if there]
+        rng.shuffle(w)
+        rows.append((k, " ".join(w), int(toxic(*marks))))
+    return rows
+
+
+@pytest.mark.parametrize("name, toxic", [("one of two", lambda a, b: a != b),
+                                         ("both", lambda a, b: a and b)])
+def test_words_that_tell_only_together_are_learned(spark, name, toxic):
+    """Of two marked words neither says anything alone, or only a part."""
+    rows = _texts_of_two_marks(random.Random(5), 4000, toxic)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, toxic int")
+    machine = toxicity.learned(docs, labels)
+    truth = {i: t for i, _, t in rows}
+    scored = toxicity.scored(docs, machine).where(toxicity.held_out()).select("doc_id", "__score")
+    score = {1: [], 0: []}
+    for i, s in rows_of(scored):
+        score[truth[i]].append(s)
+    assert len(score[1]) > 150 and min(score[1]) > max(score[0])
+    assert sum(s >= toxicity.THRESHOLD for s in score[1]) > 0.95 * len(score[1])
+
+
+def test_no_pair_is_found_among_words_without_meaning():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 200, 40)).encode() for _ in range(3000)]
+    rows = toxicity.text_terms(texts)
+    labels = (rng.random(len(rows)) < 0.2).astype(float)
+    df, _ = toxicity._told(rows, labels)
+    assert not len(toxicity._paired(rows, labels, np.full(len(rows), -1.4), df))
