@@ -32,9 +32,10 @@ FROM_INSIDE = rf'(?s)^(?:[^"]|"")*$|^(?:[^"]|"")*"{_REST},(?:{_CLOSED},)*{_OPEN}
 def clean(line: Column) -> Column:
     """Whether every quote of a line that begins outside belongs to a field that ends in it. If
     so, the line ends outside; if not, it may."""
+    quote = F.lit('"')
     closed = F.regexp_replace(F.replace(line, F.lit('""'), F.lit("")),
                               r'(?:^|(?<=,))"[^"]*"(?=,|\r?$)', "")
-    return ~F.contains(closed, F.lit('"'))
+    return F.when(F.contains(line, quote), ~F.contains(closed, quote)).otherwise(True)
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
