@@ -45,7 +45,7 @@ class Store(Tables):
         self.root = root.rstrip("/")
         self.indices = indices or TRACKED_INDICES
         self._logs: dict[str, CommitLog] = {}
-        # The last listing of a table's files, by what was asked for.
+        # Per table the rows of the commit last read, whose files are listed once.
         self._frames: dict[str, tuple] = {}
 
     # -- commits ---------------------------------------------------------------------------

@@ -279,13 +279,13 @@ def test_bar_stream_in_any_order_equals_batch(spark, store, tmp_path):
     import random
 
     rng = random.Random(11)
-    days = [f"20{20 + k // 12}-{1 + k % 12:02d}-{1 + k % 27:02d}" for k in range(40)]
+    days = [f"20{20 + k // 12}-{1 + k % 12:02d}-{1 + k % 27:02d}" for k in range(24)]
     rows = [(c, f"{rng.choice(days)} 1{rng.randrange(9)}:00:00", k, float(rng.randrange(1, 90)), k)
-            for k, c in enumerate("ABC" * 60)]
+            for k, c in enumerate("ABCD" * 30)]
     frame = _late_ticks(spark, rows)
     landing = str(tmp_path / "ticks")
-    for part in range(5):
-        frame.where(f"seq % 5 = {part}").coalesce(1).write.mode("append").parquet(landing)
+    for part in range(3):
+        frame.where(f"seq % 3 = {part}").coalesce(1).write.mode("append").parquet(landing)
         stream = spark.readStream.schema(frame.schema).parquet(landing)
         start_bar_stream(stream, store, str(tmp_path / "checkpoint")).awaitTermination()
     expected = with_changes(bars(frame)).orderBy("ts_code", "trade_date")
