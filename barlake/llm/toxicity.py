@@ -19,7 +19,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,9 +31,9 @@ FACTORS = 4
 PREFIXES = (4, 5, 6, 7)
 MAX_ROWS = 20_000
 MIN_DF, MIN_Z = 6, 3.0
-# Rows with both terms of a pair, and standard errors that they are off, for the pair to count;
-# among the 10^8 pairs of 15 000 terms, none is so far off by chance.
-MIN_PAIR_DF, MIN_PAIR_Z = 30, 7.0
+# Words in a larger share of rows are paired; rows with both, and standard errors that they are off,
+# for a pair to count: among the pairs of some thousand words, none is so far off by chance.
+PAIR_SHARE, MIN_PAIR_DF, MIN_PAIR_Z = 0.005, 10, 7.0
 PAIR_BLOCK, PAIR_ROWS = 512, 4096
 THRESHOLD = 0.3
 _SALT = np.uint64(0xA0761D6478BD642F)
@@ -45,13 +45,13 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(left, F.lit(False))
 
 
-def text_terms(texts: list[bytes]) -> list[np.ndarray]:
-    """Sorted distinct term slots of each text."""
+def text_terms(texts: list[bytes], prefixes: tuple[int, ...] = PREFIXES) -> list[np.ndarray]:
+    """Sorted distinct term slots of each text: of words, and of beginnings of so many letters."""
     out = []
     for begin, end in chunks(texts):
         words = Words(texts[begin:end], alnum_bytes())
         hashes = [words.hashes]
-        for n in PREFIXES:
+        for n in prefixes:
             begun = words.beginnings(n)
             longer = words.ends - words.starts > n
             hashes.append(np.where(longer, mixed_bits(begun + _SALT), hashes[0]))
@@ -102,8 +102,11 @@ def _told(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.nd
     return df, (df >= MIN_DF) & (np.abs(ones - df * share) > MIN_Z * error)
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
+def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7,
+        words: list[np.ndarray] | None = None, each=map) -> Machine:
     """A machine fitted on four fifths of the rows, whose scores the last fifth calibrates.
+    ``words`` are the terms of each row that are paired; by default all. ``each`` maps the
+    counting of pairs.
 
     Without rows or with one class only, the score is the share of ones.
     """
@@ -120,7 +123,8 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     idf = np.log((1 + len(part)) / (1 + df))
     flat.idf = np.where(told, idf, 0).astype(np.float32)
     machine = _descend(replace(flat, weights=flat.weights.copy()), own, known, seed)
-    paired = _paired(own, known, np.array([machine.margin(t) for t in own]), df)
+    paired = _paired([(words or rows)[i] for i in part], known,
+                     np.array([machine.margin(t) for t in own]), each)
     if len(paired):
         told[paired] = True
         flat.idf = np.where(told, idf, 0).astype(np.float32)
@@ -131,39 +135,74 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
 
 
 def _paired(rows: list[np.ndarray], labels: np.ndarray, margins: np.ndarray,
-            df: np.ndarray) -> np.ndarray:
+            each=map) -> np.ndarray:
     """Terms of pairs that say something together: in the rows with both, the labels are more than
     MIN_PAIR_Z standard errors off what the margins expect. Terms that stand in the same rows, like a
-    word and its beginning, are no pair. All pairs are counted, a block against a block and some
-    rows at a time."""
+    word and its beginning, are no pair. All pairs are counted, a block against a block, for which
+    ``each`` may spread the work."""
     expected = _sigmoid(margins)
-    rest, noise = labels - expected, expected * (1 - expected)
-    terms = np.flatnonzero(df >= MIN_PAIR_DF)
-    place = np.full(1 << BITS, -1)
+    df = np.zeros(1 << BITS)
+    for own in rows:
+        df[own] += 1
+    terms = np.flatnonzero(df >= max(MIN_PAIR_DF, PAIR_SHARE * len(rows)))
+    place = np.full(1 << BITS, -1, np.int32)
     place[terms] = np.arange(len(terms))
-    width = -(-len(terms) // PAIR_BLOCK) * PAIR_BLOCK
-    found: list[np.ndarray] = []
-    count = df[terms]
-    slots = [place[t][place[t] >= 0] for t in rows]
-    for left in range(0, width, PAIR_BLOCK):
-        for right in range(left, width, PAIR_BLOCK):
-            sums = np.zeros((3, PAIR_BLOCK, PAIR_BLOCK), np.float32)
-            for at in range(0, len(rows), PAIR_ROWS):
-                part = slice(at, at + PAIR_ROWS)
-                a, b = _dense(slots[part], left), _dense(slots[part], right)
-                for k, weight in enumerate((None, rest[part], noise[part])):
-                    by = b if weight is None else b * weight[:, None].astype(np.float32)
-                    sums[k] += a.T @ by
-            both, off, spread = sums
-            far = (both >= MIN_PAIR_DF) & (np.abs(off) > MIN_PAIR_Z * np.sqrt(
-                np.maximum(spread, 1.0)))
-            i, j = np.nonzero(far)
-            n, i, j = both[i, j], i + left, j + right
-            apart = n < 0.9 * np.minimum(count[i], count[j])
-            found += [i[apart], j[apart]]
+    pairs = _Pairs([place[t][place[t] >= 0] for t in rows], (labels - expected).astype(np.float32),
+                   (expected * (1 - expected)).astype(np.float32), df[terms])
+    begins = range(0, len(terms), PAIR_BLOCK)
+    found = list(each(pairs.of, [(a, b) for a in begins for b in begins if a <= b]))
     return terms[np.unique(np.concatenate(found))] if found else terms[:0]
 
 
+@dataclass
+class _Pairs:
+    """The terms of some rows by number, how far each row is off and how far by chance, and the
+    rows that each term has."""
+
+    slots: list[np.ndarray]
+    rest: np.ndarray
+    noise: np.ndarray
+    count: np.ndarray
+
+    def of(self, blocks: tuple[int, int]) -> np.ndarray:
+        """Terms of the pairs between two blocks that count; some rows at a time."""
+        left, right = blocks
+        both, off, spread = sums = np.zeros((3, PAIR_BLOCK, PAIR_BLOCK), np.float32)
+        for at in range(0, len(self.slots), PAIR_ROWS):
+            part = slice(at, at + PAIR_ROWS)
+            a, b = _dense(self.slots[part], left), _dense(self.slots[part], right)
+            sums[0] += a.T @ b
+            sums[1] += a.T @ (b * self.rest[part, None])
+            sums[2] += a.T @ (b * self.noise[part, None])
+        i, j = np.nonzero((both >= MIN_PAIR_DF) & (np.abs(off) > MIN_PAIR_Z * np.sqrt(
+            np.maximum(spread, 1.0))))
+        apart = both[i, j] < 0.9 * np.minimum(self.count[i + left], self.count[j + right])
+        return np.concatenate((i[apart] + left, j[apart] + right))
+
+
+def _in_tasks(spark: SparkSession):
+    """Maps a bound method over pairs of numbers in Spark tasks; its object, which is sent, has
+    the terms of MAX_ROWS rows at most."""
+    def each(work, items: list[tuple[int, int]]):
+        if not items:
+            return []
+        sent = spark.sparkContext.broadcast(work)
+
+        def run(batches):
+            for batch in batches:
+                found = [sent.value(x) for x in zip(
+                    batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f.tolist() for f in found], pa.list_(pa.int64()))], ["found"])
+
+        blocks = spark.createDataFrame(items, "a long, b long").repartition(
+            min(len(items), 64), F.xxhash64("a", "b"))
+        rows = blocks.mapInArrow(run, "found array<long>").toArrow()["found"]
+        return [np.asarray(x.values, dtype=np.int64) for x in rows]
+
+    return each
+
+
 def _dense(slots: list[np.ndarray], begin: int) -> np.ndarray:
     """Which of PAIR_BLOCK terms each row has."""
     out = np.zeros((len(slots), PAIR_BLOCK), np.float32)
@@ -239,18 +278,23 @@ def learned(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Mac
 
     def terms(batches):
         for batch in slices(batches):
-            found = text_terms(text_bytes(batch.column("text")))
+            texts = text_bytes(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"),
-                 pa.array(found, pa.list_(pa.int32()))], ["doc_id", "toxic", "terms"])
+                 *(pa.array(found, pa.list_(pa.int32()))
+                   for found in (text_terms(texts), text_terms(texts, ())))],
+                ["doc_id", "toxic", "terms", "words"])
 
     known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     schema = T.StructType([known.schema["doc_id"], known.schema["toxic"],
-                           T.StructField("terms", T.ArrayType(T.IntegerType()))])
+                           *(T.StructField(n, T.ArrayType(T.IntegerType()))
+                             for n in ("terms", "words"))])
     rows = known.select("doc_id", "toxic", "text").mapInArrow(terms, schema).toArrow()
     order = sorted(range(len(rows)), key=lambda i: (rows["doc_id"][i].as_py(), i))
-    found = [np.asarray(rows["terms"][i].values, dtype=np.int32) for i in order]
-    return fit(found, np.array([rows["toxic"][i].as_py() for i in order], dtype=np.float64))
+    terms, words = ([np.asarray(rows[n][i].values, dtype=np.int32) for i in order]
+                    for n in ("terms", "words"))
+    marked = np.array([rows["toxic"][i].as_py() for i in order], dtype=np.float64)
+    return fit(terms, marked, words=words, each=_in_tasks(docs.sparkSession))
 
 
 def scored(docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFrame:

@@ -239,5 +239,4 @@ def test_no_pair_is_found_among_words_without_meaning():
     texts = [" ".join(f"w{x}" for x in rng.integers(0, 200, 40)).encode() for _ in range(3000)]
     rows = toxicity.text_terms(texts)
     labels = (rng.random(len(rows)) < 0.2).astype(float)
-    df, _ = toxicity._told(rows, labels)
-    assert not len(toxicity._paired(rows, labels, np.full(len(rows), -1.4), df))
+    assert not len(toxicity._paired(rows, labels, np.full(len(rows), -1.4)))
