@@ -182,7 +182,7 @@ def _neighbourhood(store: Store, touched: DataFrame, codes: DataFrame) -> list[s
 
 
 def _changed_bars(
-    state: DataFrame, stored: DataFrame, touched: DataFrame, known_codes: DataFrame
+    state: DataFrame, stored: DataFrame, touched: DataFrame, of_codes: DataFrame
 ) -> DataFrame:
     """Whole bars of the touched days, and of the day after each, whose change depends on it.
 
@@ -199,7 +199,7 @@ def _changed_bars(
     rows = streamed.join(codes, "ts_code", "left_semi").join(
         known.join(codes, "ts_code", "left_semi"), key, "full")
     # The last bar of a code is known even where its month is not read.
-    last = known_codes.join(codes, "ts_code", "left_semi").select(
+    last = of_codes.join(codes, "ts_code", "left_semi").select(
         "ts_code", F.col("last_day").alias("trade_date"), F.struct(
             *[(F.col("last_close") if v == "close" else F.lit(None).cast("double")).alias(v)
               for v in values]).alias("last"))
