@@ -140,12 +140,16 @@ def _paired(rows: list[np.ndarray], labels: np.ndarray, margins: np.ndarray,
     MIN_PAIR_Z standard errors off what the margins expect. Terms that stand in the same rows, like a
     word and its beginning, are no pair. All pairs are counted, a block against a block, for which
     ``each`` may spread the work."""
+    # Copies of a text are one row: they say nothing more together.
+    first = {own.tobytes(): i for i, own in reversed(list(enumerate(rows)))}
+    chosen = np.array(sorted(first.values()), np.int64)
+    rows, labels, margins = [rows[i] for i in chosen], labels[chosen], margins[chosen]
     expected = _sigmoid(margins)
     df = np.zeros(1 << BITS)
     for own in rows:
         df[own] += 1
     terms = np.flatnonzero(df >= max(MIN_PAIR_DF, PAIR_SHARE * len(rows)))
-    place = np.full(1 << BITS, -1, np.int32)
+    place = np.full(1 << BITS, -1, np.int16 if len(terms) < 1 << 15 else np.int32)
     place[terms] = np.arange(len(terms))
     pairs = _Pairs([place[t][place[t] >= 0] for t in rows], (labels - expected).astype(np.float32),
                    (expected * (1 - expected)).astype(np.float32), df[terms])
@@ -165,7 +169,7 @@ class _Pairs:
     count: np.ndarray
 
     def of(self, blocks: tuple[int, int]) -> np.ndarray:
-        """Terms of the pairs between two blocks that count; some rows at a time."""
+        """The distinct terms of the pairs between two blocks that count; some rows at a time."""
         left, right = blocks
         both, off, spread = sums = np.zeros((3, PAIR_BLOCK, PAIR_BLOCK), np.float32)
         for at in range(0, len(self.slots), PAIR_ROWS):
@@ -177,7 +181,7 @@ class _Pairs:
         i, j = np.nonzero((both >= MIN_PAIR_DF) & (np.abs(off) > MIN_PAIR_Z * np.sqrt(
             np.maximum(spread, 1.0))))
         apart = both[i, j] < 0.9 * np.minimum(self.count[i + left], self.count[j + right])
-        return np.concatenate((i[apart] + left, j[apart] + right))
+        return np.unique(np.concatenate((i[apart] + left, j[apart] + right)))
 
 
 def _in_tasks(spark: SparkSession):
@@ -198,6 +202,7 @@ def _in_tasks(spark: SparkSession):
         blocks = spark.createDataFrame(items, "a long, b long").repartition(
             min(len(items), 64), F.xxhash64("a", "b"))
         rows = blocks.mapInArrow(run, "found array<long>").toArrow()["found"]
+        sent.destroy()
         return [np.asarray(x.values, dtype=np.int64) for x in rows]
 
     return each
@@ -279,22 +284,30 @@ def learned(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Mac
     def terms(batches):
         for batch in slices(batches):
             texts = text_bytes(batch.column("text"))
+            words = text_terms(texts, ())
+            # The words first, then the other terms.
+            found = [np.concatenate((w, np.setdiff1d(t, w, assume_unique=True)))
+                     for w, t in zip(words, text_terms(texts), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"),
-                 *(pa.array(found, pa.list_(pa.int32()))
-                   for found in (text_terms(texts), text_terms(texts, ())))],
+                 pa.array(found, pa.list_(pa.int32())),
+                 pa.array(list(map(len, words)), pa.int32())],
                 ["doc_id", "toxic", "terms", "words"])
 
     known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     schema = T.StructType([known.schema["doc_id"], known.schema["toxic"],
-                           *(T.StructField(n, T.ArrayType(T.IntegerType()))
-                             for n in ("terms", "words"))])
+                           T.StructField("terms", T.ArrayType(T.IntegerType())),
+                           T.StructField("words", T.IntegerType())])
     rows = known.select("doc_id", "toxic", "text").mapInArrow(terms, schema).toArrow()
     order = sorted(range(len(rows)), key=lambda i: (rows["doc_id"][i].as_py(), i))
-    terms, words = ([np.asarray(rows[n][i].values, dtype=np.int32) for i in order]
-                    for n in ("terms", "words"))
+    terms = [np.asarray(rows["terms"][i].values, dtype=np.int32) for i in order]
+    words = [t[:rows["words"][i].as_py()] for t, i in zip(terms, order, strict=True)]
     marked = np.array([rows["toxic"][i].as_py() for i in order], dtype=np.float64)
-    return fit(terms, marked, words=words, each=_in_tasks(docs.sparkSession))
+    machine = fit(terms, marked, words=words, each=_in_tasks(docs.sparkSession))
+    # The driver goes on for long after this; its pool would keep what the rows took.
+    del rows, terms, words
+    pa.default_memory_pool().release_unused()
+    return machine
 
 
 def scored(docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFrame:
