@@ -76,10 +76,11 @@ def file_encodings(
     none of the encodings decodes has a null encoding.
     """
     lines = _lines(spark, path)
+    # Spark sorts all lines by file for min_by, unless an aggregate beside it collects.
     files = lines.groupBy("file").agg(
         F.min_by("line", "place").alias("header"),
         F.min(_decodes(F.col("line"), "UTF-8").cast("int")).alias("utf8"),
-        F.max("size").alias("size"), F.min("clean").alias("clean"),
+        F.get(F.collect_set("size"), 0).alias("size"), F.min("clean").alias("clean"),
     )
     found = F.when(F.col("utf8") == 1, "UTF-8") if "UTF-8" in encodings else None
     for n, encoding in enumerate(e for e in encodings if e != "UTF-8"):

@@ -45,6 +45,17 @@ def test_csv_of_mixed_encodings(spark, tmp_path):
                    ("5", "caf\xe9"), ("6", "\xff\xfe")]
 
 
+def test_the_lines_of_a_file_are_not_sorted_to_find_its_header(spark, tmp_path, capsys):
+    put(tmp_path / "in", "a.csv", "code,n\n" + "".join(f"{i},{i}\n" for i in range(2000)), "utf-8")
+    put(tmp_path / "in", "b.csv", "n,code\n3,009\n", "utf-8")
+    files = file_encodings(spark, str(tmp_path / "in"), ("UTF-8",))
+    files.explain()
+    assert "SortAggregate" not in capsys.readouterr().out
+    assert sorted((bytes(r["header"]), r["size"], r["clean"]) for r in files.collect()) == [
+        (b"code,n", (tmp_path / "in" / "a.csv").stat().st_size, True),
+        (b"n,code", (tmp_path / "in" / "b.csv").stat().st_size, True)]
+
+
 def test_files_with_other_columns_unite_by_name(spark, tmp_path):
     put(tmp_path / "in", "a.csv", "code,name\n1,平安银行\n", "gbk")
     put(tmp_path / "in", "b.csv", "code,extra\n2,x\n", "utf-8")
