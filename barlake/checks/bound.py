@@ -103,6 +103,10 @@ class BoundTables(Tables):
         build = getattr(self, f"_{table}")
         return conform(build(code, start, end), table)
 
+    def given(self, table) -> DataFrame:
+        rows = getattr(self, f"_{table}")(None, None, None)
+        return conform(rows, table).select(*[c for c in spec_of(table).columns if c in rows.columns])
+
     # -- daily bars ----------------------------------------------------------------------------
 
     def ticks(self, code=None, end=None) -> DataFrame:
@@ -392,6 +396,11 @@ class Before(Tables):
         self.indices = tables.indices
 
     def scan(self, table, code=None, start=None, end=None, dates=None) -> DataFrame:
-        df = self.tables.scan(table, code, start, end, dates)
+        return self._before(self.tables.scan(table, code, start, end, dates), table)
+
+    def given(self, table) -> DataFrame:
+        return self._before(self.tables.given(table), table)
+
+    def _before(self, df: DataFrame, table: str) -> DataFrame:
         date = spec_of(table).date_col
         return df.where(F.col(date) < self.cutoff) if date else df

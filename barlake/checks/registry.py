@@ -1204,6 +1204,10 @@ class _Stored(Before):
         source = self.tables if table == "trade_calendar" else super()
         return source.scan(table, code, start, end, dates)
 
+    def given(self, table) -> DataFrame:
+        source = self.tables if table == "trade_calendar" else super()
+        return source.given(table)
+
 
 def _summary() -> str:
     """Rows that an update of three months takes where all is stored up to the cut-off."""

@@ -144,7 +144,7 @@ def incremental_steps(
         return wanted_by_months(stored.slice("trade_calendar", **window), as_of, months)
 
     def statement(table: str) -> DataFrame:
-        return statement_refresh_rows(landed.scan(table), as_of)
+        return statement_refresh_rows(landed.given(table), as_of)
 
     def index(table: str) -> DataFrame:
         code = spec_of(table).code_col
@@ -173,7 +173,7 @@ def full_steps(
         return calendar_refresh_rows(days, as_of, None, years)
 
     def statement(table: str) -> DataFrame:
-        return statement_full_rows(landed.scan(table), as_of, years)
+        return statement_full_rows(landed.given(table), as_of, years)
 
     def weights() -> DataFrame:
         return index_weight_full_rows(

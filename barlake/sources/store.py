@@ -34,6 +34,9 @@ SMALL_BYTES, SMALL_FILES = 8 << 20, 64
 MERGE_ATTEMPTS = 5
 KEPT_SNAPSHOTS = 2
 FILE_BYTES = 128 << 20
+# A batch with more columns than this, most of which one source may leave null, is worth a look before
+# its rows are shuffled and sorted.
+WIDE = 40
 # Stored days that a view lists: those of a hundred years, or of some indices.
 DAYS_LISTED = 50_000
 
@@ -136,6 +139,15 @@ class Store(Tables):
         # New names for the columns, so that a table can be joined with itself.
         return df.select(*[F.col(f"`{c}`").alias(c) for c in df.columns])
 
+    def columns_held(self, table: str | TableSpec) -> list[str]:
+        """The catalogue's columns that stored rows may have a value in, from the commit alone."""
+        spec, commit = spec_of(table), self._commit(spec_of(table))
+        return self._held(spec, commit, self._log(spec).files(commit))
+
+    def _held(self, spec: TableSpec, commit: dict, files: dict[str, list[dict]]) -> list[str]:
+        held = self._log(spec).held(files)
+        return [c for c in spec.columns if held is None or c in held]
+
     def partition_values(self, table: str | TableSpec, column: str) -> list[str] | None:
         """Stored values of a partition column, from the commit alone, without null."""
         spec = spec_of(table)
@@ -278,8 +290,9 @@ class Store(Tables):
         of other batches are null there, and a column keeps the type that it came with first; one
         that is called like a partition column, or ``version``, is not kept. A batch over stored rows is read up to four times: for the partitions it touches, the files
         that hold its keys, its keys and its rows. A batch that is costly to compute is better
-        ``staged``: written once to the shared folder, and read from there. A first write reads its
-        batch once anyway.
+        ``staged``: written once to the shared folder, and read from there, without the columns
+        that are null in all its rows. A first write reads its batch once anyway, so that only
+        wide ones are staged.
         ``token`` marks the commit.
         """
         spec = spec_of(table)
@@ -288,18 +301,27 @@ class Store(Tables):
         incoming = _without_empty(self._with_extra(df, spec), spec)
         if spec.name in INDEX_TABLES:
             incoming = incoming.where(F.col(spec.code_col).isin(*self.indices))
-        if not staged or not self._commit(spec)["parts"]:
+        if not staged or not (self._commit(spec)["parts"] or len(df.columns) > WIDE):
             return self._merge_in(incoming, spec, token)
         folder = shared_folder(self.spark, f"batch-{spec.name}")
         try:
-            incoming.write.mode("overwrite").parquet(folder)
-            rows = self.spark.read.schema(incoming.schema).parquet(folder)
-            return self._merge_in(rows, spec, token)
+            return self._merge_in(self._staged(incoming, spec, folder), spec, token)
         finally:
             remove_folder(self.spark, folder)
 
+    def _staged(self, incoming: DataFrame, spec: TableSpec, folder: str) -> DataFrame:
+        """A batch as written to a folder, without the catalogue's columns that are null in all of
+        its rows; files without a column are read as having null there."""
+        seen, own = Observation(), [c for c in spec.columns if c in incoming.columns]
+        incoming.observe(seen, *[F.count(F.col(f"`{c}`")).alias(c) for c in own]).write.mode(
+            "overwrite").parquet(folder)
+        gone = {c for c in own if c not in _needed(spec) and not seen.get[c]}
+        return self.spark.read.schema(T.StructType(
+            [f for f in incoming.schema.fields if f.name not in gone])).parquet(folder)
+
     def _with_extra(self, df: DataFrame, spec: TableSpec) -> DataFrame:
-        """Catalogue columns, then all others, in the type that they are stored in."""
+        """The catalogue's columns that a batch has, and those that no file does without; then all
+        others, in the type that they are stored in."""
         known = {n.lower(): (n, t) for n, t in self._commit(spec)["columns"]}
         own = {n.lower() for n in (*spec.columns, *spec.partitions, "version")}
         extra = []
@@ -307,7 +329,8 @@ class Store(Tables):
             if f.name.lower() not in own:
                 name, kind = known.get(f.name.lower(), (f.name, f.dataType))
                 extra.append(F.col(f"`{f.name}`").cast(kind).alias(name))
-        return conform(df, spec, allow_extra=True).select(*spec.columns, *extra)
+        given = [c for c in spec.columns if c in df.columns or c in _needed(spec)]
+        return conform(df, spec, allow_extra=True).select(*given, *extra)
 
     def _with_partitions(self, df: DataFrame, spec: TableSpec) -> DataFrame:
         for name in spec.derived:
@@ -350,7 +373,7 @@ class Store(Tables):
         if any(old.values()):
             # Everything stored went through this merge, so stored keys are unique.
             stored = self._read(spec, before, old).select(
-                *spec.columns, *[f"`{n}`" for n, _ in before["columns"]])
+                *self._held(spec, before, old), *[f"`{n}`" for n, _ in before["columns"]])
             fresh = merge_keep_last(stored, incoming, spec.key, spec.newest_first,
                                     stored_is_unique=True)
         self._write(fresh, spec, before, token, kept)
@@ -400,7 +423,7 @@ class Store(Tables):
                 return 0
             size = sum(e["bytes"] for own in files.values() for e in own)
             rows = self._read(spec, before, files).select(
-                *spec.columns, *[f"`{n}`" for n, _ in before["columns"]])
+                *self._held(spec, before, files), *[f"`{n}`" for n, _ in before["columns"]])
             try:
                 self._write(rows, spec, before, before["token"], ranges=1 + size // file_bytes)
                 return len(files)
@@ -436,7 +459,8 @@ class Store(Tables):
                 files[part] = own + files.get(part, [])
             extra = [[f.name, f.dataType.simpleString()] for f in df.schema.fields
                      if f.name not in spec.columns]
-            self._publish(spec, before, folder, files, written, token, extra)
+            held = [c for c in spec.columns if c in df.columns]
+            self._publish(spec, before, folder, files, written, token, extra, held)
         except Exception:
             log.delete(folder)
             log.delete(f"_files/{folder}.json")
@@ -535,10 +559,15 @@ def _without_empty(df: DataFrame, spec: TableSpec) -> DataFrame:
         c for c in spec.partitions if c not in spec.derived)}
     kinds = dict(df.dtypes)
     return df.withColumns({
-        c: F.nullif(F.col(c), F.lit("")) for c in spec.columns if c in names
+        c: F.nullif(F.col(c), F.lit("")) for c in df.columns if c in names
         and kinds[c] == "string"})
 
 
+def _needed(spec: TableSpec) -> set[str | None]:
+    """The columns that all files have, be they null: they say which row it is, and where it goes."""
+    return {*spec.key, *spec.partitions, *spec.sort_cols, spec.code_col, spec.date_col}
+
+
 def _overlap(files: list[dict]) -> bool:
     """Whether some code may stand in two files without being at the end of one and the beginning
     of the next."""

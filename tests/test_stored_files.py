@@ -104,6 +104,44 @@ def test_only_files_that_hold_a_key_are_rewritten(store, spark):
     assert len(on_disk) <= len(files_of(store)) + 3
 
 
+def _statement(code, end="20231231", **kw):
+    return {"ts_code": code, "end_date": end, "ann_date": "20240131", **kw}
+
+
+@pytest.mark.parametrize("staged", [True, False])
+def test_files_lack_the_columns_that_no_row_fills(store, spark, staged):
+    spec = spec_of("income")
+    wide = make(spark, "income", [_statement("A", revenue=1.0), _statement("B", revenue=2.0)])
+    # Unstaged, only the columns that the batch does not have are known to be null.
+    first = wide if staged else wide.select("ts_code", "end_date", "ann_date", "revenue")
+    assert store.upsert(first, "income", staged=staged) == 2
+    held = ["ts_code", "ann_date", "end_date", "revenue"]
+    assert store.columns_held("income") == held
+    file = f"{store.root}/income/{next(iter(files_of(store, 'income')))}"
+    assert spark.read.parquet(file).columns == ["ts_code", "ann_date", "revenue"]
+    assert store.scan("income").schema == wide.schema
+    # Another batch fills other columns, of a row that is replaced and of a new one.
+    second = make(spark, "income", [_statement("B", ebit=3.0, note="x"), _statement("C", ebit=4.0)])
+    store.upsert(second.withColumn("note", F.lit(None).cast("string")), "income", staged=True)
+    assert set(store.columns_held("income")) == {*held, "ebit"}
+    seen = [("A", 1.0, None), ("B", None, 3.0), ("C", None, 4.0)]
+    for _ in range(2):
+        rows = store.scan("income")
+        assert rows.columns == spec.columns
+        assert sorted(rows_of(rows.select("ts_code", "revenue", "ebit"))) == seen
+        assert store.extra_columns("income").names == ["note"]
+        store.upsert(make(spark, "income", [_statement("D", "20230930")]), "income", staged=True)
+        seen += [("D", None, None)] if len(seen) == 3 else []
+    assert sorted(rows_of(store.full("income").select("ts_code", "revenue", "ebit", "note"))) == [
+        (*r, None) for r in seen]
+
+
+def test_a_list_that_does_not_say_its_columns_has_all(store, spark):
+    _month_of_files(store, spark, 3)
+    store.upsert(make(spark, "daily", [bar("C0001", "20240102", 1.0)]), "daily", staged=True)
+    assert store.columns_held("daily") == spec_of("daily").columns
+
+
 def test_many_small_files_are_gathered(store, spark, monkeypatch):
     monkeypatch.setattr("barlake.sources.store.SMALL_FILES", 20)
     _month_of_files(store, spark, 24)
