@@ -103,8 +103,8 @@ class BoundTables(Tables):
         build = getattr(self, f"_{table}")
         return conform(build(code, start, end), table)
 
-    def given(self, table) -> DataFrame:
-        rows = getattr(self, f"_{table}")(None, None, None)
+    def given(self, table, start=None, end=None) -> DataFrame:
+        rows = getattr(self, f"_{table}")(None, start, end)
         return conform(rows, table).select(*[c for c in spec_of(table).columns if c in rows.columns])
 
     # -- daily bars ----------------------------------------------------------------------------
@@ -398,8 +398,8 @@ class Before(Tables):
     def scan(self, table, code=None, start=None, end=None, dates=None) -> DataFrame:
         return self._before(self.tables.scan(table, code, start, end, dates), table)
 
-    def given(self, table) -> DataFrame:
-        return self._before(self.tables.given(table), table)
+    def given(self, table, start=None, end=None) -> DataFrame:
+        return self._before(self.tables.given(table, start, end), table)
 
     def _before(self, df: DataFrame, table: str) -> DataFrame:
         date = spec_of(table).date_col

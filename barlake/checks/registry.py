@@ -1204,9 +1204,9 @@ class _Stored(Before):
         source = self.tables if table == "trade_calendar" else super()
         return source.scan(table, code, start, end, dates)
 
-    def given(self, table) -> DataFrame:
+    def given(self, table, start=None, end=None) -> DataFrame:
         source = self.tables if table == "trade_calendar" else super()
-        return source.given(table)
+        return source.given(table, start, end)
 
 
 def _summary() -> str:

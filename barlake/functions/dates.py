@@ -42,6 +42,14 @@ def day_history_start(text: str, years: int) -> str:
     return (day - timedelta(365 * years)).strftime("%Y%m%d")
 
 
+def day_quarter_ends(text: str) -> tuple[str, str]:
+    """:func:`previous_quarter_end` and :func:`quarter_end` of a Python string."""
+    day = datetime.strptime(text, "%Y%m%d").date()
+    first = date(day.year, (day.month - 1) // 3 * 3 + 1, 1)
+    after = date(day.year + first.month // 10, (first.month + 2) % 12 + 1, 1)
+    return tuple((d - timedelta(1)).strftime("%Y%m%d") for d in (first, after))
+
+
 def month_end(text: Column | str) -> Column:
     return ymd(F.last_day(to_day(text)))
 

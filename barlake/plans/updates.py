@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from barlake.catalog import HISTORY_YEARS, INDEX_MARKETS, INDEX_TABLES, STATEMENTS, spec_of
 from barlake.functions import history_start, months_ago, previous_quarter_end, quarter_end, to_day
-from barlake.functions.dates import day_history_start, day_months_ago
+from barlake.functions.dates import day_history_start, day_months_ago, day_quarter_ends
 from barlake.operators.coverage import (
     missing_dates, new_index_rows, uncovered_batches, wanted_by_days, wanted_by_months,
 )
@@ -144,7 +144,9 @@ def incremental_steps(
         return wanted_by_months(stored.slice("trade_calendar", **window), as_of, months)
 
     def statement(table: str) -> DataFrame:
-        return statement_refresh_rows(landed.given(table), as_of)
+        # The two quarter ends bound the source, which need not add up the others.
+        low, high = day_quarter_ends(as_of)
+        return statement_refresh_rows(landed.given(table, start=low, end=high), as_of)
 
     def index(table: str) -> DataFrame:
         code = spec_of(table).code_col

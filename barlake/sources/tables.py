@@ -43,10 +43,12 @@ class Tables:
         storage; the exact predicates are applied by :meth:`slice` and :meth:`on_dates`."""
         raise NotImplementedError
 
-    def given(self, table: str) -> DataFrame:
+    def given(
+        self, table: str, start: str | None = None, end: str | None = None
+    ) -> DataFrame:
         """:meth:`scan` in the columns that the source has, if it is known to lack some; these are
         null in a scan."""
-        return self.scan(table)
+        return self.scan(table, start=start, end=end)
 
     def slice(
         self, table: str, code: str | None = None, start: str | None = None,

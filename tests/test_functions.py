@@ -43,6 +43,14 @@ def test_quarter_ends_of_each_month(spark):
     assert got == [(m, ends[i // 3 + 1], ends[i // 3]) for i, m in enumerate(months)]
 
 
+def test_quarter_ends_of_a_string(spark):
+    from barlake.functions.dates import day_quarter_ends
+
+    for day in [f"{y}{m:02d}{d}" for y in (2024, 2025) for m in range(1, 13) for d in ("01", "28")]:
+        assert day_quarter_ends(day) == (
+            one(spark, fn.previous_quarter_end(day)), one(spark, fn.quarter_end(day)))
+
+
 def test_day_helpers(spark):
     assert one(spark, fn.next_day("20241231")) == "20250101"
     assert one(spark, fn.month_end("20240210")) == "20240229"

@@ -82,6 +82,20 @@ def test_full_update(spark, store, landed):
     assert summary["index_weight"] == 4 and store.scan("index_weight").count() == 6
 
 
+def test_a_statement_step_asks_its_source_for_two_quarters(store, landed, monkeypatch):
+    asked, scan = [], FrameTables.scan
+
+    def noting(self, table, code=None, start=None, end=None, dates=None):
+        asked.append((table, start, end))
+        return scan(self, table, code, start, end, dates)
+
+    monkeypatch.setattr(FrameTables, "scan", noting)
+    step = updates.incremental_steps(landed, store, "20240220", 1)["income"]
+    ends = sorted(r["end_date"] for r in step().collect())
+    assert ends == ["20231231", "20240331"]
+    assert asked == [("income", "20231231", "20240331")]
+
+
 def test_incremental_steps_prune_both_sides(spark, tmp_path, landed):
     stores = [Store(spark, str(tmp_path / name), landed.indices) for name in ("landed", "stored")]
     for store in stores:
