@@ -43,6 +43,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def cut_clean(df: DataFrame) -> DataFrame:
+    """:func:`cut`; the shuffle files that led to the rows go at once, not when the driver happens
+    to collect its garbage. For rows whose ``df`` is not used again."""
+    rows = cut(df)
+    df._jdf.queryExecution().toRdd().cleanShuffleDependencies(True)
+    return rows
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, written as Parquet to a new folder below the shared one and read from there."""
     spark = df.sparkSession

@@ -1,7 +1,12 @@
 """Components, n-gram Jaccard join, exact substrings and embeddings."""
 
+import contextlib
+import gc
 import hashlib
+import os
 import random
+import threading
+import time
 import zlib
 
 import numpy as np
@@ -284,6 +289,71 @@ def test_vectors_of_extreme_length(spark):
                    (7, 1, 6), (8, 4, 0), (9, 0, 9)]
 
 
+def test_vectors_of_large_and_small_families_in_several_rounds(spark, monkeypatch):
+    for name, value in (("BLOCK", 6), ("PER_DIRECTION", 10), ("PER_ROUND", 1)):
+        monkeypatch.setattr(embeddings, name, value)
+    rng = np.random.default_rng(5)
+    rows = []
+    # (label, length, vectors, bases): a crowd round one base, large, small and single families.
+    for label, dims, n, bases in ((1, 8, 90, 30), (1, 5, 70, 1), (2, 8, 60, 12), (3, 8, 6, 2),
+                                  (4, 8, 7, 2), (5, 8, 1, 1), (None, 8, 5, 1)):
+        base = rng.normal(size=(bases, dims))
+        x = base[rng.integers(0, bases, n)] + rng.normal(size=(n, dims)) * rng.choice(
+            [0, 0.02, 0.2], (n, 1))
+        rows += [[len(rows) + i, [float(np.float32(v)) for v in row], label]
+                 for i, row in enumerate(x)]
+    # The same vectors under another label do not link to these.
+    rows += [[len(rows) + i, row[1], 9] for i, row in enumerate(rows[:40])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    turns = []
+    sent = embeddings._sent
+    monkeypatch.setattr(embeddings, "_sent", lambda *a: turns.append(a[3]) or sent(*a))
+    got = {r["id"]: (r["n_links"], r["component"])
+           for r in embeddings.near_vectors(df).collect()}
+    assert got == dict(enumerate(_plain_vectors(rows)))
+    assert len(turns) > 2
+
+
+def test_vectors_take_little_disk(spark, tmp_path):
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(
+        np.random.default_rng(6).normal(size=(8000, 64)).astype(np.float32))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    df.repartition(4).write.parquet(f"{tmp_path}/embeddings")
+    df = spark.read.parquet(f"{tmp_path}/embeddings")
+    embeddings.near_vectors(df.limit(1)).count()  # sets the checkpoint folder
+    jvm = spark.sparkContext._jvm
+    tops = [*jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+            .localDirsString(), spark.sparkContext.getCheckpointDir().removeprefix("file:")]
+
+    def taken():
+        total = 0
+        for top in tops:
+            for folder, _, files in os.walk(top):
+                for f in files:
+                    with contextlib.suppress(OSError):
+                        total += os.path.getsize(f"{folder}/{f}")
+        return total
+
+    gc.collect()
+    jvm.System.gc()
+    time.sleep(1)
+    before, most, over = taken(), [0], threading.Event()
+
+    def watch():
+        while not over.wait(0.02):
+            most[0] = max(most[0], taken())
+
+    watching = threading.Thread(target=watch)
+    watching.start()
+    try:
+        found = embeddings.near_vectors(df).count()
+    finally:
+        over.set()
+        watching.join()
+    assert found == len(rows)
+    assert max(most[0], taken()) - before < 10 * 4 * 64 * len(rows)
+
+
 def _forged(text: bytes, like: int) -> bytes:
     """The text with four bytes at its end that give it the checksum ``like``."""
     table = [0] * 256
